@@ -101,6 +101,74 @@ def q_json_roundtrip(spark, sf_dir):
     return D.decode_messages(msgs)
 
 
+def _stored_views(spark: SparkSession, sf_dir: str):
+    """Batch layer over the decoded feed into a fresh folder under the
+    shared checkpoint root, then a serving layer over it."""
+    from riverwatch.plans.batch import run_batch
+    from riverwatch.plans.serving import ServingLayer
+    from riverwatch.session import work_path
+
+    out = work_path(spark, "batch")
+    readings = D.decode_kafka_batch(R.messages_from_events(R.load_table(spark, sf_dir, "events")))
+    run_batch(spark, readings, out, run_id="check")
+    return ServingLayer(spark, out)
+
+
+def q_batch_views_roundtrip(spark, sf_dir):
+    return _stored_views(spark, sf_dir).query("risk_summary")
+
+
+def q_served_high_risk(spark, sf_dir):
+    return _stored_views(spark, sf_dir).query("high_risk")
+
+
+def q_location_summary_one(spark, sf_dir):
+    out = _stored_views(spark, sf_dir).query("location", location_id=CHECK_LOCATION)
+    return _round(out, ["avg_rainfall", "avg_temperature", "avg_river_level"])
+
+
+def q_recent_alerts(spark, sf_dir):
+    from riverwatch.plans.serving import ServingLayer
+    from riverwatch.session import work_path
+    from riverwatch.sinks.batch import write_alerts_json
+
+    alerts_dir = work_path(spark, "alerts")
+    write_alerts_json(flood_alerts(_readings(spark, sf_dir)), alerts_dir)
+    return ServingLayer(spark, work_path(spark, "no-batch"), alerts_dir).query("alerts")
+
+
+def _run_stream(spark, sf_dir, **cfg_kwargs):
+    from riverwatch.session import work_path
+    from riverwatch.streaming.speed import SpeedConfig, await_all, start_speed_layer
+
+    root = work_path(spark, "stream")
+    raw = R.messages_from_events(R.events_stream(spark, sf_dir)).select("value")
+    cfg = SpeedConfig(checkpoint_root=f"{root}/checkpoints", available_now=True, **{
+        k: (f"{root}/{v}" if k.endswith("_path") else v) for k, v in cfg_kwargs.items()})
+    await_all(spark, start_speed_layer(raw, cfg))
+    return cfg
+
+
+def q_stream_windowed_stats(spark, sf_dir):
+    cfg = _run_stream(spark, sf_dir, stats_path="stats", time_col="event")
+    out = A.flatten_window(spark.read.parquet(cfg.stats_path))
+    return _round(out, ["avg_rainfall", "avg_river_level"])
+
+
+def q_stream_alerts(spark, sf_dir):
+    from riverwatch.sources.files import read_alerts
+
+    cfg = _run_stream(spark, sf_dir, alerts_path="alerts", stats_path="stats", time_col="event")
+    return read_alerts(spark, cfg.alerts_path)
+
+
+def q_stream_raw_archive(spark, sf_dir):
+    from riverwatch.sources.files import read_message_files
+
+    cfg = _run_stream(spark, sf_dir, raw_path="raw", stats_path="stats", time_col="event")
+    return D.decode_messages(read_message_files(spark, cfg.raw_path))
+
+
 QUERIES: dict[str, Query] = {
     "risk_classify": q_risk_classify,
     "risk_distribution": q_risk_distribution,
@@ -115,6 +183,13 @@ QUERIES: dict[str, Query] = {
     "decode_readings": q_decode_readings,
     "message_triage": q_message_triage,
     "json_roundtrip": q_json_roundtrip,
+    "batch_views_roundtrip": q_batch_views_roundtrip,
+    "served_high_risk": q_served_high_risk,
+    "location_summary_one": q_location_summary_one,
+    "recent_alerts": q_recent_alerts,
+    "stream_windowed_stats": q_stream_windowed_stats,
+    "stream_alerts": q_stream_alerts,
+    "stream_raw_archive": q_stream_raw_archive,
 }
 
 # --------------------------------------------------------------------------
@@ -138,6 +213,15 @@ RISK_CASE = """CASE WHEN rainfall_mm_per_hr > 7.0 AND river_level_m > 5.0 THEN '
 READING_COLS = '"timestamp", location_id, elevation_m, rainfall_mm_per_hr, temperature_c, river_level_m'
 
 
+LOCATION_STATS_SQL = f"""SELECT location_id, count(*) AS total_records,
+       round(avg(rainfall_mm_per_hr), {DIGITS}) AS avg_rainfall,
+       max(rainfall_mm_per_hr) AS max_rainfall, min(rainfall_mm_per_hr) AS min_rainfall,
+       round(avg(temperature_c), {DIGITS}) AS avg_temperature,
+       round(avg(river_level_m), {DIGITS}) AS avg_river_level,
+       max(river_level_m) AS max_river_level
+FROM readings GROUP BY location_id"""
+
+
 def _with(body: str) -> str:
     return f"WITH {READINGS_CTE}\n{body}"
 
@@ -151,15 +235,7 @@ ORACLE_SQL: dict[str, str] = {
         """SELECT "timestamp", location_id, rainfall_mm_per_hr, river_level_m, 'FLOOD_ALERT' AS alert_type
            FROM readings WHERE rainfall_mm_per_hr > 5.0 OR river_level_m > 4.5"""
     ),
-    "location_stats": _with(
-        f"""SELECT location_id, count(*) AS total_records,
-                  round(avg(rainfall_mm_per_hr), {DIGITS}) AS avg_rainfall,
-                  max(rainfall_mm_per_hr) AS max_rainfall, min(rainfall_mm_per_hr) AS min_rainfall,
-                  round(avg(temperature_c), {DIGITS}) AS avg_temperature,
-                  round(avg(river_level_m), {DIGITS}) AS avg_river_level,
-                  max(river_level_m) AS max_river_level
-           FROM readings GROUP BY location_id ORDER BY location_id"""
-    ),
+    "location_stats": _with(LOCATION_STATS_SQL + " ORDER BY location_id"),
     "hourly_patterns": _with(
         f"""SELECT CAST(hour(CAST("timestamp" AS TIMESTAMP)) AS INTEGER) AS hour,
                   round(avg(rainfall_mm_per_hr), {DIGITS}) AS avg_rainfall,
@@ -221,6 +297,17 @@ ORACLE_SQL: dict[str, str] = {
     ),
     "json_roundtrip": _with(f"SELECT {READING_COLS} FROM readings"),
 }
+ORACLE_SQL["batch_views_roundtrip"] = ORACLE_SQL["risk_distribution"]
+ORACLE_SQL["served_high_risk"] = ORACLE_SQL["high_risk_locations"]
+ORACLE_SQL["location_summary_one"] = _with(
+    f"""SELECT * FROM ({LOCATION_STATS_SQL}) WHERE location_id = '{CHECK_LOCATION}'""")
+ORACLE_SQL["recent_alerts"] = _with(
+    """SELECT "timestamp", location_id, rainfall_mm_per_hr, river_level_m, 'FLOOD_ALERT' AS alert_type
+       FROM readings WHERE rainfall_mm_per_hr > 5.0 OR river_level_m > 4.5
+       ORDER BY "timestamp" DESC, location_id, rainfall_mm_per_hr DESC, river_level_m DESC LIMIT 10""")
+ORACLE_SQL["stream_windowed_stats"] = ORACLE_SQL["windowed_stats"]
+ORACLE_SQL["stream_alerts"] = ORACLE_SQL["flood_alerts"]
+ORACLE_SQL["stream_raw_archive"] = ORACLE_SQL["json_roundtrip"]
 
 assert set(ORACLE_SQL) <= set(QUERIES), set(ORACLE_SQL) - set(QUERIES)
 assert LEVELS  # levels are referenced by the SQL text above

@@ -75,3 +75,14 @@ def messages_from_events(
 def messages_from_readings(df: DataFrame) -> DataFrame:
     """Readings -> ``value`` text column (the producer's encoding, SNK-1)."""
     return df.select(codec.encode().alias("value"))
+
+
+def events_stream(spark: SparkSession, sf_dir: str, max_files_per_trigger: int | None = None) -> DataFrame:
+    """``events`` as a file stream (the table's files are the micro-batch
+    units), for driving the speed layer offline."""
+    path = sf_dir.rstrip("/")
+    schema = spark.read.parquet(f"{path}/events.parquet").schema  # footer only
+    r = spark.readStream.schema(schema).option("pathGlobFilter", "events*.parquet")
+    if max_files_per_trigger:
+        r = r.option("maxFilesPerTrigger", str(max_files_per_trigger))
+    return r.parquet(path)
