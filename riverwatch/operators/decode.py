@@ -89,9 +89,15 @@ def triage(
     """
     text = codec.message_text(value_col)
     parsed = codec.parse(text, S.READING, corrupt_column=S.CORRUPT_RECORD)
-    # Any JSON value at all? (get_json_object returns NULL only for text
-    # that does not parse, or for the literal null.)
-    is_json = F.get_json_object(text, "$").isNotNull() | (F.trim(text) == F.lit("null"))
+    # Is the text JSON at all (as a general JSON parser, which accepts NaN,
+    # would say)? Only asked for rows the reading parse flagged, so clean
+    # rows are parsed once. get_json_object rejects NaN tokens and from_json
+    # into a map rejects arrays, so either one succeeding means JSON.
+    corrupt = parsed.getField(S.CORRUPT_RECORD)
+    is_json = F.when(corrupt.isNull(), F.lit(True)).otherwise(
+        F.get_json_object(text, "$").isNotNull()
+        | F.from_json(text, "map<string,string>").isNotNull()
+    )
     meta = [F.col(m) for m in metadata if m in df.columns]
     staged = df.select(*meta, text.alias("__text"), parsed.alias(_DATA), is_json.alias("__is_json"))
     rain = codec.clean_field(F.col(f"{_DATA}.{S.RAINFALL}"), T.DoubleType(), keep_nan)
