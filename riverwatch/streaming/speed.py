@@ -45,6 +45,7 @@ class SpeedConfig:
     trigger: str | None = "5 seconds"  # processing-time trigger; None = ASAP
     available_now: bool = False  # process what is there, then stop
     console: bool = False
+    stats: bool = True  # start the windowed-statistics query
     keep_nan: bool = False
     alert_rule: AlertRule = field(default_factory=AlertRule)
     alerts_with_processing_time: bool = False
@@ -160,8 +161,9 @@ def start_speed_layer(raw: DataFrame, cfg: SpeedConfig) -> list[StreamingQuery]:
         if cfg.alerts_path:
             started.append(start_alerts_sink(
                 alerts_stream(parsed, cfg.alert_rule, cfg.alerts_with_processing_time), cfg))
-        stats = windowed_stats_stream(parsed, cfg.time_col, cfg.window, cfg.watermark)
-        started.append(start_stats_sink(stats, cfg))
+        if cfg.stats:
+            stats = windowed_stats_stream(parsed, cfg.time_col, cfg.window, cfg.watermark)
+            started.append(start_stats_sink(stats, cfg))
     except Exception:
         stop_all(started)
         raise
