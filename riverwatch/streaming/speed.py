@@ -44,7 +44,7 @@ class SpeedConfig:
     stats_mode: str = "complete"  # complete | update | append
     trigger: str | None = "5 seconds"  # processing-time trigger; None = ASAP
     available_now: bool = False  # process what is there, then stop
-    console: bool = False
+    console: str | None = None  # "parsed" (SNK-8) or "raw" (SNK-9)
     stats: bool = True  # start the windowed-statistics query
     keep_nan: bool = False
     alert_rule: AlertRule = field(default_factory=AlertRule)
@@ -154,7 +154,10 @@ def start_speed_layer(raw: DataFrame, cfg: SpeedConfig) -> list[StreamingQuery]:
     parsed = parse_stream(raw, keep_nan=cfg.keep_nan)
     started: list[StreamingQuery] = []
     try:
-        if cfg.console:
+        if cfg.console == "raw":
+            text = raw.select(F.col("value").cast("string").alias(S.RAW_VALUE))
+            started.append(start_console(text, cfg, "console_raw"))
+        elif cfg.console:
             started.append(start_console(parsed, cfg))
         if cfg.raw_path:
             started.append(start_raw_archive(raw, cfg))
