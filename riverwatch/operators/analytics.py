@@ -141,3 +141,64 @@ def flatten_window(df: DataFrame, as_ntz: bool = True) -> DataFrame:
         start, end = start.cast("timestamp_ntz"), end.cast("timestamp_ntz")
     rest = [c for c in df.columns if c != "window"]
     return df.select(start.alias("window_start"), end.alias("window_end"), *rest)
+
+
+SUMMARY_KIND = "summary_kind"
+
+
+def batch_summary(classified: DataFrame) -> DataFrame:
+    """Location stats, hourly averages, level counts and the overall
+    correlation in one scan and one shuffle, as grouping sets.
+
+    Reads the union of the columns the four analytics need once, instead of
+    once per analytic; the result is small (locations + 24 hours + levels +
+    1 rows). ``summary_kind`` says which grouping a row belongs to
+    (``location``, ``hour``, ``level``, ``all``); ``split_summary`` turns it
+    into the four results with the same columns as the separate operators.
+    """
+    df = classified.select(
+        S.LOCATION_ID,
+        timeparse.hour_of(S.TIMESTAMP).alias("hour"),
+        S.FLOOD_RISK_LEVEL,
+        S.RAINFALL,
+        S.TEMPERATURE,
+        S.RIVER_LEVEL,
+    )
+    keys = [S.LOCATION_ID, "hour", S.FLOOD_RISK_LEVEL]
+    kind = (
+        F.when(F.grouping(S.LOCATION_ID) == 0, F.lit("location"))
+        .when(F.grouping("hour") == 0, F.lit("hour"))
+        .when(F.grouping(S.FLOOD_RISK_LEVEL) == 0, F.lit("level"))
+        .otherwise(F.lit("all"))
+    )
+    return df.groupingSets([[S.LOCATION_ID], ["hour"], [S.FLOOD_RISK_LEVEL], []], *keys).agg(
+        kind.alias(SUMMARY_KIND),
+        F.count(F.lit(1)).alias("total_records"),
+        F.avg(S.RAINFALL).alias("avg_rainfall"),
+        F.max(S.RAINFALL).alias("max_rainfall"),
+        F.min(S.RAINFALL).alias("min_rainfall"),
+        F.avg(S.TEMPERATURE).alias("avg_temperature"),
+        F.avg(S.RIVER_LEVEL).alias("avg_river_level"),
+        F.max(S.RIVER_LEVEL).alias("max_river_level"),
+        stats.pearson(S.RAINFALL, S.RIVER_LEVEL).alias("correlation"),
+    )
+
+
+def split_summary(summary: DataFrame, ordered: bool = True) -> dict[str, DataFrame]:
+    """``batch_summary`` -> location_stats, hourly_patterns,
+    risk_distribution, correlation (shaped as the separate operators)."""
+    def part(kind: str) -> DataFrame:
+        return summary.filter(F.col(SUMMARY_KIND) == F.lit(kind))
+
+    loc = part("location").select(
+        S.LOCATION_ID, "total_records", "avg_rainfall", "max_rainfall", "min_rainfall",
+        "avg_temperature", "avg_river_level", "max_river_level")
+    hourly = part("hour").select("hour", "avg_rainfall", "avg_river_level")
+    dist = part("level").select(S.FLOOD_RISK_LEVEL, F.col("total_records").alias("count"))
+    corr = part("all").select("correlation")
+    if ordered:
+        loc = loc.orderBy(S.LOCATION_ID)
+        hourly = hourly.orderBy("hour")
+        dist = dist.orderBy(F.desc("count"), S.FLOOD_RISK_LEVEL)
+    return {"location_stats": loc, "hourly_patterns": hourly,
+            "risk_distribution": dist, "correlation": corr}

@@ -2,11 +2,15 @@
 
 Plan at scale: decoding JSON is the expensive step, so it runs once. The
 decoded, classified readings are written as the ``flood_risk_data`` view
-(they are that view), and every other analytic reads the written view back
-with only the columns it needs. The written table is also the lineage cut:
-a lost executor costs a re-read of parquet files in the shared folder, not
-a re-read of the topic. ``materialize=False`` keeps the reference's shape
-(persist the decoded input, compute everything from it).
+(they are that view). The written table is the lineage cut: a lost
+executor costs a re-read of parquet files in the shared folder, not a
+re-read of the topic. From it, one grouping-sets aggregate computes the
+location stats, hourly averages, level counts and correlation in a single
+scan (``analytics.batch_summary``); its small result is checkpointed to
+the shared folder so the four views are cut from it without re-running
+the scan. The top-k reads four columns in its own pass.
+``materialize=False`` keeps the reference's shape (persist the decoded
+input, compute each analytic from it).
 """
 
 from __future__ import annotations
@@ -16,10 +20,10 @@ from dataclasses import dataclass
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
-from riverwatch import schema as S
 from riverwatch.functions.rules import RiskThresholds
 from riverwatch.operators import analytics as A
 from riverwatch.operators.classify import classify_risk
+from riverwatch.session import checkpoint_root
 from riverwatch.sinks import batch as sinks
 
 LOCATION_STATS = "location_stats"
@@ -102,8 +106,11 @@ def run_batch(
             classify_risk(readings, thresholds), paths.flood_risk, rebalance=rebalance
         )
         stored = spark.read.parquet(paths.flood_risk)
-        base = stored.select(*[c for c in stored.columns if c != S.FLOOD_RISK_LEVEL])
-        results = compute_batch_analytics(base, thresholds, classified=stored, ordered=False)
+        checkpoint_root(spark)  # make sure a checkpoint folder is registered
+        summary = A.batch_summary(stored).checkpoint(eager=True)
+        results = A.split_summary(summary, ordered=False)
+        results["flood_risk"] = stored
+        results["extreme_events"] = A.extreme_events(stored)
         save_batch_views(results, out_dir, run_id, rebalance, skip_flood_risk=True)
         return results
     # B-4: persist before the first action so every job sees the same rows.

@@ -11,18 +11,26 @@ from pyspark.sql import SparkSession
 CHECKPOINT_CONF = "spark.checkpoint.dir"
 
 
+ROCKSDB_PROVIDER = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
+
 def build_session(
     app_name: str = "riverwatch",
     master: str | None = None,
     shuffle_partitions: int | None = None,
     extra: dict[str, str] | None = None,
+    rocksdb_state: bool = False,
 ) -> SparkSession:
     """Session with the settings every job here relies on.
 
     UTC session time (hour-of-day must not depend on the host), AQE on
     (coalesces the small aggregate shuffles, splits skewed partitions),
     UI off. On a cluster leave ``master`` and ``shuffle_partitions`` unset
-    so the cluster's values win.
+    so the cluster's values win. For the speed layer, the shuffle partition
+    count in force at a query's first start becomes its number of state
+    partitions for good, so size it then. ``rocksdb_state`` keeps streaming
+    state in RocksDB off the JVM heap with changelog checkpoints, for large
+    state (many locations x windows, complete mode).
     """
     b = SparkSession.builder.appName(app_name)
     if master:
@@ -37,6 +45,9 @@ def build_session(
     }
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
+    if rocksdb_state:
+        conf["spark.sql.streaming.stateStore.providerClass"] = ROCKSDB_PROVIDER
+        conf["spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled"] = "true"
     conf.update(extra or {})
     for k, v in conf.items():
         b = b.config(k, v)
@@ -49,14 +60,17 @@ def build_session(
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
-    On a cluster this must be set (HDFS/S3/ABFS path) and is used as is.
-    Only when it is unset, as in local tests, a folder under the local temp
-    dir is created and registered.
+    On a cluster this must be set (HDFS/S3/ABFS path) and is used as is;
+    unset, it is an error there. Only a local-mode session (tests) gets a
+    folder under the local temp dir when it is unset.
     """
     root = spark.conf.get(CHECKPOINT_CONF, None)
     if not root:
         root = spark.sparkContext.getCheckpointDir()
     if not root:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError(
+                f"{CHECKPOINT_CONF} is not set: point it at a folder every executor can reach")
         root = tempfile.mkdtemp(prefix="riverwatch-ckpt-")
         spark.conf.set(CHECKPOINT_CONF, root)
     sc = spark.sparkContext

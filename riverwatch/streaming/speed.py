@@ -49,6 +49,11 @@ class SpeedConfig:
     keep_nan: bool = False
     alert_rule: AlertRule = field(default_factory=AlertRule)
     alerts_with_processing_time: bool = False
+    # Alerts are rare: shuffling only them into this many partitions per
+    # micro-batch keeps the sink from writing one tiny file per input
+    # partition, while the decode before it stays fully parallel (a
+    # coalesce would pull the decode down to this many tasks too).
+    alert_files_per_batch: int | None = None
 
 
 def parse_stream(raw: DataFrame, keep_raw: bool = False, keep_nan: bool = False) -> DataFrame:
@@ -162,8 +167,10 @@ def start_speed_layer(raw: DataFrame, cfg: SpeedConfig) -> list[StreamingQuery]:
         if cfg.raw_path:
             started.append(start_raw_archive(raw, cfg))
         if cfg.alerts_path:
-            started.append(start_alerts_sink(
-                alerts_stream(parsed, cfg.alert_rule, cfg.alerts_with_processing_time), cfg))
+            alerts = alerts_stream(parsed, cfg.alert_rule, cfg.alerts_with_processing_time)
+            if cfg.alert_files_per_batch:
+                alerts = alerts.repartition(cfg.alert_files_per_batch)
+            started.append(start_alerts_sink(alerts, cfg))
         if cfg.stats:
             stats = windowed_stats_stream(parsed, cfg.time_col, cfg.window, cfg.watermark)
             started.append(start_stats_sink(stats, cfg))

@@ -141,3 +141,27 @@ def test_windowed_batch_equals_time_bucket(spark):
     bad = w.filter((F.minute("window_start") % 5 != 0) |
                    ((F.unix_timestamp("window_end") - F.unix_timestamp("window_start")) != 300))
     assert bad.count() == 0
+
+
+def test_batch_summary_equals_separate_operators(spark):
+    src = classify_risk(readings(spark, SF001))
+    parts = A.split_summary(A.batch_summary(src))
+    direct = {
+        "location_stats": A.location_stats(src),
+        "hourly_patterns": A.hourly_patterns(src),
+        "risk_distribution": A.risk_distribution(src),
+        "correlation": A.rain_river_corr(src),
+    }
+    for name, d in direct.items():
+        got, exp = parts[name].collect(), d.collect()
+        assert parts[name].columns == d.columns, name
+        assert len(got) == len(exp), name
+        for g, e in zip(got, exp):
+            for a, b in zip(g, e):
+                assert a == pytest.approx(b, rel=1e-12) if isinstance(b, float) else a == b, name
+
+
+def test_batch_summary_one_scan(spark):
+    src = classify_risk(readings(spark, SF001))
+    plan = _plan(A.batch_summary(src))
+    assert plan.count("Scan parquet") == 1 and "Expand" in plan

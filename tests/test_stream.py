@@ -137,6 +137,38 @@ def test_restart_no_duplicates(spark):
     assert stats.agg(F.sum("record_count")).first()[0] == 6
 
 
+def test_alert_files_per_batch(spark):
+    root = work_path(spark, "test-alert-files")
+    src_dir = local_dir(f"{root}/in")
+    _write_batches(src_dir, [_golden_msgs()])
+    cfg = _cfg(spark, root, alerts_path=f"{root}/alerts", stats=False, alert_files_per_batch=1)
+    raw = read_message_stream(spark, src_dir).repartition(3)
+    await_all(spark, start_speed_layer(raw, cfg))
+    files = [f for f in os.listdir(local_dir(cfg.alerts_path)) if f.endswith(".json")]
+    assert len(files) == 1
+    assert read_alerts(spark, cfg.alerts_path).count() == 2
+
+
+def test_rocksdb_state_store(spark):
+    from riverwatch.session import ROCKSDB_PROVIDER
+    key = "spark.sql.streaming.stateStore.providerClass"
+    old = spark.conf.get(key, None)
+    spark.conf.set(key, ROCKSDB_PROVIDER)
+    try:
+        root = work_path(spark, "test-rocksdb")
+        src_dir = local_dir(f"{root}/in")
+        _write_batches(src_dir, LATE)
+        cfg = _cfg(spark, root, stats_mode="complete", time_col="event", stats_path=f"{root}/stats")
+        await_all(spark, start_speed_layer(read_message_stream(spark, src_dir, max_files_per_trigger=1), cfg))
+        rows = spark.read.parquet(cfg.stats_path).collect()
+        assert sum(r.record_count for r in rows) == 5 and len(rows) == 4
+    finally:
+        if old:
+            spark.conf.set(key, old)
+        else:
+            spark.conf.unset(key)
+
+
 def test_stop_all_on_failure(spark):
     root = work_path(spark, "test-stop")
     src_dir = local_dir(f"{root}/in")
