@@ -103,6 +103,19 @@ def q_json_roundtrip(spark, sf_dir):
     return D.decode_messages(msgs)
 
 
+def q_batch_summary(spark, sf_dir):
+    out = A.batch_summary(classify_risk(_readings(spark, sf_dir)))
+    return _round(out, ["avg_rainfall", "avg_temperature", "avg_river_level", "correlation"])
+
+
+def q_reading_time_parts(spark, sf_dir):
+    return A.with_time_parts(_readings(spark, sf_dir)).select(S.TIMESTAMP, "hour", "date")
+
+
+def q_undecodable_messages(spark, sf_dir):
+    return D.split_triage(D.triage(_feed(spark, sf_dir)))[1]
+
+
 def _stored_views(spark: SparkSession, sf_dir: str):
     """Batch layer over the decoded feed into a fresh folder under the
     shared checkpoint root, then a serving layer over it."""
@@ -186,6 +199,9 @@ QUERIES: dict[str, Query] = {
     "decode_readings": q_decode_readings,
     "message_triage": q_message_triage,
     "json_roundtrip": q_json_roundtrip,
+    "batch_summary": q_batch_summary,
+    "reading_time_parts": q_reading_time_parts,
+    "undecodable_messages": q_undecodable_messages,
     "batch_views_roundtrip": q_batch_views_roundtrip,
     "served_high_risk": q_served_high_risk,
     "location_summary_one": q_location_summary_one,
@@ -308,6 +324,30 @@ ORACLE_SQL["recent_alerts"] = _with(
     """SELECT "timestamp", location_id, rainfall_mm_per_hr, river_level_m, 'FLOOD_ALERT' AS alert_type
        FROM readings WHERE rainfall_mm_per_hr > 5.0 OR river_level_m > 4.5
        ORDER BY "timestamp" DESC, location_id, rainfall_mm_per_hr DESC, river_level_m DESC LIMIT 10""")
+ORACLE_SQL["batch_summary"] = _with(
+    f"""SELECT location_id, hour, flood_risk_level,
+              CASE WHEN grouping(location_id) = 0 THEN 'location'
+                   WHEN grouping(hour) = 0 THEN 'hour'
+                   WHEN grouping(flood_risk_level) = 0 THEN 'level' ELSE 'all' END AS summary_kind,
+              count(*) AS total_records,
+              round(avg(rainfall_mm_per_hr), {DIGITS}) AS avg_rainfall,
+              max(rainfall_mm_per_hr) AS max_rainfall, min(rainfall_mm_per_hr) AS min_rainfall,
+              round(avg(temperature_c), {DIGITS}) AS avg_temperature,
+              round(avg(river_level_m), {DIGITS}) AS avg_river_level,
+              max(river_level_m) AS max_river_level,
+              round(CASE WHEN stddev_pop(rainfall_mm_per_hr) * stddev_pop(river_level_m) = 0 THEN NULL
+                         ELSE covar_pop(rainfall_mm_per_hr, river_level_m)
+                              / (stddev_pop(rainfall_mm_per_hr) * stddev_pop(river_level_m)) END, {DIGITS})
+                AS correlation
+       FROM (SELECT location_id, CAST(hour(CAST("timestamp" AS TIMESTAMP)) AS INTEGER) AS hour,
+                    {RISK_CASE} AS flood_risk_level, rainfall_mm_per_hr, temperature_c, river_level_m
+             FROM readings)
+       GROUP BY GROUPING SETS ((location_id), (hour), (flood_risk_level), ())""")
+ORACLE_SQL["reading_time_parts"] = _with(
+    """SELECT "timestamp", CAST(hour(CAST("timestamp" AS TIMESTAMP)) AS INTEGER) AS hour,
+              CAST(CAST("timestamp" AS TIMESTAMP) AS DATE) AS date FROM readings""")
+ORACLE_SQL["undecodable_messages"] = (
+    f"SELECT * FROM ({ORACLE_SQL['message_triage']}) WHERE problem = 'invalid_json'")
 ORACLE_SQL["stream_windowed_stats"] = ORACLE_SQL["windowed_stats"]
 ORACLE_SQL["stream_alerts"] = ORACLE_SQL["flood_alerts"]
 ORACLE_SQL["stream_raw_archive"] = ORACLE_SQL["json_roundtrip"]

@@ -88,3 +88,11 @@ def test_csv_source(spark, tmp_path):
     df = read_readings_csv(spark, str(p))
     assert df.schema == S.READING
     assert sorted(tuple(r) for r in df.collect()) == sorted(GOLDEN)
+
+
+def test_alerts_with_processing_time(golden):
+    from riverwatch.operators.decode import stamp_processing_time
+    df = flood_alerts(stamp_processing_time(golden), with_processing_time=True)
+    assert df.columns[-1] == S.PROCESSING_TIME
+    rows = df.collect()
+    assert len(rows) == 2 and len({r.processing_time for r in rows}) == 1  # one value per query
