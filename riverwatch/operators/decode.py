@@ -94,17 +94,20 @@ def triage(
     """
     text = codec.message_text(value_col)
     parsed = codec.parse(text, S.READING, corrupt_column=S.CORRUPT_RECORD)
+    meta = [F.col(m) for m in metadata if m in df.columns]
+    # Behind a generator (as in decode_messages with parse_once), so a
+    # filter on status/problem cannot be pushed below and re-parse.
+    staged = df.select(F.inline(F.array(F.struct(*meta, text.alias("__text"), parsed.alias(_DATA)))))
     # Is the text JSON at all (as a general JSON parser, which accepts NaN,
     # would say)? Only asked for rows the reading parse flagged, so clean
     # rows are parsed once. get_json_object rejects NaN tokens and from_json
     # into a map rejects arrays, so either one succeeding means JSON.
-    corrupt = parsed.getField(S.CORRUPT_RECORD)
-    is_json = F.when(corrupt.isNull(), F.lit(True)).otherwise(
-        F.get_json_object(text, "$").isNotNull()
-        | F.from_json(text, "map<string,string>").isNotNull()
+    raw = F.col("__text")
+    is_json = F.when(F.col(f"{_DATA}.{S.CORRUPT_RECORD}").isNull(), F.lit(True)).otherwise(
+        F.get_json_object(raw, "$").isNotNull()
+        | F.from_json(raw, "map<string,string>").isNotNull()
     )
-    meta = [F.col(m) for m in metadata if m in df.columns]
-    staged = df.select(*meta, text.alias("__text"), parsed.alias(_DATA), is_json.alias("__is_json"))
+    staged = staged.withColumn("__is_json", is_json)
     rain = codec.clean_field(F.col(f"{_DATA}.{S.RAINFALL}"), T.DoubleType(), keep_nan)
     river = codec.clean_field(F.col(f"{_DATA}.{S.RIVER_LEVEL}"), T.DoubleType(), keep_nan)
     ts = codec.clean_field(F.col(f"{_DATA}.{S.TIMESTAMP}"), T.StringType(), keep_nan)
