@@ -158,7 +158,7 @@ def _run_stream(spark, sf_dir, **cfg_kwargs):
     from riverwatch.streaming.speed import SpeedConfig, await_all, start_speed_layer
 
     root = work_path(spark, "stream")
-    raw = R.messages_from_events(R.events_stream(spark, sf_dir)).select("value")
+    raw = R.messages_from_events(R.events_stream(spark, sf_dir, spread_rows=True)).select("value")
     cfg = SpeedConfig(checkpoint_root=f"{root}/checkpoints", available_now=True, **{
         k: (f"{root}/{v}" if k.endswith("_path") else v) for k, v in cfg_kwargs.items()})
     await_all(spark, start_speed_layer(raw, cfg))

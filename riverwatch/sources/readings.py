@@ -97,12 +97,23 @@ def messages_from_readings(df: DataFrame) -> DataFrame:
     return df.select(codec.encode().alias("value"))
 
 
-def events_stream(spark: SparkSession, sf_dir: str, max_files_per_trigger: int | None = None) -> DataFrame:
+def events_stream(
+    spark: SparkSession,
+    sf_dir: str,
+    max_files_per_trigger: int | None = None,
+    spread_rows: bool = False,
+) -> DataFrame:
     """``events`` as a file stream (the table's files are the micro-batch
-    units), for driving the speed layer offline."""
+    units), for driving the speed layer offline. ``spread_rows`` deals each
+    micro-batch over the session's cores when the table has fewer files than
+    that (a stream has no partition count to look at before it runs)."""
     path = sf_dir.rstrip("/")
-    schema = spark.read.parquet(f"{path}/events.parquet").schema  # footer only
-    r = spark.readStream.schema(schema).option("pathGlobFilter", "events*.parquet")
+    static = spark.read.parquet(f"{path}/events.parquet")  # footer + listing only
+    r = spark.readStream.schema(static.schema).option("pathGlobFilter", "events*.parquet")
     if max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", str(max_files_per_trigger))
-    return r.parquet(path)
+    df = r.parquet(path)
+    cores = spark.sparkContext.defaultParallelism
+    if spread_rows and len(static.inputFiles()) < cores:
+        df = df.repartition(cores)
+    return df
