@@ -109,7 +109,7 @@ def parser() -> argparse.ArgumentParser:
 
     def src(sp):
         sp.add_argument("--kafka", help="bootstrap servers")
-        sp.add_argument("--topic", default="terai_weather_stream")
+        sp.add_argument("--topic", help="topic the producer writes to (needed with --kafka)")
         sp.add_argument("--messages", help="folder of JSON message files instead of Kafka")
         sp.add_argument("--min-partitions", type=int, default=None)
         sp.add_argument("--max-offsets", type=int, default=None)
@@ -133,7 +133,7 @@ def parser() -> argparse.ArgumentParser:
     v.add_argument("--location", default=None)
     r = sub.add_parser("produce")
     r.add_argument("--csv", required=True)
-    r.add_argument("--kafka"); r.add_argument("--topic", default="terai_weather_stream")
+    r.add_argument("--kafka"); r.add_argument("--topic")
     r.add_argument("--messages")
     t = sub.add_parser("triage"); src(t)
     return p
@@ -143,15 +143,25 @@ COMMANDS = {"batch": cmd_batch, "speed": cmd_speed, "serve": cmd_serve,
             "produce": cmd_produce, "triage": cmd_triage}
 
 
+def _parse(argv: list[str]) -> argparse.Namespace:
+    p = parser()
+    args = p.parse_args(argv)
+    if getattr(args, "kafka", None) and not getattr(args, "topic", None):
+        p.error("--kafka needs --topic")
+    if args.cmd in ("batch", "speed", "triage", "produce") and not (args.kafka or args.messages):
+        p.error("give --kafka HOST:PORT --topic T, or --messages DIR")
+    return args
+
+
 def run(spark, argv: list[str]) -> int:
     """Parse and run one command on an existing session."""
-    args = parser().parse_args(argv)
+    args = _parse(argv)
     return COMMANDS[args.cmd](spark, args)
 
 
 def main(argv: list[str] | None = None) -> int:
     argv = sys.argv[1:] if argv is None else argv
-    args = parser().parse_args(argv)
+    args = _parse(argv)
     spark = build_session(app_name=f"riverwatch-{args.cmd}")
     try:
         return COMMANDS[args.cmd](spark, args)

@@ -13,7 +13,7 @@ from riverwatch.functions.rules import TriageRule, triage_status
 _DATA = "__reading"
 
 # triage problems
-INVALID_JSON = "invalid_json"  # not JSON at all: the consumer skips it
+UNDECODABLE = "undecodable"  # no JSON value the consumer can use: it skips the message
 BAD_FIELD = "bad_field"  # JSON, but not a reading (wrong type, array, ...)
 
 
@@ -88,9 +88,11 @@ def triage(
 
     Output: the metadata columns present in ``df``, ``timestamp``,
     ``rainfall_mm_per_hr``, ``river_level_m``, ``status`` and ``problem``
-    (NULL, ``invalid_json`` or ``bad_field``). ``invalid_json`` rows are the
-    ones the consumer sets aside (see ``split_triage``); their status is
-    NULL. A NULL message is an empty record, not an error.
+    (NULL, ``undecodable`` or ``bad_field``). ``undecodable`` rows are the
+    ones the consumer skips (see ``split_triage``); their status is NULL.
+    ``bad_field`` marks JSON that is not a reading (a field of the wrong
+    type, an array), which the consumer could not process either; those are
+    tagged from whatever decoded.
     """
     text = codec.message_text(value_col)
     parsed = codec.parse(text, S.READING, corrupt_column=S.CORRUPT_RECORD)
@@ -98,30 +100,32 @@ def triage(
     # Behind a generator (as in decode_messages with parse_once), so a
     # filter on status/problem cannot be pushed below and re-parse.
     staged = df.select(F.inline(F.array(F.struct(*meta, text.alias("__text"), parsed.alias(_DATA)))))
-    # Is the text JSON at all (as a general JSON parser, which accepts NaN,
-    # would say)? Only asked for rows the reading parse flagged, so clean
-    # rows are parsed once. get_json_object rejects NaN tokens and from_json
-    # into a map rejects arrays, so either one succeeding means JSON.
+    # Skipped by the consumer: no text (a NULL record value), blank text,
+    # the JSON literal null, or text a general JSON parser (which accepts
+    # NaN) rejects. The parser checks run only for rows the reading parse
+    # flagged, so clean rows are parsed once: get_json_object rejects NaN
+    # tokens and from_json into a map rejects arrays, so either one
+    # succeeding means the text is JSON.
     raw = F.col("__text")
-    is_json = F.when(F.col(f"{_DATA}.{S.CORRUPT_RECORD}").isNull(), F.lit(True)).otherwise(
-        F.get_json_object(raw, "$").isNotNull()
-        | F.from_json(raw, "map<string,string>").isNotNull()
+    corrupt = F.col(f"{_DATA}.{S.CORRUPT_RECORD}")
+    skipped = (
+        F.when(raw.isNull() | F.trim(raw).isin("", "null"), F.lit(True))
+        .when(corrupt.isNull(), F.lit(False))
+        .otherwise(~(F.get_json_object(raw, "$").isNotNull()
+                     | F.from_json(raw, "map<string,string>").isNotNull()))
     )
-    staged = staged.withColumn("__is_json", is_json)
+    staged = staged.withColumn("__skipped", skipped)
     rain = codec.clean_field(F.col(f"{_DATA}.{S.RAINFALL}"), T.DoubleType(), keep_nan)
     river = codec.clean_field(F.col(f"{_DATA}.{S.RIVER_LEVEL}"), T.DoubleType(), keep_nan)
     ts = codec.clean_field(F.col(f"{_DATA}.{S.TIMESTAMP}"), T.StringType(), keep_nan)
-    problem = (
-        F.when(F.col("__text").isNull(), F.lit(None).cast("string"))
-        .when(~F.col("__is_json"), F.lit(INVALID_JSON))
-        .when(F.col(f"{_DATA}.{S.CORRUPT_RECORD}").isNotNull(), F.lit(BAD_FIELD))
-    )
+    problem = F.when(F.col("__skipped"), F.lit(UNDECODABLE)).when(
+        F.col(f"{_DATA}.{S.CORRUPT_RECORD}").isNotNull(), F.lit(BAD_FIELD))
     return staged.select(
         *[F.col(m) for m in metadata if m in df.columns],
         ts.alias(S.TIMESTAMP),
         rain.alias(S.RAINFALL),
         river.alias(S.RIVER_LEVEL),
-        F.when(problem == F.lit(INVALID_JSON), F.lit(None).cast("string"))
+        F.when(F.col("__skipped"), F.lit(None).cast("string"))
         .otherwise(triage_status(rain, rule))
         .alias("status"),
         problem.alias("problem"),
@@ -131,5 +135,5 @@ def triage(
 def split_triage(triaged: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(processed, set aside). Two filters over the same plan; persist the
     input first if both are consumed."""
-    bad = F.col("problem") == F.lit(INVALID_JSON)
+    bad = F.col("problem") == F.lit(UNDECODABLE)
     return triaged.filter(~bad | F.col("problem").isNull()), triaged.filter(bad)

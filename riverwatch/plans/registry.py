@@ -311,7 +311,7 @@ ORACLE_SQL: dict[str, str] = {
                   CASE WHEN event_type = '{DAMAGED_EVENT_TYPE}' THEN NULL
                        WHEN coalesce(rainfall_mm_per_hr, 0) > 5.0 THEN '[ALERT] FLOOD ALERT (High Rainfall!)'
                        ELSE 'Status OK' END AS status,
-                  CASE WHEN event_type = '{DAMAGED_EVENT_TYPE}' THEN 'invalid_json' END AS problem
+                  CASE WHEN event_type = '{DAMAGED_EVENT_TYPE}' THEN 'undecodable' END AS problem
            FROM readings"""
     ),
     "json_roundtrip": _with(f"SELECT {READING_COLS} FROM readings"),
@@ -347,7 +347,7 @@ ORACLE_SQL["reading_time_parts"] = _with(
     """SELECT "timestamp", CAST(hour(CAST("timestamp" AS TIMESTAMP)) AS INTEGER) AS hour,
               CAST(CAST("timestamp" AS TIMESTAMP) AS DATE) AS date FROM readings""")
 ORACLE_SQL["undecodable_messages"] = (
-    f"SELECT * FROM ({ORACLE_SQL['message_triage']}) WHERE problem = 'invalid_json'")
+    f"SELECT * FROM ({ORACLE_SQL['message_triage']}) WHERE problem = 'undecodable'")
 ORACLE_SQL["stream_windowed_stats"] = ORACLE_SQL["windowed_stats"]
 ORACLE_SQL["stream_alerts"] = ORACLE_SQL["flood_alerts"]
 ORACLE_SQL["stream_raw_archive"] = ORACLE_SQL["json_roundtrip"]

@@ -29,8 +29,12 @@ def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     """
     if df.isStreaming:
         return df
-    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(target) if df.rdd.getNumPartitions() < target else df
+    try:
+        target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+        splits = df.rdd.getNumPartitions()  # plans the scan; runs no job
+    except Exception:  # no RDD access (e.g. Spark Connect): leave as is
+        return df
+    return df.repartition(target) if splits < target else df
 
 
 def load_table(spark: SparkSession, sf_dir: str, name: str, spread_rows: bool = False) -> DataFrame:

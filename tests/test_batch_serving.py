@@ -165,3 +165,23 @@ def test_batch_summary_one_scan(spark):
     src = classify_risk(readings(spark, SF001))
     plan = _plan(A.batch_summary(src))
     assert plan.count("Scan parquet") == 1 and "Expand" in plan
+
+
+def test_rebalance_splits_dominant_level(spark):
+    """With a small advisory size AQE splits each level's shuffle partition,
+    so the dominant level is written by several tasks (several files)."""
+    from riverwatch.sinks.batch import write_partitioned_view
+    from conftest import SF01
+    key = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    old = spark.conf.get(key)
+    spark.conf.set(key, "16k")
+    try:
+        out = work_path(spark, "test-rebalance")
+        df = classify_risk(readings(spark, SF01)).repartition(8)
+        write_partitioned_view(df, out)
+        low = os.path.join(local_dir(out), "flood_risk_level=LOW")
+        files = [f for f in os.listdir(low) if f.endswith(".parquet")]
+        assert len(files) > 1
+        assert spark.read.parquet(out).count() == df.count()
+    finally:
+        spark.conf.set(key, old)

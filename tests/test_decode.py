@@ -31,7 +31,7 @@ EXPECTED = [
     (None, None, None, None),
     ("5", None, None, None),
 ]
-PROBLEM = [None, "invalid_json", "bad_field", None, "bad_field", None, None, "bad_field"]
+PROBLEM = [None, "undecodable", "bad_field", None, "bad_field", None, "undecodable", "bad_field"]
 
 
 def _msgs(spark, binary=False):
@@ -89,12 +89,12 @@ def test_triage(spark):
     meta = _msgs(spark).withColumn("topic", F.lit("t")).withColumn("partition", F.lit(0))
     rows = sorted(D.triage(meta, keep_nan=True).collect(), key=lambda r: r.offset)
     assert [r.problem for r in rows] == PROBLEM
-    assert rows[1].status is None  # invalid JSON: set aside, not tagged
+    assert rows[1].status is None and rows[6].status is None  # skipped, not tagged
     # rain 5 is not > 5; missing rainfall counts as 0; NaN > 5 in Spark
     assert rows[3].status == "Status OK" and rows[5].status == "Status OK"
     assert rows[0].status.startswith("[ALERT]")
     good, aside = D.split_triage(D.triage(meta))
-    assert aside.count() == 1 and good.count() == len(MSGS) - 1
+    assert aside.count() == 2 and good.count() == len(MSGS) - 2
 
 
 def test_encode_decode_identity(spark):

@@ -149,6 +149,20 @@ def test_alert_files_per_batch(spark):
     assert read_alerts(spark, cfg.alerts_path).count() == 2
 
 
+def test_append_mode_parquet_stats(spark):
+    """Append mode writes each window once the watermark has passed it."""
+    root = work_path(spark, "test-append-parquet")
+    src_dir = local_dir(f"{root}/in")
+    _write_batches(src_dir, LATE)
+    cfg = _cfg(spark, root, stats_mode="append", time_col="event", stats_path=f"{root}/stats")
+    await_all(spark, start_speed_layer(read_message_stream(spark, src_dir, max_files_per_trigger=1), cfg))
+    got = spark.read.parquet(cfg.stats_path).select(
+        F.date_format(F.col("window.start").cast("timestamp_ntz"), "HH:mm").alias("w"),
+        "max_rainfall", "record_count").collect()
+    assert sorted((r.w, r.max_rainfall, r.record_count) for r in got) == [
+        ("00:00", 1.0, 1), ("01:00", 2.0, 1), ("01:05", 2.0, 1)]
+
+
 def test_rocksdb_state_store(spark):
     from riverwatch.session import ROCKSDB_PROVIDER
     key = "spark.sql.streaming.stateStore.providerClass"
