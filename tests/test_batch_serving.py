@@ -168,16 +168,21 @@ def test_batch_summary_one_scan(spark):
 
 
 def test_rebalance_splits_dominant_level(spark):
-    """With a small advisory size AQE splits each level's shuffle partition,
-    so the dominant level is written by several tasks (several files)."""
+    """With a small advisory size AQE splits the dominant level's shuffle
+    partition at map-output boundaries, so that level is written by several
+    tasks. It needs several map tasks, so the input is staged as 8 files
+    first (the test tables are one file, one split)."""
     from riverwatch.sinks.batch import write_partitioned_view
     from conftest import SF01
     key = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
     old = spark.conf.get(key)
+    staged = work_path(spark, "test-rebalance-in")
+    classify_risk(readings(spark, SF01)).repartition(8).write.parquet(staged)
     spark.conf.set(key, "16k")
     try:
         out = work_path(spark, "test-rebalance")
-        df = classify_risk(readings(spark, SF01)).repartition(8)
+        df = spark.read.parquet(staged)
+        assert df.rdd.getNumPartitions() > 1
         write_partitioned_view(df, out)
         low = os.path.join(local_dir(out), "flood_risk_level=LOW")
         files = [f for f in os.listdir(low) if f.endswith(".parquet")]
