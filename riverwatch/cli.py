@@ -59,7 +59,7 @@ def cmd_speed(spark, args) -> int:
         checkpoint_root=args.checkpoint or work_path(spark, "speed", unique=False),
         alerts_path=f"{out}/flood_alerts",
         raw_path=f"{out}/raw_messages" if args.raw else None,
-        stats_path=f"{out}/windowed_stats" if args.stats_table else None,
+        stats_path=None if args.stats_memory else f"{out}/windowed_stats",
         time_col="event" if args.event_time else "processing_time",
         console=args.console,
         keep_nan=args.keep_nan,
@@ -123,7 +123,9 @@ def parser() -> argparse.ArgumentParser:
     s = sub.add_parser("speed"); src(s)
     s.add_argument("--out", required=True)
     s.add_argument("--raw", action="store_true", help="also archive raw messages")
-    s.add_argument("--stats-table", action="store_true", help="stats to parquet, not memory")
+    s.add_argument("--stats-memory", action="store_true",
+                   help="stats to an in-memory table of this process (small state only) "
+                        "instead of a parquet table under --out")
     s.add_argument("--event-time", action="store_true")
     s.add_argument("--console", choices=["parsed", "raw"], default=None)
     v = sub.add_parser("serve")

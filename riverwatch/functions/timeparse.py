@@ -17,12 +17,14 @@ def _c(c: str | Column) -> Column:
 
 
 def wall_time(text: str | Column = S.TIMESTAMP) -> Column:
-    """TIMESTAMP_NTZ: zone-less text keeps its wall-clock time; text with an
-    offset is read as an instant and shown in the session time zone."""
+    """TIMESTAMP_NTZ in the session time zone: text with an offset is read as
+    an instant and shown in the session zone (as an implicit cast does);
+    zone-less text keeps its wall-clock time. (A direct NTZ cast would
+    accept an offset and silently drop it, so it is only the fallback.)"""
     t = _c(text)
     return F.coalesce(
-        t.try_cast("timestamp_ntz"),
         t.try_cast("timestamp").cast("timestamp_ntz"),
+        t.try_cast("timestamp_ntz"),
     )
 
 

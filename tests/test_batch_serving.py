@@ -190,3 +190,16 @@ def test_rebalance_splits_dominant_level(spark):
         assert spark.read.parquet(out).count() == df.count()
     finally:
         spark.conf.set(key, old)
+
+
+def test_views_are_snapshots_until_reload(spark):
+    from conftest import GOLDEN
+    out = work_path(spark, "test-reload")
+    df = spark.createDataFrame(GOLDEN, S.READING)
+    run_batch(spark, df.limit(3), out, run_id="a")
+    sv = ServingLayer(spark, out)
+    assert sv.query("location").count() == 1
+    run_batch(spark, df, out, run_id="b")
+    sv.load_batch_views()
+    assert sv.query("location").count() == 2
+    assert sum(r["count"] for r in sv.query("risk_summary").collect()) == 6

@@ -66,3 +66,21 @@ def test_strict_boundaries(spark):
     r = df.select(risk_level().alias("l")).first()
     assert r.l == "MODERATE"  # 5.0 is not > 5.0, 4.0 is not > 4.0
     assert not math.isnan(5.0)
+
+
+def test_bad_timestamp_text_is_null_in_both_ansi_modes(spark):
+    from riverwatch.operators import analytics as A
+    rows = [("2024-01-01T05:00:00", "A", 0.0, 1.0, 20.0, 1.0),
+            ("not a time", "A", 0.0, 3.0, 20.0, 2.0),
+            ("2024-01-01T05:30:00+01:00", "A", 0.0, 5.0, 20.0, 3.0)]
+    old = spark.conf.get("spark.sql.ansi.enabled")
+    try:
+        for ansi in ("true", "false"):
+            spark.conf.set("spark.sql.ansi.enabled", ansi)
+            df = spark.createDataFrame(rows, S.READING)
+            got = {r.hour: r.avg_rainfall for r in A.hourly_patterns(df).collect()}
+            # zone-less text keeps its hour; an offset is read as an instant
+            # and shown in the session zone (UTC); bad text is NULL
+            assert got == {None: 3.0, 4: 5.0, 5: 1.0}, ansi
+    finally:
+        spark.conf.set("spark.sql.ansi.enabled", old)
