@@ -15,7 +15,6 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riverwatch import schema as S
-from riverwatch.functions.rules import LEVELS
 from riverwatch.operators import analytics as A
 from riverwatch.operators import decode as D
 from riverwatch.operators.classify import classify_risk, flood_alerts
@@ -185,6 +184,34 @@ def q_stream_raw_archive(spark, sf_dir):
     return D.decode_messages(read_message_files(spark, cfg.raw_path))
 
 
+def q_stream_realtime_stats(spark, sf_dir):
+    """The reference's default speed-layer setup: processing-time windows,
+    complete mode, in-memory table. The whole table is one micro-batch, so
+    ``processing_time`` is one value and each location has one window; the
+    window bounds (the clock) are left out, the per-location values are
+    checked."""
+    import uuid
+
+    name = f"realtime_stats_{uuid.uuid4().hex[:8]}"
+    _run_stream(spark, sf_dir, stats_query_name=name)
+    out = spark.table(name).drop("window")
+    return _round(out, ["avg_rainfall", "avg_river_level"])
+
+
+def q_stream_triage(spark, sf_dir):
+    """Triage (T-1) as a stream over the damaged feed, to a parquet sink."""
+    from riverwatch.session import work_path
+
+    root = work_path(spark, "stream-triage")
+    events = R.events_stream(spark, sf_dir, spread_rows=True)
+    damaged = F.col("event_type") == F.lit(DAMAGED_EVENT_TYPE)
+    triaged = D.triage(R.messages_from_events(events, damaged=damaged))
+    q = (triaged.writeStream.format("parquet").option("path", f"{root}/out")
+         .option("checkpointLocation", f"{root}/checkpoint").trigger(availableNow=True).start())
+    q.awaitTermination()
+    return spark.read.parquet(f"{root}/out")
+
+
 QUERIES: dict[str, Query] = {
     "risk_classify": q_risk_classify,
     "risk_distribution": q_risk_distribution,
@@ -209,6 +236,8 @@ QUERIES: dict[str, Query] = {
     "stream_windowed_stats": q_stream_windowed_stats,
     "stream_alerts": q_stream_alerts,
     "stream_raw_archive": q_stream_raw_archive,
+    "stream_realtime_stats": q_stream_realtime_stats,
+    "stream_triage": q_stream_triage,
 }
 
 # --------------------------------------------------------------------------
@@ -351,6 +380,12 @@ ORACLE_SQL["undecodable_messages"] = (
 ORACLE_SQL["stream_windowed_stats"] = ORACLE_SQL["windowed_stats"]
 ORACLE_SQL["stream_alerts"] = ORACLE_SQL["flood_alerts"]
 ORACLE_SQL["stream_raw_archive"] = ORACLE_SQL["json_roundtrip"]
+ORACLE_SQL["stream_realtime_stats"] = _with(
+    f"""SELECT location_id, round(avg(rainfall_mm_per_hr), {DIGITS}) AS avg_rainfall,
+              max(rainfall_mm_per_hr) AS max_rainfall,
+              round(avg(river_level_m), {DIGITS}) AS avg_river_level,
+              max(river_level_m) AS max_river_level, count(*) AS record_count
+       FROM readings GROUP BY location_id""")
+ORACLE_SQL["stream_triage"] = ORACLE_SQL["message_triage"]
 
 assert set(ORACLE_SQL) <= set(QUERIES), set(ORACLE_SQL) - set(QUERIES)
-assert LEVELS  # levels are referenced by the SQL text above
