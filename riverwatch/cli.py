@@ -64,6 +64,7 @@ def cmd_speed(spark, args) -> int:
         console=args.console,
         keep_nan=args.keep_nan,
         alerts_with_processing_time=args.raw,
+        shared_stateless=args.shared,
     )
     await_all(spark, start_speed_layer(_source(spark, args, True), cfg))
     return 0
@@ -127,6 +128,8 @@ def parser() -> argparse.ArgumentParser:
                    help="stats to an in-memory table of this process (small state only) "
                         "instead of a parquet table under --out")
     s.add_argument("--event-time", action="store_true")
+    s.add_argument("--shared", action="store_true",
+                   help="one source read for alerts and raw archive (foreachBatch)")
     s.add_argument("--console", choices=["parsed", "raw"], default=None)
     v = sub.add_parser("serve")
     v.add_argument("--batch", required=True)

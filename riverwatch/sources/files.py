@@ -39,5 +39,6 @@ def read_alerts(
     NULL fields and writes NaN as a string, so inference would mistype or
     fail on an empty folder. A folder written by a streaming file sink is
     read through its ``_spark_metadata`` log, so half-written files of a
-    failed micro-batch are not seen."""
-    return spark.read.schema(schema).json(path)
+    failed micro-batch are not seen. Folders written per micro-batch
+    (``batch_id=N``) are read as one; the partition column is dropped."""
+    return spark.read.schema(schema).json(path).select(*schema.fieldNames())

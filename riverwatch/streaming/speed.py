@@ -54,6 +54,11 @@ class SpeedConfig:
     # partition, while the decode before it stays fully parallel (a
     # coalesce would pull the decode down to this many tasks too).
     alert_files_per_batch: int | None = None
+    # One source read for the stateless sinks (alerts, raw archive): a single
+    # foreachBatch query persists each micro-batch and writes both, instead
+    # of one query (and one Kafka read) per sink. Output goes to one folder
+    # per micro-batch (``batch_id=N``), overwritten if the batch is replayed.
+    shared_stateless: bool = False
 
 
 def parse_stream(raw: DataFrame, keep_raw: bool = False, keep_nan: bool = False) -> DataFrame:
@@ -141,6 +146,34 @@ def start_stats_sink(stats: DataFrame, cfg: SpeedConfig) -> StreamingQuery:
     return _trigger(w, cfg, None).start()
 
 
+def _stateless_writer(cfg: SpeedConfig) -> Callable[[DataFrame, int], None]:
+    def write(batch: DataFrame, batch_id: int) -> None:
+        batch = batch.persist()
+        try:
+            if cfg.raw_path:
+                (batch.select(F.col("value").cast("string").alias("value"))
+                 .write.mode("overwrite").text(f"{cfg.raw_path}/batch_id={batch_id}"))
+            if cfg.alerts_path:
+                alerts = alerts_stream(parse_stream(batch, keep_nan=cfg.keep_nan), cfg.alert_rule,
+                                       cfg.alerts_with_processing_time)
+                if cfg.alert_files_per_batch:
+                    alerts = alerts.repartition(cfg.alert_files_per_batch)
+                alerts.write.mode("overwrite").json(f"{cfg.alerts_path}/batch_id={batch_id}")
+        finally:
+            batch.unpersist()
+
+    return write
+
+
+def start_shared_stateless(raw: DataFrame, cfg: SpeedConfig) -> StreamingQuery:
+    """Alerts and raw archive from one read of the source (see
+    ``SpeedConfig.shared_stateless``). Readers of the folders see a
+    ``batch_id`` partition column; ``sources.files.read_alerts`` drops it."""
+    w = (raw.writeStream.foreachBatch(_stateless_writer(cfg))
+         .option("checkpointLocation", _ckpt(cfg, "stateless")))
+    return _trigger(w, cfg, cfg.trigger).start()
+
+
 def start_console(df: DataFrame, cfg: SpeedConfig, name: str = "console") -> StreamingQuery:
     """SNK-8 / SNK-9: untruncated console monitor."""
     w = (df.writeStream.outputMode("append").format("console").option("truncate", False)
@@ -151,10 +184,11 @@ def start_console(df: DataFrame, cfg: SpeedConfig, name: str = "console") -> Str
 def start_speed_layer(raw: DataFrame, cfg: SpeedConfig) -> list[StreamingQuery]:
     """ST-8: start every configured query on one raw stream.
 
-    Each query reads the source on its own (Spark shares no scan between
-    streaming queries); the alternative is one ``foreachBatch`` that
-    persists the batch and writes several sinks, which loses the per-sink
-    output modes.
+    By default each query reads the source on its own (Spark shares no scan
+    between streaming queries). ``shared_stateless`` serves the alerts and
+    the raw archive from one query and one read instead; the windowed
+    statistics keep their own query, since they need state and an output
+    mode.
     """
     parsed = parse_stream(raw, keep_nan=cfg.keep_nan)
     started: list[StreamingQuery] = []
@@ -164,9 +198,11 @@ def start_speed_layer(raw: DataFrame, cfg: SpeedConfig) -> list[StreamingQuery]:
             started.append(start_console(text, cfg, "console_raw"))
         elif cfg.console:
             started.append(start_console(parsed, cfg))
-        if cfg.raw_path:
+        if cfg.shared_stateless and (cfg.raw_path or cfg.alerts_path):
+            started.append(start_shared_stateless(raw, cfg))
+        elif cfg.raw_path:
             started.append(start_raw_archive(raw, cfg))
-        if cfg.alerts_path:
+        if cfg.alerts_path and not cfg.shared_stateless:
             alerts = alerts_stream(parsed, cfg.alert_rule, cfg.alerts_with_processing_time)
             if cfg.alert_files_per_batch:
                 alerts = alerts.repartition(cfg.alert_files_per_batch)

@@ -183,6 +183,30 @@ def test_rocksdb_state_store(spark):
             spark.conf.unset(key)
 
 
+def test_shared_stateless_fanout(spark):
+    """One read of the source for alerts and raw archive; a restart adds the
+    new batch only."""
+    root = work_path(spark, "test-shared")
+    src_dir = local_dir(f"{root}/in")
+    msgs = _golden_msgs()
+    _write_batches(src_dir, [msgs[:3]])
+    cfg = _cfg(spark, root, alerts_path=f"{root}/alerts", raw_path=f"{root}/raw",
+               stats=False, shared_stateless=True)
+    qs = start_speed_layer(read_message_stream(spark, src_dir), cfg)
+    assert len(qs) == 1
+    await_all(spark, qs)
+    with open(os.path.join(src_dir, "part-9999.txt"), "w") as f:
+        for m in msgs[3:]:
+            f.write(json.dumps(m) + "\n")
+    await_all(spark, start_speed_layer(read_message_stream(spark, src_dir), cfg))
+    alerts = read_alerts(spark, cfg.alerts_path)
+    assert alerts.columns == S.ALERT.fieldNames()
+    batch = decode_messages(read_message_files(spark, src_dir))
+    assert sorted(tuple(r) for r in alerts.collect()) == sorted(tuple(r) for r in flood_alerts(batch).collect())
+    lines = sorted(r.value for r in spark.read.text(cfg.raw_path).select("value").collect())
+    assert lines == sorted(json.dumps(m) for m in msgs)
+
+
 def test_stop_all_on_failure(spark):
     root = work_path(spark, "test-stop")
     src_dir = local_dir(f"{root}/in")
