@@ -50,3 +50,15 @@ def test_query_matches_duckdb(spark, name):
     ocols = [d[0] for d in res.description]
     assert sorted(df.columns) == sorted(ocols)
     assert _bag(df.columns, [tuple(r) for r in df.collect()]) == _bag(ocols, res.fetchall())
+
+
+def test_fixture_numbers_sf001(spark):
+    """FIXTURES.md section 7: the readings view at sf0.01."""
+    from conftest import SF01
+    q = queries()
+    dist = {r.flood_risk_level: r["count"] for r in q["risk_distribution"](spark, SF01).collect()}
+    assert dist == {"LOW": 4462, "MODERATE": 1854, "HIGH": 3624, "CRITICAL": 60}
+    assert q["flood_alerts"](spark, SF01).count() == 2947
+    corr = q["rain_river_corr"](spark, SF01).first().correlation
+    assert corr == pytest.approx(0.0022936037038438347, abs=1e-9)
+    assert q["windowed_stats"](spark, SF01).count() == 9527
