@@ -21,18 +21,11 @@ from riverwatch.session import build_session, work_path
 
 
 def _source(spark, args, stream: bool):
-    from riverwatch.sources import files, kafka
+    from riverwatch.sources.messages import read_messages
 
-    if args.kafka:
-        if stream:
-            return kafka.read_kafka_stream(spark, args.kafka, args.topic,
-                                           max_offsets_per_trigger=args.max_offsets)
-        return kafka.read_kafka_batch(spark, args.kafka, args.topic, min_partitions=args.min_partitions)
-    if stream:
-        return files.read_message_stream(spark, args.messages)
-    from pyspark.sql import functions as F
-    return files.read_message_files(spark, args.messages).withColumn(
-        "timestamp", F.current_timestamp())
+    return read_messages(spark, args.kafka, args.topic, args.messages, stream=stream,
+                         min_partitions=args.min_partitions,
+                         max_offsets_per_trigger=args.max_offsets)
 
 
 def cmd_batch(spark, args) -> int:

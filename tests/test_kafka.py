@@ -14,3 +14,25 @@ def test_stream_options():
                       extra={"failOnDataLoss": "false"})
     assert "endingOffsets" not in o
     assert o["maxOffsetsPerTrigger"] == "100000" and o["failOnDataLoss"] == "false"
+
+
+def test_read_messages_needs_one_source(spark):
+    import pytest
+    from riverwatch.sources.messages import read_messages
+    with pytest.raises(ValueError):
+        read_messages(spark)
+    with pytest.raises(ValueError):
+        read_messages(spark, "b:9092", "t", path="/x")
+    with pytest.raises(ValueError):
+        read_messages(spark, "b:9092")
+
+
+def test_read_messages_files(spark, tmp_path):
+    from riverwatch.operators.decode import decode_kafka_batch
+    from riverwatch.sources.messages import read_messages
+    (tmp_path / "m.txt").write_text('{"location_id":"A","rainfall_mm_per_hr":6.0}\n')
+    df = decode_kafka_batch(read_messages(spark, path=str(tmp_path)))
+    r = df.first()
+    assert r.location_id == "A" and r.rainfall_mm_per_hr == 6.0 and r.kafka_timestamp is not None
+    s = read_messages(spark, path=str(tmp_path), stream=True)
+    assert s.isStreaming and "value" in s.columns
