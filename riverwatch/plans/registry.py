@@ -21,7 +21,7 @@ from riverwatch.operators.classify import classify_risk, flood_alerts
 from riverwatch.sources import readings as R
 
 DIGITS = 9
-DAMAGED_EVENT_TYPE = "error"  # feed records cut in half for the triage check
+DAMAGED_EVENT_TYPE = "error"  # feed records wrapped in a text envelope (undecodable)
 CHECK_LOCATION = "LOC003"
 
 Query = Callable[[SparkSession, str], DataFrame]
