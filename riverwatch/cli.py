@@ -58,6 +58,7 @@ def cmd_speed(spark, args) -> int:
         keep_nan=args.keep_nan,
         alerts_with_processing_time=args.raw,
         shared_stateless=args.shared,
+        available_now=args.once,
     )
     await_all(spark, start_speed_layer(_source(spark, args, True), cfg))
     return 0
@@ -89,11 +90,12 @@ def cmd_produce(spark, args) -> int:
 def cmd_triage(spark, args) -> int:
     from riverwatch.operators.decode import triage
 
-    q = (triage(_source(spark, args, True)).writeStream.format("console")
+    w = (triage(_source(spark, args, True)).writeStream.format("console")
          .option("truncate", False)
-         .option("checkpointLocation", args.checkpoint or work_path(spark, "triage", unique=False))
-         .start())
-    q.awaitTermination()
+         .option("checkpointLocation", args.checkpoint or work_path(spark, "triage", unique=False)))
+    if args.once:
+        w = w.trigger(availableNow=True)
+    w.start().awaitTermination()
     return 0
 
 
@@ -109,6 +111,8 @@ def parser() -> argparse.ArgumentParser:
         sp.add_argument("--max-offsets", type=int, default=None)
         sp.add_argument("--keep-nan", action="store_true")
         sp.add_argument("--checkpoint", default=None)
+        sp.add_argument("--once", action="store_true",
+                        help="streams: process what is available, then stop")
 
     b = sub.add_parser("batch"); src(b)
     b.add_argument("--out", required=True)

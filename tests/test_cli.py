@@ -24,3 +24,23 @@ def test_produce_batch_serve(spark, tmp_path, capsys):
     assert run(spark, ["serve", "--batch", out, "location", "--location", "LOC002"]) == 0
     assert "LOC002" in capsys.readouterr().out
     assert run(spark, ["serve", "--batch", local_dir(f"{root}/none"), "high_risk"]) == 1
+
+
+def test_speed_and_triage_once(spark, tmp_path, capsys):
+    import json
+    src = tmp_path / "in"
+    src.mkdir()
+    rows = [dict(zip(["timestamp", "location_id", "elevation_m", "rainfall_mm_per_hr",
+                      "temperature_c", "river_level_m"], g)) for g in GOLDEN]
+    (src / "a.txt").write_text("\n".join(json.dumps(r) for r in rows) + "\nnot json\n")
+    root = work_path(spark, "test-cli-speed")
+    out = f"{root}/out"
+    assert run(spark, ["speed", "--messages", str(src), "--out", out, "--event-time", "--once",
+                       "--checkpoint", f"{root}/ckpt"]) == 0
+    from riverwatch.sources.files import read_alerts
+    assert read_alerts(spark, f"{out}/flood_alerts").count() == 2
+    stats = spark.read.parquet(f"{out}/windowed_stats")
+    # event-time windows: the undecodable line has no time, so no window
+    assert stats.agg({"record_count": "sum"}).first()[0] == 6
+    # the console sink prints from the JVM; here only the run is checked
+    assert run(spark, ["triage", "--messages", str(src), "--once", "--checkpoint", f"{root}/t"]) == 0
