@@ -217,13 +217,13 @@ def start_speed_layer(raw: DataFrame, cfg: SpeedConfig) -> list[StreamingQuery]:
 
 
 def await_all(spark: SparkSession, queries: list[StreamingQuery], timeout: float | None = None) -> None:
-    """ST-9: block until every query ends; the first failure stops the rest
-    and is raised (the reference waited on the console query only, so a
-    failed alert query went unnoticed)."""
+    """ST-9: block until every query ends; the first failure, or Ctrl+C,
+    stops the rest and is raised (the reference waited on the console query
+    only, so a failed alert query went unnoticed)."""
     try:
         for q in queries:
             q.awaitTermination(timeout) if timeout else q.awaitTermination()
-    except Exception:
+    except BaseException:
         stop_all(queries)
         raise
 

@@ -207,6 +207,23 @@ def test_shared_stateless_fanout(spark):
     assert lines == sorted(json.dumps(m) for m in msgs)
 
 
+def test_await_all_stops_on_interrupt(spark, monkeypatch):
+    root = work_path(spark, "test-interrupt")
+    src_dir = local_dir(f"{root}/in")
+    _write_batches(src_dir, [_golden_msgs()])
+    cfg = _cfg(spark, root, available_now=False, trigger=None, stats_query_name="intr_test",
+               alerts_path=f"{root}/alerts")
+    qs = start_speed_layer(read_message_stream(spark, src_dir), cfg)
+
+    def interrupted(*a, **k):
+        raise KeyboardInterrupt
+
+    monkeypatch.setattr(type(qs[0]), "awaitTermination", interrupted)
+    with pytest.raises(KeyboardInterrupt):
+        await_all(spark, qs)
+    assert not any(q.isActive for q in qs)
+
+
 def test_stop_all_on_failure(spark):
     root = work_path(spark, "test-stop")
     src_dir = local_dir(f"{root}/in")
