@@ -30,13 +30,14 @@ def _source(spark, args, stream: bool):
 
 def cmd_batch(spark, args) -> int:
     from riverwatch.operators.decode import decode_kafka_batch
-    from riverwatch.plans.batch import run_batch
+    from riverwatch.plans.batch import for_display, run_batch
 
     results = run_batch(spark, decode_kafka_batch(_source(spark, args, False), keep_nan=args.keep_nan),
                         args.out, run_id=args.run_id, materialize=not args.persist)
     if results is None:
         print("no messages in the source; nothing written")
         return 0
+    results = for_display(results)
     for name in ("location_stats", "risk_distribution", "hourly_patterns", "correlation",
                  "extreme_events"):
         print(f"== {name}")

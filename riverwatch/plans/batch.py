@@ -20,6 +20,7 @@ from dataclasses import dataclass
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
+from riverwatch import schema as S
 from riverwatch.functions.rules import RiskThresholds
 from riverwatch.operators import analytics as A
 from riverwatch.operators.classify import classify_risk
@@ -67,6 +68,22 @@ def compute_batch_analytics(
     }
 
 
+def for_display(results: dict[str, DataFrame]) -> dict[str, DataFrame]:
+    """The analytics in the order they are reported (SORT-1): locations by
+    id, levels by count (most first), hours ascending, extremes by rain and
+    river. Sorting happens here, at the reader, not before a view is written."""
+    from pyspark.sql import functions as F
+
+    out = dict(results)
+    out["location_stats"] = results["location_stats"].orderBy(S.LOCATION_ID)
+    out["risk_distribution"] = results["risk_distribution"].orderBy(
+        F.desc("count"), S.FLOOD_RISK_LEVEL)
+    out["hourly_patterns"] = results["hourly_patterns"].orderBy("hour")
+    out["extreme_events"] = results["extreme_events"].orderBy(
+        F.col(S.RAINFALL).desc(), F.col(S.RIVER_LEVEL).desc(), S.TIMESTAMP, S.LOCATION_ID)
+    return out
+
+
 def save_batch_views(
     results: dict[str, DataFrame],
     out_dir: str,
