@@ -82,9 +82,9 @@ def cmd_produce(spark, args) -> int:
 
     df = read_readings_csv(spark, args.csv)
     if args.kafka:
-        publish_kafka(df, args.kafka, args.topic)
+        publish_kafka(df, args.kafka, args.topic, missing_as_nan=args.missing_as_nan)
     else:
-        write_message_files(df, args.messages, mode="append")
+        write_message_files(df, args.messages, mode="append", missing_as_nan=args.missing_as_nan)
     return 0
 
 
@@ -138,6 +138,8 @@ def parser() -> argparse.ArgumentParser:
     r.add_argument("--csv", required=True)
     r.add_argument("--kafka"); r.add_argument("--topic")
     r.add_argument("--messages")
+    r.add_argument("--missing-as-nan", action="store_true",
+                   help="send empty numeric cells as NaN (as a pandas-based producer does)")
     t = sub.add_parser("triage"); src(t)
     return p
 

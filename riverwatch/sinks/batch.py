@@ -6,15 +6,30 @@ from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from riverwatch import schema as S
 from riverwatch.functions import codec
 
 
-def encode_messages(df: DataFrame, key_col: str | None = None) -> DataFrame:
+def encode_messages(
+    df: DataFrame, key_col: str | None = None, missing_as_nan: bool = False
+) -> DataFrame:
     """SNK-1 encode: one JSON text per reading in ``value`` (and ``key``).
     Without a key the Kafka producer spreads records over partitions, so a
-    hot location cannot overload one partition."""
+    hot location cannot overload one partition.
+
+    A missing number is left out of the message by default. With
+    ``missing_as_nan`` it is sent as NaN, as a producer that turns rows into
+    dictionaries through pandas does; decoded with ``keep_nan=True`` it then
+    alerts like the original pipeline (NaN > 5 is true in Spark)."""
+    if missing_as_nan:
+        df = df.select(*[
+            F.coalesce(F.col(f.name), F.lit(float("nan"))).alias(f.name)
+            if f.name in S.READING_COLUMNS and isinstance(f.dataType, T.DoubleType)
+            else F.col(f.name)
+            for f in df.schema.fields
+        ])
     cols = [codec.encode([c for c in S.READING_COLUMNS if c in df.columns]).alias("value")]
     if key_col:
         cols.insert(0, F.col(key_col).cast("string").alias("key"))
@@ -22,11 +37,12 @@ def encode_messages(df: DataFrame, key_col: str | None = None) -> DataFrame:
 
 
 def publish_kafka(
-    df: DataFrame, bootstrap_servers: str, topic: str, key_col: str | None = None
+    df: DataFrame, bootstrap_servers: str, topic: str, key_col: str | None = None,
+    missing_as_nan: bool = False,
 ) -> None:
     """SNK-1: publish readings to a topic in one distributed write."""
     (
-        encode_messages(df, key_col)
+        encode_messages(df, key_col, missing_as_nan)
         .write.format("kafka")
         .option("kafka.bootstrap.servers", bootstrap_servers)
         .option("topic", topic)
@@ -34,9 +50,11 @@ def publish_kafka(
     )
 
 
-def write_message_files(df: DataFrame, path: str, mode: str = "overwrite") -> None:
+def write_message_files(
+    df: DataFrame, path: str, mode: str = "overwrite", missing_as_nan: bool = False
+) -> None:
     """SNK-1 offline twin: one message per line in text files."""
-    encode_messages(df).write.mode(mode).text(path)
+    encode_messages(df, missing_as_nan=missing_as_nan).write.mode(mode).text(path)
 
 
 def write_parquet_view(df: DataFrame, path: str) -> None:

@@ -103,3 +103,19 @@ def test_encode_decode_identity(spark):
     back = D.decode_messages(encode_messages(df), keep_nan=True)
     norm = lambda rs: sorted((tuple(map(_norm, r)) for r in rs), key=str)
     assert norm(back.collect()) == norm(df.collect())
+
+
+def test_missing_cell_as_nan_reproduces_reference_alert(spark):
+    """D2 end to end: an empty rainfall cell sent as NaN and decoded with
+    keep_nan alerts and grades HIGH; by default it is missing -> LOW."""
+    from riverwatch.operators.classify import classify_risk, flood_alerts
+    row = [("2024-01-01T06:00:00", "LOC009", 1.0, None, 20.0, 3.0)]
+    df = spark.createDataFrame(row, S.READING)
+    nan_msgs = encode_messages(df, missing_as_nan=True)
+    assert "NaN" in nan_msgs.first().value
+    parity = D.decode_messages(nan_msgs, keep_nan=True)
+    assert classify_risk(parity).first().flood_risk_level == "HIGH"
+    assert flood_alerts(parity).count() == 1
+    default = D.decode_messages(encode_messages(df))
+    assert classify_risk(default).first().flood_risk_level == "LOW"
+    assert flood_alerts(default).count() == 0
