@@ -1,0 +1 @@
+"""Column expressions: rules, JSON codec, time parsing, statistics."""

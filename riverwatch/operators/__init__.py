@@ -1,0 +1 @@
+"""DataFrame -> DataFrame operators: decode, triage, classify, analytics."""

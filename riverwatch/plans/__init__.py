@@ -1,0 +1 @@
+"""Jobs built from the operators: batch layer, serving layer, registered queries."""

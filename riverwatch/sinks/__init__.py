@@ -1,0 +1 @@
+"""Batch writers for messages and views."""

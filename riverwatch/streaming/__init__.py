@@ -1,0 +1 @@
+"""Structured Streaming speed layer."""
