@@ -60,6 +60,7 @@ def cmd_speed(spark, args) -> int:
         alerts_with_processing_time=args.raw,
         shared_stateless=args.shared,
         available_now=args.once,
+        state_partitions=args.state_partitions,
     )
     await_all(spark, start_speed_layer(_source(spark, args, True), cfg))
     return 0
@@ -129,6 +130,8 @@ def parser() -> argparse.ArgumentParser:
     s.add_argument("--shared", action="store_true",
                    help="one source read for alerts and raw archive (foreachBatch)")
     s.add_argument("--console", choices=["parsed", "raw"], default=None)
+    s.add_argument("--state-partitions", type=int, default=None,
+                   help="state partitions of the windowed stats (fixed at first start)")
     v = sub.add_parser("serve")
     v.add_argument("--batch", required=True)
     v.add_argument("--alerts", default=None)

@@ -59,6 +59,10 @@ class SpeedConfig:
     # of one query (and one Kafka read) per sink. Output goes to one folder
     # per micro-batch (``batch_id=N``), overwritten if the batch is replayed.
     shared_stateless: bool = False
+    # State partitions of the windowed statistics: fixed in the checkpoint
+    # at the query's first start (later starts keep the stored number).
+    # None = the session's spark.sql.shuffle.partitions.
+    state_partitions: int | None = None
 
 
 def parse_stream(raw: DataFrame, keep_raw: bool = False, keep_nan: bool = False) -> DataFrame:
@@ -143,7 +147,17 @@ def start_stats_sink(stats: DataFrame, cfg: SpeedConfig) -> StreamingQuery:
         w = w.format("parquet").option("path", cfg.stats_path)
     else:
         w = w.foreachBatch(_overwrite_table(cfg.stats_path))
-    return _trigger(w, cfg, None).start()
+    w = _trigger(w, cfg, None)
+    if not cfg.state_partitions:
+        return w.start()
+    conf = stats.sparkSession.conf
+    key = "spark.sql.shuffle.partitions"
+    before = conf.get(key)
+    conf.set(key, str(cfg.state_partitions))  # read once, when the query starts
+    try:
+        return w.start()
+    finally:
+        conf.set(key, before)
 
 
 def _stateless_writer(cfg: SpeedConfig) -> Callable[[DataFrame, int], None]:

@@ -224,6 +224,20 @@ def test_await_all_stops_on_interrupt(spark, monkeypatch):
     assert not any(q.isActive for q in qs)
 
 
+def test_state_partitions(spark):
+    root = work_path(spark, "test-state-parts")
+    src_dir = local_dir(f"{root}/in")
+    _write_batches(src_dir, [_golden_msgs()])
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    cfg = _cfg(spark, root, time_col="event", stats_path=f"{root}/stats", state_partitions=3)
+    qs = start_speed_layer(read_message_stream(spark, src_dir), cfg)
+    await_all(spark, qs)
+    assert spark.conf.get("spark.sql.shuffle.partitions") == before
+    ops = qs[-1].lastProgress["stateOperators"]
+    assert ops[0]["numShufflePartitions"] == 3
+    assert spark.read.parquet(cfg.stats_path).agg(F.sum("record_count")).first()[0] == 6
+
+
 def test_stop_all_on_failure(spark):
     root = work_path(spark, "test-stop")
     src_dir = local_dir(f"{root}/in")
