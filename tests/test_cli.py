@@ -15,8 +15,9 @@ def test_produce_batch_serve(spark, tmp_path, capsys):
     assert run(spark, ["produce", "--csv", str(csv), "--messages", msgs]) == 0
     lines = spark.read.text(msgs).count()
     assert lines == 6
-    assert run(spark, ["batch", "--messages", msgs, "--out", out, "--run-id", "x"]) == 0
     capsys.readouterr()
+    assert run(spark, ["batch", "--messages", msgs, "--out", out, "--run-id", "x"]) == 0
+    assert "loaded 6 records" in capsys.readouterr().out
     assert run(spark, ["serve", "--batch", out, "risk_summary"]) == 0
     shown = capsys.readouterr().out
     for level in ("LOW", "MODERATE", "HIGH", "CRITICAL"):
