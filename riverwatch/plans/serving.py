@@ -46,11 +46,18 @@ def high_risk_locations(flood_risk: DataFrame) -> DataFrame:
     return A.high_risk_locations(flood_risk)
 
 
+_ABSENT = ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA")
+
+
 def _try_read(read: Callable[[], DataFrame]) -> DataFrame | None:
+    """The view, or None when its folder does not exist (or holds no data
+    files to infer a schema from); other errors propagate."""
     try:
         return read()
-    except AnalysisException as e:  # missing folder = view absent
-        if "PATH_NOT_FOUND" in str(e) or "UNABLE_TO_INFER_SCHEMA" in str(e):
+    except AnalysisException as e:
+        condition = getattr(e, "getCondition", None) or getattr(e, "getErrorClass", None)
+        name = (condition() if condition else None) or ""
+        if name in _ABSENT or any(a in str(e) for a in _ABSENT):
             return None
         raise
 
