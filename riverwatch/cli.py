@@ -4,12 +4,15 @@ triage consumer.
     python -m riverwatch batch   --kafka HOST:PORT --topic T --out DIR
     python -m riverwatch batch   --messages DIR --out DIR
     python -m riverwatch speed   --kafka HOST:PORT --topic T --out DIR [--event-time]
+                                 [--raw] [--shared] [--stats-memory] [--once]
     python -m riverwatch serve   --batch DIR [--alerts DIR] QUERY [--location ID]
     python -m riverwatch produce --csv FILE (--kafka HOST:PORT --topic T | --messages DIR)
-    python -m riverwatch triage  (--kafka HOST:PORT --topic T | --messages DIR)
+                                 [--missing-as-nan]
+    python -m riverwatch triage  (--kafka HOST:PORT --topic T | --messages DIR) [--once]
 
 Folders may be any Hadoop path (hdfs://, s3a://, abfss://). Stream
 checkpoints go below ``spark.checkpoint.dir`` unless --checkpoint is given.
+``--once`` processes what is available and stops (availableNow trigger).
 """
 
 from __future__ import annotations
