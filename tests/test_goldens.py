@@ -96,3 +96,13 @@ def test_alerts_with_processing_time(golden):
     assert df.columns[-1] == S.PROCESSING_TIME
     rows = df.collect()
     assert len(rows) == 2 and len({r.processing_time for r in rows}) == 1  # one value per query
+
+
+def test_sliding_windows(golden):
+    from riverwatch.functions.timeparse import wall_time
+    df = golden.withColumn("t", wall_time(S.TIMESTAMP))
+    tumbling = A.windowed_stats(df, "t", "5 minutes")
+    sliding = A.windowed_stats(df, "t", "5 minutes", slide="1 minute")
+    assert tumbling.count() == 6  # one window per reading (hours apart)
+    assert sliding.count() == 30  # each reading falls in 5 overlapping windows
+    assert {r.record_count for r in sliding.collect()} == {1}
