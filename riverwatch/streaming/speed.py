@@ -129,6 +129,27 @@ def _overwrite_table(path: str) -> Callable[[DataFrame, int], None]:
     return write
 
 
+def _versioned_updates(path: str) -> Callable[[DataFrame, int], None]:
+    def write(batch: DataFrame, batch_id: int) -> None:
+        # Update mode hands over only the groups that changed: keep each
+        # batch's rows in its own folder (overwritten if the batch is
+        # replayed); ``latest_window_stats`` reads the newest per group.
+        batch.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+
+    return write
+
+
+def latest_window_stats(versions: DataFrame) -> DataFrame:
+    """Read side of update mode: the newest row per (window, location) from
+    the per-batch folders (``max_by`` over ``batch_id``: a two-phase
+    aggregate, no sort, no window function)."""
+    keys = ["window", S.LOCATION_ID]
+    values = [c for c in versions.columns if c not in keys + ["batch_id"]]
+    latest = versions.groupBy(*keys).agg(
+        F.max_by(F.struct(*values), "batch_id").alias("__latest"))
+    return latest.select(*keys, *[F.col(f"__latest.{c}").alias(c) for c in values])
+
+
 def start_stats_sink(stats: DataFrame, cfg: SpeedConfig) -> StreamingQuery:
     """SNK-7: windowed statistics.
 
@@ -136,8 +157,10 @@ def start_stats_sink(stats: DataFrame, cfg: SpeedConfig) -> StreamingQuery:
     queryable as ``cfg.stats_query_name`` in this session only; results
     live on the driver, so only for small state). With ``stats_path``:
     complete mode rewrites a parquet table per micro-batch through
-    ``foreachBatch`` (a distributed write); append mode uses the parquet
-    file sink, emitting each window once the watermark closes it.
+    ``foreachBatch`` (a distributed write); update mode keeps each batch's
+    changed groups in a ``batch_id=N`` folder (read with
+    ``latest_window_stats``); append mode uses the parquet file sink,
+    emitting each window once the watermark closes it.
     """
     ck = _ckpt(cfg, "windowed_stats")
     w = stats.writeStream.outputMode(cfg.stats_mode).option("checkpointLocation", ck)
@@ -145,6 +168,8 @@ def start_stats_sink(stats: DataFrame, cfg: SpeedConfig) -> StreamingQuery:
         w = w.format("memory").queryName(cfg.stats_query_name)
     elif cfg.stats_mode == "append":
         w = w.format("parquet").option("path", cfg.stats_path)
+    elif cfg.stats_mode == "update":
+        w = w.foreachBatch(_versioned_updates(cfg.stats_path))
     else:
         w = w.foreachBatch(_overwrite_table(cfg.stats_path))
     w = _trigger(w, cfg, None)

@@ -163,6 +163,37 @@ def test_append_mode_parquet_stats(spark):
         ("00:00", 1.0, 1), ("01:00", 2.0, 1), ("01:05", 2.0, 1)]
 
 
+def test_update_mode_parquet_stats(spark):
+    """Update mode to a table: per-batch versions, newest per group wins;
+    the result equals the update-mode expectations of the late-row test."""
+    from riverwatch.streaming.speed import latest_window_stats
+    root = work_path(spark, "test-update-parquet")
+    src_dir = local_dir(f"{root}/in")
+    _write_batches(src_dir, LATE)
+    cfg = _cfg(spark, root, stats_mode="update", time_col="event", stats_path=f"{root}/stats")
+    await_all(spark, start_speed_layer(read_message_stream(spark, src_dir, max_files_per_trigger=1), cfg))
+    latest = latest_window_stats(spark.read.parquet(cfg.stats_path))
+    got = latest.select(
+        F.date_format(F.col("window.start").cast("timestamp_ntz"), "HH:mm").alias("w"),
+        "max_rainfall", "record_count").collect()
+    assert sorted((r.w, r.max_rainfall, r.record_count) for r in got) == [
+        ("00:00", 1.0, 1), ("01:00", 2.0, 1), ("01:05", 2.0, 1), ("03:00", 2.0, 1)]
+
+
+def test_update_mode_newest_version_wins(spark):
+    from riverwatch.streaming.speed import latest_window_stats
+    root = work_path(spark, "test-update-newest")
+    src_dir = local_dir(f"{root}/in")
+    _write_batches(src_dir, [[_reading("2024-01-01T00:00:00", 1.0)],
+                             [_reading("2024-01-01T00:02:00", 3.0)]])
+    cfg = _cfg(spark, root, stats_mode="update", time_col="event", stats_path=f"{root}/stats")
+    await_all(spark, start_speed_layer(read_message_stream(spark, src_dir, max_files_per_trigger=1), cfg))
+    versions = spark.read.parquet(cfg.stats_path)
+    assert versions.count() == 2  # the window was emitted by both batches
+    (r,) = latest_window_stats(versions).collect()
+    assert (r.max_rainfall, r.record_count, r.avg_rainfall) == (3.0, 2, 2.0)
+
+
 def test_rocksdb_state_store(spark):
     from riverwatch.session import ROCKSDB_PROVIDER
     key = "spark.sql.streaming.stateStore.providerClass"
