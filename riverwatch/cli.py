@@ -69,6 +69,7 @@ def cmd_speed(spark, args) -> int:
         shared_stateless=args.shared,
         available_now=args.once,
         state_partitions=args.state_partitions,
+        stats_mode=args.stats_mode,
     )
     await_all(spark, start_speed_layer(_source(spark, args, True), cfg))
     return 0
@@ -138,6 +139,8 @@ def parser() -> argparse.ArgumentParser:
     s.add_argument("--shared", action="store_true",
                    help="one source read for alerts and raw archive (foreachBatch)")
     s.add_argument("--console", choices=["parsed", "raw"], default=None)
+    s.add_argument("--stats-mode", choices=["complete", "update", "append"], default="complete",
+                   help="output mode of the windowed stats (complete = the reference's)")
     s.add_argument("--state-partitions", type=int, default=None,
                    help="state partitions of the windowed stats (fixed at first start)")
     v = sub.add_parser("serve")

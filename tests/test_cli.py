@@ -43,5 +43,10 @@ def test_speed_and_triage_once(spark, tmp_path, capsys):
     stats = spark.read.parquet(f"{out}/windowed_stats")
     # event-time windows: the undecodable line has no time, so no window
     assert stats.agg({"record_count": "sum"}).first()[0] == 6
+    # append mode through the CLI: windows close once the watermark passes
+    out2 = f"{root}/out2"
+    assert run(spark, ["speed", "--messages", str(src), "--out", out2, "--event-time", "--once",
+                       "--stats-mode", "append", "--checkpoint", f"{root}/ckpt2"]) == 0
+    assert spark.read.parquet(f"{out2}/windowed_stats").count() >= 1
     # the console sink prints from the JVM; here only the run is checked
     assert run(spark, ["triage", "--messages", str(src), "--once", "--checkpoint", f"{root}/t"]) == 0
