@@ -15,10 +15,17 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riverwatch import schema as S
+from riverwatch.functions.timeparse import wall_time
 from riverwatch.operators import analytics as A
 from riverwatch.operators import decode as D
 from riverwatch.operators.classify import classify_risk, flood_alerts
+from riverwatch.plans.batch import run_batch
+from riverwatch.plans.serving import ServingLayer
+from riverwatch.session import work_path
+from riverwatch.sinks.batch import write_alerts_json
 from riverwatch.sources import readings as R
+from riverwatch.sources.files import read_alerts, read_message_files
+from riverwatch.streaming.speed import SpeedConfig, await_all, start_speed_layer
 
 DIGITS = 9
 DAMAGED_EVENT_TYPE = "error"  # feed records wrapped in a text envelope (undecodable)
@@ -80,8 +87,6 @@ def q_record_count(spark, sf_dir):
 
 
 def q_windowed_stats(spark, sf_dir):
-    from riverwatch.functions.timeparse import wall_time
-
     df = _readings(spark, sf_dir).withColumn("__t", wall_time(S.TIMESTAMP))
     out = A.flatten_window(A.windowed_stats(df, "__t", "5 minutes"))
     return _round(out, ["avg_rainfall", "avg_river_level"])
@@ -118,10 +123,6 @@ def q_undecodable_messages(spark, sf_dir):
 def _stored_views(spark: SparkSession, sf_dir: str):
     """Batch layer over the decoded feed into a fresh folder under the
     shared checkpoint root, then a serving layer over it."""
-    from riverwatch.plans.batch import run_batch
-    from riverwatch.plans.serving import ServingLayer
-    from riverwatch.session import work_path
-
     out = work_path(spark, "batch")
     events = R.load_table(spark, sf_dir, "events", spread_rows=True)
     readings = D.decode_kafka_batch(R.messages_from_events(events))
@@ -143,19 +144,12 @@ def q_location_summary_one(spark, sf_dir):
 
 
 def q_recent_alerts(spark, sf_dir):
-    from riverwatch.plans.serving import ServingLayer
-    from riverwatch.session import work_path
-    from riverwatch.sinks.batch import write_alerts_json
-
     alerts_dir = work_path(spark, "alerts")
     write_alerts_json(flood_alerts(_readings(spark, sf_dir)), alerts_dir)
     return ServingLayer(spark, work_path(spark, "no-batch"), alerts_dir).query("alerts")
 
 
 def _run_stream(spark, sf_dir, **cfg_kwargs):
-    from riverwatch.session import work_path
-    from riverwatch.streaming.speed import SpeedConfig, await_all, start_speed_layer
-
     root = work_path(spark, "stream")
     raw = R.messages_from_events(R.events_stream(spark, sf_dir, spread_rows=True)).select("value")
     cfg = SpeedConfig(checkpoint_root=f"{root}/checkpoints", available_now=True, **{
@@ -171,15 +165,11 @@ def q_stream_windowed_stats(spark, sf_dir):
 
 
 def q_stream_alerts(spark, sf_dir):
-    from riverwatch.sources.files import read_alerts
-
     cfg = _run_stream(spark, sf_dir, alerts_path="alerts", stats=False)
     return read_alerts(spark, cfg.alerts_path)
 
 
 def q_stream_raw_archive(spark, sf_dir):
-    from riverwatch.sources.files import read_message_files
-
     cfg = _run_stream(spark, sf_dir, raw_path="raw", stats=False)
     return D.decode_messages(read_message_files(spark, cfg.raw_path))
 
@@ -198,8 +188,6 @@ def q_stream_realtime_stats(spark, sf_dir):
 
 def q_stream_triage(spark, sf_dir):
     """Triage (T-1) as a stream over the damaged feed, to a parquet sink."""
-    from riverwatch.session import work_path
-
     root = work_path(spark, "stream-triage")
     events = R.events_stream(spark, sf_dir, spread_rows=True)
     damaged = F.col("event_type") == F.lit(DAMAGED_EVENT_TYPE)
