@@ -1,6 +1,7 @@
 """Goldens on the reference's six readings (FIXTURES.md section 2)."""
 
 import pytest
+from pyspark.sql import functions as F
 
 from riverwatch import schema as S
 from riverwatch.operators import analytics as A
@@ -106,3 +107,17 @@ def test_sliding_windows(golden):
     assert tumbling.count() == 6  # one window per reading (hours apart)
     assert sliding.count() == 30  # each reading falls in 5 overlapping windows
     assert {r.record_count for r in sliding.collect()} == {1}
+
+
+def test_window_boundaries_half_open(spark):
+    from riverwatch.functions.timeparse import wall_time
+    rows = [("2024-01-01T00:04:59", "A", 0.0, 1.0, 20.0, 1.0),
+            ("2024-01-01T00:05:00", "A", 0.0, 2.0, 20.0, 1.0),
+            ("2024-01-01T00:09:59", "A", 0.0, 3.0, 20.0, 1.0),
+            ("2024-01-01T00:10:00", "A", 0.0, 4.0, 20.0, 1.0)]
+    df = spark.createDataFrame(rows, S.READING).withColumn("t", wall_time(S.TIMESTAMP))
+    got = A.flatten_window(A.windowed_stats(df, "t")).select(
+        F.date_format("window_start", "HH:mm:ss").alias("s"),
+        F.date_format("window_end", "HH:mm:ss").alias("e"), "record_count", "max_rainfall").collect()
+    assert sorted(tuple(r) for r in got) == [
+        ("00:00:00", "00:05:00", 1, 1.0), ("00:05:00", "00:10:00", 2, 3.0), ("00:10:00", "00:15:00", 1, 4.0)]
