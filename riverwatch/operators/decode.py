@@ -106,15 +106,16 @@ def triage(
     # the JSON literal null, or text a general JSON parser (which accepts
     # NaN) rejects. The parser checks run only for rows the reading parse
     # flagged, so clean rows are parsed once: get_json_object rejects NaN
-    # tokens and from_json into a map rejects arrays, so either one
-    # succeeding means the text is JSON.
+    # tokens, from_json into a map rejects arrays and into an array rejects
+    # objects, so any one succeeding means the text is JSON.
     raw = F.col("__text")
     corrupt = F.col(f"{_DATA}.{S.CORRUPT_RECORD}")
     skipped = (
         F.when(raw.isNull() | F.trim(raw).isin("", "null"), F.lit(True))
         .when(corrupt.isNull(), F.lit(False))
         .otherwise(~(F.get_json_object(raw, "$").isNotNull()
-                     | F.from_json(raw, "map<string,string>").isNotNull()))
+                     | F.from_json(raw, "map<string,string>").isNotNull()
+                     | F.from_json(raw, "array<string>").isNotNull()))
     )
     staged = staged.withColumn("__skipped", skipped)
     rain = codec.clean_field(F.col(f"{_DATA}.{S.RAINFALL}"), T.DoubleType(), keep_nan)

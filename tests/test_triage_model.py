@@ -22,7 +22,8 @@ obj = st.fixed_dictionaries({}, optional={
     "timestamp": st.sampled_from(["2024-01-01T00:00:00", "x"]), "extra": st.integers()})
 message = st.one_of(
     obj.map(lambda d: json.dumps(d)),
-    st.sampled_from(["not json", "{", "[]", "[1,2]", "", " ", "{\"a\":", "null", "{}", None]),
+    st.sampled_from(["not json", "{", "[]", "[1,2]", "", " ", "{\"a\":", "null", "{}", None,
+                     "[NaN]", "[1, NaN]", '{"a": [NaN], "rainfall_mm_per_hr": 7}']),
 )
 
 
@@ -50,3 +51,15 @@ def test_triage_matches_model(spark, msgs):
     got = {r.offset: (r.status, r.problem) for r in triage(df).collect()}
     for i, m in enumerate(msgs):
         assert got[i] == model(m), (m, got[i])
+
+
+FIXED = ["not json", "{", "[]", "[1,2]", "", " ", "{\"a\":", "null", "{}", None, "[NaN]",
+         "[1, NaN]", '{"a": [NaN], "rainfall_mm_per_hr": 7}', '{"rainfall_mm_per_hr": NaN}',
+         '{"rainfall_mm_per_hr": "6"}', '{"rainfall_mm_per_hr": null}', '{"rainfall_mm_per_hr": 5.5}']
+
+
+def test_triage_matches_model_on_fixed_messages(spark):
+    df = spark.createDataFrame([(i, m) for i, m in enumerate(FIXED)], "offset long, value string")
+    got = {r.offset: (r.status, r.problem) for r in triage(df).collect()}
+    for i, m in enumerate(FIXED):
+        assert got[i] == model(m), (m, got[i])
