@@ -121,3 +121,18 @@ def test_window_boundaries_half_open(spark):
         F.date_format("window_end", "HH:mm:ss").alias("e"), "record_count", "max_rainfall").collect()
     assert sorted(tuple(r) for r in got) == [
         ("00:00:00", "00:05:00", 1, 1.0), ("00:05:00", "00:10:00", 2, 3.0), ("00:10:00", "00:15:00", 1, 4.0)]
+
+
+def test_output_schemas(golden):
+    """Column names and types of the stored views (FIXTURES.md section 1)."""
+    def shape(df):
+        return [(f.name, f.dataType.simpleString()) for f in df.schema.fields]
+    assert shape(A.location_stats(golden)) == [
+        (f.name, f.dataType.simpleString()) for f in S.LOCATION_STATS.fields]
+    parts = A.split_summary(A.batch_summary(classify_risk(golden)))
+    assert shape(parts["location_stats"]) == shape(A.location_stats(golden))
+    assert shape(A.risk_distribution(classify_risk(golden))) == [
+        ("flood_risk_level", "string"), ("count", "bigint")]
+    assert shape(A.hourly_patterns(golden)) == [
+        ("hour", "int"), ("avg_rainfall", "double"), ("avg_river_level", "double")]
+    assert shape(flood_alerts(golden)) == [(f.name, f.dataType.simpleString()) for f in S.ALERT.fields]
