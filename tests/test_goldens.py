@@ -136,3 +136,19 @@ def test_output_schemas(golden):
     assert shape(A.hourly_patterns(golden)) == [
         ("hour", "int"), ("avg_rainfall", "double"), ("avg_river_level", "double")]
     assert shape(flood_alerts(golden)) == [(f.name, f.dataType.simpleString()) for f in S.ALERT.fields]
+
+
+def test_summary_keeps_null_location_group(spark):
+    """An undecodable message is a row of NULLs: it forms the NULL location
+    group (D4) in the separate operator and in the single-scan summary alike,
+    distinct from the grouping sets' own NULLs."""
+    from conftest import GOLDEN
+    df = spark.createDataFrame(GOLDEN + [(None, None, None, None, None, None)], S.READING)
+    direct = {r.location_id: r.total_records for r in A.location_stats(df).collect()}
+    parts = A.split_summary(A.batch_summary(classify_risk(df)))
+    summary = {r.location_id: r.total_records for r in parts["location_stats"].collect()}
+    assert direct == summary == {None: 1, "LOC001": 4, "LOC002": 2}
+    hours = {r.hour for r in parts["hourly_patterns"].collect()}
+    assert None in hours and len(hours) == 7
+    dist = {r.flood_risk_level: r["count"] for r in parts["risk_distribution"].collect()}
+    assert dist["LOW"] == 3  # the NULL row is LOW
