@@ -269,6 +269,34 @@ def test_state_partitions(spark):
     assert spark.read.parquet(cfg.stats_path).agg(F.sum("record_count")).first()[0] == 6
 
 
+def test_live_triggers_pick_up_new_files(spark):
+    """ST-6 with real processing-time triggers: files arriving while the
+    queries run are picked up; then all queries stop."""
+    root = work_path(spark, "test-live")
+    src_dir = local_dir(f"{root}/in")
+    msgs = _golden_msgs()
+    _write_batches(src_dir, [msgs[:2]])
+    cfg = _cfg(spark, root, available_now=False, trigger="1 second", time_col="event",
+               alerts_path=f"{root}/alerts", stats_path=f"{root}/stats")
+    qs = start_speed_layer(read_message_stream(spark, src_dir), cfg)
+    try:
+        for q in qs:
+            q.processAllAvailable()
+        assert read_alerts(spark, cfg.alerts_path).count() == 0  # first two: no alert
+        for i, m in enumerate(msgs[2:]):
+            with open(os.path.join(src_dir, f"late-{i}.txt"), "w") as f:
+                f.write(json.dumps(m) + "\n")
+        for q in qs:
+            q.processAllAvailable()
+        assert read_alerts(spark, cfg.alerts_path).count() == 2
+        stats = spark.read.parquet(cfg.stats_path)
+        assert stats.agg(F.sum("record_count")).first()[0] == 6
+        assert all(q.isActive for q in qs)
+    finally:
+        stop_all(qs)
+    assert not any(q.isActive for q in qs)
+
+
 def test_stop_all_on_failure(spark):
     root = work_path(spark, "test-stop")
     src_dir = local_dir(f"{root}/in")
