@@ -50,3 +50,13 @@ def test_speed_and_triage_once(spark, tmp_path, capsys):
     assert spark.read.parquet(f"{out2}/windowed_stats").count() >= 1
     # the console sink prints from the JVM; here only the run is checked
     assert run(spark, ["triage", "--messages", str(src), "--once", "--checkpoint", f"{root}/t"]) == 0
+
+
+def test_argument_errors(spark):
+    import pytest
+    with pytest.raises(SystemExit):
+        run(spark, ["batch", "--kafka", "b:9092", "--out", "/x"])  # no topic
+    with pytest.raises(SystemExit):
+        run(spark, ["speed", "--out", "/x"])  # no source
+    with pytest.raises(SystemExit):
+        run(spark, ["serve", "--batch", "/x", "nope"])  # unknown query
