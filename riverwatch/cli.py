@@ -70,6 +70,7 @@ def cmd_speed(spark, args) -> int:
         available_now=args.once,
         state_partitions=args.state_partitions,
         stats_mode=args.stats_mode,
+        alerts_top_path=f"{out}/alerts_top" if args.alerts_top else None,
     )
     await_all(spark, start_speed_layer(_source(spark, args, True), cfg))
     return 0
@@ -78,7 +79,8 @@ def cmd_speed(spark, args) -> int:
 def cmd_serve(spark, args) -> int:
     from riverwatch.plans.serving import ServingLayer
 
-    df = ServingLayer(spark, args.batch, args.alerts).query(args.query, location_id=args.location)
+    df = ServingLayer(spark, args.batch, args.alerts, args.alerts_top).query(
+        args.query, location_id=args.location)
     if df is None:
         print("view not available")
         return 1
@@ -139,6 +141,8 @@ def parser() -> argparse.ArgumentParser:
     s.add_argument("--shared", action="store_true",
                    help="one source read for alerts and raw archive (foreachBatch)")
     s.add_argument("--console", choices=["parsed", "raw"], default=None)
+    s.add_argument("--alerts-top", action="store_true",
+                   help="also keep a per-batch top-10 alert index under --out/alerts_top")
     s.add_argument("--stats-mode", choices=["complete", "update", "append"], default="complete",
                    help="output mode of the windowed stats (complete = the reference's)")
     s.add_argument("--state-partitions", type=int, default=None,
@@ -146,6 +150,7 @@ def parser() -> argparse.ArgumentParser:
     v = sub.add_parser("serve")
     v.add_argument("--batch", required=True)
     v.add_argument("--alerts", default=None)
+    v.add_argument("--alerts-top", default=None, help="the speed layer's alert top-k index")
     v.add_argument("query", choices=["alerts", "location", "risk_summary", "high_risk"])
     v.add_argument("--location", default=None)
     r = sub.add_parser("produce")

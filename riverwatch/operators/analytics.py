@@ -82,6 +82,17 @@ def extreme_events(df: DataFrame, n: int = 10) -> DataFrame:
     )
 
 
+def recent_alerts(alerts: DataFrame, n: int = 10) -> DataFrame:
+    """TOP-2: the ``n`` latest alerts by timestamp text (ISO text sorts in
+    time order). Ties broken by location and values."""
+    return alerts.orderBy(
+        F.col(S.TIMESTAMP).desc(),
+        F.col(S.LOCATION_ID).asc(),
+        F.col(S.RAINFALL).desc(),
+        F.col(S.RIVER_LEVEL).desc(),
+    ).limit(n)
+
+
 def high_risk_locations(
     classified: DataFrame,
     levels: tuple[str, ...] = (rules.HIGH, rules.CRITICAL),

@@ -186,6 +186,14 @@ def q_stream_realtime_stats(spark, sf_dir):
     return _round(out, ["avg_rainfall", "avg_river_level"])
 
 
+def q_stream_recent_alerts(spark, sf_dir):
+    """V-2 served from the speed layer's per-batch top-k index instead of a
+    scan of every alert file (same answer)."""
+    cfg = _run_stream(spark, sf_dir, alerts_path="alerts", alerts_top_path="top", stats=False)
+    return ServingLayer(spark, work_path(spark, "no-batch"), cfg.alerts_path,
+                        cfg.alerts_top_path).query("alerts")
+
+
 def q_stream_triage(spark, sf_dir):
     """Triage (T-1) as a stream over the damaged feed, to a parquet sink."""
     root = work_path(spark, "stream-triage")
@@ -224,6 +232,7 @@ QUERIES: dict[str, Query] = {
     "stream_raw_archive": q_stream_raw_archive,
     "stream_realtime_stats": q_stream_realtime_stats,
     "stream_triage": q_stream_triage,
+    "stream_recent_alerts": q_stream_recent_alerts,
 }
 
 # --------------------------------------------------------------------------
@@ -373,5 +382,6 @@ ORACLE_SQL["stream_realtime_stats"] = _with(
               max(river_level_m) AS max_river_level, count(*) AS record_count
        FROM readings GROUP BY location_id""")
 ORACLE_SQL["stream_triage"] = ORACLE_SQL["message_triage"]
+ORACLE_SQL["stream_recent_alerts"] = ORACLE_SQL["recent_alerts"]
 
 assert set(ORACLE_SQL) <= set(QUERIES), set(ORACLE_SQL) - set(QUERIES)

@@ -19,15 +19,7 @@ from riverwatch.plans.batch import BatchPaths
 from riverwatch.sources.files import read_alerts
 
 
-def recent_alerts(alerts: DataFrame, n: int = 10) -> DataFrame:
-    """V-2 / TOP-2: the ``n`` latest alerts by timestamp text (ISO text
-    sorts in time order). Ties broken by location and values."""
-    return alerts.orderBy(
-        F.col(S.TIMESTAMP).desc(),
-        F.col(S.LOCATION_ID).asc(),
-        F.col(S.RAINFALL).desc(),
-        F.col(S.RIVER_LEVEL).desc(),
-    ).limit(n)
+recent_alerts = A.recent_alerts  # V-2 / TOP-2
 
 
 def location_summary(stats: DataFrame, location_id: str | None = None) -> DataFrame:
@@ -67,10 +59,12 @@ class ServingLayer:
 
     QUERY_NAMES = ("alerts", "location", "risk_summary", "high_risk")
 
-    def __init__(self, spark: SparkSession, batch_dir: str, alerts_dir: str | None = None):
+    def __init__(self, spark: SparkSession, batch_dir: str, alerts_dir: str | None = None,
+                 alerts_top_dir: str | None = None):
         self.spark = spark
         self.paths = BatchPaths(batch_dir)
         self.alerts_dir = alerts_dir
+        self.alerts_top_dir = alerts_top_dir
         self.views: dict[str, DataFrame] = {}
         self.load_batch_views()
 
@@ -86,8 +80,19 @@ class ServingLayer:
         return self.views
 
     def get_realtime_alerts(self, n: int = 10) -> DataFrame:
-        """V-2: latest alerts; an empty DataFrame when there are none."""
+        """V-2: latest alerts; an empty DataFrame when there are none.
+
+        With ``alerts_top_dir`` (the speed layer's per-batch top-k index,
+        ``SpeedConfig.alerts_top_path``) and ``n`` no larger than its k, the
+        answer comes from k rows per micro-batch instead of every alert
+        file; it is the same answer, since the overall top n is among the
+        per-batch top k.
+        """
         empty = self.spark.createDataFrame([], S.ALERT)
+        if self.alerts_top_dir:
+            top = _try_read(lambda: self.spark.read.parquet(self.alerts_top_dir))
+            if top is not None:
+                return recent_alerts(top.select(*S.ALERT.fieldNames()), n)
         if not self.alerts_dir:
             return empty
         df = _try_read(lambda: read_alerts(self.spark, self.alerts_dir))

@@ -63,6 +63,12 @@ class SpeedConfig:
     # at the query's first start (later starts keep the stored number).
     # None = the session's spark.sql.shuffle.partitions.
     state_partitions: int | None = None
+    # Per-micro-batch top-k of the alerts (by timestamp text), one
+    # ``batch_id=N`` folder per batch, overwritten on replay. The serving
+    # layer answers "latest alerts" from it (k rows per batch) instead of
+    # scanning every alert file; exact for any n <= k.
+    alerts_top_path: str | None = None
+    alerts_top_k: int = 10
 
 
 def parse_stream(raw: DataFrame, keep_raw: bool = False, keep_nan: bool = False) -> DataFrame:
@@ -185,6 +191,18 @@ def start_stats_sink(stats: DataFrame, cfg: SpeedConfig) -> StreamingQuery:
         conf.set(key, before)
 
 
+def _write_top(alerts: DataFrame, cfg: SpeedConfig, batch_id: int) -> None:
+    top = A.recent_alerts(alerts.select(*S.ALERT.fieldNames()), cfg.alerts_top_k)
+    top.write.mode("overwrite").parquet(f"{cfg.alerts_top_path}/batch_id={batch_id}")
+
+
+def start_alerts_top(alerts: DataFrame, cfg: SpeedConfig) -> StreamingQuery:
+    """The per-batch top-k index of the alerts (see ``alerts_top_path``)."""
+    w = (alerts.writeStream.foreachBatch(lambda b, i: _write_top(b, cfg, i))
+         .option("checkpointLocation", _ckpt(cfg, "alerts_top")))
+    return _trigger(w, cfg, cfg.trigger).start()
+
+
 def _stateless_writer(cfg: SpeedConfig) -> Callable[[DataFrame, int], None]:
     def write(batch: DataFrame, batch_id: int) -> None:
         batch = batch.persist()
@@ -198,6 +216,8 @@ def _stateless_writer(cfg: SpeedConfig) -> Callable[[DataFrame, int], None]:
                 if cfg.alert_files_per_batch:
                     alerts = alerts.repartition(cfg.alert_files_per_batch)
                 alerts.write.mode("overwrite").json(f"{cfg.alerts_path}/batch_id={batch_id}")
+                if cfg.alerts_top_path:
+                    _write_top(alerts, cfg, batch_id)
         finally:
             batch.unpersist()
 
@@ -243,6 +263,8 @@ def start_speed_layer(raw: DataFrame, cfg: SpeedConfig) -> list[StreamingQuery]:
             started.append(start_raw_archive(raw, cfg))
         if cfg.alerts_path and not cfg.shared_stateless:
             alerts = alerts_stream(parsed, cfg.alert_rule, cfg.alerts_with_processing_time)
+            if cfg.alerts_top_path:
+                started.append(start_alerts_top(alerts, cfg))
             if cfg.alert_files_per_batch:
                 alerts = alerts.repartition(cfg.alert_files_per_batch)
             started.append(start_alerts_sink(alerts, cfg))
