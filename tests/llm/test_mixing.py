@@ -1,0 +1,78 @@
+import hashlib
+import math
+from collections import Counter
+
+import pytest
+from pyspark.sql import functions as F
+
+from riverwatch.llm import mixing as M
+
+
+def brute_count(doc_id, rate, seed=M.SEED):
+    text = f"{seed}|{'null' if doc_id is None else doc_id}"
+    u = int(hashlib.md5(text.encode()).hexdigest()[:M.DIGITS], 16) / 16 ** M.DIGITS
+    p = c = math.exp(-rate)
+    k = 0
+    while c <= u:
+        k += 1
+        p *= rate / k
+        c += p
+    return k
+
+
+def rates(counts, weights=None):
+    w = weights or {s: n ** M.TEMPERATURE for s, n in counts.items()}
+    w = {s: x for s, x in w.items() if s in counts}
+    return {s: sum(counts.values()) * w[s] / sum(w.values()) / counts[s] for s in w}
+
+
+def rows():
+    out = [(i, f"t{i}", "en", "hot" if i % 3 else f"s{i % 7}", 1) for i in range(900)]
+    return out + [(1000, None, None, None, None), (None, "x", "en", None, 1), (1, "t1", "en", "hot", 1)]
+
+
+@pytest.mark.parametrize("weights", [None, {"hot": 1.0, "s0": 3.0, None: 0.02, "absent": 5.0}])
+def test_counts_match_brute_force(documents, weights):
+    data = rows()
+    r = rates(Counter(x[3] for x in data), weights)
+    want = Counter()
+    for x in data:
+        if x[3] in r:
+            for k in range(brute_count(x[0], r[x[3]])):
+                want[(*x, k)] += 1
+    got = M.mix_sources(documents(data), weights).collect()
+    assert Counter(tuple(g)[:6] for g in got) == want
+    for g in got:
+        key = f"{M.SEED}|{'null' if g.doc_id is None else g.doc_id}|{g['copy']}"
+        assert g.mix_key == hashlib.md5(key.encode()).hexdigest()
+
+
+def test_shares_follow_the_weights(documents):
+    data = [(i, "t", "en", "big" if i < 19000 else "small", 1) for i in range(20000)]
+    got = Counter(r.source for r in M.mix_sources(documents(data), {"big": 1, "small": 1}).collect())
+    assert abs(got["big"] - 10000) < 500 and abs(got["small"] - 10000) < 1500
+
+
+def test_law_reaches_high_rates(spark):
+    cdf = spark.range(1).select(M.poisson_cdf(F.lit(900.0)).alias("c")).first().c
+    assert abs(cdf[-1] - 1) < 1e-9 and cdf == sorted(cdf)
+    assert abs(cdf[900] - 0.5088) < 0.002
+
+
+def test_partitions_are_in_key_order(documents):
+    parts = M.mix_sources(documents(rows())).select("mix_key", F.spark_partition_id().alias("p"))
+    by = {}
+    for r in parts.collect():
+        by.setdefault(r.p, []).append(r.mix_key)
+    assert all(v == sorted(v) for v in by.values())
+
+
+def test_empty_clash_and_native(spark, documents):
+    assert M.mix_sources(documents([])).count() == 0
+    d = spark.createDataFrame([(i, "t", "a", 5, 6) for i in range(50)],
+                              "doc_id long, text string, source string, copy int, __u int")
+    out = M.mix_sources(d)
+    assert out.columns == ["doc_id", "text", "source", "__u", "copy", "mix_key"]
+    assert M.mixed_documents(d).columns == d.columns
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan and "Arrow" not in plan
