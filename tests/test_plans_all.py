@@ -10,7 +10,7 @@ import re
 
 import pytest
 
-from __spark_entry__ import queries
+from riverwatch.plans.registry import QUERIES
 
 from conftest import SF001
 
@@ -25,9 +25,9 @@ def _executed_plan(df):
     return plan.split("== Initial Plan ==")[0]
 
 
-@pytest.mark.parametrize("name", sorted(queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_plan_guards(spark, name):
-    plan = _executed_plan(queries()[name](spark, SF001))
+    plan = _executed_plan(QUERIES[name](spark, SF001))
     for node in FORBIDDEN:
         assert node not in plan, (name, node)
     aggs = re.findall(r"(?:Hash|ObjectHash|SortAggregate)\w*\(keys=\[[^\]]*\], functions=\[([^\n]*)", plan)
@@ -38,5 +38,5 @@ def test_plan_guards(spark, name):
 
 
 def test_guard_sees_aggregates(spark):
-    plan = _executed_plan(queries()["location_stats"](spark, SF001))
+    plan = _executed_plan(QUERIES["location_stats"](spark, SF001))
     assert "partial_count(1)" in plan and re.search(r"functions=\[count\(1\)", plan)
