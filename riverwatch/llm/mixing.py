@@ -122,7 +122,7 @@ law AS (
   FROM law WHERE k < ceil(rate + 12 * sqrt(rate) + 40)),
 cdf AS (SELECT source, list(c ORDER BY k) AS cdf FROM law GROUP BY source),
 drawn AS (
-  SELECT d.*, len(list_filter(cdf, c -> c <= CAST('0x' || substr(md5(
+  SELECT d.*, len(list_filter(cdf, lambda c: c <= CAST('0x' || substr(md5(
            '{SEED}|' || coalesce(CAST(d.doc_id AS VARCHAR), 'null')), 1, {DIGITS}) AS BIGINT)
            / {float(16 ** DIGITS)!r})) AS times
   FROM documents d JOIN cdf ON d.source IS NOT DISTINCT FROM cdf.source),

@@ -193,7 +193,7 @@ counted AS (
          CAST(len(regexp_extract_all(t, '[#*$%&|<>]')) AS BIGINT) AS n_symbols,
          CAST(coalesce(line.dup, 0) AS BIGINT) AS n_dup_lines,
          CAST(coalesce(cov.n, 0) AS BIGINT) AS n_repeat_words,
-         CAST(len(list_filter(w, x -> lower(x) IN ({_sql_list(STOP_WORDS)}))) AS BIGINT)
+         CAST(len(list_filter(w, lambda x: lower(x) IN ({_sql_list(STOP_WORDS)}))) AS BIGINT)
            AS n_stop_words,
          CAST(coalesce(line.n, 0) AS BIGINT) AS n_lines
   FROM base LEFT JOIN cov USING (doc_id) LEFT JOIN line USING (doc_id)),
