@@ -78,3 +78,10 @@ def gapless_rank(df: DataFrame, keys: Sequence[str], order: Sequence[str], out:
     return (salted.withColumn("__local", local).join(parts, by)
             .withColumn(out, F.col("__before") + F.col("__local"))
             .drop("__salt", "__local", "__before"))
+
+
+def bounded_batches(spark: SparkSession, size: str = "32m") -> None:
+    """Bound Arrow batches by bytes too, so that a batch of very long texts stays small."""
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if spark.conf.get(name, None) is None:
+        spark.conf.set(name, size)

@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
-from riverwatch.llm import mixing, quality, secrets, simhash
+from riverwatch.llm import (attribution, mixing, orc_tokens, packing, quality, secrets, simhash)
 
 QUERIES = {
     "op4_simhash_near_dedup": simhash.op4_simhash_near_dedup,
     "op5_secret_scans": secrets.op5_secret_scans,
+    "op6_best_fit_packing": packing.op6_best_fit_packing,
     "op7_mixing_sources": mixing.op7_mixing_sources,
     "op8_quality_rules": quality.op8_quality_rules,
+    "op9_token_counts": attribution.op9_token_counts,
+    "op10_token_id_output": orc_tokens.op10_token_id_output,
 }
 
 ORACLE_SQL = {

@@ -1,0 +1,92 @@
+import random
+
+import numpy as np
+import pytest
+
+from riverwatch.llm import attribution as A
+from riverwatch.llm import tokens as T
+
+BITS = [" ", " ", "\n", "\t", "a", "b", "é", "1", "2", "'s", "!", " ", "\x1c", "\x85", "漢", "😀", "᠎",
+        "​", "\r", "'", "ll", "the", "　", "<|endoftext|>", "ß", "²"]
+EDGE = ["", " ", "  ", "\n", " \n", "a  b", "a   b", "a \n b", "x\n \ny", " lead", "trail ", "é" * 5000, "w " * 50000,
+        "<|endoftext|>x <|endoftext|>", "no\xa0break  here", "😀 😀\n\n😀"]
+
+
+@pytest.fixture(scope="module")
+def enc():
+    return T.encoder(T.default_path())
+
+
+def texts(n):
+    rng = random.Random(7)
+    return EDGE + ["".join(rng.choice(BITS) for _ in range(rng.randint(0, 25))) for _ in range(n)]
+
+
+def test_ids_and_spans_are_those_of_the_whole_text(enc):
+    for t in texts(4000):
+        whole = enc.tokenizer.encode(t, add_special_tokens=False)
+        assert np.frombuffer(enc.ids(t), "<u4").tolist() == whole.ids, repr(t)[:80]
+        s, e = enc.spans(t)
+        assert list(zip(s.tolist(), e.tolist())) == whole.offsets, repr(t)[:80]
+
+
+def test_a_full_cache_changes_nothing():
+    small, t = T.Encoder(T.default_path(), room=3), "one two three four five one two three"
+    assert small.ids(t) == T.encoder(T.default_path()).ids(t)
+
+
+def brute_section(span, sections):
+    best, most = -1, 0
+    for k, (s, e) in enumerate(sections):
+        shared = min(span[1], e) - max(span[0], s)
+        if shared > most:
+            best, most = k, shared
+    return best
+
+
+def test_allocation_matches_brute_force():
+    rng = np.random.default_rng(1)
+    for _ in range(300):
+        cuts = np.unique(rng.integers(0, 60, rng.integers(0, 14)))
+        cuts = cuts[:len(cuts) // 2 * 2].reshape(-1, 2)
+        s = rng.integers(0, 60, 20)
+        spans = np.stack([s, s + rng.integers(0, 9, 20)], axis=1)
+        got = A.allocate(spans[:, 0], spans[:, 1], cuts[:, 0], cuts[:, 1])
+        assert got.tolist() == [brute_section(x, cuts.tolist()) for x in spans.tolist()]
+
+
+def test_operator_on_lines(documents, enc):
+    data = [None, *texts(60), "x", "x"]
+    rows = A.attribute_tokens(documents(data)).collect()
+    by = {}
+    for r in rows:
+        by.setdefault(r.id, []).append(r)
+    for i, t in enumerate(data):
+        t = t or ""
+        offsets = enc.tokenizer.encode(t, add_special_tokens=False).offsets
+        at, sections = 0, []
+        for line in t.split("\n"):
+            sections.append((at, min(len(t), at + len(line) + 1)))
+            at += len(line) + 1
+        got = sorted(by[i], key=lambda r: r.section)
+        assert [(r.start, r.end) for r in got] == sections
+        want = [brute_section(o, sections) for o in offsets]
+        assert [r.n_tokens for r in got] == [want.count(k) for k in range(len(sections))]
+        assert sum(r.n_tokens for r in got) == len(offsets)
+
+
+def test_given_sections_and_rest(spark):
+    d = spark.createDataFrame(
+        [(1, "the cat sat on the mat", [(0, 5), (8, 12)]), (2, "the cat", None), (None, None, [])],
+        "doc_id long, text string, parts array<struct<start:int,end:int>>")
+    rows = A.attribute_tokens(d, "parts").collect()
+    got = {(r.id, r.section): (r.start, r.end, r.n_tokens) for r in rows}
+    assert got == {(1, -1): (None, None, 2), (1, 0): (0, 5, 2), (1, 1): (8, 12, 2),
+                   (2, -1): (None, None, 2)}
+    assert A.attribute_tokens(spark.createDataFrame([], d.schema), "parts").count() == 0
+
+
+def test_query_has_a_row_for_each_line(spark, tmp_path, documents):
+    documents(["a\nb", None]).write.parquet(str(tmp_path / "documents.parquet"))
+    rows = A.op9_token_counts(spark, str(tmp_path)).collect()
+    assert sorted((r.doc_id, r.section, r.n_tokens) for r in rows) == [(0, 0, 2), (0, 1, 1), (1, 0, 0)]
