@@ -4,7 +4,7 @@ The byte-level pre-tokenizer never joins a space before a non-space character
 to what comes before it. A text can therefore be cut before each such space,
 and the ids of the parts, one after the other, are the ids of the whole text.
 Words repeat, so most parts come from a cache instead of the tokenizer. The
-cache only saves time: it is emptied when it is full.
+cache only saves time; it is bounded.
 """
 
 from __future__ import annotations
@@ -12,13 +12,15 @@ from __future__ import annotations
 import functools
 import os
 import re
+from array import array
 
 import numpy as np
 import public_tokenizers
 from tokenizers import Tokenizer
+from tokenizers.pre_tokenizers import ByteLevel
 
 TOKENIZER = "byte_bpe_50k.json"
-ROOM = 400_000  # cached parts in a worker
+ROOM = 350_000  # cached words in a worker, as many again kept aside; half for other parts
 
 _SPACE_BEFORE_WHITE = re.compile(r" \s").search
 _CUT = re.compile(r" (?=\S)").split
@@ -33,15 +35,29 @@ def parts_of(text: str) -> list[str]:
     return _CUT(text) if _SPACE_BEFORE_WHITE(text) else text.split(" ")
 
 
+#: A word, marks, and perhaps a line end with a word and marks after it. Their bounds are
+#: bounds of the pre-tokenizer too, and each of them is one of its parts.
+_LETTERS = "[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f]+"
+_MARKS = "[!-/:-@\\[-`{-~]*"
+_PLAIN = re.compile(f"({_LETTERS})({_MARKS})(?:(\n)({_LETTERS})({_MARKS}))?").fullmatch
+
+
 class _Cache(dict):
-    def __init__(self, encode, room: int):
+    """Values by part, made when missing. Once full it is kept aside and refilled from there."""
+
+    def __init__(self, make, room: int, keep=lambda part: True):
         super().__init__()
-        self.encode, self.room = encode, room
+        self.make, self.room, self.keep, self.aside = make, room, keep, {}
 
     def __missing__(self, part: str):
         if len(self) >= self.room:
+            self.aside = dict(self)
             self.clear()
-        value = self[part] = self.encode(" " + part)
+        value = self.aside.get(part)
+        if value is None:
+            value = self.make(part)
+        if self.keep(part):
+            self[part] = value
         return value
 
 
@@ -52,12 +68,27 @@ class Encoder:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
-        self._ids = _Cache(self._encode_ids, room)
-        self._spans = _Cache(self._encode_spans, room // 2)
-
-    def _encode_ids(self, part: str) -> bytes:
-        return np.array(self.tokenizer.encode(part, add_special_tokens=False).ids,
-                        dtype="<u4").tobytes()
+        # the same, for a text that is known to be one part of the pre-tokenizer
+        self.single = Tokenizer.from_file(path)
+        self.single.encode_special_tokens = True
+        self.single.pre_tokenizer = ByteLevel(add_prefix_space=False, use_regex=False)
+        self._words = _Cache(self._encode_single, room)
+        # parts across a line end are hardly ever seen again
+        self._ids = _Cache(self._encode_part, room // 2, lambda part: "\n" not in part)
+        self._spans = _Cache(lambda part: self._encode_spans(" " + part), room // 2)
+
+    def _encode_ids(self, text: str) -> bytes:
+        return array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
+
+    def _encode_single(self, text: str) -> bytes:
+        return array("I", self.single.encode(text, add_special_tokens=False).ids).tobytes()
+
+    def _encode_part(self, part: str) -> bytes:
+        """Ids of a space and the part."""
+        if not (plain := _PLAIN(part)):
+            return self._encode_ids(" " + part)
+        word, *rest = plain.groups("")
+        return self._words[" " + word] + b"".join([self._words[x] for x in rest if x])
 
     def _encode_spans(self, part: str) -> tuple[bytes, bytes]:
         spans = np.array(self.tokenizer.encode(part, add_special_tokens=False).offsets,

@@ -7,7 +7,8 @@ from riverwatch.llm import attribution as A
 from riverwatch.llm import tokens as T
 
 BITS = [" ", " ", "\n", "\t", "a", "b", "é", "1", "2", "'s", "!", " ", "\x1c", "\x85", "漢", "😀", "᠎",
-        "​", "\r", "'", "ll", "the", "　", "<|endoftext|>", "ß", "²"]
+        "​", "\r", "'", "ll", "the", "　", "<|endoftext|>", "ß", "²",
+        "word.\n", "Next", ",", "don't", "x²", "×", "ǅ", "_", "\n\n"]
 EDGE = ["", " ", "  ", "\n", " \n", "a  b", "a   b", "a \n b", "x\n \ny", " lead", "trail ", "é" * 5000, "w " * 50000,
         "<|endoftext|>x <|endoftext|>", "no\xa0break  here", "😀 😀\n\n😀"]
 
