@@ -2,9 +2,15 @@
 
 from __future__ import annotations
 
-from riverwatch.llm import (attribution, mixing, orc_tokens, packing, quality, secrets, simhash)
+from riverwatch.llm import (
+    attribution, mixing, neighbours, orc_tokens, packing, quality, secrets, sharding, simhash,
+    substrings,
+)
 
 QUERIES = {
+    "op1_substring_dedup": substrings.op1_substring_dedup,
+    "op2_sharding": sharding.op2_sharding,
+    "op3_nearest_neighbours": neighbours.op3_nearest_neighbours,
     "op4_simhash_near_dedup": simhash.op4_simhash_near_dedup,
     "op5_secret_scans": secrets.op5_secret_scans,
     "op6_best_fit_packing": packing.op6_best_fit_packing,
@@ -15,6 +21,7 @@ QUERIES = {
 }
 
 ORACLE_SQL = {
+    "op3_nearest_neighbours": neighbours.ORACLE,
     "op7_mixing_sources": mixing.ORACLE,
     "op8_quality_rules": quality.ORACLE,
 }
