@@ -68,7 +68,7 @@ def gapless_rank(df: DataFrame, keys: Sequence[str], order: Sequence[str], out:
     one row per (key, part) meets in a task. ``df`` is read twice, so it has to
     be a stored table or a deterministic plan. Null keys are not allowed.
     """
-    salted = df.withColumn("__salt", F.pmod(F.xxhash64(*order), F.lit(salts)))
+    salted = df.withColumn("__salt", F.pmod(F.xxhash64(F.lit(f"salt of {out}"), *order), F.lit(salts)))
     by = [*keys, "__salt"]
     before = Window.partitionBy(*keys).orderBy("__salt").rowsBetween(
         Window.unboundedPreceding, -1)
