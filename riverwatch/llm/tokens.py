@@ -20,7 +20,7 @@ from tokenizers import Tokenizer
 from tokenizers.pre_tokenizers import ByteLevel
 
 TOKENIZER = "byte_bpe_50k.json"
-ROOM = 600_000  # cached words in a worker, as many again kept aside; a quarter for other parts
+ROOM = 600_000  # cached parts in a worker, as many again kept aside
 
 _SPACE_BEFORE_WHITE = re.compile(r" \s").search
 _CUT = re.compile(r" (?=\S)").split
@@ -45,20 +45,44 @@ _PLAIN = re.compile(f"({_LETTERS})({_MARKS})(?:(\n)({_LETTERS})({_MARKS}))?").fu
 class _Cache(dict):
     """Values by part, made when missing. Once full it is kept aside and refilled from there."""
 
-    def __init__(self, make, room: int, keep=lambda part: True):
+    def __init__(self, make, room: int):
         super().__init__()
-        self.make, self.room, self.keep, self.aside = make, room, keep, {}
+        self.make, self.room, self.aside = make, room, {}
 
-    def __missing__(self, part: str):
+    def store(self, part: str, value):
         if len(self) >= self.room:
             self.aside = dict(self)
             self.clear()
+        self[part] = value
+        return value
+
+    def __missing__(self, part: str):
+        value = self.aside.get(part)
+        return self.store(part, self.make(part) if value is None else value)
+
+
+class _Parts(_Cache):
+    """Ids of a space and the part; what a line end divides is put together and not kept."""
+
+    def __init__(self, encode, single, room: int):
+        super().__init__(encode, room)
+        self.single, self.bare = single, _Cache(single, room // 4)
+
+    def __missing__(self, part: str) -> bytes:
         value = self.aside.get(part)
         if value is None:
-            value = self.make(part)
-        if self.keep(part):
-            self[part] = value
-        return value
+            if not (plain := _PLAIN(part)):
+                value = self.make(" " + part)
+            else:
+                word, marks, line, after, more = plain.groups()
+                if not marks and not line:
+                    value = self.single(" " + word)
+                else:
+                    value = self[word] + self.bare[marks] if marks else self[word]
+                    if line:
+                        value += self.bare[line] + self.bare[after]
+                        return value + self.bare[more] if more else value
+        return self.store(part, value)
 
 
 class Encoder:
@@ -72,9 +96,7 @@ class Encoder:
         self.single = Tokenizer.from_file(path)
         self.single.encode_special_tokens = True
         self.single.pre_tokenizer = ByteLevel(add_prefix_space=False, use_regex=False)
-        self._words = _Cache(self._encode_single, room)
-        # parts across a line end are hardly ever seen again
-        self._ids = _Cache(self._encode_part, room // 4, lambda part: "\n" not in part)
+        self._ids = _Parts(self._encode_ids, self._encode_single, room)
         self._spans = _Cache(lambda part: self._encode_spans(" " + part), room // 4)
 
     def _encode_ids(self, text: str) -> bytes:
@@ -83,13 +105,6 @@ class Encoder:
     def _encode_single(self, text: str) -> bytes:
         return array("I", self.single.encode(text, add_special_tokens=False).ids).tobytes()
 
-    def _encode_part(self, part: str) -> bytes:
-        """Ids of a space and the part."""
-        if not (plain := _PLAIN(part)):
-            return self._encode_ids(" " + part)
-        word, *rest = plain.groups("")
-        return self._words[" " + word] + b"".join([self._words[x] for x in rest if x])
-
     def _encode_spans(self, part: str) -> tuple[bytes, bytes]:
         spans = np.array(self.tokenizer.encode(part, add_special_tokens=False).offsets,
                          dtype="<i4").reshape(-1, 2)
