@@ -80,7 +80,7 @@ def gapless_rank(df: DataFrame, keys: Sequence[str], order: Sequence[str], out:
             .drop("__salt", "__local", "__before"))
 
 
-def bounded_batches(spark: SparkSession, size: str = "32m") -> None:
+def bounded_batches(spark: SparkSession, size: str = "16m") -> None:
     """Bound Arrow batches by bytes too, so that a batch of very long texts stays small."""
     name = "spark.sql.execution.arrow.maxBytesPerBatch"
     if spark.conf.get(name, None) is None:

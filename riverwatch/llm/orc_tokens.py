@@ -36,7 +36,7 @@ def write_token_orc(docs: DataFrame, path: str, tokenizer: str | None = None,
     The documents are range-partitioned and sorted by id before they are
     encoded, so only texts are shuffled. ``part`` numbers the ranges in order
     and ``local_start`` counts the ids before a document in its part. Rows of
-    one id are ordered by text hash and may spread over several parts.
+    one id stay in the order of the input and may spread over several parts.
 
     Nulls: a null text is empty (``end_id`` alone); null ids come first. An
     empty table gives files without rows. Other columns are not read.
@@ -49,7 +49,7 @@ def write_token_orc(docs: DataFrame, path: str, tokenizer: str | None = None,
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc, part, at = encoder(tok), TaskContext.get().partitionId(), 0
         for b in batches:
-            data = [enc.ids(t.as_py() or "") + end for t in b.column(1)]
+            data = [enc.ids(t or "") + end for t in b.column(1).to_pylist()]
             n = np.array([len(d) // 4 for d in data], dtype=np.int64)
             ends = np.cumsum(n)
             values = pa.array(np.frombuffer(b"".join(data), dtype="<i4"))
@@ -62,9 +62,8 @@ def write_token_orc(docs: DataFrame, path: str, tokenizer: str | None = None,
             at += int(n.sum())
 
     keyed = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"),
-                        F.xxhash64(text_col).alias("h"),
                         F.monotonically_increasing_id().alias("row"))
-    order = ["doc_id", "h", "row"]
+    order = ["doc_id", "row"]
     rows = keyed.repartitionByRange(*order).sortWithinPartitions(*order).select("doc_id", "text")
     rows.mapInArrow(
         run, f"doc_id {kind}, part int, local_start long, n_tokens long, tokens array<int>"

@@ -46,8 +46,8 @@ def document_pieces(docs: DataFrame, tokenizer: str | None = None, size: int = S
         enc = encoder(path)
         for b in batches:
             row, piece, start, length, crc, ids = [], [], [], [], [], []
-            for i, text in enumerate(b.column(1)):
-                data = enc.ids(text.as_py() or "") + end
+            for i, text in enumerate(b.column(1).to_pylist()):
+                data = enc.ids(text or "") + end
                 for k, (at, n) in enumerate(cuts(len(data) // 4, size)):
                     part = data[4 * at:4 * (at + n)]
                     row.append(i)
