@@ -13,6 +13,7 @@ import functools
 import os
 import re
 from array import array
+from itertools import accumulate
 
 import numpy as np
 import public_tokenizers
@@ -92,10 +93,10 @@ class Encoder:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
-        # the same, for a text that is known to be one part of the pre-tokenizer
-        self.single = Tokenizer.from_file(path)
-        self.single.encode_special_tokens = True
-        self.single.pre_tokenizer = ByteLevel(add_prefix_space=False, use_regex=False)
+        # byte-level spelling of the characters of plain parts, for the model itself
+        spell = ByteLevel(add_prefix_space=False, use_regex=False).pre_tokenize_str
+        self._spelling = {c: spell(chr(c))[0][0] for c in range(0x250)}
+        self._model = self.tokenizer.model
         self._ids = _Parts(self._encode_ids, self._encode_single, room)
         self._spans = _Cache(lambda part: self._encode_spans(" " + part), room // 4)
 
@@ -103,9 +104,18 @@ class Encoder:
         return array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
 
     def _encode_single(self, text: str) -> bytes:
-        return array("I", self.single.encode(text, add_special_tokens=False).ids).tobytes()
+        """Ids of a text that is one part of the pre-tokenizer, of characters below U+0250."""
+        found = self._model.tokenize(text.translate(self._spelling))
+        return array("I", [t.id for t in found]).tobytes()
 
     def _encode_spans(self, part: str) -> tuple[bytes, bytes]:
+        """Starts and ends of the tokens of a part."""
+        plain = _PLAIN(part[1:]) if part.isascii() and part[:1] == " " else None
+        if plain:  # a character is a byte here, so the lengths of the tokens are theirs
+            word, *rest = plain.groups()
+            ends = list(accumulate(len(t.value) for x in (" " + word, *rest) if x
+                                   for t in self._model.tokenize(x.translate(self._spelling))))
+            return array("i", [0, *ends[:-1]]).tobytes(), array("i", ends).tobytes()
         spans = np.array(self.tokenizer.encode(part, add_special_tokens=False).offsets,
                          dtype="<i4").reshape(-1, 2)
         return spans[:, 0].tobytes(), spans[:, 1].tobytes()
