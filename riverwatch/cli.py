@@ -8,10 +8,11 @@ triage consumer.
     python -m riverwatch serve   --batch DIR [--alerts DIR] QUERY [--location ID]
     python -m riverwatch produce --csv FILE (--kafka HOST:PORT --topic T | --messages DIR)
                                  [--missing-as-nan]
-    python -m riverwatch triage  (--kafka HOST:PORT --topic T | --messages DIR) [--once]
+    python -m riverwatch triage  (--kafka HOST:PORT --topic T | --messages DIR) [--out DIR] [--once]
 
-Folders may be any Hadoop path (hdfs://, s3a://, abfss://). Stream
-checkpoints go below ``spark.checkpoint.dir`` unless --checkpoint is given.
+Folders may be any Hadoop path (hdfs://, s3a://, abfss://). A stream's
+checkpoints belong to its output: they go below --out unless --checkpoint is
+given. ``triage`` without --out prints and starts anew each time.
 ``--once`` processes what is available and stops (availableNow trigger).
 """
 
@@ -31,6 +32,13 @@ def _source(spark, args, stream: bool):
                          max_offsets_per_trigger=args.max_offsets)
 
 
+def _show(df, limit: int | None = None) -> None:
+    """Print every row (or the first ``limit``) as one JSON line, partition by partition."""
+    df = df.limit(limit) if limit else df
+    for line in df.toJSON().toLocalIterator():
+        print(line)
+
+
 def cmd_batch(spark, args) -> int:
     from pyspark.sql import functions as F
 
@@ -49,7 +57,7 @@ def cmd_batch(spark, args) -> int:
     for name in ("location_stats", "risk_distribution", "hourly_patterns", "correlation",
                  "extreme_events"):
         print(f"== {name}")
-        results[name].show(24, truncate=False)
+        _show(results[name], args.limit)
     return 0
 
 
@@ -58,7 +66,7 @@ def cmd_speed(spark, args) -> int:
 
     out = args.out.rstrip("/")
     cfg = SpeedConfig(
-        checkpoint_root=args.checkpoint or work_path(spark, "speed", unique=False),
+        checkpoint_root=args.checkpoint or f"{out}/_checkpoints",
         alerts_path=f"{out}/flood_alerts",
         raw_path=f"{out}/raw_messages" if args.raw else None,
         stats_path=None if args.stats_memory else f"{out}/windowed_stats",
@@ -80,11 +88,14 @@ def cmd_serve(spark, args) -> int:
     from riverwatch.plans.serving import ServingLayer
 
     df = ServingLayer(spark, args.batch, args.alerts, args.alerts_top).query(
-        args.query, location_id=args.location)
+        args.query, location_id=args.location, n=args.n)
     if df is None:
         print("view not available")
         return 1
-    df.show(50, truncate=False)
+    if args.out:
+        df.write.mode("overwrite").json(args.out)
+    else:
+        _show(df, args.limit)
     return 0
 
 
@@ -103,9 +114,14 @@ def cmd_produce(spark, args) -> int:
 def cmd_triage(spark, args) -> int:
     from riverwatch.operators.decode import triage
 
-    w = (triage(_source(spark, args, True)).writeStream.format("console")
-         .option("truncate", False)
-         .option("checkpointLocation", args.checkpoint or work_path(spark, "triage", unique=False)))
+    tagged = triage(_source(spark, args, True), keep_nan=args.keep_nan).writeStream
+    if args.out:
+        out = args.out.rstrip("/")
+        w = (tagged.format("json").option("path", out)
+             .option("checkpointLocation", args.checkpoint or f"{out}/_checkpoint"))
+    else:  # every row of every micro-batch, printed here
+        w = tagged.foreachBatch(lambda batch, _: _show(batch)).option(
+            "checkpointLocation", args.checkpoint or work_path(spark, "triage"))
     if args.once:
         w = w.trigger(availableNow=True)
     w.start().awaitTermination()
@@ -130,6 +146,7 @@ def parser() -> argparse.ArgumentParser:
     b = sub.add_parser("batch"); src(b)
     b.add_argument("--out", required=True)
     b.add_argument("--run-id", default=None)
+    b.add_argument("--limit", type=int, default=None, help="rows printed of each view (all)")
     b.add_argument("--persist", action="store_true", help="cache instead of materializing")
     s = sub.add_parser("speed"); src(s)
     s.add_argument("--out", required=True)
@@ -153,6 +170,9 @@ def parser() -> argparse.ArgumentParser:
     v.add_argument("--alerts-top", default=None, help="the speed layer's alert top-k index")
     v.add_argument("query", choices=["alerts", "location", "risk_summary", "high_risk"])
     v.add_argument("--location", default=None)
+    v.add_argument("-n", type=int, default=10, help="alerts: how many of the latest")
+    v.add_argument("--limit", type=int, default=None, help="rows printed (all)")
+    v.add_argument("--out", default=None, help="write the rows as JSON files instead")
     r = sub.add_parser("produce")
     r.add_argument("--csv", required=True)
     r.add_argument("--kafka"); r.add_argument("--topic")
@@ -160,6 +180,7 @@ def parser() -> argparse.ArgumentParser:
     r.add_argument("--missing-as-nan", action="store_true",
                    help="send empty numeric cells as NaN (as a pandas-based producer does)")
     t = sub.add_parser("triage"); src(t)
+    t.add_argument("--out", default=None, help="append the tagged messages as JSON files")
     return p
 
 

@@ -25,6 +25,7 @@ def parse(
     text: Column,
     schema: T.StructType = S.READING,
     corrupt_column: str | None = None,
+    options: dict[str, str] | None = None,
 ) -> Column:
     """``from_json`` in PERMISSIVE mode: bad JSON gives a struct of NULLs,
     a wrong-typed field gives NULL for that field only, extra keys are
@@ -35,9 +36,25 @@ def parse(
             schema.fields + [T.StructField(corrupt_column, T.StringType(), True)]
         )
         return F.from_json(
-            text, schema, {"columnNameOfCorruptRecord": corrupt_column}
+            text, schema, {"columnNameOfCorruptRecord": corrupt_column, **(options or {})}
         )
-    return F.from_json(text, schema)
+    return F.from_json(text, schema, options or {})
+
+
+STRICT = {"allowSingleQuotes": "false"}
+
+
+def is_one_json_value(text: Column) -> Column:
+    """Whether the whole text is one JSON value, with nothing after it.
+
+    Spark's JSON reader stops after the first value. Here the text is the first
+    of two array elements, the other being its MD5, which it cannot hold itself;
+    so anything else changes the number of elements or breaks the array: trailing
+    text, a second value, an early closing bracket."""
+    end = F.md5(text)
+    pair = F.from_json(F.concat(F.lit("["), text, F.lit(',"'), end, F.lit('"]')),
+                       "array<string>", STRICT)
+    return F.coalesce((F.size(pair) == 2) & (F.get(pair, F.lit(1)) == end), F.lit(False))
 
 
 def clean_field(field: Column, dtype: T.DataType, keep_nan: bool) -> Column:

@@ -97,26 +97,16 @@ def triage(
     tagged from whatever decoded.
     """
     text = codec.message_text(value_col)
-    parsed = codec.parse(text, S.READING, corrupt_column=S.CORRUPT_RECORD)
+    parsed = codec.parse(text, S.READING, corrupt_column=S.CORRUPT_RECORD, options=codec.STRICT)
     meta = [F.col(m) for m in metadata if m in df.columns]
     # Behind a generator (as in decode_messages with parse_once), so a
     # filter on status/problem cannot be pushed below and re-parse.
     staged = df.select(F.inline(F.array(F.struct(*meta, text.alias("__text"), parsed.alias(_DATA)))))
-    # Skipped by the consumer: no text (a NULL record value), blank text,
-    # the JSON literal null, or text a general JSON parser (which accepts
-    # NaN) rejects. The parser checks run only for rows the reading parse
-    # flagged, so clean rows are parsed once: get_json_object rejects NaN
-    # tokens, from_json into a map rejects arrays and into an array rejects
-    # objects, so any one succeeding means the text is JSON.
+    # Skipped by the consumer: no text (a NULL record value), blank text, the
+    # JSON literal null, or text that is not one JSON value as a whole.
     raw = F.col("__text")
-    corrupt = F.col(f"{_DATA}.{S.CORRUPT_RECORD}")
-    skipped = (
-        F.when(raw.isNull() | F.trim(raw).isin("", "null"), F.lit(True))
-        .when(corrupt.isNull(), F.lit(False))
-        .otherwise(~(F.get_json_object(raw, "$").isNotNull()
-                     | F.from_json(raw, "map<string,string>").isNotNull()
-                     | F.from_json(raw, "array<string>").isNotNull()))
-    )
+    bare = F.btrim(raw, F.lit(" \t\n\r"))  # JSON's white space
+    skipped = raw.isNull() | bare.isin("", "null") | ~codec.is_one_json_value(raw)
     staged = staged.withColumn("__skipped", skipped)
     rain = codec.clean_field(F.col(f"{_DATA}.{S.RAINFALL}"), T.DoubleType(), keep_nan)
     river = codec.clean_field(F.col(f"{_DATA}.{S.RIVER_LEVEL}"), T.DoubleType(), keep_nan)

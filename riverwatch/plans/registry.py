@@ -43,8 +43,7 @@ def _readings(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _feed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    # JSON encode + decode per row: worth spreading a single-split input.
-    events = R.load_table(spark, sf_dir, "events", spread_rows=True)
+    events = R.load_table(spark, sf_dir, "events")
     damaged: Column = F.col("event_type") == F.lit(DAMAGED_EVENT_TYPE)
     return R.messages_from_events(events, damaged=damaged)
 
@@ -102,7 +101,7 @@ def q_message_triage(spark, sf_dir):
 
 
 def q_json_roundtrip(spark, sf_dir):
-    events = R.load_table(spark, sf_dir, "events", spread_rows=True)
+    events = R.load_table(spark, sf_dir, "events")
     msgs = R.messages_from_readings(R.readings_from_events(events))
     return D.decode_messages(msgs)
 
@@ -124,7 +123,7 @@ def _stored_views(spark: SparkSession, sf_dir: str):
     """Batch layer over the decoded feed into a fresh folder under the
     shared checkpoint root, then a serving layer over it."""
     out = work_path(spark, "batch")
-    events = R.load_table(spark, sf_dir, "events", spread_rows=True)
+    events = R.load_table(spark, sf_dir, "events")
     readings = D.decode_kafka_batch(R.messages_from_events(events))
     run_batch(spark, readings, out, run_id="check")
     return ServingLayer(spark, out)
@@ -151,7 +150,7 @@ def q_recent_alerts(spark, sf_dir):
 
 def _run_stream(spark, sf_dir, **cfg_kwargs):
     root = work_path(spark, "stream")
-    raw = R.messages_from_events(R.events_stream(spark, sf_dir, spread_rows=True)).select("value")
+    raw = R.messages_from_events(R.events_stream(spark, sf_dir)).select("value")
     cfg = SpeedConfig(checkpoint_root=f"{root}/checkpoints", available_now=True, **{
         k: (f"{root}/{v}" if k.endswith("_path") else v) for k, v in cfg_kwargs.items()})
     await_all(spark, start_speed_layer(raw, cfg))
@@ -197,7 +196,7 @@ def q_stream_recent_alerts(spark, sf_dir):
 def q_stream_triage(spark, sf_dir):
     """Triage (T-1) as a stream over the damaged feed, to a parquet sink."""
     root = work_path(spark, "stream-triage")
-    events = R.events_stream(spark, sf_dir, spread_rows=True)
+    events = R.events_stream(spark, sf_dir)
     damaged = F.col("event_type") == F.lit(DAMAGED_EVENT_TYPE)
     triaged = D.triage(R.messages_from_events(events, damaged=damaged))
     q = (triaged.writeStream.format("parquet").option("path", f"{root}/out")

@@ -83,16 +83,22 @@ class ServingLayer:
         """V-2: latest alerts; an empty DataFrame when there are none.
 
         With ``alerts_top_dir`` (the speed layer's per-batch top-k index,
-        ``SpeedConfig.alerts_top_path``) and ``n`` no larger than its k, the
-        answer comes from k rows per micro-batch instead of every alert
-        file; it is the same answer, since the overall top n is among the
-        per-batch top k.
+        ``SpeedConfig.alerts_top_path``) and ``n`` no larger than the k stored
+        with it, the answer comes from k rows per micro-batch instead of every
+        alert file; it is the same answer, since the overall top n is among the
+        per-batch top k. For a larger ``n`` the alert files are read; without
+        them it raises ValueError rather than return too few.
         """
         empty = self.spark.createDataFrame([], S.ALERT)
         if self.alerts_top_dir:
             top = _try_read(lambda: self.spark.read.parquet(self.alerts_top_dir))
             if top is not None:
-                return recent_alerts(top.select(*S.ALERT.fieldNames()), n)
+                k = top.agg(F.min("k")).first()[0] if "k" in top.columns else 0
+                # no rows: no batch had an alert
+                if k is None or n <= k:
+                    return recent_alerts(top.select(*S.ALERT.fieldNames()), n)
+                if not self.alerts_dir:
+                    raise ValueError(f"the alert index holds {k} rows a batch, asked for {n}")
         if not self.alerts_dir:
             return empty
         df = _try_read(lambda: read_alerts(self.spark, self.alerts_dir))

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from riverwatch import schema as S
@@ -27,9 +28,17 @@ def read_message_stream(
 def read_readings_csv(
     spark: SparkSession, path: str, schema: T.StructType = S.READING
 ) -> DataFrame:
-    """Readings CSV with a header line; the schema is fixed, not inferred
-    (inference costs a full extra pass and guesses types per file)."""
-    return spark.read.schema(schema).option("header", True).csv(path)
+    """Readings CSV with a header line, its columns taken by name.
+
+    The order of the columns is the file's; further columns are ignored, and a
+    missing one raises ValueError. Types are fixed, not inferred (inference
+    costs a full extra pass and guesses types per file); a cell that is not of
+    its type is NULL. All files of a folder need the same header."""
+    raw = spark.read.option("header", True).option("enforceSchema", False).csv(path)
+    missing = [f.name for f in schema.fields if f.name not in raw.columns]
+    if missing:
+        raise ValueError(f"{path}: no column {', '.join(missing)}")
+    return raw.select(*[F.col(f.name).try_cast(f.dataType).alias(f.name) for f in schema.fields])
 
 
 def read_alerts(

@@ -19,28 +19,8 @@ TOPIC = "readings"
 DAMAGE_ENVELOPE = "reading: "
 
 
-def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
-    """Round-robin the rows over the session's cores when the input comes
-    in fewer splits than that (one small file is one task).
-
-    A large input already has far more splits than cores, so this is a
-    no-op there and adds no shuffle; it only keeps per-row work (JSON
-    encode/decode, text functions) from running on a single core. Only
-    the scanned columns are moved.
-    """
-    if df.isStreaming:
-        return df
-    try:
-        target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-        splits = df.rdd.getNumPartitions()  # plans the scan; runs no job
-    except Exception:  # no RDD access (e.g. Spark Connect): leave as is
-        return df
-    return df.repartition(target) if splits < target else df
-
-
-def load_table(spark: SparkSession, sf_dir: str, name: str, spread_rows: bool = False) -> DataFrame:
-    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
-    return spread(df) if spread_rows else df
+def load_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def reading_columns(n_locations: int = N_LOCATIONS) -> list[Column]:
@@ -106,19 +86,14 @@ def events_stream(
     spark: SparkSession,
     sf_dir: str,
     max_files_per_trigger: int | None = None,
-    spread_rows: bool = False,
 ) -> DataFrame:
-    """``events`` as a file stream (the table's files are the micro-batch
-    units), for driving the speed layer offline. ``spread_rows`` deals each
-    micro-batch over the session's cores when the table has fewer files than
-    that (a stream has no partition count to look at before it runs)."""
-    path = sf_dir.rstrip("/")
-    static = spark.read.parquet(f"{path}/events.parquet")  # footer + listing only
-    r = spark.readStream.schema(static.schema).option("pathGlobFilter", "events*.parquet")
+    """``events`` as a file stream, for driving the speed layer offline.
+
+    The table is one file or a folder of part files; its files are the units
+    of micro-batches (``max_files_per_trigger`` bounds a batch)."""
+    path = f"{sf_dir.rstrip('/')}/events.parquet"
+    r = spark.readStream.schema(spark.read.parquet(path).schema)  # footer + listing only
     if max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", str(max_files_per_trigger))
-    df = r.parquet(path)
-    cores = spark.sparkContext.defaultParallelism
-    if spread_rows and len(static.inputFiles()) < cores:
-        df = df.repartition(cores)
-    return df
+    # as a pattern that only this name matches: a plain path has to be a folder
+    return r.parquet(f"{path[:-1]}[t]")

@@ -14,8 +14,9 @@ TIMESTAMP, which a watermark requires; TIMESTAMP_NTZ is refused).
 
 from __future__ import annotations
 
+import time
 from collections.abc import Callable
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -193,14 +194,8 @@ def start_stats_sink(stats: DataFrame, cfg: SpeedConfig) -> StreamingQuery:
 
 def _write_top(alerts: DataFrame, cfg: SpeedConfig, batch_id: int) -> None:
     top = A.recent_alerts(alerts.select(*S.ALERT.fieldNames()), cfg.alerts_top_k)
-    top.write.mode("overwrite").parquet(f"{cfg.alerts_top_path}/batch_id={batch_id}")
-
-
-def start_alerts_top(alerts: DataFrame, cfg: SpeedConfig) -> StreamingQuery:
-    """The per-batch top-k index of the alerts (see ``alerts_top_path``)."""
-    w = (alerts.writeStream.foreachBatch(lambda b, i: _write_top(b, cfg, i))
-         .option("checkpointLocation", _ckpt(cfg, "alerts_top")))
-    return _trigger(w, cfg, cfg.trigger).start()
+    (top.withColumn("k", F.lit(cfg.alerts_top_k))  # what a reader may ask of the index
+     .write.mode("overwrite").parquet(f"{cfg.alerts_top_path}/batch_id={batch_id}"))
 
 
 def _stateless_writer(cfg: SpeedConfig) -> Callable[[DataFrame, int], None]:
@@ -249,22 +244,25 @@ def start_speed_layer(raw: DataFrame, cfg: SpeedConfig) -> list[StreamingQuery]:
     statistics keep their own query, since they need state and an output
     mode.
     """
+    if cfg.alerts_top_path and not cfg.alerts_path:
+        raise ValueError("alerts_top_path indexes the alerts of alerts_path, which is not set")
     parsed = parse_stream(raw, keep_nan=cfg.keep_nan)
     started: list[StreamingQuery] = []
+    # index and alert files come from the same micro-batch, so they cannot differ
+    together = cfg.shared_stateless or bool(cfg.alerts_top_path)
     try:
         if cfg.console == "raw":
             text = raw.select(F.col("value").cast("string").alias(S.RAW_VALUE))
             started.append(start_console(text, cfg, "console_raw"))
         elif cfg.console:
             started.append(start_console(parsed, cfg))
-        if cfg.shared_stateless and (cfg.raw_path or cfg.alerts_path):
-            started.append(start_shared_stateless(raw, cfg))
-        elif cfg.raw_path:
+        if cfg.raw_path and not cfg.shared_stateless:
             started.append(start_raw_archive(raw, cfg))
-        if cfg.alerts_path and not cfg.shared_stateless:
+        if together and (cfg.alerts_path or cfg.raw_path):
+            own = cfg if cfg.shared_stateless else replace(cfg, raw_path=None)
+            started.append(start_shared_stateless(raw, own))
+        elif cfg.alerts_path:
             alerts = alerts_stream(parsed, cfg.alert_rule, cfg.alerts_with_processing_time)
-            if cfg.alerts_top_path:
-                started.append(start_alerts_top(alerts, cfg))
             if cfg.alert_files_per_batch:
                 alerts = alerts.repartition(cfg.alert_files_per_batch)
             started.append(start_alerts_sink(alerts, cfg))
@@ -277,13 +275,23 @@ def start_speed_layer(raw: DataFrame, cfg: SpeedConfig) -> list[StreamingQuery]:
     return started
 
 
-def await_all(spark: SparkSession, queries: list[StreamingQuery], timeout: float | None = None) -> None:
-    """ST-9: block until every query ends; the first failure, or Ctrl+C,
-    stops the rest and is raised (the reference waited on the console query
-    only, so a failed alert query went unnoticed)."""
+def await_all(spark: SparkSession, queries: list[StreamingQuery], timeout: float | None = None,
+              poll: float = 0.5) -> None:
+    """ST-9: block until every query ends, or ``timeout`` seconds are over in all.
+
+    All queries are watched at once: the first failure of any, or Ctrl+C, stops
+    the rest and is raised, also while others are still running (the reference
+    waited on the console query only, so a failed alert query went unnoticed)."""
+    until = None if timeout is None else time.monotonic() + timeout
     try:
-        for q in queries:
-            q.awaitTermination(timeout) if timeout else q.awaitTermination()
+        while True:
+            active = [q for q in queries if q.isActive]
+            for q in queries:
+                if q not in active and q.exception() is not None:
+                    q.awaitTermination()  # raises what ended it
+            if not active or (until is not None and time.monotonic() >= until):
+                return
+            active[0].awaitTermination(poll)
     except BaseException:
         stop_all(queries)
         raise

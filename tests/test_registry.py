@@ -59,3 +59,22 @@ def test_fixture_numbers_sf001(spark):
     corr = q["rain_river_corr"](spark, SF01).first().correlation
     assert corr == pytest.approx(0.0022936037038438347, abs=1e-9)
     assert q["windowed_stats"](spark, SF01).count() == 9527
+
+
+@pytest.fixture(scope="module")
+def split_table(spark, tmp_path_factory):
+    """The events table as a folder of part files."""
+    root = tmp_path_factory.mktemp("parts")
+    spark.read.parquet(f"{SF001}/events.parquet").repartition(5).write.parquet(f"{root}/events.parquet")
+    spark.range(3).write.parquet(f"{root}/events_old.parquet")  # a sibling that is no part of it
+    return str(root)
+
+
+@pytest.mark.parametrize("name", sorted(QUERIES))
+def test_query_reads_a_table_of_several_files(spark, split_table, name):
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW events AS SELECT * FROM read_parquet('{split_table}/events.parquet/*.parquet')")
+    df = QUERIES[name](spark, split_table)
+    res = con.execute(ORACLE_SQL[name])
+    ocols = [d[0] for d in res.description]
+    assert _bag(df.columns, [tuple(r) for r in df.collect()]) == _bag(ocols, res.fetchall())

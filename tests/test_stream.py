@@ -329,3 +329,55 @@ def test_stop_all_on_failure(spark):
     assert all(q.isActive for q in qs)
     stop_all(qs)
     assert not any(q.isActive for q in qs)
+
+
+def test_await_all_sees_a_failure_beside_a_live_query(spark):
+    import time
+    from pyspark.sql import functions as F
+    root = work_path(spark, "test-await")
+    live = (spark.readStream.format("rate").load().writeStream.format("noop")
+            .option("checkpointLocation", f"{root}/live").start())
+    bad = (spark.readStream.format("rate").load().select(F.raise_error(F.lit("boom"))).writeStream
+           .format("noop").option("checkpointLocation", f"{root}/bad").start())
+    began = time.monotonic()
+    with pytest.raises(Exception, match="boom"):
+        await_all(spark, [live, bad])
+    assert time.monotonic() - began < 30 and not live.isActive and not bad.isActive
+
+
+def test_await_all_timeout_is_for_all(spark):
+    import time
+    root = work_path(spark, "test-await")
+    qs = [(spark.readStream.format("rate").load().writeStream.format("noop")
+           .option("checkpointLocation", f"{root}/{i}").start()) for i in range(3)]
+    began = time.monotonic()
+    await_all(spark, qs, timeout=2)
+    assert time.monotonic() - began < 5 and all(q.isActive for q in qs)
+    stop_all(qs)
+
+
+def test_index_without_alert_files_is_refused(spark):
+    root = work_path(spark, "test-index")
+    with pytest.raises(ValueError, match="alerts_path"):
+        start_speed_layer(spark.readStream.format("rate").load(), SpeedConfig(
+            checkpoint_root=root, alerts_top_path=f"{root}/top", stats=False))
+
+
+def test_index_serves_any_n(spark):
+    """Three batches of 30 alerts: n over the index's k is read from the files."""
+    from riverwatch.plans.serving import ServingLayer
+    root = work_path(spark, "test-index-n")
+    src_dir = local_dir(f"{root}/in")
+    batches = [[{**_golden_msgs()[0], "timestamp": f"2024-01-{b + 1:02d}T00:{i:02d}:00",
+                 "rainfall_mm_per_hr": 9.0} for i in range(30)] for b in range(3)]
+    _write_batches(src_dir, batches)
+    cfg = _cfg(spark, root, alerts_path=f"{root}/alerts", alerts_top_path=f"{root}/top", stats=False)
+    await_all(spark, start_speed_layer(read_message_stream(spark, src_dir, max_files_per_trigger=1), cfg))
+    files = ServingLayer(spark, f"{root}/none", cfg.alerts_path)
+    both = ServingLayer(spark, f"{root}/none", cfg.alerts_path, cfg.alerts_top_path)
+    for n in (3, 10, 50, 100):
+        assert [tuple(r) for r in both.query("alerts", n=n).collect()] == [
+            tuple(r) for r in files.query("alerts", n=n).collect()]
+    assert both.query("alerts", n=100).count() == 90
+    with pytest.raises(ValueError, match="asked for 50"):
+        ServingLayer(spark, f"{root}/none", None, cfg.alerts_top_path).query("alerts", n=50)

@@ -23,6 +23,9 @@ obj = st.fixed_dictionaries({}, optional={
 message = st.one_of(
     obj.map(lambda d: json.dumps(d)),
     st.sampled_from(["not json", "{", "[]", "[1,2]", "", " ", "{\"a\":", "null", "{}", None,
+                     "\nnull", "null\t", "[1] x", '"text" more', '{"rainfall_mm_per_hr": 6.0} xyz',
+                     '{"rainfall_mm_per_hr": 6} {"rainfall_mm_per_hr": 1}', "{'rainfall_mm_per_hr': 6}",
+                     "1] xyz [2", "]", "1, 2", '"text"', "5", " {} ", ',"end of message"]',
                      "[NaN]", "[1, NaN]", '{"a": [NaN], "rainfall_mm_per_hr": 7}']),
 )
 
@@ -53,7 +56,9 @@ def test_triage_matches_model(spark, msgs):
         assert got[i] == model(m), (m, got[i])
 
 
-FIXED = ["not json", "{", "[]", "[1,2]", "", " ", "{\"a\":", "null", "{}", None, "[NaN]",
+FIXED = ["\nnull", "null\t", "[1] x", '"text" more', '{"rainfall_mm_per_hr": 6.0} xyz', "1] xyz [2", "]",
+         '{"rainfall_mm_per_hr": 6} {"rainfall_mm_per_hr": 1}', "{'rainfall_mm_per_hr': 6}", "1, 2", '"text"',
+         "5", " {} ", "\n{}\r\n", ',"end of message"]', '1,"end of message"] [', "not json", "{", "[]", "[1,2]", "", " ", "{\"a\":", "null", "{}", None, "[NaN]",
          "[1, NaN]", '{"a": [NaN], "rainfall_mm_per_hr": 7}', '{"rainfall_mm_per_hr": NaN}',
          '{"rainfall_mm_per_hr": "6"}', '{"rainfall_mm_per_hr": null}', '{"rainfall_mm_per_hr": 5.5}']
 
