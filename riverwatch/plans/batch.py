@@ -111,29 +111,37 @@ def run_batch(
 ) -> dict[str, DataFrame] | None:
     """B-3: guard, classify + write, analytics, write.
 
-    Returns the analytics (lazy, over the written view when
-    ``materialize``), or None when the input is empty (nothing written).
+    Returns the analytics (lazy, over the written views), or None when the
+    input is empty (nothing written).
     """
-    if not A.has_rows(readings):  # A-7 guard: reads one row at most
-        return None
     paths = BatchPaths(out_dir)
+    checkpoint_root(spark)  # make sure a checkpoint folder is registered
     if materialize:
+        if not A.has_rows(readings):  # A-7 guard: reads one row at most
+            return None
         sinks.write_partitioned_view(
             classify_risk(readings, thresholds), paths.flood_risk, rebalance=rebalance
         )
         stored = spark.read.parquet(paths.flood_risk)
-        checkpoint_root(spark)  # make sure a checkpoint folder is registered
         summary = A.batch_summary(stored).checkpoint(eager=True)
         results = A.split_summary(summary, ordered=False)
         results["flood_risk"] = stored
         results["extreme_events"] = A.extreme_events(stored)
         save_batch_views(results, out_dir, run_id, rebalance, skip_flood_risk=True)
         return results
-    # B-4: persist before the first action so every job sees the same rows.
+    # B-4: persist before the first action so every job sees the same rows, and
+    # hand out nothing that would read the source again once the cache is gone.
     cached = readings.persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        results = compute_batch_analytics(cached, thresholds, ordered=False)
+        if not A.has_rows(cached):
+            return None
+        classified = classify_risk(cached, thresholds)
+        results = A.split_summary(A.batch_summary(classified).checkpoint(eager=True), ordered=False)
+        results["flood_risk"] = classified
+        results["extreme_events"] = A.extreme_events(classified)
         save_batch_views(results, out_dir, run_id, rebalance)
     finally:
         cached.unpersist()
+    results["flood_risk"] = spark.read.parquet(paths.flood_risk)
+    results["extreme_events"] = A.extreme_events(results["flood_risk"])
     return results

@@ -25,7 +25,9 @@ from riverwatch.session import work_path
 from riverwatch.sinks.batch import write_alerts_json
 from riverwatch.sources import readings as R
 from riverwatch.sources.files import read_alerts, read_message_files
-from riverwatch.streaming.speed import SpeedConfig, await_all, start_speed_layer
+from riverwatch.streaming.speed import (
+    SpeedConfig, await_all, latest_window_stats, start_speed_layer,
+)
 
 DIGITS = 9
 DAMAGED_EVENT_TYPE = "error"  # feed records wrapped in a text envelope (undecodable)
@@ -148,9 +150,9 @@ def q_recent_alerts(spark, sf_dir):
     return ServingLayer(spark, work_path(spark, "no-batch"), alerts_dir).query("alerts")
 
 
-def _run_stream(spark, sf_dir, **cfg_kwargs):
+def _run_stream(spark, sf_dir, files_per_trigger=None, **cfg_kwargs):
     root = work_path(spark, "stream")
-    raw = R.messages_from_events(R.events_stream(spark, sf_dir)).select("value")
+    raw = R.messages_from_events(R.events_stream(spark, sf_dir, files_per_trigger)).select("value")
     cfg = SpeedConfig(checkpoint_root=f"{root}/checkpoints", available_now=True, **{
         k: (f"{root}/{v}" if k.endswith("_path") else v) for k, v in cfg_kwargs.items()})
     await_all(spark, start_speed_layer(raw, cfg))
@@ -175,16 +177,52 @@ def q_stream_raw_archive(spark, sf_dir):
 
 def q_stream_realtime_stats(spark, sf_dir):
     """The reference's default speed-layer windows: processing time,
-    complete mode. The whole table is one micro-batch, so
-    ``processing_time`` is one value and each location has one window; the
-    window bounds (the clock) are left out, the per-location values are
-    checked. Written to a parquet table (the in-memory table of the
-    reference would hold the whole result on the driver)."""
-    cfg = _run_stream(spark, sf_dir, stats_path="stats")
-    out = spark.read.parquet(cfg.stats_path).drop("window")
+    complete mode. A location's readings fall into as many windows as there
+    are micro-batches in different ones; the windows (the clock) are merged
+    into one row for each location by their counts, so the result does not
+    depend on how the table came in batches. Written to a parquet table (the
+    in-memory table of the reference would hold the whole result on the driver)."""
+    cfg = _run_stream(spark, sf_dir, files_per_trigger=1, stats_path="stats")
+    n = F.col("record_count")
+
+    def mean(c):
+        return (F.sum(F.col(c) * n) / F.sum(F.when(F.col(c).isNotNull(), n))).alias(c)
+
+    out = spark.read.parquet(cfg.stats_path).groupBy(S.LOCATION_ID).agg(
+        mean("avg_rainfall"), F.max("max_rainfall").alias("max_rainfall"),
+        mean("avg_river_level"), F.max("max_river_level").alias("max_river_level"),
+        F.sum(n).alias("record_count"))
     return _round(out, ["avg_rainfall", "avg_river_level"])
 
 
+def q_stream_update_stats(spark, sf_dir):
+    """Event-time windows in update mode, one file a micro-batch, no watermark (every
+    reading counts): each batch writes the windows it changed, the newest row of each is read."""
+    cfg = _run_stream(spark, sf_dir, files_per_trigger=1, stats_path="stats", time_col="event",
+                      stats_mode="update", watermark=None)
+    return _round(A.flatten_window(latest_window_stats(spark.read.parquet(cfg.stats_path))),
+                  ["avg_rainfall", "avg_river_level"])
+
+
+def q_stream_fan_out(spark, sf_dir):
+    """ST-8: alerts, raw archive and statistics from one stream, one file a micro-batch,
+    stopped and started again on the same checkpoints (nothing is read twice)."""
+    root = work_path(spark, "stream")
+    cfg = SpeedConfig(checkpoint_root=f"{root}/checkpoints", available_now=True,
+                      alerts_path=f"{root}/alerts", raw_path=f"{root}/raw", stats_path=f"{root}/stats",
+                      time_col="event")
+    for _ in range(2):
+        raw = R.messages_from_events(R.events_stream(spark, sf_dir, 1)).select("value")
+        await_all(spark, start_speed_layer(raw, cfg))
+    counts = [("alerts", read_alerts(spark, cfg.alerts_path)),
+              ("raw_messages", read_message_files(spark, cfg.raw_path)),
+              ("windowed_readings", spark.read.parquet(cfg.stats_path).select(
+                  F.col("record_count")))]
+    parts = [df.agg((F.sum("record_count") if name == "windowed_readings" else F.count("*")).alias("count"))
+             .select(F.lit(name).alias("sink"), "count") for name, df in counts]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
 def q_stream_recent_alerts(spark, sf_dir):
     """V-2 served from the speed layer's per-batch top-k index instead of a
     scan of every alert file (same answer)."""
@@ -229,6 +267,8 @@ QUERIES: dict[str, Query] = {
     "stream_windowed_stats": q_stream_windowed_stats,
     "stream_alerts": q_stream_alerts,
     "stream_raw_archive": q_stream_raw_archive,
+    "stream_update_stats": q_stream_update_stats,
+    "stream_fan_out": q_stream_fan_out,
     "stream_realtime_stats": q_stream_realtime_stats,
     "stream_triage": q_stream_triage,
     "stream_recent_alerts": q_stream_recent_alerts,
@@ -372,6 +412,11 @@ ORACLE_SQL["reading_time_parts"] = _with(
 ORACLE_SQL["undecodable_messages"] = (
     f"SELECT * FROM ({ORACLE_SQL['message_triage']}) WHERE problem = 'undecodable'")
 ORACLE_SQL["stream_windowed_stats"] = ORACLE_SQL["windowed_stats"]
+ORACLE_SQL["stream_update_stats"] = ORACLE_SQL["windowed_stats"]
+ORACLE_SQL["stream_fan_out"] = f"""
+SELECT 'alerts' AS sink, count(*) AS count FROM ({ORACLE_SQL["flood_alerts"]})
+UNION ALL SELECT 'raw_messages', count(*) FROM events
+UNION ALL SELECT 'windowed_readings', count(*) FROM events"""
 ORACLE_SQL["stream_alerts"] = ORACLE_SQL["flood_alerts"]
 ORACLE_SQL["stream_raw_archive"] = ORACLE_SQL["json_roundtrip"]
 ORACLE_SQL["stream_realtime_stats"] = _with(

@@ -152,9 +152,9 @@ def latest_window_stats(versions: DataFrame) -> DataFrame:
     aggregate, no sort, no window function)."""
     keys = ["window", S.LOCATION_ID]
     values = [c for c in versions.columns if c not in keys + ["batch_id"]]
-    latest = versions.groupBy(*keys).agg(
-        F.max_by(F.struct(*values), "batch_id").alias("__latest"))
-    return latest.select(*keys, *[F.col(f"__latest.{c}").alias(c) for c in values])
+    # one max_by for each column keeps the aggregate a hash aggregate
+    return versions.groupBy(*keys).agg(
+        *[F.max_by(c, "batch_id").alias(c) for c in values])
 
 
 def start_stats_sink(stats: DataFrame, cfg: SpeedConfig) -> StreamingQuery:

@@ -10,6 +10,7 @@ from riverwatch.operators import analytics as A
 from riverwatch.operators.classify import classify_risk, flood_alerts
 from riverwatch.plans.batch import compute_batch_analytics, run_batch
 from riverwatch.plans.serving import ServingLayer
+from conftest import GOLDEN
 from riverwatch.session import local_dir, work_path
 from riverwatch.sinks.batch import write_alerts_json
 from riverwatch.sources.readings import readings
@@ -223,3 +224,20 @@ def test_alert_json_roundtrip_nan_and_null(spark):
 def read_alerts_for_test(spark, path):
     from riverwatch.sources.files import read_alerts
     return read_alerts(spark, path).collect()
+
+
+def test_persist_mode_reads_the_source_once(spark):
+    """The results outlive the cache: using them reads the stored views, not the source."""
+    rows = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for b in batches:
+            rows.add(b.num_rows)
+            yield b
+
+    source = spark.createDataFrame(GOLDEN * 5, S.READING).withColumn("kafka_timestamp", F.current_timestamp())
+    counted = source.mapInArrow(count, source.schema)
+    results = run_batch(spark, counted, work_path(spark, "test-persist-once"), materialize=False)
+    for df in results.values():
+        df.collect()
+    assert rows.value == 30
