@@ -13,7 +13,6 @@ import functools
 import os
 import re
 from array import array
-from itertools import accumulate
 
 import numpy as np
 import public_tokenizers
@@ -63,7 +62,9 @@ class _Cache(dict):
 
 
 class _Parts(_Cache):
-    """Ids of a space and the part; what a line end divides is put together and not kept."""
+    """Values of a space and the part, which can be put together from those of its pieces.
+
+    What a line end divides is put together each time and not kept."""
 
     def __init__(self, encode, single, room: int):
         super().__init__(encode, room)
@@ -98,7 +99,7 @@ class Encoder:
         self._spelling = {c: spell(chr(c))[0][0] for c in range(0x250)}
         self._model = self.tokenizer.model
         self._ids = _Parts(self._encode_ids, self._encode_single, room)
-        self._spans = _Cache(lambda part: self._encode_spans(" " + part), room // 4)
+        self._spans = _Parts(self._encode_steps, self._single_steps, room)
 
     def _encode_ids(self, text: str) -> bytes:
         return array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
@@ -108,17 +109,19 @@ class Encoder:
         found = self._model.tokenize(text.translate(self._spelling))
         return array("I", [t.id for t in found]).tobytes()
 
-    def _encode_spans(self, part: str) -> tuple[bytes, bytes]:
-        """Starts and ends of the tokens of a part."""
-        plain = _PLAIN(part[1:]) if part.isascii() and part[:1] == " " else None
-        if plain:  # a character is a byte here, so the lengths of the tokens are theirs
-            word, *rest = plain.groups()
-            ends = list(accumulate(len(t.value) for x in (" " + word, *rest) if x
-                                   for t in self._model.tokenize(x.translate(self._spelling))))
-            return array("i", [0, *ends[:-1]]).tobytes(), array("i", ends).tobytes()
-        spans = np.array(self.tokenizer.encode(part, add_special_tokens=False).offsets,
+    def _encode_steps(self, text: str) -> bytes:
+        """(step to the next token's start, length) of each token, in characters of the text."""
+        spans = np.array(self.tokenizer.encode(text, add_special_tokens=False).offsets,
                          dtype="<i4").reshape(-1, 2)
-        return spans[:, 0].tobytes(), spans[:, 1].tobytes()
+        steps = np.diff(spans[:, 0], append=np.int32(len(text)))
+        return np.stack([steps, spans[:, 1] - spans[:, 0]], axis=1).astype("<i4").tobytes()
+
+    def _single_steps(self, text: str) -> bytes:
+        """The same for one part of the pre-tokenizer; in ASCII a token is as long as its spelling."""
+        if not text.isascii():
+            return self._encode_steps(text)
+        found = self._model.tokenize(text.translate(self._spelling))
+        return array("i", [n for t in found for n in (len(t.value),) * 2]).tobytes()
 
     def ids(self, text: str) -> bytes:
         """The ids as little-endian unsigned 32-bit numbers."""
@@ -128,15 +131,12 @@ class Encoder:
 
     def spans(self, text: str) -> tuple[np.ndarray, np.ndarray]:
         """Start and end of each token in code points of the text."""
-        first, *rest = parts_of(text)
-        found = [self._encode_spans(first), *map(self._spans.__getitem__, rest)]
-        counts = [len(s) // 4 for s, _ in found]
-        # a later part begins at the space before it
-        lengths = np.array([len(first), *(len(r) + 1 for r in rest)], dtype=np.int64)
-        at = np.repeat(np.concatenate(([0], np.cumsum(lengths[:-1]))), counts)
-        starts = np.frombuffer(b"".join(s for s, _ in found), dtype="<i4")
-        ends = np.frombuffer(b"".join(e for _, e in found), dtype="<i4")
-        return at + starts, at + ends
+        parts = parts_of(text)
+        first = self._encode_steps(parts.pop(0))
+        pairs = np.frombuffer(first + b"".join(map(self._spans.__getitem__, parts)), dtype="<i4")
+        ends = np.cumsum(pairs[::2], dtype=np.int64)
+        starts = ends - pairs[::2]
+        return starts, starts + pairs[1::2]
 
 
 @functools.cache
