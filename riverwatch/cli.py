@@ -29,7 +29,9 @@ def _source(spark, args, stream: bool):
 
     return read_messages(spark, args.kafka, args.topic, args.messages, stream=stream,
                          min_partitions=args.min_partitions,
-                         max_offsets_per_trigger=args.max_offsets)
+                         max_offsets_per_trigger=args.max_offsets if stream else None,
+                         max_files_per_trigger=args.max_files if stream else None,
+                         starting_offsets=args.starting_offsets)
 
 
 def _show(df, limit: int | None = None) -> None:
@@ -132,23 +134,29 @@ def parser() -> argparse.ArgumentParser:
     p = argparse.ArgumentParser(prog="riverwatch")
     sub = p.add_subparsers(dest="cmd", required=True)
 
-    def src(sp):
+    def src(sp, stream: bool, first: str = "earliest"):
         sp.add_argument("--kafka", help="bootstrap servers")
         sp.add_argument("--topic", help="topic the producer writes to (needed with --kafka)")
         sp.add_argument("--messages", help="folder of JSON message files instead of Kafka")
-        sp.add_argument("--min-partitions", type=int, default=None)
-        sp.add_argument("--max-offsets", type=int, default=None)
+        sp.add_argument("--min-partitions", type=int, default=None, help="Kafka: least read tasks")
+        sp.add_argument("--starting-offsets", default=None,
+                        help=f"Kafka: earliest, latest or JSON ({first})")
         sp.add_argument("--keep-nan", action="store_true")
-        sp.add_argument("--checkpoint", default=None)
-        sp.add_argument("--once", action="store_true",
-                        help="streams: process what is available, then stop")
-
-    b = sub.add_parser("batch"); src(b)
+        if stream:
+            sp.add_argument("--max-offsets", type=int, default=None,
+                            help="Kafka: most records of a micro-batch")
+            sp.add_argument("--max-files", type=int, default=None,
+                            help="message files: most files of a micro-batch")
+            sp.add_argument("--checkpoint", default=None)
+            sp.add_argument("--once", action="store_true",
+                            help="process what is available, then stop")
+
+    b = sub.add_parser("batch"); src(b, False)
     b.add_argument("--out", required=True)
     b.add_argument("--run-id", default=None)
     b.add_argument("--limit", type=int, default=None, help="rows printed of each view (all)")
     b.add_argument("--persist", action="store_true", help="cache instead of materializing")
-    s = sub.add_parser("speed"); src(s)
+    s = sub.add_parser("speed"); src(s, True, "latest")
     s.add_argument("--out", required=True)
     s.add_argument("--raw", action="store_true", help="also archive raw messages")
     s.add_argument("--stats-memory", action="store_true",
@@ -159,7 +167,7 @@ def parser() -> argparse.ArgumentParser:
                    help="one source read for alerts and raw archive (foreachBatch)")
     s.add_argument("--console", choices=["parsed", "raw"], default=None)
     s.add_argument("--alerts-top", action="store_true",
-                   help="also keep a per-batch top-10 alert index under --out/alerts_top")
+                   help="also keep an index of the ten latest alerts under --out/alerts_top")
     s.add_argument("--stats-mode", choices=["complete", "update", "append"], default="complete",
                    help="output mode of the windowed stats (complete = the reference's)")
     s.add_argument("--state-partitions", type=int, default=None,
@@ -179,7 +187,7 @@ def parser() -> argparse.ArgumentParser:
     r.add_argument("--messages")
     r.add_argument("--missing-as-nan", action="store_true",
                    help="send empty numeric cells as NaN (as a pandas-based producer does)")
-    t = sub.add_parser("triage"); src(t)
+    t = sub.add_parser("triage"); src(t, True)
     t.add_argument("--out", default=None, help="append the tagged messages as JSON files")
     return p
 
@@ -193,6 +201,13 @@ def _parse(argv: list[str]) -> argparse.Namespace:
     args = p.parse_args(argv)
     if getattr(args, "kafka", None) and not getattr(args, "topic", None):
         p.error("--kafka needs --topic")
+    kafka_only = ("min_partitions", "starting_offsets", "max_offsets")
+    unused = kafka_only if not getattr(args, "kafka", None) else ("max_files",)
+    for name in unused:
+        if getattr(args, name, None) is not None:
+            p.error(f"--{name.replace('_', '-')} has no meaning for this source")
+    if args.cmd == "triage" and args.kafka and not args.starting_offsets:
+        args.starting_offsets = "earliest"  # the consumer's: all there is, at its first start
     if args.cmd in ("batch", "speed", "triage", "produce") and not (args.kafka or args.messages):
         p.error("give --kafka HOST:PORT --topic T, or --messages DIR")
     return args

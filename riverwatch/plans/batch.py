@@ -27,6 +27,7 @@ from riverwatch.operators import analytics as A
 from riverwatch.operators.classify import classify_risk
 from riverwatch.session import checkpoint_root
 from riverwatch.sinks import batch as sinks
+from riverwatch.sinks import versions
 
 LOCATION_STATS = "location_stats"
 FLOOD_RISK = "flood_risk_data"
@@ -46,6 +47,12 @@ class BatchPaths:
         return f"{self.root.rstrip('/')}/{FLOOD_RISK}"
 
 
+def current_views(spark: SparkSession, out_dir: str) -> BatchPaths:
+    """Where the views of the newest finished run are (``out_dir`` itself, if it
+    holds plain views and no runs)."""
+    return BatchPaths(versions.current_version(spark, out_dir) or out_dir)
+
+
 def compute_batch_analytics(
     readings: DataFrame,
     thresholds: RiskThresholds = RiskThresholds(),
@@ -89,13 +96,15 @@ def save_batch_views(
     run_id: str | None = None,
     rebalance: bool = True,
     skip_flood_risk: bool = False,
+    json_dir: str | None = None,
 ) -> dict[str, str]:
-    """B-2: write the three persisted views; returns name -> path."""
+    """B-2: write the three persisted views into ``out_dir`` (the run-stamped JSON
+    into ``json_dir``, if given); returns name -> path."""
     paths = BatchPaths(out_dir)
     if not skip_flood_risk:
         sinks.write_partitioned_view(results["flood_risk"], paths.flood_risk, rebalance=rebalance)
     sinks.write_parquet_view(results["location_stats"], paths.location_stats)
-    dist = sinks.write_json_view(results["risk_distribution"], out_dir, RISK_DISTRIBUTION, run_id)
+    dist = sinks.write_json_view(results["risk_distribution"], json_dir or out_dir, RISK_DISTRIBUTION, run_id)
     return {LOCATION_STATS: paths.location_stats, FLOOD_RISK: paths.flood_risk,
             RISK_DISTRIBUTION: dist}
 
@@ -111,23 +120,30 @@ def run_batch(
 ) -> dict[str, DataFrame] | None:
     """B-3: guard, classify + write, analytics, write.
 
-    Returns the analytics (lazy, over the written views), or None when the
-    input is empty (nothing written).
+    A run's views go to a folder of their own, which becomes the current one
+    when all are written (``sinks.versions``): readers see the views of one run,
+    and a run that fails leaves the last one in place. Returns the analytics
+    (lazy, over the written views), or None when the input is empty (nothing
+    written).
     """
-    paths = BatchPaths(out_dir)
     checkpoint_root(spark)  # make sure a checkpoint folder is registered
+    results: dict[str, DataFrame] = {}
     if materialize:
         if not A.has_rows(readings):  # A-7 guard: reads one row at most
             return None
-        sinks.write_partitioned_view(
-            classify_risk(readings, thresholds), paths.flood_risk, rebalance=rebalance
-        )
-        stored = spark.read.parquet(paths.flood_risk)
-        summary = A.batch_summary(stored).checkpoint(eager=True)
-        results = A.split_summary(summary, ordered=False)
-        results["flood_risk"] = stored
-        results["extreme_events"] = A.extreme_events(stored)
-        save_batch_views(results, out_dir, run_id, rebalance, skip_flood_risk=True)
+
+        def write_from_table(to: str) -> None:
+            flood_risk = BatchPaths(to).flood_risk
+            sinks.write_partitioned_view(
+                classify_risk(readings, thresholds), flood_risk, rebalance=rebalance)
+            stored = spark.read.parquet(flood_risk)
+            results.update(A.split_summary(
+                A.batch_summary(stored).checkpoint(eager=True), ordered=False))
+            results["flood_risk"] = stored
+            results["extreme_events"] = A.extreme_events(stored)
+            save_batch_views(results, to, run_id, rebalance, skip_flood_risk=True, json_dir=out_dir)
+
+        versions.write_version(spark, out_dir, write_from_table)
         return results
     # B-4: persist before the first action so every job sees the same rows, and
     # hand out nothing that would read the source again once the cache is gone.
@@ -136,12 +152,13 @@ def run_batch(
         if not A.has_rows(cached):
             return None
         classified = classify_risk(cached, thresholds)
-        results = A.split_summary(A.batch_summary(classified).checkpoint(eager=True), ordered=False)
+        results.update(A.split_summary(
+            A.batch_summary(classified).checkpoint(eager=True), ordered=False))
         results["flood_risk"] = classified
-        results["extreme_events"] = A.extreme_events(classified)
-        save_batch_views(results, out_dir, run_id, rebalance)
+        written = versions.write_version(spark, out_dir, lambda to: save_batch_views(
+            results, to, run_id, rebalance, json_dir=out_dir))
     finally:
         cached.unpersist()
-    results["flood_risk"] = spark.read.parquet(paths.flood_risk)
+    results["flood_risk"] = spark.read.parquet(BatchPaths(written).flood_risk)
     results["extreme_events"] = A.extreme_events(results["flood_risk"])
     return results

@@ -22,9 +22,10 @@ from riverwatch.operators.classify import classify_risk, flood_alerts
 from riverwatch.plans.batch import run_batch
 from riverwatch.plans.serving import ServingLayer
 from riverwatch.session import work_path
-from riverwatch.sinks.batch import write_alerts_json
+from riverwatch.sinks.batch import write_alerts_json, write_json_view
+from riverwatch.sinks.versions import read_current
 from riverwatch.sources import readings as R
-from riverwatch.sources.files import read_alerts, read_message_files
+from riverwatch.sources.files import read_alerts, read_message_files, read_readings_csv
 from riverwatch.streaming.speed import (
     SpeedConfig, await_all, latest_window_stats, start_speed_layer,
 )
@@ -40,8 +41,8 @@ def _round(df: DataFrame, cols: list[str], digits: int = DIGITS) -> DataFrame:
     return df.select(*[F.round(c, digits).alias(c) if c in cols else F.col(c) for c in df.columns])
 
 
-def _readings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return R.readings(spark, sf_dir)
+def _readings(spark: SparkSession, sf_dir: str, parse_once: bool = False) -> DataFrame:
+    return R.readings(spark, sf_dir, parse_once)
 
 
 def _feed(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -59,7 +60,7 @@ def q_risk_distribution(spark, sf_dir):
 
 
 def q_flood_alerts(spark, sf_dir):
-    return flood_alerts(_readings(spark, sf_dir))
+    return flood_alerts(_readings(spark, sf_dir, parse_once=True))
 
 
 def q_location_stats(spark, sf_dir):
@@ -80,7 +81,7 @@ def q_extreme_events(spark, sf_dir):
 
 
 def q_high_risk_locations(spark, sf_dir):
-    return A.high_risk_locations(classify_risk(_readings(spark, sf_dir)))
+    return A.high_risk_locations(classify_risk(_readings(spark, sf_dir, parse_once=True)))
 
 
 def q_record_count(spark, sf_dir):
@@ -146,7 +147,7 @@ def q_location_summary_one(spark, sf_dir):
 
 def q_recent_alerts(spark, sf_dir):
     alerts_dir = work_path(spark, "alerts")
-    write_alerts_json(flood_alerts(_readings(spark, sf_dir)), alerts_dir)
+    write_alerts_json(flood_alerts(_readings(spark, sf_dir, parse_once=True)), alerts_dir)
     return ServingLayer(spark, work_path(spark, "no-batch"), alerts_dir).query("alerts")
 
 
@@ -159,9 +160,45 @@ def _run_stream(spark, sf_dir, files_per_trigger=None, **cfg_kwargs):
     return cfg
 
 
+def q_csv_location_stats(spark, sf_dir):
+    """SRC-3: the readings as CSV files whose columns stand in another order, read by name."""
+    path = work_path(spark, "csv")
+    df = _readings(spark, sf_dir)
+    df.select(*reversed(df.columns)).write.option("header", True).csv(path)
+    return _round(A.location_stats(read_readings_csv(spark, path)),
+                  ["avg_rainfall", "avg_temperature", "avg_river_level"])
+
+
+def q_decode_with_raw(spark, sf_dir):
+    """P-3: readings beside the message text. The text is checked by decoding it once more."""
+    out = D.decode_stream(_feed(spark, sf_dir), keep_raw=True)
+    again = D.decode_messages(out.select(F.col(S.RAW_VALUE).alias("value")),
+                              raw_as=S.RAW_VALUE).withColumnRenamed(S.LOCATION_ID, "from_raw")
+    damaged = F.col(S.RAW_VALUE).startswith(R.DAMAGE_ENVELOPE)
+    parts = [df.select(F.lit(side).alias("side"), F.col(c).alias(S.LOCATION_ID), damaged.alias("damaged"))
+             for side, df, c in (("decoded", out, S.LOCATION_ID), ("raw", again, "from_raw"))]
+    return parts[0].unionByName(parts[1]).groupBy("side", S.LOCATION_ID, "damaged").agg(
+        F.count(F.lit(1)).alias("count"))
+
+
+def q_alerts_with_time(spark, sf_dir):
+    """P-8: alerts with the time they were processed, which is the clock's: checked to be there."""
+    stamped = D.stamp_processing_time(_readings(spark, sf_dir, parse_once=True))
+    out = flood_alerts(stamped, with_processing_time=True)
+    return out.withColumn("stamped", F.col(S.PROCESSING_TIME).isNotNull()).drop(S.PROCESSING_TIME)
+
+
+def q_json_distribution(spark, sf_dir):
+    """SNK-4: the run-stamped JSON view, read back."""
+    out = work_path(spark, "distribution")
+    path = write_json_view(A.risk_distribution(classify_risk(_readings(spark, sf_dir))), out,
+                           "risk_distribution", "check")
+    return spark.read.schema("flood_risk_level string, count long").json(path)
+
+
 def q_stream_windowed_stats(spark, sf_dir):
     cfg = _run_stream(spark, sf_dir, stats_path="stats", time_col="event")
-    out = A.flatten_window(spark.read.parquet(cfg.stats_path))
+    out = A.flatten_window(read_current(spark, cfg.stats_path))
     return _round(out, ["avg_rainfall", "avg_river_level"])
 
 
@@ -188,7 +225,7 @@ def q_stream_realtime_stats(spark, sf_dir):
     def mean(c):
         return (F.sum(F.col(c) * n) / F.sum(F.when(F.col(c).isNotNull(), n))).alias(c)
 
-    out = spark.read.parquet(cfg.stats_path).groupBy(S.LOCATION_ID).agg(
+    out = read_current(spark, cfg.stats_path).groupBy(S.LOCATION_ID).agg(
         mean("avg_rainfall"), F.max("max_rainfall").alias("max_rainfall"),
         mean("avg_river_level"), F.max("max_river_level").alias("max_river_level"),
         F.sum(n).alias("record_count"))
@@ -216,8 +253,7 @@ def q_stream_fan_out(spark, sf_dir):
         await_all(spark, start_speed_layer(raw, cfg))
     counts = [("alerts", read_alerts(spark, cfg.alerts_path)),
               ("raw_messages", read_message_files(spark, cfg.raw_path)),
-              ("windowed_readings", spark.read.parquet(cfg.stats_path).select(
-                  F.col("record_count")))]
+              ("windowed_readings", read_current(spark, cfg.stats_path).select("record_count"))]
     parts = [df.agg((F.sum("record_count") if name == "windowed_readings" else F.count("*")).alias("count"))
              .select(F.lit(name).alias("sink"), "count") for name, df in counts]
     return parts[0].unionByName(parts[1]).unionByName(parts[2])
@@ -264,6 +300,10 @@ QUERIES: dict[str, Query] = {
     "served_high_risk": q_served_high_risk,
     "location_summary_one": q_location_summary_one,
     "recent_alerts": q_recent_alerts,
+    "csv_location_stats": q_csv_location_stats,
+    "decode_with_raw": q_decode_with_raw,
+    "alerts_with_time": q_alerts_with_time,
+    "json_distribution": q_json_distribution,
     "stream_windowed_stats": q_stream_windowed_stats,
     "stream_alerts": q_stream_alerts,
     "stream_raw_archive": q_stream_raw_archive,
@@ -411,6 +451,13 @@ ORACLE_SQL["reading_time_parts"] = _with(
               CAST(CAST("timestamp" AS TIMESTAMP) AS DATE) AS date FROM readings""")
 ORACLE_SQL["undecodable_messages"] = (
     f"SELECT * FROM ({ORACLE_SQL['message_triage']}) WHERE problem = 'undecodable'")
+ORACLE_SQL["csv_location_stats"] = ORACLE_SQL["location_stats"]
+ORACLE_SQL["json_distribution"] = ORACLE_SQL["risk_distribution"]
+ORACLE_SQL["alerts_with_time"] = f"SELECT *, TRUE AS stamped FROM ({ORACLE_SQL['flood_alerts']})"
+ORACLE_SQL["decode_with_raw"] = _with(
+    f"""SELECT side, CASE WHEN event_type = '{DAMAGED_EVENT_TYPE}' THEN NULL ELSE location_id END AS location_id,
+              event_type = '{DAMAGED_EVENT_TYPE}' AS damaged, count(*) AS count
+       FROM readings, (VALUES ('decoded'), ('raw')) AS s(side) GROUP BY 1, 2, 3""")
 ORACLE_SQL["stream_windowed_stats"] = ORACLE_SQL["windowed_stats"]
 ORACLE_SQL["stream_update_stats"] = ORACLE_SQL["windowed_stats"]
 ORACLE_SQL["stream_fan_out"] = f"""

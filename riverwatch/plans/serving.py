@@ -15,7 +15,8 @@ from pyspark.sql import functions as F
 
 from riverwatch import schema as S
 from riverwatch.operators import analytics as A
-from riverwatch.plans.batch import BatchPaths
+from riverwatch.plans.batch import BatchPaths, current_views
+from riverwatch.sinks.versions import read_current
 from riverwatch.sources.files import read_alerts
 
 
@@ -62,6 +63,7 @@ class ServingLayer:
     def __init__(self, spark: SparkSession, batch_dir: str, alerts_dir: str | None = None,
                  alerts_top_dir: str | None = None):
         self.spark = spark
+        self.batch_dir = batch_dir
         self.paths = BatchPaths(batch_dir)
         self.alerts_dir = alerts_dir
         self.alerts_top_dir = alerts_top_dir
@@ -72,6 +74,7 @@ class ServingLayer:
         """V-1: (re)load the views present; absent ones are left out. The
         loaded DataFrames are snapshots until the next call."""
         self.views = {}
+        self.paths = current_views(self.spark, self.batch_dir)  # all views of one run
         for name, path in (("location_stats", self.paths.location_stats),
                            ("flood_risk", self.paths.flood_risk)):
             df = _try_read(lambda p=path: self.spark.read.parquet(p))
@@ -82,23 +85,22 @@ class ServingLayer:
     def get_realtime_alerts(self, n: int = 10) -> DataFrame:
         """V-2: latest alerts; an empty DataFrame when there are none.
 
-        With ``alerts_top_dir`` (the speed layer's per-batch top-k index,
+        With ``alerts_top_dir`` (the speed layer's top-k index,
         ``SpeedConfig.alerts_top_path``) and ``n`` no larger than the k stored
-        with it, the answer comes from k rows per micro-batch instead of every
-        alert file; it is the same answer, since the overall top n is among the
-        per-batch top k. For a larger ``n`` the alert files are read; without
+        with it, the answer comes from its k rows instead of every alert file;
+        it is the same answer. For a larger ``n`` the alert files are read; without
         them it raises ValueError rather than return too few.
         """
         empty = self.spark.createDataFrame([], S.ALERT)
         if self.alerts_top_dir:
-            top = _try_read(lambda: self.spark.read.parquet(self.alerts_top_dir))
+            top = _try_read(lambda: read_current(self.spark, self.alerts_top_dir))
             if top is not None:
                 k = top.agg(F.min("k")).first()[0] if "k" in top.columns else 0
-                # no rows: no batch had an alert
+                # no rows: there has been no alert
                 if k is None or n <= k:
                     return recent_alerts(top.select(*S.ALERT.fieldNames()), n)
                 if not self.alerts_dir:
-                    raise ValueError(f"the alert index holds {k} rows a batch, asked for {n}")
+                    raise ValueError(f"the alert index holds {k} rows, asked for {n}")
         if not self.alerts_dir:
             return empty
         df = _try_read(lambda: read_alerts(self.spark, self.alerts_dir))

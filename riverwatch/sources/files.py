@@ -8,6 +8,8 @@ from pyspark.sql import types as T
 
 from riverwatch import schema as S
 
+BATCH_ID = "batch_id"  # the folder of a micro-batch
+
 
 def read_message_files(spark: SparkSession, path: str) -> DataFrame:
     """One JSON message per line -> a ``value`` string column; the offline
@@ -42,12 +44,15 @@ def read_readings_csv(
 
 
 def read_alerts(
-    spark: SparkSession, path: str, schema: T.StructType = S.ALERT
+    spark: SparkSession, path: str, schema: T.StructType = S.ALERT, with_batch: bool = False
 ) -> DataFrame:
     """Alert JSON files. The schema is explicit: the JSON writer leaves out
     NULL fields and writes NaN as a string, so inference would mistype or
     fail on an empty folder. A folder written by a streaming file sink is
     read through its ``_spark_metadata`` log, so half-written files of a
     failed micro-batch are not seen. Folders written per micro-batch
-    (``batch_id=N``) are read as one; the partition column is dropped."""
+    (``batch_id=N``) are read as one; the partition column is dropped, or
+    kept (NULL in other layouts) if ``with_batch`` is set."""
+    if with_batch:
+        schema = T.StructType([*schema.fields, T.StructField(BATCH_ID, T.LongType())])
     return spark.read.schema(schema).json(path).select(*schema.fieldNames())

@@ -48,10 +48,11 @@ def read_kafka_batch(
     topic: str,
     min_partitions: int | None = None,
     extra: dict[str, str] | None = None,
+    starting_offsets: str = "earliest",
 ) -> DataFrame:
-    """The whole topic, earliest to latest offsets (SRC-1)."""
+    """The topic from ``starting_offsets`` (the whole of it) to the latest (SRC-1)."""
     opts = kafka_options(
-        bootstrap_servers, topic, "earliest", "latest", min_partitions, None, extra
+        bootstrap_servers, topic, starting_offsets, "latest", min_partitions, None, extra
     )
     return spark.read.format("kafka").options(**opts).load()
 
@@ -63,11 +64,12 @@ def read_kafka_stream(
     starting_offsets: str = "latest",
     max_offsets_per_trigger: int | None = None,
     extra: dict[str, str] | None = None,
+    min_partitions: int | None = None,
 ) -> DataFrame:
     """Unbounded read (SRC-2). ``startingOffsets`` only applies on the first
     run; afterwards the query's checkpoint holds the offsets."""
     opts = kafka_options(
-        bootstrap_servers, topic, starting_offsets, None, None,
+        bootstrap_servers, topic, starting_offsets, None, min_partitions,
         max_offsets_per_trigger, extra,
     )
     return spark.readStream.format("kafka").options(**opts).load()

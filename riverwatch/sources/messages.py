@@ -22,18 +22,33 @@ def read_messages(
     min_partitions: int | None = None,
     max_offsets_per_trigger: int | None = None,
     max_files_per_trigger: int | None = None,
+    starting_offsets: str | None = None,
 ) -> DataFrame:
     """SRC-1 / SRC-2 (Kafka) or their file twins. Exactly one of
-    ``bootstrap_servers`` (+ ``topic``) and ``path`` must be given."""
+    ``bootstrap_servers`` (+ ``topic``) and ``path`` must be given.
+
+    ``starting_offsets`` (Kafka: earliest, latest or JSON) defaults to earliest
+    for a batch and latest for a stream; a stream uses it at its first start only.
+    An option that has no meaning for the source raises ValueError."""
     if bool(bootstrap_servers) == bool(path):
         raise ValueError("give either bootstrap_servers and topic, or path")
+    given = {"min_partitions": min_partitions, "max_offsets_per_trigger": max_offsets_per_trigger,
+             "max_files_per_trigger": max_files_per_trigger, "starting_offsets": starting_offsets}
+    valid = {"starting_offsets", "min_partitions"} if bootstrap_servers else set()
+    if stream:
+        valid.add("max_offsets_per_trigger" if bootstrap_servers else "max_files_per_trigger")
+    unused = sorted(k for k, v in given.items() if v is not None and k not in valid)
+    if unused:
+        raise ValueError(f"no use for {', '.join(unused)} with this source")
     if bootstrap_servers:
         if not topic:
             raise ValueError("a Kafka source needs a topic")
         if stream:
-            return kafka.read_kafka_stream(spark, bootstrap_servers, topic,
-                                           max_offsets_per_trigger=max_offsets_per_trigger)
-        return kafka.read_kafka_batch(spark, bootstrap_servers, topic, min_partitions=min_partitions)
+            return kafka.read_kafka_stream(
+                spark, bootstrap_servers, topic, starting_offsets or "latest",
+                max_offsets_per_trigger, min_partitions=min_partitions)
+        return kafka.read_kafka_batch(spark, bootstrap_servers, topic, min_partitions,
+                                      starting_offsets=starting_offsets or "earliest")
     if stream:
         df = files.read_message_stream(spark, path, max_files_per_trigger)
     else:

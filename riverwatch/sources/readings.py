@@ -40,12 +40,17 @@ def reading_columns(n_locations: int = N_LOCATIONS) -> list[Column]:
     return [F.expr(e).alias(name) for name, e in exprs.items()]
 
 
-def readings_from_events(events: DataFrame, n_locations: int = N_LOCATIONS) -> DataFrame:
+def readings_from_events(events: DataFrame, n_locations: int = N_LOCATIONS,
+                         parse_once: bool = False) -> DataFrame:
+    """``parse_once`` puts the columns behind a generator (as ``decode_messages``
+    does), so that a filter on them does not parse the JSON text again."""
+    if parse_once:
+        return events.select(F.inline(F.array(F.struct(*reading_columns(n_locations)))))
     return events.select(*reading_columns(n_locations))
 
 
-def readings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return readings_from_events(load_table(spark, sf_dir, "events"))
+def readings(spark: SparkSession, sf_dir: str, parse_once: bool = False) -> DataFrame:
+    return readings_from_events(load_table(spark, sf_dir, "events"), parse_once=parse_once)
 
 
 def messages_from_events(

@@ -28,6 +28,8 @@ from riverwatch.functions.rules import AlertRule
 from riverwatch.operators import analytics as A
 from riverwatch.operators.classify import flood_alerts
 from riverwatch.operators.decode import decode_stream, stamp_processing_time
+from riverwatch.sinks import versions
+from riverwatch.sources.files import BATCH_ID, read_alerts
 
 EVENT_TIME = "event_time"
 
@@ -64,10 +66,10 @@ class SpeedConfig:
     # at the query's first start (later starts keep the stored number).
     # None = the session's spark.sql.shuffle.partitions.
     state_partitions: int | None = None
-    # Per-micro-batch top-k of the alerts (by timestamp text), one
-    # ``batch_id=N`` folder per batch, overwritten on replay. The serving
-    # layer answers "latest alerts" from it (k rows per batch) instead of
-    # scanning every alert file; exact for any n <= k.
+    # The k latest alerts so far (by timestamp text), a new version per
+    # micro-batch (``sinks.versions``), old ones deleted. The serving layer
+    # answers "latest alerts" from these k rows instead of scanning every
+    # alert file; exact for any n <= k.
     alerts_top_path: str | None = None
     alerts_top_k: int = 10
 
@@ -127,11 +129,11 @@ def start_raw_archive(raw: DataFrame, cfg: SpeedConfig) -> StreamingQuery:
     return _trigger(w, cfg, cfg.trigger).start()
 
 
-def _overwrite_table(path: str) -> Callable[[DataFrame, int], None]:
+def _replace_table(path: str) -> Callable[[DataFrame, int], None]:
     def write(batch: DataFrame, batch_id: int) -> None:
-        # Complete mode hands over the whole result each time, so rewriting
-        # the table is idempotent when a batch is replayed after a failure.
-        batch.write.mode("overwrite").parquet(path)
+        # Complete mode hands over the whole result each time: a replayed
+        # batch becomes one more version of the same content.
+        versions.write_version(batch.sparkSession, path, lambda to: batch.write.parquet(to))
 
     return write
 
@@ -146,15 +148,15 @@ def _versioned_updates(path: str) -> Callable[[DataFrame, int], None]:
     return write
 
 
-def latest_window_stats(versions: DataFrame) -> DataFrame:
+def latest_window_stats(updates: DataFrame) -> DataFrame:
     """Read side of update mode: the newest row per (window, location) from
     the per-batch folders (``max_by`` over ``batch_id``: a two-phase
     aggregate, no sort, no window function)."""
     keys = ["window", S.LOCATION_ID]
-    values = [c for c in versions.columns if c not in keys + ["batch_id"]]
+    values = [c for c in updates.columns if c not in keys + [BATCH_ID]]
     # one max_by for each column keeps the aggregate a hash aggregate
-    return versions.groupBy(*keys).agg(
-        *[F.max_by(c, "batch_id").alias(c) for c in values])
+    return updates.groupBy(*keys).agg(
+        *[F.max_by(c, BATCH_ID).alias(c) for c in values])
 
 
 def start_stats_sink(stats: DataFrame, cfg: SpeedConfig) -> StreamingQuery:
@@ -163,8 +165,9 @@ def start_stats_sink(stats: DataFrame, cfg: SpeedConfig) -> StreamingQuery:
     No ``stats_path``: the reference's in-memory table (complete mode,
     queryable as ``cfg.stats_query_name`` in this session only; results
     live on the driver, so only for small state). With ``stats_path``:
-    complete mode rewrites a parquet table per micro-batch through
-    ``foreachBatch`` (a distributed write); update mode keeps each batch's
+    complete mode writes a new version of a parquet table per micro-batch
+    through ``foreachBatch`` (a distributed write; read it with
+    ``sinks.versions.read_current``, which never sees half of one); update mode keeps each batch's
     changed groups in a ``batch_id=N`` folder (read with
     ``latest_window_stats``); append mode uses the parquet file sink,
     emitting each window once the watermark closes it.
@@ -178,7 +181,7 @@ def start_stats_sink(stats: DataFrame, cfg: SpeedConfig) -> StreamingQuery:
     elif cfg.stats_mode == "update":
         w = w.foreachBatch(_versioned_updates(cfg.stats_path))
     else:
-        w = w.foreachBatch(_overwrite_table(cfg.stats_path))
+        w = w.foreachBatch(_replace_table(cfg.stats_path))
     w = _trigger(w, cfg, None)
     if not cfg.state_partitions:
         return w.start()
@@ -192,10 +195,25 @@ def start_stats_sink(stats: DataFrame, cfg: SpeedConfig) -> StreamingQuery:
         conf.set(key, before)
 
 
-def _write_top(alerts: DataFrame, cfg: SpeedConfig, batch_id: int) -> None:
-    top = A.recent_alerts(alerts.select(*S.ALERT.fieldNames()), cfg.alerts_top_k)
-    (top.withColumn("k", F.lit(cfg.alerts_top_k))  # what a reader may ask of the index
-     .write.mode("overwrite").parquet(f"{cfg.alerts_top_path}/batch_id={batch_id}"))
+def _write_top(spark: SparkSession, cfg: SpeedConfig, batch_id: int) -> None:
+    """The latest alerts after this batch, as a new version of the index.
+
+    They are the best of the previous version and of the batch's alert files.
+    Without a previous version, with one made for fewer rows, or when a batch is
+    replayed whose alerts are in it already, all alert files are read instead.
+    """
+    before = versions.current_version(spark, cfg.alerts_top_path)
+    index = spark.read.parquet(before) if before else None
+    if index is not None and index.agg(
+            F.coalesce(F.min("k") >= cfg.alerts_top_k, F.lit(True))
+            & (F.count_if(F.col(BATCH_ID) == batch_id) == 0)).first()[0]:
+        own = read_alerts(spark, f"{cfg.alerts_path}/{BATCH_ID}={batch_id}")
+        alerts = own.withColumn(BATCH_ID, F.lit(batch_id).cast("long")).unionByName(index.drop("k"))
+    else:
+        alerts = read_alerts(spark, cfg.alerts_path, with_batch=True)
+    top = A.recent_alerts(alerts, cfg.alerts_top_k).withColumn(
+        "k", F.lit(cfg.alerts_top_k))  # what a reader may ask of the index
+    versions.write_version(spark, cfg.alerts_top_path, lambda to: top.write.parquet(to))
 
 
 def _stateless_writer(cfg: SpeedConfig) -> Callable[[DataFrame, int], None]:
@@ -212,7 +230,7 @@ def _stateless_writer(cfg: SpeedConfig) -> Callable[[DataFrame, int], None]:
                     alerts = alerts.repartition(cfg.alert_files_per_batch)
                 alerts.write.mode("overwrite").json(f"{cfg.alerts_path}/batch_id={batch_id}")
                 if cfg.alerts_top_path:
-                    _write_top(alerts, cfg, batch_id)
+                    _write_top(batch.sparkSession, cfg, batch_id)
         finally:
             batch.unpersist()
 

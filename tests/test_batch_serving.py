@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from riverwatch import schema as S
 from riverwatch.operators import analytics as A
 from riverwatch.operators.classify import classify_risk, flood_alerts
-from riverwatch.plans.batch import compute_batch_analytics, run_batch
+from riverwatch.plans.batch import compute_batch_analytics, current_views, run_batch
 from riverwatch.plans.serving import ServingLayer
 from conftest import GOLDEN
 from riverwatch.session import local_dir, work_path
@@ -37,8 +37,9 @@ def stored(spark):
 def test_views_written(spark, stored):
     out, src, results = stored
     root = local_dir(out)
-    assert os.path.isdir(os.path.join(root, "location_stats"))
-    levels = sorted(p for p in os.listdir(os.path.join(root, "flood_risk_data")) if "=" in p)
+    paths = current_views(spark, out)
+    assert os.path.isdir(local_dir(paths.location_stats))
+    levels = sorted(p for p in os.listdir(local_dir(paths.flood_risk)) if "=" in p)
     assert levels == [f"flood_risk_level={lv}" for lv in sorted(["CRITICAL", "HIGH", "LOW", "MODERATE"])]
     assert os.path.isdir(os.path.join(root, "risk_distribution_t1.json"))
     dist = spark.read.json(os.path.join(root, "risk_distribution_t1.json"))
@@ -241,3 +242,40 @@ def test_persist_mode_reads_the_source_once(spark):
     for df in results.values():
         df.collect()
     assert rows.value == 30
+
+
+@pytest.mark.parametrize("materialize", [True, False])
+def test_failure_between_views_leaves_the_last_run_served(spark, monkeypatch, materialize):
+    from riverwatch.sinks import batch as sinks
+    out = work_path(spark, "test-batch-atomic")
+    src = readings(spark, SF001)
+    run_batch(spark, src, out, run_id="a", materialize=materialize)
+    before = _rows(ServingLayer(spark, out).query("risk_summary"))
+
+    def broken(df, path):
+        raise OSError("disk gone")
+
+    with monkeypatch.context() as m:
+        m.setattr(sinks, "write_parquet_view", broken)
+        with pytest.raises(OSError):
+            run_batch(spark, src.limit(10), out, run_id="b", materialize=materialize)
+    sv = ServingLayer(spark, out)
+    assert _rows(sv.query("risk_summary")) == before and sv.query("location").count() == 12
+    run_batch(spark, src.limit(10), out, run_id="c", materialize=materialize)
+    assert sum(r["count"] for r in ServingLayer(spark, out).query("risk_summary").collect()) == 10
+    assert sum(r[0] for r in sv.query("risk_summary").select("count").collect()) == 1000  # still readable
+    # what the failed run left is gone
+    assert sorted(p for p in os.listdir(local_dir(out)) if p.startswith("version")) == ["version=1", "version=3"]
+
+
+def test_plain_views_are_served(spark):
+    from riverwatch.plans.batch import save_batch_views
+    out = work_path(spark, "test-batch-plain")
+    save_batch_views(compute_batch_analytics(readings(spark, SF001)), out, run_id="x")
+    assert ServingLayer(spark, out).query("location").count() == 12
+
+
+def test_json_text_is_parsed_once(spark):
+    from riverwatch.plans.registry import QUERIES
+    for name in ("high_risk_locations", "flood_alerts"):
+        assert _plan(QUERIES[name](spark, SF001)).count("get_json_object") == 1

@@ -40,7 +40,8 @@ def test_speed_and_triage_once(spark, tmp_path, capsys):
                        "--checkpoint", f"{root}/ckpt"]) == 0
     from riverwatch.sources.files import read_alerts
     assert read_alerts(spark, f"{out}/flood_alerts").count() == 2
-    stats = spark.read.parquet(f"{out}/windowed_stats")
+    from riverwatch.sinks.versions import read_current
+    stats = read_current(spark, f"{out}/windowed_stats")
     # event-time windows: the undecodable line has no time, so no window
     assert stats.agg({"record_count": "sum"}).first()[0] == 6
     # append mode through the CLI: windows close once the watermark passes
@@ -60,3 +61,17 @@ def test_argument_errors(spark):
         run(spark, ["speed", "--out", "/x"])  # no source
     with pytest.raises(SystemExit):
         run(spark, ["serve", "--batch", "/x", "nope"])  # unknown query
+
+
+def test_ignored_options_are_errors_and_triage_starts_at_the_beginning(spark):
+    import pytest
+    from riverwatch.cli import _parse
+    for argv in (["batch", "--messages", "/m", "--out", "/o", "--once"],
+                 ["batch", "--messages", "/m", "--out", "/o", "--checkpoint", "/c"],
+                 ["triage", "--messages", "/m", "--max-offsets", "5"],
+                 ["speed", "--messages", "/m", "--out", "/o", "--starting-offsets", "latest"],
+                 ["speed", "--kafka", "b", "--topic", "t", "--out", "/o", "--max-files", "1"]):
+        with pytest.raises(SystemExit):
+            _parse(argv)
+    assert _parse(["triage", "--kafka", "b", "--topic", "t"]).starting_offsets == "earliest"
+    assert _parse(["speed", "--kafka", "b", "--topic", "t", "--out", "/o"]).starting_offsets is None

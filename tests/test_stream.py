@@ -12,6 +12,7 @@ from riverwatch.operators import analytics as A
 from riverwatch.operators.classify import flood_alerts
 from riverwatch.operators.decode import decode_messages
 from riverwatch.session import local_dir, work_path
+from riverwatch.sinks.versions import KEEP, read_current
 from riverwatch.sources.files import read_alerts, read_message_files, read_message_stream
 from riverwatch.streaming.speed import SpeedConfig, await_all, start_speed_layer, stop_all
 
@@ -63,7 +64,7 @@ def test_stream_equals_batch(spark):
     # complete-mode stats = batch groupBy
     from riverwatch.functions.timeparse import instant
     direct = A.windowed_stats(batch.withColumn("t", instant(S.TIMESTAMP)), "t")
-    s = spark.read.parquet(cfg.stats_path)
+    s = read_current(spark, cfg.stats_path)
     assert sorted(tuple(r) for r in s.collect()) == sorted(tuple(r) for r in direct.collect())
     # raw archive holds the messages unchanged
     lines = sorted(r.value for r in spark.read.text(cfg.raw_path).collect())
@@ -133,7 +134,7 @@ def test_restart_no_duplicates(spark):
     await_all(spark, start_speed_layer(read_message_stream(spark, src_dir), cfg))
     alerts = read_alerts(spark, cfg.alerts_path).collect()
     assert len(alerts) == 2 and len({tuple(a) for a in alerts}) == 2
-    stats = spark.read.parquet(cfg.stats_path)
+    stats = read_current(spark, cfg.stats_path)
     assert stats.agg(F.sum("record_count")).first()[0] == 6
 
 
@@ -205,7 +206,7 @@ def test_rocksdb_state_store(spark):
         _write_batches(src_dir, LATE)
         cfg = _cfg(spark, root, stats_mode="complete", time_col="event", stats_path=f"{root}/stats")
         await_all(spark, start_speed_layer(read_message_stream(spark, src_dir, max_files_per_trigger=1), cfg))
-        rows = spark.read.parquet(cfg.stats_path).collect()
+        rows = read_current(spark, cfg.stats_path).collect()
         assert sum(r.record_count for r in rows) == 5 and len(rows) == 4
     finally:
         if old:
@@ -266,7 +267,7 @@ def test_state_partitions(spark):
     assert spark.conf.get("spark.sql.shuffle.partitions") == before
     ops = qs[-1].lastProgress["stateOperators"]
     assert ops[0]["numShufflePartitions"] == 3
-    assert spark.read.parquet(cfg.stats_path).agg(F.sum("record_count")).first()[0] == 6
+    assert read_current(spark, cfg.stats_path).agg(F.sum("record_count")).first()[0] == 6
 
 
 def test_live_triggers_pick_up_new_files(spark):
@@ -289,7 +290,7 @@ def test_live_triggers_pick_up_new_files(spark):
         for q in qs:
             q.processAllAvailable()
         assert read_alerts(spark, cfg.alerts_path).count() == 2
-        stats = spark.read.parquet(cfg.stats_path)
+        stats = read_current(spark, cfg.stats_path)
         assert stats.agg(F.sum("record_count")).first()[0] == 6
         assert all(q.isActive for q in qs)
     finally:
@@ -310,9 +311,8 @@ def test_alerts_top_index_serves_same_answer(spark, shared):
     cfg = _cfg(spark, root, alerts_path=f"{root}/alerts", alerts_top_path=f"{root}/top",
                stats=False, shared_stateless=shared)
     await_all(spark, start_speed_layer(read_message_stream(spark, src_dir, max_files_per_trigger=1), cfg))
-    top = spark.read.parquet(cfg.alerts_top_path)
-    assert top.select("batch_id").distinct().count() == 4  # one folder per micro-batch
-    assert top.count() <= 4 * cfg.alerts_top_k
+    assert read_current(spark, cfg.alerts_top_path).count() == cfg.alerts_top_k
+    assert len(os.listdir(local_dir(cfg.alerts_top_path))) <= KEEP  # four batches, old ones gone
     fast = ServingLayer(spark, work_path(spark, "nb"), cfg.alerts_path, cfg.alerts_top_path)
     full = ServingLayer(spark, work_path(spark, "nb"), cfg.alerts_path)
     for n in (3, 10):
@@ -381,3 +381,54 @@ def test_index_serves_any_n(spark):
     assert both.query("alerts", n=100).count() == 90
     with pytest.raises(ValueError, match="asked for 50"):
         ServingLayer(spark, f"{root}/none", None, cfg.alerts_top_path).query("alerts", n=50)
+
+
+def _index_job(spark, root):
+    cfg = _cfg(spark, root, alerts_path=f"{root}/alerts", alerts_top_path=f"{root}/top",
+               alerts_top_k=4, stats=False)
+    src_dir = local_dir(f"{root}/in")
+    rows = [{**_golden_msgs()[0], "timestamp": f"2024-02-{d + 1:02d}T00:00:0{i}", "rainfall_mm_per_hr": 9.0}
+            for d in range(3) for i in (0, 0, 1)]  # each day holds one alert twice
+    _write_batches(src_dir, [rows[i:i + 3] for i in (0, 3, 6)])
+    await_all(spark, start_speed_layer(read_message_stream(spark, src_dir, 1), cfg))
+    return cfg
+
+
+def _index_is_exact(spark, cfg):
+    keys = S.ALERT.fieldNames()
+    index = A.recent_alerts(read_current(spark, cfg.alerts_top_path).select(*keys), cfg.alerts_top_k)
+    files = A.recent_alerts(read_alerts(spark, cfg.alerts_path), cfg.alerts_top_k)
+    return [tuple(r) for r in index.collect()] == [tuple(r) for r in files.collect()]
+
+
+def test_index_after_a_replayed_batch_holds_nothing_twice(spark):
+    from riverwatch.streaming.speed import _write_top
+    cfg = _index_job(spark, work_path(spark, "test-replay"))
+    assert _index_is_exact(spark, cfg)
+    for batch_id in (2, 2, 0):
+        _write_top(spark, cfg, batch_id)
+        assert _index_is_exact(spark, cfg)
+
+
+def test_index_added_or_enlarged_later_covers_older_alerts(spark):
+    import dataclasses
+    from riverwatch.streaming.speed import _write_top
+    root = work_path(spark, "test-late-index")
+    cfg = _index_job(spark, root)
+    for later in (dataclasses.replace(cfg, alerts_top_path=f"{root}/other"),
+                  dataclasses.replace(cfg, alerts_top_k=8)):
+        _write_top(spark, later, 2)
+        assert read_current(spark, later.alerts_top_path).count() == later.alerts_top_k
+        assert _index_is_exact(spark, later)
+
+
+@pytest.mark.parametrize("kind", ["parsed", "raw"])
+def test_console_monitors_run(spark, kind):
+    """SNK-8 / SNK-9: the console prints from the JVM; the rows it was given are checked."""
+    root = work_path(spark, "test-console")
+    src_dir = local_dir(f"{root}/in")
+    _write_batches(src_dir, [_golden_msgs()])
+    qs = start_speed_layer(read_message_stream(spark, src_dir),
+                           _cfg(spark, root, console=kind, stats=False))
+    await_all(spark, qs)
+    assert len(qs) == 1 and sum(p["numInputRows"] for p in qs[0].recentProgress) == 6
