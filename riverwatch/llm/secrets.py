@@ -66,6 +66,37 @@ ALLOW = (
 SCALE = 1_000_000  # entropies are summed as whole millionths, so no rounding drifts
 
 
+def _blocks(values: Column, body) -> Column:
+    """``body`` of each stretch of about sqrt(n) of the n (one or more) ``values``, as an array."""
+    each = F.ceil(F.sqrt(F.size(values))).cast("int")
+    count = F.ceil(F.size(values) / each).cast("int")
+    return F.transform(F.sequence(F.lit(0), count - 1),
+                       lambda b: body(F.slice(values, b * each + 1, each), b))
+
+
+def _running(values: Column, op) -> Column:
+    """The running ``op`` (from 0) of an array of one or more integers.
+
+    An array that grows in a fold is copied at each step, so the fold runs over
+    blocks: n numbers cost n * sqrt(n) steps.
+    """
+    def fold(items: Column, start: Column) -> Column:
+        first = F.struct(start.alias("at"), F.array().cast("array<int>").alias("all"))
+
+        def step(acc: Column, x: Column) -> Column:
+            return bind(op(acc["at"], x), lambda now: F.struct(
+                now.alias("at"), F.concat(acc["all"], F.array(now)).alias("all")))
+
+        return F.aggregate(items, first, step, lambda a: a["all"])
+
+    def joined(v: Column) -> Column:
+        totals = _blocks(v, lambda part, b: F.aggregate(part, F.lit(0), op))
+        return bind(fold(totals, F.lit(0)), lambda upto: F.flatten(_blocks(
+            v, lambda part, b: fold(part, F.when(b > 0, F.get(upto, b - 1)).otherwise(F.lit(0))))))
+
+    return bind(values, joined)
+
+
 def _located(text: Column, pattern: str) -> Column:
     """All leftmost non-overlapping matches as structs (start, end, found), in code points."""
     lit = F.lit(pattern)
@@ -73,16 +104,9 @@ def _located(text: Column, pattern: str) -> Column:
     parts = F.split(text, pattern, -1)
 
     def walk(m: Column, p: Column) -> Column:
-        first = F.struct(F.lit(0).alias("at"), F.array().cast(
-            "array<struct<start:int,end:int,found:string>>").alias("hits"))
-
-        def step(acc: Column, i: Column) -> Column:
-            start = acc.at + F.length(p[i])
-            end = start + F.length(m[i])
-            return F.struct(end.alias("at"), F.concat(acc.hits, F.array(F.struct(
-                start.alias("start"), end.alias("end"), m[i].alias("found")))).alias("hits"))
-
-        return F.aggregate(F.sequence(F.lit(0), F.size(m) - 1), first, step, lambda a: a.hits)
+        ends = _running(F.transform(m, lambda x, i: F.length(p[i]) + F.length(x)), lambda a, x: a + x)
+        return bind(ends, lambda e: F.transform(m, lambda x, i: F.struct(
+            (e[i] - F.length(x)).alias("start"), e[i].alias("end"), x.alias("found"))))
 
     none = F.array().cast("array<struct<start:int,end:int,found:string>>")
     return bind(found, lambda m: F.when(F.size(m) == 0, none).otherwise(
@@ -139,6 +163,22 @@ def _max_entropy_reached(s: Column, cls: EntropyClass) -> Column:
         bind(f, lambda t: over(c, t))))
 
 
+def _covers(hits: Column, h: Column) -> Column:
+    """Whether one of ``hits`` covers ``h``. They are in order and do not overlap, so the last
+    one that starts no later decides; it is found by bisection."""
+    def halve(acc: Column, _: Column) -> Column:
+        return bind(F.floor((acc.low + acc.high) / 2).cast("int"), lambda mid: bind(
+            F.get(hits, mid).start <= h.start, lambda left: F.when(
+                acc.low >= acc.high, acc).otherwise(F.struct(
+                    F.when(left, mid + 1).otherwise(acc.low).alias("low"),
+                    F.when(left, acc.high).otherwise(mid).alias("high")))))
+
+    rounds = F.sequence(F.lit(1), F.length(F.bin(F.size(hits))))
+    last = F.aggregate(rounds, F.struct(F.lit(0).alias("low"), F.size(hits).alias("high")), halve,
+                       lambda a: F.get(hits, a.low - 1).end)
+    return F.when(F.size(hits) == 0, F.lit(False)).otherwise(F.coalesce(last >= h.end, F.lit(False)))
+
+
 def _spans(hits: Column, kind: str, rank: int) -> Column:
     return F.transform(hits, lambda h: F.struct(
         h.start.alias("start"), F.lit(rank).alias("rank"), h.end.alias("end"),
@@ -163,8 +203,8 @@ def scan_secrets(docs: DataFrame, classes: tuple[EntropyClass, ...] = CLASSES,
 
     Nulls: a null text counts as empty and has no spans; other columns are not
     read. Empty tables stay empty, repeated rows are scanned one by one, a
-    column named ``out`` is replaced. Work is linear in the text; the list of
-    matches is built in the square of their number within one document.
+    column named ``out`` is replaced. Work is linear in the text; m matches of a
+    pattern within one document cost another m * sqrt(m) steps.
     """
     t = F.coalesce(F.col(text_col), F.lit(""))
     low = F.lower(t)
@@ -174,20 +214,26 @@ def scan_secrets(docs: DataFrame, classes: tuple[EntropyClass, ...] = CLASSES,
         F.regexp_replace(h.found, "^" + ASSIGN_HEAD, "")) >= MIN_ASSIGN)
     access = _only_if(t.contains("AKIA"), _located(t, ACCESS))
     hexes = _located(t, HEX)
-    base = F.concat(_spans(assign, "assign", 0), _spans(access, "access", 1),
-                    _spans(hexes, "hex", 2))
     base_col = free_name(docs, "__base")
-    based = docs.select("*", F.explode(F.array(F.struct(
-        F.array_sort(base).alias("spans"), t.alias("text")))).alias(base_col))
-    spans, text = F.col(f"{base_col}.spans"), F.col(f"{base_col}.text")
+    # the generators keep Spark from repeating what they hold wherever it is used
+    hits_col = free_name(docs, "__hits")
+    located = docs.select("*", F.explode(F.array(F.struct(
+        assign.alias("assign"), access.alias("access"), hexes.alias("hex"),
+        t.alias("text")))).alias(hits_col))
+    hits = [F.col(f"{hits_col}.{kind}") for kind in KINDS]
+    text = F.col(f"{hits_col}.text")
+    based = located.select("*", F.explode(F.array(F.array_sort(F.concat(
+        *[_spans(h, kind, i) for i, (h, kind) in enumerate(zip(hits, KINDS))])))).alias(base_col))
+    spans = F.col(base_col)
 
     def added(cls: EntropyClass, rank: int) -> Column:
         def wanted(h: Column) -> Column:
             allowed = F.lit(False)
             for pattern in allow:
                 allowed = allowed | h.found.rlike(pattern)
-            covered = F.exists(spans, lambda s: (s.start <= h.start) & (s.end >= h.end))
-            return F.when(allowed | covered, F.lit(False)).otherwise(
+            for own in hits:
+                allowed = allowed | _covers(own, h)
+            return F.when(allowed, F.lit(False)).otherwise(
                 _max_entropy_reached(h.found, cls))
 
         return _spans(F.filter(_located(text, cls.pattern), wanted), cls.kind, rank)
@@ -198,7 +244,7 @@ def scan_secrets(docs: DataFrame, classes: tuple[EntropyClass, ...] = CLASSES,
         "array<struct<start:int,rank:int,end:int,kind:string>>"))).alias(more))
     return full.withColumn(out, F.struct(
         spans.alias("base"), F.array_sort(F.concat(spans, F.col(more))).alias("all"),
-    )).drop(base_col, more)
+    )).drop(hits_col, base_col, more)
 
 
 def without_secrets(docs: DataFrame, text_col: str = "text", mask: str = "[SECRET]") -> DataFrame:
@@ -209,17 +255,23 @@ def without_secrets(docs: DataFrame, text_col: str = "text", mask: str = "[SECRE
     found = free_name(docs, "__secrets")
     scanned = scan_secrets(docs, text_col=text_col, out=found)
     spans, text = F.col(f"{found}.all"), F.col(text_col)
-    first = F.struct(F.lit(0).alias("at"), F.array().cast("array<string>").alias("parts"))
-
-    def step(acc: Column, s: Column) -> Column:
-        # ``at`` is the end of what is written; a span that starts before it extends the mask
-        between = F.when(s.start >= acc.at, F.concat(
-            acc.parts, F.array(text.substr(acc.at + 1, s.start - acc.at), F.lit(mask)))
-        ).otherwise(acc.parts)
-        return F.struct(F.greatest(acc.at, s.end).alias("at"), between.alias("parts"))
 
-    masked = F.aggregate(spans, first, step, lambda a: F.concat(
-        F.array_join(a.parts, ""), text.substr(a["at"] + 1, F.length(text))))
+    def cut(block: Column, _: Column) -> Column:
+        # a block's text is taken out first: finding a place in a text costs its distance
+        low = block[0].low
+        own = text.substr(low + 1, F.element_at(block, -1).high - low)
+        return bind(own, lambda o: F.array_join(F.transform(block, lambda g: F.concat(
+            F.substr(o, g.low - low + 1, g.high - g.low), F.lit(mask))), ""))
+
+    def written(ends: Column) -> Column:
+        # the gaps between the masks; a span that starts before an earlier one's end has none
+        gaps = F.filter(F.transform(spans, lambda s, i: F.struct(
+            F.when(i > 0, F.get(ends, i - 1)).otherwise(F.lit(0)).alias("low"),
+            s.start.alias("high"))), lambda g: g.high >= g.low)
+        tail = text.substr(F.element_at(ends, -1) + 1, F.length(text))
+        return F.concat(bind(gaps, lambda g: F.array_join(_blocks(g, cut), "")), tail)
+
+    masked = bind(_running(F.transform(spans, lambda s: s.end), lambda a, x: F.greatest(a, x)), written)
     return scanned.withColumn(text_col, F.when(F.size(spans) > 0, masked).otherwise(text)).drop(found)
 
 

@@ -95,3 +95,30 @@ def test_empty_clash_and_native(spark, documents):
     assert out.columns == ["doc_id", "text", "__base", "secrets"] and out.collect()[0]["__base"] == 5
     plan = out._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan and "Exchange" not in plan
+
+
+def test_many_matches_in_one_document(spark):
+    """Thousands of spans in one text: positions, covered candidates and the mask."""
+    from riverwatch.llm.secrets import scan_secrets, without_secrets
+
+    def line(i):
+        key = hashlib.sha1(str(i).encode()).hexdigest()
+        return (f"é {key} end", f"token={key[:30].upper()} x", f"{key.upper()} y")[i % 3]
+
+    text = "\n".join(line(i) for i in range(3000))
+    df = spark.createDataFrame([(1, text), (2, None), (3, "")], "doc_id long, text string")
+    got = {r.doc_id: r for r in scan_secrets(df).collect()}
+    spans = [(s.start, s.end, s.kind) for s in got[1].secrets["all"]]
+    want, masked, at = [], [], 0
+    for i, part in enumerate(text.split("\n")):
+        kind = ("hex", "assign", "entropy_hex")[i % 3]
+        low, high = at + 2 * (i % 3 == 0), at + (len(part) - 4 if i % 3 == 0 else len(part) - 2)
+        want.append((low, high, kind))
+        masked.append(text[at:low] + "[SECRET]" + text[high:at + len(part)])
+        at += len(part) + 1
+    assert [s for s in spans if s in set(want)] == want
+    # beyond these: the base64 class's view of the same runs, and long runs of digits in them
+    assert {k for *_, k in set(spans) - set(want)} <= {"entropy_base64", "hex"}
+    assert not got[2].secrets["all"] and not got[3].secrets["all"]
+    kept = {r.doc_id: r.text for r in without_secrets(df).collect()}
+    assert kept == {1: "\n".join(masked), 2: None, 3: ""}
