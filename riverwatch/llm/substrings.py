@@ -1,13 +1,16 @@
 """Substring dedup: repeated paragraphs and passages by MinHash banding.
 
-Units are the lines of a text and, to find passages inside longer lines, their
-sentences. Lines are compared by Jaccard similarity: MinHash bands propose,
-exact shingle sets decide. Sentences have to be equal. Units joined by links
-form clusters (components); all but a cluster's first unit may be removed.
+Units are the lines of a text, their sentences, and word windows over the whole
+text that hang neither on line nor on sentence ends. Lines and windows are
+compared by Jaccard similarity: MinHash bands propose, exact shingle sets
+decide. Sentences and seeds (short windows) have to be equal; around equal
+seeds the windows at every word are compared. Units joined by links form
+clusters (components); all but a cluster's first unit may be removed.
 """
 
 from __future__ import annotations
 
+import functools
 import math
 import re
 from collections.abc import Iterator
@@ -29,9 +32,15 @@ LINE_WORDS = 14      # shorter lines are compared by their sentences alone
 SENTENCE_WORDS = 5   # shorter sentences are no units
 PASSAGE_WORDS = 30   # shorter runs of repeated units are not reported
 GAP_WORDS = 8        # a run goes on over so many words that are no unit of their own
+WINDOW_WORDS = 50    # words of a window that is compared by similarity
+WINDOW_APART = 5     # windows start more words apart than this, so those of one text are not similar
+SEED_WORDS = 20      # words of a window that is compared by equality
+SEED_APART = 11      # of so many starts one after the other at least one is taken
 BLOCK = 256          # lines of one bucket in one block; larger buckets go by pairs of blocks
-LINE, SENTENCE = 0, 1
+LINE, SENTENCE, WINDOW, SEED = 0, 1, 2, 3
 
+_STEP = 0x9E3779B97F4A7C15  # odd: the base of the hashes of word ranges
+_BACK = pow(_STEP, -1, 1 << 64)
 _LINES = re.compile(r"[^\n]+").finditer
 _SENTENCES = re.compile(r"\S.*?(?:[.!?][\"')\]]*(?=\s)|$)").finditer
 
@@ -41,6 +50,7 @@ def bands_for(similarity: float = SIMILARITY, rows: int = ROWS, recall: float =
     return math.ceil(math.log(1 - recall) / math.log(1 - similarity ** rows))
 
 
+@functools.cache
 def _odd_numbers(n: int) -> np.ndarray:
     return np.array([xxhash.xxh64_intdigest(f"minhash {i}") | 1 for i in range(n)], dtype=np.uint64)
 
@@ -51,40 +61,150 @@ def shingles(words: list[bytes], size: int = SHINGLE) -> np.ndarray:
     return np.fromiter((xxhash.xxh64_intdigest(b" ".join(g)) for g in grams), dtype=np.uint64)
 
 
+def keys_of(minima: np.ndarray, bands: int, rows: int = ROWS) -> np.ndarray:
+    """Band keys (units x bands) of the MinHash minima (bands * rows x units)."""
+    keys = np.arange(1, bands + 1, dtype=np.uint64)[:, None] * np.uint64(0x9E3779B97F4A7C15)
+    for r in range(rows):
+        keys = (keys ^ minima[r::rows]) * np.uint64(0xD6E8FEB86659FD93)
+        keys ^= keys >> np.uint64(32)
+    return keys.T
+
+
 def band_keys(hashes: np.ndarray, bands: int, rows: int = ROWS) -> np.ndarray:
     """One key for each band of the MinHash signature."""
-    factors = _odd_numbers(bands * rows)
-    spread = hashes[None, :] * factors[:, None]
+    spread = hashes[None, :] * _odd_numbers(bands * rows)[:, None]
     low = (spread ^ (spread >> np.uint64(29))).min(axis=1)
-    keys = np.arange(1, bands + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
-    for r in range(rows):
-        keys = (keys ^ low[r::rows]) * np.uint64(0xD6E8FEB86659FD93)
-        keys ^= keys >> np.uint64(32)
-    return keys
+    return keys_of(low[:, None], bands, rows)[0]
+
+
+class _WordHashes(dict):
+    """Hash of each word, made when missing; bounded."""
+
+    def __missing__(self, word: bytes) -> int:
+        if len(self) >= 200_000:
+            self.clear()
+        self[word] = value = xxhash.xxh64_intdigest(word)
+        return value
+
+
+_HASH_OF = _WordHashes()
+
+
+def _powers(base: int, n: int) -> np.ndarray:
+    out = np.full(n, base, dtype=np.uint64)
+    out[:1] = 1
+    return np.cumprod(out, dtype=np.uint64)
+
+
+class Words:
+    """The words of a text (lower-cased, between ASCII white space) with places and hashes."""
+
+    def __init__(self, text: str):
+        points = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), dtype="<u4")
+        inner = (points != 32) & ((points < 9) | (points > 13))
+        edges = np.flatnonzero(np.diff(inner.astype(np.int8), prepend=0, append=0))
+        self.starts, self.ends = edges[::2], edges[1::2]
+        own = text.lower().encode("utf-8", "surrogatepass").split()
+        self.n = len(own)
+        hashes = np.fromiter(map(_HASH_OF.__getitem__, own), dtype=np.uint64, count=self.n)
+        self._sums = np.zeros(self.n + 1, dtype=np.uint64)
+        np.cumsum(hashes * _powers(_STEP, self.n), out=self._sums[1:])
+        self._back = _powers(_BACK, self.n + 1)
+
+    def hashes(self, first: np.ndarray, after: np.ndarray, kind: int) -> np.ndarray:
+        """Hashes of the word ranges, the same wherever in a text equal words stand."""
+        own = (self._sums[after] - self._sums[first]) * self._back[first]
+        own += (after - first).astype(np.uint64) * np.uint64(0xC2B2AE3D27D4EB4F) + np.uint64(kind)
+        for _ in range(2):
+            own = (own ^ (own >> np.uint64(31))) * np.uint64(0xD6E8FEB86659FD93)
+        return own ^ (own >> np.uint64(32))
+
+    def windows(self, first: np.ndarray, size: int, kind: int) -> np.ndarray:
+        return self.hashes(first, first + size, kind)
+
+
+def _range_minima(values: np.ndarray, size: int) -> np.ndarray:
+    """Minimum of each ``size`` values that follow one another, by doubling."""
+    done, out = 1, values
+    while done < size:
+        step = min(done, size - done)
+        out = np.minimum(out[:-step], out[step:])
+        done += step
+    return out
+
+
+def window_starts(ranks: np.ndarray, apart: int = WINDOW_APART) -> np.ndarray:
+    """Places whose rank is the least of those up to ``apart`` away; of equals the first."""
+    if not len(ranks):
+        return np.zeros(0, dtype=np.int64)
+    most = np.full(apart, np.iinfo(np.uint64).max, dtype=np.uint64)
+    low = _range_minima(np.concatenate([most, ranks, most]), apart)
+    return np.flatnonzero((ranks < low[:len(ranks)]) & (ranks <= low[apart + 1:][:len(ranks)]))
+
+
+def seed_starts(ranks: np.ndarray, among: int = SEED_APART) -> np.ndarray:
+    """The place of the least of each ``among`` ranks that follow one another; of equals the first."""
+    among = min(among, len(ranks))
+    if not among:
+        return np.zeros(0, dtype=np.int64)
+    least = np.lib.stride_tricks.sliding_window_view(ranks, among).argmin(axis=1)
+    return np.unique(least + np.arange(len(least)))
 
 
 def units_of(text: str, bands: int) -> Iterator[tuple]:
-    """(kind, start, end, first word, word after, hash, band keys or None) of each unit.
+    """Arrays (kind, start, end, first word, word after, hash, band keys or None) for each kind.
 
-    Words are lower-cased and joined by one space before hashing. Positions are
-    in code points; word numbers count through the text.
+    Positions are in code points; word numbers count through the text. Which
+    places start a window or a seed depends on the words around them alone, so
+    they are the same in every text that shares the passage: each run of
+    ``SEED_WORDS + SEED_APART - 1`` equal words holds an equal seed.
     """
-    at = 0
-    for line in _LINES(text):
-        words: list[bytes] = []
-        for s in _SENTENCES(line[0]):
-            own = s[0].lower().encode().split()
-            if len(own) >= SENTENCE_WORDS:
-                begun = at + len(words)
-                yield (SENTENCE, line.start() + s.start(), line.start() + s.start() + len(s[0].rstrip()),
-                       begun, begun + len(own), xxhash.xxh64_intdigest(b" ".join(own)), None)
-            words += own
-        if len(words) >= LINE_WORDS:
-            left = len(line[0]) - len(line[0].lstrip())
-            yield (LINE, line.start() + left, line.start() + len(line[0].rstrip()), at,
-                   at + len(words), xxhash.xxh64_intdigest(b" ".join(words), 1),
-                   band_keys(shingles(words), bands))
-        at += len(words)
+    words = Words(text)
+    spans = [(m.start(), m.end()) for m in _LINES(text)]
+    cut = [(a + m.start(), a + m.end()) for a, b in spans for m in _SENTENCES(text[a:b])]
+
+    def ranges(places: list, least: int) -> tuple[np.ndarray, np.ndarray]:
+        at = np.array(places, dtype=np.int64).reshape(-1, 2)
+        first, after = np.searchsorted(words.starts, at[:, 0]), np.searchsorted(words.starts, at[:, 1])
+        kept = after - first >= least
+        return first[kept], after[kept]
+
+    def out(kind: int, first: np.ndarray, after: np.ndarray, keys: np.ndarray | None):
+        return (kind, words.starts[first], words.ends[after - 1], first, after,
+                words.hashes(first, after, kind), keys)
+
+    first, after = ranges(cut, SENTENCE_WORDS)
+    if len(first):
+        yield out(SENTENCE, first, after, None)
+    if words.n < SHINGLE:
+        return
+    starts = np.arange(words.n - SHINGLE + 1)
+    grams = words.windows(starts, SHINGLE, 0)
+    ranks = words.windows(starts, SHINGLE, 1)
+    line0, line1 = ranges(spans, max(LINE_WORDS, SHINGLE))
+    # the words that decide on the place are inside the window, also where its ends are not alike
+    window = window_starts(ranks) - 2 * WINDOW_APART
+    window = window[(window >= 0) & (window + WINDOW_WORDS <= words.n)]
+    if len(line0) or len(window):
+        bounds = np.stack([line0, line1 - SHINGLE + 1], axis=1).ravel()
+        lines = np.zeros((bands * ROWS, len(line0)), dtype=np.uint64)
+        inner = np.zeros((bands * ROWS, len(window)), dtype=np.uint64)
+        for i, factor in enumerate(_odd_numbers(bands * ROWS)):
+            spread = grams * factor
+            spread ^= spread >> np.uint64(29)
+            if len(window):
+                inner[i] = _range_minima(spread, WINDOW_WORDS - SHINGLE + 1)[window]
+            if len(line0):
+                lines[i] = np.minimum.reduceat(np.append(spread, spread[-1]), bounds)[::2]
+        if len(line0):
+            yield out(LINE, line0, line1, keys_of(lines, bands))
+        if len(window):
+            # keys of their own: a window never meets a line
+            yield out(WINDOW, window, window + WINDOW_WORDS, ~keys_of(inner, bands))
+    seed = seed_starts(ranks)
+    seed = seed[seed + SEED_WORDS <= words.n]
+    if len(seed):
+        yield out(SEED, seed, seed + SEED_WORDS, None)
 
 
 def find_units(docs: DataFrame, bands: int, id_col: str = "doc_id",
@@ -95,20 +215,31 @@ def find_units(docs: DataFrame, bands: int, id_col: str = "doc_id",
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            from_, cols, keys = [], [[] for _ in range(6)], []
-            for i, text in enumerate(b.column(2)):
-                for *unit, k in units_of(text.as_py() or "", bands):
-                    from_.append(i)
-                    for c, x in zip(cols, unit):
-                        c.append(x)
-                    keys.append(None if k is None else k.view(np.int64))
-            rows = pa.array(from_, pa.int64())
-            hashes = np.array(cols[5], dtype=np.uint64).view(np.int64)
-            yield pa.record_batch(
-                [b.column(0).take(rows), b.column(1).take(rows), pa.array(cols[0], pa.int32()),
-                 *[pa.array(c, pa.int64()) for c in cols[1:5]], pa.array(hashes),
-                 pa.array(keys, pa.list_(pa.int64()))],
-                names=["row", "id", "kind", "start", "end", "w0", "w1", "hash", "bands"])
+            for at in range(0, b.num_rows, 64):
+                yield pack(b.slice(at, 64))
+
+    def pack(b: pa.RecordBatch) -> pa.RecordBatch:
+        from_, kinds, cols, keys = [], [], [[] for _ in range(5)], []
+        for i, text in enumerate(b.column(2)):
+            for kind_, *unit, k in units_of(text.as_py() or "", bands):
+                n = len(unit[0])
+                from_.append(np.full(n, i))
+                kinds.append(np.full(n, kind_, dtype=np.int32))
+                for c, x in zip(cols, unit):
+                    c.append(x.view(np.int64))
+                keys.append((n, k))
+
+        def joined(parts: list, dtype=np.int64) -> pa.Array:
+            return pa.array(np.concatenate(parts) if parts else np.zeros(0, dtype=dtype))
+
+        sizes = np.concatenate([np.full(n, 0 if k is None else bands) for n, k in keys] or [[]])
+        ends = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)
+        values = joined([np.ascontiguousarray(k).ravel().view(np.int64) for _, k in keys if k is not None])
+        rows = joined(from_)
+        return pa.record_batch(
+            [b.column(0).take(rows), b.column(1).take(rows), joined(kinds, np.int32),
+             *[joined(c) for c in cols], pa.ListArray.from_arrays(pa.array(ends), values)],
+            names=["row", "id", "kind", "start", "end", "w0", "w1", "hash", "bands"])
 
     return docs.select(
         F.xxhash64(id_col, text_col).alias("row"), F.col(id_col).alias("id"),
@@ -140,16 +271,22 @@ def _forest(hashes: list[int], texts: list[str], similarity: float) -> Iterator[
 
 def similar_lines(docs: DataFrame, units: DataFrame, similarity: float, block: int = BLOCK,
                   id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Edges (u, v) between the hashes of lines with Jaccard similarity of ``similarity`` or more.
+    """Edges (u, v) between lines, and between windows, of Jaccard similarity ``similarity`` or more.
 
-    Equal lines collapse to one before banding. Lines of a bucket meet in
+    Units are named by their hashes. Equal ones collapse to one before banding. Lines of a bucket meet in
     blocks, and in pairs of hash blocks where they are many, so a task never
     holds more than about two blocks; only a spanning forest is emitted.
     """
-    lines = units.filter(F.col("kind") == LINE)
-    keyed = lines.select("hash", F.explode("bands").alias("key")).distinct()
-    sized = stored(keyed.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1"), "lines-buckets")
-    met = stored(keyed.join(sized, "key"), "lines-met")
+    lines = units.filter(F.col("kind").isin(LINE, WINDOW))
+    keyed = lines.select("hash", "id", "kind", F.explode("bands").alias("key"))
+    # windows of one id overlap and are no repeats, so their buckets need two ids
+    shared = keyed.groupBy("key").agg(
+        F.min("hash").alias("a"), F.max("hash").alias("b"), F.min("id").alias("low"),
+        F.max("id").alias("high"), F.max("kind").alias("kind")).filter(
+        (F.col("a") < F.col("b")) & ((F.col("kind") == LINE) | (F.col("low") < F.col("high"))))
+    both = stored(keyed.join(shared.select("key"), "key", "left_semi").select("key", "hash")
+                  .distinct(), "lines-keys")
+    met = stored(both.join(both.groupBy("key").agg(F.count("*").alias("n")), "key"), "lines-met")
     # the text of one occurrence of each line that met another
     wanted = met.select("hash").distinct()
     one = lines.join(wanted, "hash", "left_semi").groupBy("hash").agg(
@@ -180,12 +317,47 @@ def similar_lines(docs: DataFrame, units: DataFrame, similarity: float, block: i
     return groups.mapInArrow(run, "u long, v long")
 
 
+def windows_around(docs: DataFrame, seeds: DataFrame, id_col: str = "doc_id",
+                   text_col: str = "text") -> DataFrame:
+    """The windows of ``SEED_WORDS`` words at every word near the repeated ``seeds``.
+
+    Two texts that share a passage hold the same seeds in it, at most
+    ``SEED_APART`` words apart, so all windows of the passage are given for both.
+    """
+    kind = docs.schema[id_col].dataType.simpleString()
+    places = seeds.groupBy("row").agg(F.collect_set("w0").alias("at"))  # of one text
+    source = docs.select(F.xxhash64(id_col, text_col).alias("row"), F.col(id_col).alias("id"),
+                         F.col(text_col).alias("text")).dropDuplicates(["row"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for i in range(b.num_rows):
+                words = Words(b.column(2)[i].as_py())
+                marks = np.zeros(words.n + 1, dtype=np.int64)
+                at = np.array(b.column(3)[i].as_py(), dtype=np.int64)
+                np.add.at(marks, np.maximum(at - SEED_APART + 1, 0), 1)
+                np.add.at(marks, np.minimum(at + SEED_APART, words.n), -1)
+                first = np.flatnonzero(np.cumsum(marks)[:max(0, words.n - SEED_WORDS + 1)])
+                after = first + SEED_WORDS
+                here = pa.array(np.full(len(first), i))
+                yield pa.record_batch(
+                    [b.column(0).take(here), b.column(1).take(here),
+                     *[pa.array(x) for x in (words.starts[first], words.ends[after - 1], first, after,
+                                             words.hashes(first, after, SEED).view(np.int64))]],
+                    names=["row", "id", "start", "end", "w0", "w1", "hash"])
+
+    return source.join(places, "row").select("row", "id", "text", "at").mapInArrow(
+        run, f"row long, id {kind}, start long, end long, w0 long, w1 long, hash long")
+
+
 def repeated_passages(docs: DataFrame, similarity: float = SIMILARITY, recall: float = RECALL,
                       passage_words: int = PASSAGE_WORDS, id_col: str = "doc_id",
                       text_col: str = "text") -> DataFrame:
     """Passages that repeat across documents: (id, start, end, n_words, cluster_id, n_rows, removed).
 
-    A unit is repeated if its cluster has units of two ids or more. Repeated
+    A unit is repeated if its cluster has units of two ids or more. Runs of 30
+    (``SEED_WORDS + SEED_APART - 1``) or more equal words in two ids are always
+    found, wherever they start and end. Repeated
     units of a document that follow one another form a passage, reported if it
     has ``passage_words`` words or more. ``removed``: false where the passage is
     made of the first units of their clusters (by id, then place), true
@@ -203,6 +375,13 @@ def repeated_passages(docs: DataFrame, similarity: float = SIMILARITY, recall: f
     rooted = stored(components(similar_lines(docs, units, similarity, id_col=id_col, text_col=text_col)),
                     "units-roots")
     first = F.struct(F.col("id").isNull().alias("none"), "id", "row", "start")
+    names = ["row", "id", "kind", "start", "end", "w0", "w1", "hash"]
+    twice = units.filter(F.col("kind") == SEED).groupBy("hash").agg(
+        F.min("id").alias("low"), F.max("id").alias("high")).filter("low < high").select("hash")
+    seeds = units.filter(F.col("kind") == SEED).join(twice, "hash", "left_semi")
+    fine = windows_around(docs, seeds, id_col, text_col).withColumn("kind", F.lit(SEED))
+    units = stored(units.filter(F.col("kind") != SEED).select(*names)
+                   .unionByName(fine.select(*names)), "units-all")
     each = units.groupBy("hash").agg(
         F.min(first).alias("first"), F.min("id").alias("low"), F.max("id").alias("high"),
         F.count("*").alias("n"))
@@ -213,7 +392,7 @@ def repeated_passages(docs: DataFrame, similarity: float = SIMILARITY, recall: f
         F.min("first").alias("first"), F.min("low").alias("low"), F.max("high").alias("high"),
         F.sum("n").alias("n")).filter("low < high").select("cluster", "first", "n")
     named = joined.select("hash", "cluster").join(clusters, "cluster")
-    found = units.drop("bands", "kind").dropDuplicates(["row", "start", "end", "hash"]).join(
+    found = units.dropDuplicates(["row", "start", "end", "hash"]).join(
         named, "hash").withColumn(
         "removed", ~F.col("first").eqNullSafe(first)).drop("first", "hash")
 

@@ -106,3 +106,57 @@ def test_empty_and_clash(spark, documents):
     p = para(6)
     d = spark.createDataFrame([(1, p, 1, 2), (2, p, 3, 4)], "doc_id long, text string, row int, hash int")
     assert S.repeated_passages(d).count() == 2
+
+
+def shared_runs(texts, size):
+    """Word ranges of each text that windows of ``size`` words shared with another text cover."""
+    split = [t.lower().split() for t in texts]
+    seen = {}
+    for i, w in enumerate(split):
+        for k in range(len(w) - size + 1):
+            seen.setdefault(tuple(w[k:k + size]), set()).add(i)
+    return [{k + j for k in range(len(w) - size + 1) if len(seen[tuple(w[k:k + size])]) > 1 for j in range(size)}
+            for w in split]
+
+
+def covered_words(text, rows):
+    at, out = 0, set()
+    for k, w in enumerate(text.split()):
+        at = text.index(w, at)
+        if any(r.start <= at and at + len(w) <= r.end for r in rows):
+            out.add(k)
+        at += len(w)
+    return out
+
+
+def test_all_shared_windows_are_reported(documents):
+    """Passages that start and end inside sentences or have no sentence ends."""
+    def bare(n):
+        return sentence(n).lower()[:-1]
+    def within(passage):
+        return f"{para(2)} {bare(7)} {passage} {bare(9)}. {para(2)}"
+    texts = [para(20) for _ in range(3)]
+    for n in (50, 50, 55, 70, 120, 300):
+        p = bare(n)
+        texts += [within(p), within(p)]
+    long = bare(200).split()  # other parts of one passage in other texts
+    texts += [within(" ".join(long[a:b])) for a, b in ((0, 120), (60, 200), (30, 100))]
+    wrapped = bare(90).split()
+    texts += ["\n".join(" ".join(wrapped[k:k + n]) for k in range(0, 90, n)) for n in (7, 11)]
+    got = {}
+    for r in S.repeated_passages(documents(texts)).collect():
+        got.setdefault(r.id, []).append(r)
+    for i, want in enumerate(shared_runs(texts, 50)):
+        have = covered_words(texts[i], got.get(i, []))
+        assert want <= have
+        assert len(have - want) <= 12
+
+
+def test_a_passage_with_an_edit_in_each_sentence(documents):
+    p = sentence(260).lower()[:-1].split()
+    sparse = [f"edit{k}" if k % 52 == 26 else w for k, w in enumerate(p)]
+    def text(words):
+        return para(6) + " " + " ".join(words) + " " + para(6)
+    rows = S.repeated_passages(documents([text(p), text(sparse)])).collect()
+    assert {r.id: r.removed for r in rows} == {0: False, 1: True}
+    assert sum(r.n_words for r in rows) >= 2 * 200
