@@ -30,7 +30,7 @@ RECALL = 0.995
 ROWS = 2             # MinHash rows in a band
 LINE_WORDS = 14      # shorter lines are compared by their sentences alone
 SENTENCE_WORDS = 5   # shorter sentences are no units
-PASSAGE_WORDS = 30   # shorter runs of repeated units are not reported
+PASSAGE_WORDS = 30   # shorter runs are not reported if no repeated line is in them
 GAP_WORDS = 8        # a run goes on over so many words that are no unit of their own
 WINDOW_WORDS = 50    # words of a window that is compared by similarity
 WINDOW_APART = 5     # windows start more words apart than this, so those of one text are not similar
@@ -358,8 +358,9 @@ def repeated_passages(docs: DataFrame, similarity: float = SIMILARITY, recall: f
     A unit is repeated if its cluster has units of two ids or more. Runs of 30
     (``SEED_WORDS + SEED_APART - 1``) or more equal words in two ids are always
     found, wherever they start and end. Repeated
-    units of a document that follow one another form a passage, reported if it
-    has ``passage_words`` words or more. ``removed``: false where the passage is
+    units of a document that follow one another form a run, reported if it has
+    ``passage_words`` words or more or holds a repeated line; the passages are
+    its parts that are removed or not. ``removed``: false where the passage is
     made of the first units of their clusters (by id, then place), true
     elsewhere; keeping the false ones keeps one copy of everything.
     ``cluster_id`` is the smallest cluster of the passage, ``n_rows`` the largest
@@ -396,16 +397,22 @@ def repeated_passages(docs: DataFrame, similarity: float = SIMILARITY, recall: f
         named, "hash").withColumn(
         "removed", ~F.col("first").eqNullSafe(first)).drop("first", "hash")
 
-    before = Window.partitionBy("row", "removed").orderBy("w0", "w1").rowsBetween(
-        Window.unboundedPreceding, -1)
-    upto = Window.partitionBy("row", "removed").orderBy("w0", "w1").rowsBetween(
-        Window.unboundedPreceding, 0)
-    new = (F.col("w0") > F.max("w1").over(before) + GAP_WORDS).cast("int")
-    runs = found.withColumn("new", F.coalesce(new, F.lit(1))).withColumn("run", F.sum("new").over(upto))
-    return runs.groupBy("row", "removed", "run").agg(
+    def with_runs(df: DataFrame, by: list[str], out: str) -> DataFrame:
+        in_order = Window.partitionBy(*by).orderBy("w0", "w1")
+        before = in_order.rowsBetween(Window.unboundedPreceding, -1)
+        upto = in_order.rowsBetween(Window.unboundedPreceding, 0)
+        new = (F.col("w0") > F.max("w1").over(before) + GAP_WORDS).cast("int")
+        return df.withColumn("new", F.coalesce(new, F.lit(1))).withColumn(out, F.sum("new").over(upto))
+
+    run = Window.partitionBy("row", "run")
+    long = F.max("w1").over(run) - F.min("w0").over(run) >= passage_words
+    runs = with_runs(found, ["row"], "run").withColumn(
+        "told", long | F.max(F.col("kind") == LINE).over(run)).filter("told")
+    return with_runs(runs, ["row", "run", "removed"], "part").groupBy(
+        "row", "run", "removed", "part").agg(
         F.first("id").alias("id"), F.min("start").alias("start"), F.max("end").alias("end"),
         (F.max("w1") - F.min("w0")).alias("n_words"), F.min("cluster").alias("cluster_id"),
-        F.max("n").alias("n_rows")).filter(F.col("n_words") >= passage_words).select(
+        F.max("n").alias("n_rows")).select(
         "id", "start", "end", "n_words", "cluster_id", "n_rows", "removed")
 
 

@@ -160,3 +160,19 @@ def test_a_passage_with_an_edit_in_each_sentence(documents):
     rows = S.repeated_passages(documents([text(p), text(sparse)])).collect()
     assert {r.id: r.removed for r in rows} == {0: False, 1: True}
     assert sum(r.n_words for r in rows) >= 2 * 200
+
+
+def test_short_paragraphs_and_parts_of_a_run_are_reported(documents):
+    short, s1, s2 = sentence(20), sentence(29), sentence(29)
+    texts = [para(4) + "\n" + short, short + "\n" + para(4),
+             f"{para(3)} {s1} {para(3)}", *(f"{para(3)} {s1} {s2} {para(3)}" for _ in range(2))]
+    got = {}
+    for r in S.repeated_passages(documents(texts)).collect():
+        got.setdefault((r.id, r.removed), []).append(r)
+    for key in ((0, False), (1, True)):
+        assert [texts[r.id][r.start:r.end] for r in got.pop(key)] == [short]
+    assert set(got) == {(3, True), (3, False), (4, True)}
+    words = texts[3].split()
+    at = words.index(s1.split()[0])
+    assert set(range(at, at + 29)) <= covered_words(texts[3], got[3, True])
+    assert set(range(at + 29, at + 58)) <= covered_words(texts[3], got[3, False])
