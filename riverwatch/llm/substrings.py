@@ -28,8 +28,8 @@ SHINGLE = 5
 SIMILARITY = 0.8
 RECALL = 0.995
 ROWS = 2             # MinHash rows in a band
-LINE_WORDS = 14      # shorter lines are compared by their sentences alone
-SENTENCE_WORDS = 5   # shorter sentences are no units
+LINE_WORDS = 5       # shorter lines are compared in the windows and seeds they lie in
+SENTENCE_WORDS = 5   # shorter sentences too
 PASSAGE_WORDS = 30   # shorter runs are not reported if no repeated line is in them
 GAP_WORDS = 8        # a run goes on over so many words that are no unit of their own
 WINDOW_WORDS = 50    # words of a window that is compared by similarity
@@ -181,7 +181,7 @@ def units_of(text: str, bands: int) -> Iterator[tuple]:
     starts = np.arange(words.n - SHINGLE + 1)
     grams = words.windows(starts, SHINGLE, 0)
     ranks = words.windows(starts, SHINGLE, 1)
-    line0, line1 = ranges(spans, max(LINE_WORDS, SHINGLE))
+    line0, line1 = ranges(spans, LINE_WORDS)
     # the words that decide on the place are inside the window, also where its ends are not alike
     window = window_starts(ranks) - 2 * WINDOW_APART
     window = window[(window >= 0) & (window + WINDOW_WORDS <= words.n)]

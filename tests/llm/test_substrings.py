@@ -176,3 +176,20 @@ def test_short_paragraphs_and_parts_of_a_run_are_reported(documents):
     at = words.index(s1.split()[0])
     assert set(range(at, at + 29)) <= covered_words(texts[3], got[3, True])
     assert set(range(at + 29, at + 58)) <= covered_words(texts[3], got[3, False])
+
+
+def test_short_lines_and_sentences(documents):
+    line = "one two three four five six seven eight nine ten"  # 0.86 alike with a word more
+    verse = "\n".join(sentence(4)[:-1] for _ in range(15))
+    brief = " ".join(sentence(4) for _ in range(12))
+    wide = sentence(96).split()
+    def wrap(n):
+        return "\n".join(" ".join(wide[k:k + n]) for k in range(0, 96, n))
+    texts = [f"{para(2)}\n{t}\n{para(2)}" for t in (line, line + " eleven", verse, verse, brief, brief,
+                                                   wrap(12), wrap(10))]
+    got = {}
+    for r in S.repeated_passages(documents(texts)).collect():
+        got.setdefault(r.id, []).append(r)
+    assert {i: {r.removed for r in rows} for i, rows in got.items()} == {i: {i % 2 == 1} for i in range(8)}
+    for i, n in enumerate((10, 11, 60, 60, 48, 48, 96, 96)):
+        assert n <= len(covered_words(texts[i], got[i])) <= n + 10
