@@ -77,7 +77,7 @@ def _exact_fill(gap: int, parts: int, have: np.ndarray) -> tuple[int, ...] | Non
     def pair(total: int, most: int) -> tuple[int, int] | None:
         # the index of pair sums at ``total``: a >= b with a + b = total, both available
         a = np.arange(min(total - 1, most), (total - 1) // 2, -1)
-        ok = np.flatnonzero(have[a] & have[total - a] & ((2 * a != total) | (have[a] > 1)))
+        ok = np.flatnonzero((have[a] > 0) & (have[total - a] > 0) & ((2 * a != total) | (have[a] > 1)))
         return (int(a[ok[0]]), int(total - a[ok[0]])) if len(ok) else None
 
     if parts == 1:
@@ -98,9 +98,19 @@ def _exact_fill(gap: int, parts: int, have: np.ndarray) -> tuple[int, ...] | Non
 def plan_packing(counts: dict[int, int], size: int = SIZE) -> list[Pattern]:
     """Patterns that place every piece, from the number of pieces of each length.
 
-    1. Exact complements: for each length over half the size, longest first,
-       the gap it leaves is looked up among single lengths, then sums of pairs,
-       then sums of triples; a combination is taken as often as the counts allow.
+    The plan with the fewest sequences of several: exact complements for the
+    lengths over half the size or for all, of up to three, two or one pieces.
+    """
+    plans = (_plan(counts, size, least, parts) for parts in (3, 2, 1) for least in (size // 2 + 1, 1))
+    return min(plans, key=lambda plan: sum(times for _, times in plan))
+
+
+def _plan(counts: dict[int, int], size: int, least: int, parts_most: int = 3) -> list[Pattern]:
+    """The plan with complements of up to ``parts_most`` pieces for the lengths from ``least`` on.
+
+    1. Exact complements: for each of these lengths, longest first, those over
+       half the size before all others, the gap it leaves is looked up among
+       single lengths, then sums of pairs, then sums of triples; a combination is taken as often as the counts allow.
     2. Best fit: what is left goes, longest first, to the open sequence with
        the smallest gap that holds it, all sequences of one kind at a time.
     A step uses up a length or a kind of open sequence, so there are a few
@@ -111,9 +121,20 @@ def plan_packing(counts: dict[int, int], size: int = SIZE) -> list[Pattern]:
         have[length] = n
     done: list[Pattern] = [((size,), int(have[size]))] if have[size] else []
     have[size] = 0
-    for parts in (1, 2, 3):
-        for length in range(size - 1, size // 2, -1):
-            while have[length] and (fill := _exact_fill(size - length, parts, have)):
+    half = size // 2
+    turns = [(size - 1, half, parts) for parts in range(1, parts_most + 1)]
+    if least <= half:
+        turns += [(half, least - 1, parts) for parts in range(1, parts_most + 1)]
+
+    def fill_for(length: int, parts: int) -> tuple[int, ...] | None:
+        have[length] -= 1  # a piece is not its own complement
+        fill = _exact_fill(size - length, parts, have)
+        have[length] += 1
+        return fill
+
+    for most, stop, parts in turns:
+        for length in range(most, stop, -1):
+            while have[length] and (fill := fill_for(length, parts)):
                 need = Counter((length, *fill))
                 times = min(int(have[x]) // k for x, k in need.items())
                 for x, k in need.items():

@@ -106,3 +106,18 @@ def test_empty_and_clash(spark, documents):
     d = spark.createDataFrame([(1, "a b", 3)], "doc_id long, text string, __rank int")
     assert P.pack_documents(d).count() == 1
     assert P.pack_documents(d).filter(F.col("offset") == 0).count() == 1
+
+
+def test_short_pieces_have_complements_too():
+    assert sorted(P.plan_packing({400: 1000, 312: 2000})) == [((400, 312, 312), 1000)]
+    assert sorted(P.plan_packing({512: 3, 256: 2})) == [((512, 256, 256), 1), ((512, 512), 1)]
+    rng = np.random.default_rng(9)
+    counts = {int(i): int(n) for i, n in zip(rng.choice(np.arange(200, 513), 60, False), rng.integers(1, 3000, 60))}
+    used = sum(t for _, t in P.plan_packing(counts))
+    alone = sum(t for _, t in P._plan(counts, 1024, 513))
+    assert used < alone
+
+
+def test_pairs_are_found_whatever_their_counts():
+    have = np.bincount([160] * 4 + [164] * 3, minlength=1025)
+    assert P._exact_fill(324, 2, have) == (164, 160)
