@@ -76,3 +76,19 @@ def test_query(spark, tmp_path, documents):
     assert dict(out.dtypes) == {"doc_id": "bigint", "size": "bigint", "text_crc32": "bigint", "law": "string",
                                 "shard": "int", "slot": "bigint", "grown_shard": "int"}
     assert {r.law for r in out.collect()} == {"rows"}
+
+
+def test_groups_stay_whole_when_all_rows_are_linked(documents):
+    for size, linked in ((10, 1.0), (2, 1.0), (10, 0.9)):
+        n = 3200
+        data = [(i, f"g{i % int(n * linked / size)}" if i < n * linked else f"single {i}") for i in range(n)]
+        got = homes(run(documents, data))
+        assert len(got) == int(n * linked / size)
+        assert sum(k > 1 for k in got.values()) <= 15
+
+
+def test_departures_make_room():
+    full = {0: 10, 1: 10}
+    assert S.accept([(0, 1, 5, 3), (1, 0, 6, 3)], full, [10, 10]) == []
+    assert sorted(S.accept([(0, 1, 5, 3), (1, 0, 6, 3)], full, [10, 13])) == [(0, 6), (1, 5)]
+    assert sorted(S.accept([(0, 1, 7, 3), (1, 0, 6, 3)], full, [10, 13])) == [(0, 6), (1, 7)]
