@@ -3,6 +3,8 @@
 The byte-level pre-tokenizer never joins a space before a non-space character
 to what comes before it. A text can therefore be cut before each such space,
 and the ids of the parts, one after the other, are the ids of the whole text.
+Strings of added tokens get their own ids wherever they stand in a text, as in
+a plain call of the tokenizer, so a text is cut around them first.
 Words repeat, so most parts come from a cache instead of the tokenizer. The
 cache only saves time; it is bounded.
 """
@@ -93,7 +95,9 @@ class Encoder:
     def __init__(self, path: str, room: int = ROOM):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
+        added = {t.content: i for i, t in self.tokenizer.get_added_tokens_decoder().items()}
+        self._added = {c: array("I", [i]).tobytes() for c, i in added.items()}
+        self._cut = re.compile("|".join(map(re.escape, sorted(added, key=len, reverse=True))) or "(?!)")
         # byte-level spelling of the characters of plain parts, for the model itself
         spell = ByteLevel(add_prefix_space=False, use_regex=False).pre_tokenize_str
         self._spelling = {c: spell(chr(c))[0][0] for c in range(0x250)}
@@ -123,21 +127,38 @@ class Encoder:
         found = self._model.tokenize(text.translate(self._spelling))
         return array("i", [n for t in found for n in (len(t.value),) * 2]).tobytes()
 
+    def segments(self, text: str) -> list[tuple[str, bool]]:
+        """The text cut around added tokens: (string, whether it is one)."""
+        out, at = [], 0
+        for m in self._cut.finditer(text):
+            out += [(text[at:m.start()], False), (m[0], True)]
+            at = m.end()
+        return out + [(text[at:], False)]
+
     def ids(self, text: str) -> bytes:
         """The ids as little-endian unsigned 32-bit numbers."""
+        return b"".join(self._added[s] if added else self._plain_ids(s)
+                        for s, added in self.segments(text))
+
+    def _plain_ids(self, text: str) -> bytes:
         parts = parts_of(text)
         first = self._encode_ids(parts.pop(0))
         return first + b"".join(map(self._ids.__getitem__, parts))
 
     def spans(self, text: str) -> tuple[np.ndarray, np.ndarray]:
         """Start and end of each token in code points of the text."""
-        parts = parts_of(text)
-        first = self._encode_steps(parts.pop(0))
-        pairs = np.frombuffer(first + b"".join(map(self._spans.__getitem__, parts)), dtype="<i4")
+        pairs = np.frombuffer(b"".join(
+            array("i", [len(s)] * 2).tobytes() if added else self._plain_steps(s)
+            for s, added in self.segments(text)), dtype="<i4")
         ends = np.cumsum(pairs[::2], dtype=np.int64)
         starts = ends - pairs[::2]
         return starts, starts + pairs[1::2]
 
+    def _plain_steps(self, text: str) -> bytes:
+        parts = parts_of(text)
+        first = self._encode_steps(parts.pop(0))
+        return first + b"".join(map(self._spans.__getitem__, parts))
+
 
 @functools.cache
 def encoder(path: str) -> Encoder:

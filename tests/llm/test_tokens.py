@@ -2,6 +2,7 @@ import random
 
 import numpy as np
 import pytest
+from tokenizers import Tokenizer
 
 from riverwatch.llm import attribution as A
 from riverwatch.llm import tokens as T
@@ -91,3 +92,14 @@ def test_query_has_a_row_for_each_line(spark, tmp_path, documents):
     documents(["a\nb", None]).write.parquet(str(tmp_path / "documents.parquet"))
     rows = A.op9_token_counts(spark, str(tmp_path)).collect()
     assert sorted((r.doc_id, r.section, r.n_tokens) for r in rows) == [(0, 0, 2), (0, 1, 1), (1, 0, 0)]
+
+
+def test_ids_and_spans_are_those_of_a_fresh_tokenizer(enc):
+    fresh = Tokenizer.from_file(T.default_path())
+    assert np.frombuffer(enc.ids("a <|endoftext|> b"), "<u4").tolist() == [64, 220, 50256, 275]
+    more = ["a  <|endoftext|>  b", "<|endoftext|>", "<|endoftext|><|endoftext|>\n", "é <|endoftext|", "x<|endoftext|>'s"]
+    for t in more + texts(2000):
+        whole = fresh.encode(t, add_special_tokens=False)
+        assert np.frombuffer(enc.ids(t), "<u4").tolist() == whole.ids, repr(t)[:80]
+        s, e = enc.spans(t)
+        assert list(zip(s.tolist(), e.tolist())) == whole.offsets, repr(t)[:80]
