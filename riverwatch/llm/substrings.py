@@ -21,7 +21,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from riverwatch.llm.common import bounded_batches, stored, table
+from riverwatch.llm.common import bounded_batches, drop_stored, stored, table
 from riverwatch.llm.components import components
 
 SHINGLE = 5
@@ -33,9 +33,9 @@ SENTENCE_WORDS = 5   # shorter sentences too
 PASSAGE_WORDS = 30   # shorter runs are not reported if no repeated line is in them
 GAP_WORDS = 8        # a run goes on over so many words that are no unit of their own
 WINDOW_WORDS = 50    # words of a window that is compared by similarity
-WINDOW_APART = 5     # windows start more words apart than this, so those of one text are not similar
-SEED_WORDS = 20      # words of a window that is compared by equality
-SEED_APART = 11      # of so many starts one after the other at least one is taken
+WINDOW_APART = 10    # windows start more words apart than this, so those of one text are not similar
+SEED_WORDS = 16      # words of a window that is compared by equality
+SEED_APART = 15      # of so many starts one after the other at least one is taken
 BLOCK = 256          # lines of one bucket in one block; larger buckets go by pairs of blocks
 LINE, SENTENCE, WINDOW, SEED = 0, 1, 2, 3
 
@@ -204,7 +204,8 @@ def units_of(text: str, bands: int) -> Iterator[tuple]:
     seed = seed_starts(ranks)
     seed = seed[seed + SEED_WORDS <= words.n]
     if len(seed):
-        yield out(SEED, seed, seed + SEED_WORDS, None)
+        none = np.zeros(len(seed), dtype=np.int64)  # a seed's ends are not needed, so not stored
+        yield SEED, none, none, seed, none, words.windows(seed, SEED_WORDS, SEED), None
 
 
 def find_units(docs: DataFrame, bands: int, id_col: str = "doc_id",
@@ -376,6 +377,7 @@ def repeated_passages(docs: DataFrame, similarity: float = SIMILARITY, recall: f
     rooted = stored(components(similar_lines(docs, units, similarity, id_col=id_col, text_col=text_col)),
                     "units-roots")
     first = F.struct(F.col("id").isNull().alias("none"), "id", "row", "start")
+    whole = units
     names = ["row", "id", "kind", "start", "end", "w0", "w1", "hash"]
     twice = units.filter(F.col("kind") == SEED).groupBy("hash").agg(
         F.min("id").alias("low"), F.max("id").alias("high")).filter("low < high").select("hash")
@@ -383,6 +385,7 @@ def repeated_passages(docs: DataFrame, similarity: float = SIMILARITY, recall: f
     fine = windows_around(docs, seeds, id_col, text_col).withColumn("kind", F.lit(SEED))
     units = stored(units.filter(F.col("kind") != SEED).select(*names)
                    .unionByName(fine.select(*names)), "units-all")
+    drop_stored(whole)
     each = units.groupBy("hash").agg(
         F.min(first).alias("first"), F.min("id").alias("low"), F.max("id").alias("high"),
         F.count("*").alias("n"))
