@@ -10,12 +10,12 @@ from riverwatch.operators import analytics as A
 from riverwatch.operators.classify import classify_risk, flood_alerts
 from riverwatch.plans.batch import compute_batch_analytics, current_views, run_batch
 from riverwatch.plans.serving import ServingLayer
-from conftest import GOLDEN
+from samples import GOLDEN
 from riverwatch.session import local_dir, work_path
 from riverwatch.sinks.batch import write_alerts_json
 from riverwatch.sources.readings import readings
 
-from conftest import SF001
+from samples import SF001
 
 
 def _plan(df):
@@ -175,7 +175,7 @@ def test_rebalance_splits_dominant_level(spark):
     tasks. It needs several map tasks, so the input is staged as 8 files
     first (the test tables are one file, one split)."""
     from riverwatch.sinks.batch import write_partitioned_view
-    from conftest import SF01
+    from samples import SF01
     key = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
     old = spark.conf.get(key)
     staged = work_path(spark, "test-rebalance-in")
@@ -195,7 +195,7 @@ def test_rebalance_splits_dominant_level(spark):
 
 
 def test_views_are_snapshots_until_reload(spark):
-    from conftest import GOLDEN
+    from samples import GOLDEN
     out = work_path(spark, "test-reload")
     df = spark.createDataFrame(GOLDEN, S.READING)
     run_batch(spark, df.limit(3), out, run_id="a")

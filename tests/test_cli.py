@@ -3,7 +3,7 @@
 from riverwatch.cli import run
 from riverwatch.session import local_dir, work_path
 
-from conftest import GOLDEN
+from samples import GOLDEN
 
 
 def test_produce_batch_serve(spark, tmp_path, capsys):

@@ -8,7 +8,7 @@ from riverwatch import schema as S
 from riverwatch.operators import decode as D
 from riverwatch.sinks.batch import encode_messages
 
-from conftest import GOLDEN
+from samples import GOLDEN
 
 MSGS = [
     '{"timestamp":"t1","location_id":"A","rainfall_mm_per_hr":NaN,"river_level_m":1.0}',

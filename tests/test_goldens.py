@@ -9,7 +9,7 @@ from riverwatch.operators.classify import classify_risk, flood_alerts
 from riverwatch.plans.serving import recent_alerts
 from riverwatch.sources.files import read_readings_csv
 
-from conftest import GOLDEN
+from samples import GOLDEN
 
 
 def test_location_stats(golden):
@@ -142,7 +142,7 @@ def test_summary_keeps_null_location_group(spark):
     """An undecodable message is a row of NULLs: it forms the NULL location
     group (D4) in the separate operator and in the single-scan summary alike,
     distinct from the grouping sets' own NULLs."""
-    from conftest import GOLDEN
+    from samples import GOLDEN
     df = spark.createDataFrame(GOLDEN + [(None, None, None, None, None, None)], S.READING)
     direct = {r.location_id: r.total_records for r in A.location_stats(df).collect()}
     parts = A.split_summary(A.batch_summary(classify_risk(df)))

@@ -12,7 +12,7 @@ import pytest
 
 from riverwatch.plans.registry import QUERIES
 
-from conftest import SF001
+from samples import SF001
 
 FORBIDDEN = ("BatchEvalPython", "ArrowEvalPython", "PythonUDF", "CartesianProduct",
              "BroadcastNestedLoopJoin", "BroadcastExchange", "BroadcastHashJoin")

@@ -8,7 +8,7 @@ from riverwatch.functions.rules import RiskThresholds, alert_condition, risk_lev
 from riverwatch.operators import analytics as A
 from riverwatch.operators.classify import classify_risk
 
-from conftest import readings_with
+from samples import readings_with
 
 value = st.one_of(st.none(), st.floats(min_value=0, max_value=12, allow_nan=False))
 rows = st.lists(st.tuples(value, value), min_size=1, max_size=40)

@@ -8,7 +8,7 @@ import pytest
 from __spark_entry__ import entry, oracle_sql, queries
 from riverwatch.plans.registry import ORACLE_SQL, QUERIES
 
-from conftest import SF001
+from samples import SF001
 
 TABLES = ["events"]
 
@@ -51,7 +51,7 @@ def test_query_matches_duckdb(spark, name):
 
 def test_fixture_numbers_sf001(spark):
     """FIXTURES.md section 7: the readings view at sf0.01."""
-    from conftest import SF01
+    from samples import SF01
     q = queries()
     dist = {r.flood_risk_level: r["count"] for r in q["risk_distribution"](spark, SF01).collect()}
     assert dist == {"LOW": 4462, "MODERATE": 1854, "HIGH": 3624, "CRITICAL": 60}

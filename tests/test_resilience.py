@@ -10,7 +10,7 @@ from riverwatch.operators import analytics as A
 from riverwatch.operators.classify import classify_risk
 from riverwatch.sources.readings import readings
 
-from conftest import SF001
+from samples import SF001
 
 HERE = os.path.dirname(os.path.abspath(__file__))
 

@@ -16,7 +16,7 @@ from riverwatch.sinks.versions import KEEP, read_current
 from riverwatch.sources.files import read_alerts, read_message_files, read_message_stream
 from riverwatch.streaming.speed import SpeedConfig, await_all, start_speed_layer, stop_all
 
-from conftest import GOLDEN
+from samples import GOLDEN
 
 
 def _write_batches(folder, batches):
@@ -301,7 +301,7 @@ def test_live_triggers_pick_up_new_files(spark):
 @pytest.mark.parametrize("shared", [False, True])
 def test_alerts_top_index_serves_same_answer(spark, shared):
     """Latest alerts from the per-batch top-k index equal the full scan."""
-    from conftest import SF001
+    from samples import SF001
     from riverwatch.plans.serving import ServingLayer
     from riverwatch.sources import readings as R
     root = work_path(spark, f"test-top-index-{shared}")
