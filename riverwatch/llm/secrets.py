@@ -54,15 +54,18 @@ CLASSES = (
                  "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_-", 24, 3.8),
 )
 #: Candidates that are no secrets: words and identifiers without digits, plain numbers,
-#: dates and counters, paths and slugs of dictionary-like parts, sample keys.
+#: dates and counters, sample keys.
 ALLOW = (
     "^[A-Za-z+/_-]*$",
     "^[0-9+/_-]*$",
     "^[A-Fa-f]+$",
-    "^(?:[A-Za-z]*[0-9]{0,4}[+/_-])+[A-Za-z]*[0-9]{0,4}$",
     "EXAMPLE|example|XXXX|xxxx",
     "^(.)\\1+$",
 )
+#: A candidate cut at its separators is a path or slug if each part is like this. Not one
+#: pattern with a repeated group: Java matches that by recursion, as deep as there are parts.
+SEPARATOR = "[+/_-]"
+SLUG_PART = "^[A-Za-z]*[0-9]{0,4}$"
 SCALE = 1_000_000  # entropies are summed as whole millionths, so no rounding drifts
 
 
@@ -118,6 +121,10 @@ def _only_if(test: Column, hits: Column) -> Column:
     return F.when(test, hits).otherwise(none)
 
 
+def _is_slug(found: Column, part: str) -> Column:
+    return found.rlike(SEPARATOR) & F.forall(F.split(found, SEPARATOR, -1), lambda p: p.rlike(part))
+
+
 def _max_entropy_reached(s: Column, cls: EntropyClass) -> Column:
     """Whether some window of ``s`` reaches the class's entropy.
 
@@ -191,15 +198,16 @@ def _joined(spans: Column) -> Column:
 
 
 def scan_secrets(docs: DataFrame, classes: tuple[EntropyClass, ...] = CLASSES,
-                 allow: tuple[str, ...] = ALLOW, text_col: str = "text",
-                 out: str = "secrets") -> DataFrame:
+                 allow: tuple[str, ...] = ALLOW, slug_part: str | None = SLUG_PART,
+                 text_col: str = "text", out: str = "secrets") -> DataFrame:
     """``docs`` plus ``out``: struct of ``base`` and ``all`` spans, each an array of
     (start, rank, end, kind) by start and then kind.
 
     Base spans: an assignment of 12 or more value characters to a key word, an
     access key id, a run of lower-case hex digits. The method adds candidate
     runs of a character class in which some window reaches the class's entropy,
-    unless an allow-list pattern matches or another span already covers them.
+    unless an allow-list pattern matches, all parts between separators match ``slug_part``
+    (None: no such test), or another span already covers them.
 
     Nulls: a null text counts as empty and has no spans; other columns are not
     read. Empty tables stay empty, repeated rows are scanned one by one, a
@@ -231,6 +239,8 @@ def scan_secrets(docs: DataFrame, classes: tuple[EntropyClass, ...] = CLASSES,
             allowed = F.lit(False)
             for pattern in allow:
                 allowed = allowed | h.found.rlike(pattern)
+            if slug_part is not None:
+                allowed = allowed | _is_slug(h.found, slug_part)
             for own in hits:
                 allowed = allowed | _covers(own, h)
             return F.when(allowed, F.lit(False)).otherwise(
