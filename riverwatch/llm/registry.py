@@ -3,8 +3,8 @@
 from __future__ import annotations
 
 from riverwatch.llm import (
-    attribution, mixing, neighbours, orc_tokens, packing, quality, secrets, sharding, simhash,
-    substrings,
+    attribution, lexical, lines, manifest, mixing, neighbours, orc_tokens, packing, quality, secrets,
+    sharding, simhash, substrings,
 )
 
 QUERIES = {
@@ -18,10 +18,16 @@ QUERIES = {
     "op8_quality_rules": quality.op8_quality_rules,
     "op9_token_counts": attribution.op9_token_counts,
     "op10_token_id_output": orc_tokens.op10_token_id_output,
+    "op11_ranked_lexical_search": lexical.op11_ranked_lexical_search,
+    "op12_line_dedup": lines.op12_line_dedup,
+    "op13_merkle_manifest": manifest.op13_merkle_manifest,
 }
 
 ORACLE_SQL = {
     "op3_nearest_neighbours": neighbours.ORACLE,
     "op7_mixing_sources": mixing.ORACLE,
     "op8_quality_rules": quality.ORACLE,
+    "op11_ranked_lexical_search": lexical.ORACLE,
+    "op12_line_dedup": lines.ORACLE,
+    "op13_merkle_manifest": manifest.ORACLE,
 }

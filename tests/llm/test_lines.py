@@ -1,0 +1,103 @@
+import hashlib
+import random
+
+from riverwatch.llm import lines as L
+
+WHITE = " \t\n\x0b\f\r"
+
+
+def key_of(line):
+    return "".join(c.lower() if "A" <= c <= "Z" else c for c in line.strip(WHITE))
+
+
+def brute(rows, seen=()):
+    """(id, n_lines, n_dropped, kept text) of rows (id, text), sorted; ``seen``: keys of earlier batches."""
+    holders = {}
+    for i, t in rows:
+        for line in (t or "").split("\n"):
+            if len(key_of(line)) >= 10:
+                holders.setdefault(key_of(line), set()).add(i)
+    first = {k: min(h, key=lambda x: (x is None, x)) for k, h in holders.items() if len(h) > 1}
+    out = []
+    for i, t in rows:
+        lines = (t or "").split("\n")
+        kept = [x for x in lines if first.get(key_of(x), i) == i and (len(key_of(x)) < 10 or key_of(x) not in seen)]
+        out.append((i, len(lines), len(lines) - len(kept), "\n".join(kept)))
+    return sorted(out, key=str)
+
+
+def got(df):
+    return sorted(((r.doc_id, r.n_lines, r.n_dropped, r.kept_text) for r in df.collect()), key=str)
+
+
+POOL = ["A common line of text", "a COMMON line of text  ", "\t a common line of text\r", "short", "", " ", "ÄÖÜ ÄÖÜ ÄÖÜ",
+        "äöü äöü äöü", "exactly10c", "nine char", "İstanbul İstanbul", "K kelvin sign K", " padded line here "]
+
+
+def make(n, seed):
+    rng = random.Random(seed)
+    rows = []
+    for i in range(n):
+        own = [f"line number {rng.randrange(3 * n)} of the pool" if rng.random() < .5 else rng.choice(POOL)
+               for _ in range(rng.randint(1, 9))]
+        rows.append((rng.randrange(n), "\n".join(own)))
+    rows += [(None, "A common line of text\nonly null rows have this"), (None, "only null rows have this"),
+             (None, None), (5, None), (6, ""), (6, ""), rows[0], rows[0], (7, "\n" * 500 + "a common line of text"),
+             (8, "\n".join(f"long {k % 700} line of one document" for k in range(5000)))]
+    return rows
+
+
+def test_matches_brute_force(spark):
+    rows = make(90, 3)
+    d = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    want = brute(rows)
+    for batches in (1, 5):
+        assert got(L.dedup_lines(d, batches)) == want
+
+
+def test_runs_take_batches_and_are_merged(spark):
+    rows = make(60, 4)
+    runs, seen, levels = L.LineRuns(spark, 4), [], []
+    parts = [[r for r in rows if r[0] is not None and r[0] % 5 == k] for k in range(5)]
+    for part in parts:  # batches in an order that is not that of the ids
+        d = spark.createDataFrame(part, "doc_id long, text string")
+        assert got(L.without_lines(d, runs.add(d))) == brute(part, seen)
+        seen += [key_of(x) for _, t in part for x in (t or "").split("\n")]
+        levels.append(sorted(n for n, _ in runs.runs))
+    assert levels == [[0], [0, 0], [0, 1], [0, 0, 1], [0, 2]]
+    keys = [r.key for _, run in runs.runs for r in run.collect()]
+    assert len(keys) == len(set(keys)) == len({k for k in seen if len(k) >= 10})
+    runs.close()
+
+
+def test_joins_with_runs_shuffle_nothing(spark):
+    runs = L.LineRuns(spark, 4)
+    own = [runs._written(spark.range(n).select(L.F.unhex(L.F.md5(L.F.col("id").cast("string"))).alias("key")))
+           for n in (50, 20)]
+    plan = own[0].join(own[1].hint("merge"), "key", "left_anti")
+    assert plan.count() == 30
+    text = plan._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in text and "Exchange" not in text
+    for r in own:
+        runs._dropped(r)
+
+
+def test_empty_clash_and_native(spark, documents):
+    assert L.dedup_lines(documents([])).count() == 0
+    d = spark.createDataFrame([(1, "the same line\nx", 1, 2), (2, "the same line\ny", 3, 4)],
+                              "doc_id long, text string, id int, n_lines int")
+    out = L.dedup_lines(d, 2)
+    assert out.columns == ["doc_id", "text", "id", "kept_text", "n_lines", "n_dropped"]
+    assert [(r.id, r.kept_text) for r in out.orderBy("doc_id").collect()] == [(1, "the same line\nx"), (3, "y")]
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan and "Arrow" not in plan
+    named = spark.createDataFrame([("b", "the same line"), ("a", "the same line"), (None, "the same line")],
+                                  "doc_id string, text string")
+    assert {r.doc_id: r.kept_text for r in L.dedup_lines(named).collect()} == {"a": "the same line", "b": "", None: ""}
+
+
+def test_query(spark, tmp_path):
+    rows = make(20, 9)
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    found = sorted(map(tuple, L.op12_line_dedup(spark, str(tmp_path)).collect()), key=str)
+    assert found == sorted(((i, n, k, hashlib.sha256(t.encode()).hexdigest()) for i, n, k, t in brute(rows)), key=str)
