@@ -285,9 +285,10 @@ def similar_lines(docs: DataFrame, units: DataFrame, similarity: float, block: i
         F.min("hash").alias("a"), F.max("hash").alias("b"), F.min("id").alias("low"),
         F.max("id").alias("high"), F.max("kind").alias("kind")).filter(
         (F.col("a") < F.col("b")) & ((F.col("kind") == LINE) | (F.col("low") < F.col("high"))))
-    both = stored(keyed.join(shared.select("key"), "key", "left_semi").select("key", "hash")
+    both = stored(keyed.join(shared.select("key").hint("shuffle_hash"), "key", "left_semi").select("key", "hash")
                   .distinct(), "lines-keys")
     met = stored(both.join(both.groupBy("key").agg(F.count("*").alias("n")), "key"), "lines-met")
+    drop_stored(both)
     # the text of one occurrence of each line that met another
     wanted = met.select("hash").distinct()
     one = lines.join(wanted, "hash", "left_semi").groupBy("hash").agg(
@@ -303,7 +304,11 @@ def similar_lines(docs: DataFrame, units: DataFrame, similarity: float, block: i
                  F.sequence(F.lit(0), F.col("blocks") - 1),
                  lambda o: F.struct(F.least(o, F.col("own")).alias("i"),
                                     F.greatest(o, F.col("own")).alias("j")))).alias("pair")))
-    groups = pairs.join(texts, "hash").groupBy("key", "pair").agg(
+    # copies meet in most of their bands: equal sets of members are compared once
+    sets = pairs.groupBy("key", "pair").agg(F.sort_array(F.collect_set("hash")).alias("members")).select(
+        F.md5(F.array_join(F.col("members").cast("array<string>"), ",")).alias("group"), "members")
+    members = sets.dropDuplicates(["group"]).select("group", F.explode("members").alias("hash"))
+    groups = members.join(texts, "hash").groupBy("group").agg(
         F.collect_list(F.struct("hash", "line")).alias("lines")).select("lines")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -315,29 +320,55 @@ def similar_lines(docs: DataFrame, units: DataFrame, similarity: float, block: i
             found = np.array(sorted(edges), dtype=np.int64).reshape(-1, 2)
             yield pa.record_batch([pa.array(found[:, 0]), pa.array(found[:, 1])], names=["u", "v"])
 
-    return groups.mapInArrow(run, "u long, v long")
+    edges = stored(groups.mapInArrow(run, "u long, v long").distinct(), "lines-edges")
+    for done in (met, texts):
+        drop_stored(done)
+    return edges
 
 
-def windows_around(docs: DataFrame, seeds: DataFrame, id_col: str = "doc_id",
+def chain_ends(seeds: DataFrame) -> DataFrame:
+    """(row, w0, before, after) of the repeated ``seeds``: where one ends a chain in some text.
+
+    Seeds of a text whose words touch make a chain, whose words they cover. ``before`` and
+    ``after`` tell on which side an equal seed ends a chain in any text, so that all texts that
+    share the seed give the same windows there.
+    """
+    here = Window.partitionBy("row").orderBy("w0")
+    marked = seeds.select(
+        "hash", F.coalesce(F.col("w0") - F.lag("w0").over(here) > SEED_WORDS, F.lit(True)).alias("before"),
+        F.coalesce(F.lead("w0").over(here) - F.col("w0") > SEED_WORDS, F.lit(True)).alias("after"))
+    ends = marked.groupBy("hash").agg(F.max("before").alias("before"), F.max("after").alias("after"))
+    return seeds.select("row", "w0", "hash").join(ends.hint("shuffle_hash"), "hash").drop("hash")
+
+
+def windows_around(docs: DataFrame, ends: DataFrame, id_col: str = "doc_id",
                    text_col: str = "text") -> DataFrame:
-    """The windows of ``SEED_WORDS`` words at every word near the repeated ``seeds``.
+    """The windows of ``SEED_WORDS`` words at repeated seeds and at every word next to the ends of their chains.
 
     Two texts that share a passage hold the same seeds in it, at most
-    ``SEED_APART`` words apart, so all windows of the passage are given for both.
+    ``SEED_APART`` words apart. These cover it but for less than ``SEED_APART`` words at
+    both ends, which the windows before the first and after the last seed cover.
     """
     kind = docs.schema[id_col].dataType.simpleString()
-    places = seeds.groupBy("row").agg(F.collect_set("w0").alias("at"))  # of one text
+    places = ends.groupBy("row").agg(  # of one text
+        F.collect_set("w0").alias("at"),
+        F.collect_set(F.when(F.col("before"), F.col("w0"))).alias("before"),
+        F.collect_set(F.when(F.col("after"), F.col("w0"))).alias("after"))
     source = docs.select(F.xxhash64(id_col, text_col).alias("row"), F.col(id_col).alias("id"),
-                         F.col(text_col).alias("text")).dropDuplicates(["row"])
+                         F.col(text_col).alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for i in range(b.num_rows):
                 words = Words(b.column(2)[i].as_py())
                 marks = np.zeros(words.n + 1, dtype=np.int64)
-                at = np.array(b.column(3)[i].as_py(), dtype=np.int64)
-                np.add.at(marks, np.maximum(at - SEED_APART + 1, 0), 1)
-                np.add.at(marks, np.minimum(at + SEED_APART, words.n), -1)
+                at, before, after = (np.array(b.column(c)[i].as_py(), dtype=np.int64) for c in (3, 4, 5))
+                marks[at] += 1
+                marks[at + 1] -= 1
+                np.add.at(marks, np.maximum(before - SEED_APART + 1, 0), 1)
+                np.add.at(marks, before, -1)
+                np.add.at(marks, after + 1, 1)
+                np.add.at(marks, np.minimum(after + SEED_APART, words.n), -1)
                 first = np.flatnonzero(np.cumsum(marks)[:max(0, words.n - SEED_WORDS + 1)])
                 after = first + SEED_WORDS
                 here = pa.array(np.full(len(first), i))
@@ -347,7 +378,7 @@ def windows_around(docs: DataFrame, seeds: DataFrame, id_col: str = "doc_id",
                                              words.hashes(first, after, SEED).view(np.int64))]],
                     names=["row", "id", "start", "end", "w0", "w1", "hash"])
 
-    return source.join(places, "row").select("row", "id", "text", "at").mapInArrow(
+    return source.join(places, "row").select("row", "id", "text", "at", "before", "after").mapInArrow(
         run, f"row long, id {kind}, start long, end long, w0 long, w1 long, hash long")
 
 
@@ -376,29 +407,34 @@ def repeated_passages(docs: DataFrame, similarity: float = SIMILARITY, recall: f
     units = stored(find_units(docs, bands_for(similarity, ROWS, recall), id_col, text_col), "units")
     rooted = stored(components(similar_lines(docs, units, similarity, id_col=id_col, text_col=text_col)),
                     "units-roots")
-    first = F.struct(F.col("id").isNull().alias("none"), "id", "row", "start")
-    whole = units
     names = ["row", "id", "kind", "start", "end", "w0", "w1", "hash"]
-    twice = units.filter(F.col("kind") == SEED).groupBy("hash").agg(
-        F.min("id").alias("low"), F.max("id").alias("high")).filter("low < high").select("hash")
-    seeds = units.filter(F.col("kind") == SEED).join(twice, "hash", "left_semi")
-    fine = windows_around(docs, seeds, id_col, text_col).withColumn("kind", F.lit(SEED))
-    units = stored(units.filter(F.col("kind") != SEED).select(*names)
-                   .unionByName(fine.select(*names)), "units-all")
-    drop_stored(whole)
-    each = units.groupBy("hash").agg(
-        F.min(first).alias("first"), F.min("id").alias("low"), F.max("id").alias("high"),
-        F.count("*").alias("n"))
+    seeds = units.filter(F.col("kind") == SEED)
+    twice = seeds.groupBy("hash").agg(F.min("id").alias("low"), F.max("id").alias("high")).filter(
+        "low < high").select("hash")
+    seeds = stored(seeds.join(twice.hint("shuffle_hash"), "hash", "left_semi").select("row", "w0", "hash").repartition("row")
+                   .dropDuplicates(["row", "w0"]), "units-seeds")
+    near = stored(windows_around(docs, chain_ends(seeds), id_col, text_col).select(
+        "row", "id", F.lit(SEED).alias("kind"), *names[3:]), "units-near")
+    drop_stored(seeds)
+    all_ = units.filter(F.col("kind") != SEED).select(*names).unionByName(near)
+    each = all_.groupBy("hash").agg(
+        F.min("id").alias("low"), F.max("id").alias("high"), F.count("*").alias("n"))
     joined = stored(each.join(rooted, each.hash == rooted.node, "left").select(
-        "hash", "first", "low", "high", "n", F.coalesce("root", "hash").alias("cluster"))
+        "hash", "low", "high", "n", F.coalesce("root", "hash").alias("cluster"))
         .filter(F.col("root").isNotNull() | (F.col("low") < F.col("high"))), "units-clusters")
     clusters = joined.groupBy("cluster").agg(
-        F.min("first").alias("first"), F.min("low").alias("low"), F.max("high").alias("high"),
-        F.sum("n").alias("n")).filter("low < high").select("cluster", "first", "n")
+        F.min("low").alias("low"), F.max("high").alias("high"), F.sum("n").alias("n")).filter(
+        "low < high").select("cluster", "low", "n")
     named = joined.select("hash", "cluster").join(clusters, "cluster")
-    found = units.dropDuplicates(["row", "start", "end", "hash"]).join(
-        named, "hash").withColumn(
-        "removed", ~F.col("first").eqNullSafe(first)).drop("first", "hash")
+    found = stored(all_.join(named.hint("shuffle_hash"), "hash").drop("hash").repartition("row").dropDuplicates(
+        ["row", "start", "end", "cluster"]), "units-found")
+    for done in (units, near, rooted, joined):
+        drop_stored(done)
+    # a cluster's first unit is in its smallest id, so only units there are compared by place
+    least = F.col("id").eqNullSafe(F.col("low"))
+    place = F.row_number().over(Window.partitionBy("cluster").orderBy("row", "start"))
+    found = found.filter(~least).withColumn("removed", F.lit(True)).unionByName(
+        found.filter(least).withColumn("removed", place > 1)).drop("low")
 
     def with_runs(df: DataFrame, by: list[str], out: str) -> DataFrame:
         in_order = Window.partitionBy(*by).orderBy("w0", "w1")
