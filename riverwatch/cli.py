@@ -71,7 +71,7 @@ def cmd_speed(spark, args) -> int:
         checkpoint_root=args.checkpoint or f"{out}/_checkpoints",
         alerts_path=f"{out}/flood_alerts",
         raw_path=f"{out}/raw_messages" if args.raw else None,
-        stats_path=None if args.stats_memory else f"{out}/windowed_stats",
+        stats_path=None if args.stats_memory else f"{out}/windowed_stats", stats_memory=args.stats_memory,
         time_col="event" if args.event_time else "processing_time",
         console=args.console,
         keep_nan=args.keep_nan,

@@ -57,6 +57,39 @@ def is_one_json_value(text: Column) -> Column:
     return F.coalesce((F.size(pair) == 2) & (F.get(pair, F.lit(1)) == end), F.lit(False))
 
 
+VALUES, END = "__values", "__end"
+_JSON_START = "^[ \\t\\n\\r]*[\\[{\"0-9tfnNI-]"
+
+
+def parse_whole(text: Column, schema: T.StructType = S.READING) -> Column:
+    """One parse of ``text`` that also tells whether it is one JSON value as a whole.
+
+    The text is read as the first of two array elements; the second carries a hash of the
+    text, which the text cannot hold itself, so trailing text or a second value
+    leave something else behind the first. Gives a struct of that array and, where
+    anything failed, the text; see ``whole_value`` and ``is_whole``."""
+    element = T.StructType([*schema.fields, T.StructField(END, T.StringType())])
+    both = T.StructType([T.StructField(VALUES, T.ArrayType(element)),
+                         T.StructField(S.CORRUPT_RECORD, T.StringType())])
+    framed = F.concat(F.lit(f'{{"{VALUES}":['), text, F.lit(f',{{"{END}":"'), F.hex(F.xxhash64(text)),
+                      F.lit('"}]}'))
+    return F.from_json(framed, both, {"columnNameOfCorruptRecord": S.CORRUPT_RECORD, **STRICT})
+
+
+def whole_value(parsed: Column) -> Column:
+    """The reading of ``parse_whole``; NULL where the text is no JSON object."""
+    return F.get(parsed[VALUES], F.lit(0))
+
+
+def is_whole(parsed: Column, text: Column) -> Column:
+    """Whether the text that ``parse_whole`` read is one JSON value. A JSON value that is
+    no object breaks the array of readings, so only such texts are parsed once more."""
+    values = parsed[VALUES]
+    ended = (F.size(values) == 2) & (F.get(values, F.lit(1))[END] == F.hex(F.xxhash64(text)))
+    again = F.when(text.rlike(_JSON_START), is_one_json_value(text)).otherwise(F.lit(False))
+    return F.when(values.isNull(), again).otherwise(F.coalesce(ended, F.lit(False)))
+
+
 def clean_field(field: Column, dtype: T.DataType, keep_nan: bool) -> Column:
     """Map NaN (double) and the ``"NaN"`` text (string) to NULL unless
     ``keep_nan``; a missing value then behaves as missing, not as +inf."""

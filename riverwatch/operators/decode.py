@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -91,30 +91,34 @@ def triage(
     Output: the metadata columns present in ``df``, ``timestamp``,
     ``rainfall_mm_per_hr``, ``river_level_m``, ``status`` and ``problem``
     (NULL, ``undecodable`` or ``bad_field``). ``undecodable`` rows are the
-    ones the consumer skips (see ``split_triage``); their status is NULL.
+    ones the consumer skips (see ``split_triage``); their status and fields are NULL.
     ``bad_field`` marks JSON that is not a reading (a field of the wrong
     type, an array), which the consumer could not process either; those are
-    tagged from whatever decoded.
+    tagged from whatever decoded. Each text is parsed once; only those that are JSON
+    but no object are parsed again.
     """
     text = codec.message_text(value_col)
-    parsed = codec.parse(text, S.READING, corrupt_column=S.CORRUPT_RECORD, options=codec.STRICT)
     meta = [F.col(m) for m in metadata if m in df.columns]
     # Behind a generator (as in decode_messages with parse_once), so a
     # filter on status/problem cannot be pushed below and re-parse.
-    staged = df.select(F.inline(F.array(F.struct(*meta, text.alias("__text"), parsed.alias(_DATA)))))
+    staged = df.select(F.inline(F.array(F.struct(
+        *meta, text.alias("__text"), codec.parse_whole(text).alias("__parsed")))))
     # Skipped by the consumer: no text (a NULL record value), blank text, the
     # JSON literal null, or text that is not one JSON value as a whole.
-    raw = F.col("__text")
-    bare = F.btrim(raw, F.lit(" \t\n\r"))  # JSON's white space
-    skipped = raw.isNull() | bare.isin("", "null") | ~codec.is_one_json_value(raw)
-    staged = staged.withColumn("__skipped", skipped)
+    raw, parsed = F.col("__text"), F.col("__parsed")
+    null = F.btrim(raw, F.lit(" \t\n\r")) == "null"  # JSON's white space
+    value = codec.whole_value(parsed)
+    skipped = F.when(raw.isNull(), F.lit(True)).when(
+        ~codec.is_whole(parsed, raw), F.lit(True)).otherwise(value.isNull() & null)
+    read = staged.select(
+        *meta, F.inline(F.array(F.struct(skipped.alias("__skipped"), F.when(~skipped, value).alias(_DATA),
+                                         parsed[S.CORRUPT_RECORD].isNotNull().alias("__failed")))))
     rain = codec.clean_field(F.col(f"{_DATA}.{S.RAINFALL}"), T.DoubleType(), keep_nan)
     river = codec.clean_field(F.col(f"{_DATA}.{S.RIVER_LEVEL}"), T.DoubleType(), keep_nan)
     ts = codec.clean_field(F.col(f"{_DATA}.{S.TIMESTAMP}"), T.StringType(), keep_nan)
-    problem = F.when(F.col("__skipped"), F.lit(UNDECODABLE)).when(
-        F.col(f"{_DATA}.{S.CORRUPT_RECORD}").isNotNull(), F.lit(BAD_FIELD))
-    return staged.select(
-        *[F.col(m) for m in metadata if m in df.columns],
+    problem = F.when(F.col("__skipped"), F.lit(UNDECODABLE)).when(F.col("__failed"), F.lit(BAD_FIELD))
+    return read.select(
+        *meta,
         ts.alias(S.TIMESTAMP),
         rain.alias(S.RAINFALL),
         river.alias(S.RIVER_LEVEL),
@@ -126,7 +130,21 @@ def triage(
 
 
 def split_triage(triaged: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(processed, set aside). Two filters over the same plan; persist the
-    input first if both are consumed."""
+    """(processed, set aside). Two filters over the same plan, which runs for each side that
+    is consumed; ``write_triage`` runs it once for both."""
     bad = F.col("problem") == F.lit(UNDECODABLE)
     return triaged.filter(~bad | F.col("problem").isNull()), triaged.filter(bad)
+
+
+def write_triage(triaged: DataFrame, path: str) -> None:
+    """Both sides of triage in one write: parquet dealt by ``problem`` as partition.
+
+    The messages are read and parsed once. Readers of one side
+    (``read_triage``) prune the other's folders."""
+    triaged.write.mode("overwrite").partitionBy("problem").parquet(path)
+
+
+def read_triage(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
+    """(processed, set aside) of what ``write_triage`` wrote, each from its own folders."""
+    rows = spark.read.parquet(path)  # a folder without problems has no type for them
+    return split_triage(rows.withColumn("problem", F.col("problem").cast("string")))

@@ -32,6 +32,7 @@ from riverwatch.sinks import versions
 LOCATION_STATS = "location_stats"
 FLOOD_RISK = "flood_risk_data"
 RISK_DISTRIBUTION = "risk_distribution"
+ALL_VIEWS = (LOCATION_STATS, FLOOD_RISK, RISK_DISTRIBUTION)
 
 
 @dataclass(frozen=True)
@@ -117,9 +118,13 @@ def run_batch(
     run_id: str | None = None,
     materialize: bool = True,
     rebalance: bool = True,
+    views: tuple[str, ...] = ALL_VIEWS,
 ) -> dict[str, DataFrame] | None:
     """B-3: guard, classify + write, analytics, write.
 
+    ``views``: the views to make, all by default. With some of them only what they need is computed
+    and the analytics beside them are left out of the result.
+
     A run's views go to a folder of their own, which becomes the current one
     when all are written (``sinks.versions``): readers see the views of one run,
     and a run that fails leaves the last one in place. Returns the analytics
@@ -127,6 +132,11 @@ def run_batch(
     written).
     """
     checkpoint_root(spark)  # make sure a checkpoint folder is registered
+    unknown = sorted(set(views) - set(ALL_VIEWS))
+    if unknown or not views:
+        raise ValueError(f"unknown views {', '.join(unknown)}" if unknown else "no views")
+    if set(views) != set(ALL_VIEWS):
+        return _run_views(spark, readings, out_dir, thresholds, run_id, rebalance, tuple(views))
     results: dict[str, DataFrame] = {}
     if materialize:
         if not A.has_rows(readings):  # A-7 guard: reads one row at most
@@ -162,3 +172,26 @@ def run_batch(
     results["flood_risk"] = spark.read.parquet(BatchPaths(written).flood_risk)
     results["extreme_events"] = A.extreme_events(results["flood_risk"])
     return results
+
+
+def _run_views(spark: SparkSession, readings: DataFrame, out_dir: str, thresholds: RiskThresholds,
+               run_id: str | None, rebalance: bool, views: tuple[str, ...]) -> dict[str, DataFrame] | None:
+    """``run_batch`` for some of the views."""
+    if not A.has_rows(readings):
+        return None
+    results: dict[str, DataFrame] = {}
+
+    def write(to: str) -> None:
+        paths, rows = BatchPaths(to), classify_risk(readings, thresholds)
+        if FLOOD_RISK in views:
+            sinks.write_partitioned_view(rows, paths.flood_risk, rebalance=rebalance)
+            results["flood_risk"] = rows = spark.read.parquet(paths.flood_risk)
+        if LOCATION_STATS in views:
+            sinks.write_parquet_view(A.location_stats(rows, ordered=False), paths.location_stats)
+            results["location_stats"] = spark.read.parquet(paths.location_stats)
+        if RISK_DISTRIBUTION in views:
+            results["risk_distribution"] = A.risk_distribution(rows, ordered=False).checkpoint(eager=True)
+            sinks.write_json_view(results["risk_distribution"], out_dir, RISK_DISTRIBUTION, run_id)
+
+    versions.write_version(spark, out_dir, write)
+    return results

@@ -19,16 +19,17 @@ from riverwatch.functions.timeparse import wall_time
 from riverwatch.operators import analytics as A
 from riverwatch.operators import decode as D
 from riverwatch.operators.classify import classify_risk, flood_alerts
-from riverwatch.plans.batch import run_batch
+from riverwatch.plans.batch import FLOOD_RISK, LOCATION_STATS, run_batch
+from riverwatch.plans.incremental import IncrementalBatch
 from riverwatch.plans.serving import ServingLayer
 from riverwatch.session import work_path
 from riverwatch.sinks.batch import write_alerts_json, write_json_view
 from riverwatch.sinks.versions import read_current
 from riverwatch.sources import readings as R
 from riverwatch.sources.files import read_alerts, read_message_files, read_readings_csv
-from riverwatch.streaming.speed import (
-    SpeedConfig, await_all, latest_window_stats, start_speed_layer,
-)
+from riverwatch.streaming.late import WindowsWithLateRows
+from riverwatch.streaming.speed import SpeedConfig, await_all, start_speed_layer
+from riverwatch.streaming.updates import read_window_updates
 
 DIGITS = 9
 DAMAGED_EVENT_TYPE = "error"  # feed records wrapped in a text envelope (undecodable)
@@ -41,6 +42,21 @@ def _round(df: DataFrame, cols: list[str], digits: int = DIGITS) -> DataFrame:
     return df.select(*[F.round(c, digits).alias(c) if c in cols else F.col(c) for c in df.columns])
 
 
+def _text_digest(c: str) -> Column:
+    """Sum of 32 bits of each text's MD5: the same for the same rows in any order."""
+    return F.sum(F.conv(F.substring(F.md5(F.col(c)), 1, 8), 16, 10).cast("long")).alias("text_digest")
+
+
+def _millionths(c: str) -> Column:
+    return F.sum(F.round(F.col(c) * 1e6).cast("long"))
+
+
+def _digests() -> list[Column]:
+    """Exact sums over the rows of a group, taken from every text and number of a reading."""
+    return [_text_digest(S.TIMESTAMP), _millionths(S.RAINFALL).alias("rain_digest"),
+            _millionths(S.RIVER_LEVEL).alias("river_digest")]
+
+
 def _readings(spark: SparkSession, sf_dir: str, parse_once: bool = False) -> DataFrame:
     return R.readings(spark, sf_dir, parse_once)
 
@@ -122,13 +138,13 @@ def q_undecodable_messages(spark, sf_dir):
     return D.split_triage(D.triage(_feed(spark, sf_dir)))[1]
 
 
-def _stored_views(spark: SparkSession, sf_dir: str):
+def _stored_views(spark: SparkSession, sf_dir: str, *views: str):
     """Batch layer over the decoded feed into a fresh folder under the
-    shared checkpoint root, then a serving layer over it."""
+    shared checkpoint root, then a serving layer over it. ``views``: only these."""
     out = work_path(spark, "batch")
     events = R.load_table(spark, sf_dir, "events")
     readings = D.decode_kafka_batch(R.messages_from_events(events))
-    run_batch(spark, readings, out, run_id="check")
+    run_batch(spark, readings, out, run_id="check", **({"views": views} if views else {}))
     return ServingLayer(spark, out)
 
 
@@ -137,11 +153,11 @@ def q_batch_views_roundtrip(spark, sf_dir):
 
 
 def q_served_high_risk(spark, sf_dir):
-    return _stored_views(spark, sf_dir).query("high_risk")
+    return _stored_views(spark, sf_dir, FLOOD_RISK).query("high_risk")
 
 
 def q_location_summary_one(spark, sf_dir):
-    out = _stored_views(spark, sf_dir).query("location", location_id=CHECK_LOCATION)
+    out = _stored_views(spark, sf_dir, LOCATION_STATS).query("location", location_id=CHECK_LOCATION)
     return _round(out, ["avg_rainfall", "avg_temperature", "avg_river_level"])
 
 
@@ -175,10 +191,10 @@ def q_decode_with_raw(spark, sf_dir):
     again = D.decode_messages(out.select(F.col(S.RAW_VALUE).alias("value")),
                               raw_as=S.RAW_VALUE).withColumnRenamed(S.LOCATION_ID, "from_raw")
     damaged = F.col(S.RAW_VALUE).startswith(R.DAMAGE_ENVELOPE)
-    parts = [df.select(F.lit(side).alias("side"), F.col(c).alias(S.LOCATION_ID), damaged.alias("damaged"))
+    parts = [df.withColumn("side", F.lit(side)).withColumn("damaged", damaged).withColumn(S.LOCATION_ID, F.col(c))
              for side, df, c in (("decoded", out, S.LOCATION_ID), ("raw", again, "from_raw"))]
-    return parts[0].unionByName(parts[1]).groupBy("side", S.LOCATION_ID, "damaged").agg(
-        F.count(F.lit(1)).alias("count"))
+    return parts[0].unionByName(parts[1], allowMissingColumns=True).groupBy("side", S.LOCATION_ID, "damaged").agg(
+        F.count(F.lit(1)).alias("count"), *_digests())
 
 
 def q_alerts_with_time(spark, sf_dir):
@@ -237,7 +253,7 @@ def q_stream_update_stats(spark, sf_dir):
     reading counts): each batch writes the windows it changed, the newest row of each is read."""
     cfg = _run_stream(spark, sf_dir, files_per_trigger=1, stats_path="stats", time_col="event",
                       stats_mode="update", watermark=None)
-    return _round(A.flatten_window(latest_window_stats(spark.read.parquet(cfg.stats_path))),
+    return _round(A.flatten_window(read_window_updates(spark, cfg.stats_path)),
                   ["avg_rainfall", "avg_river_level"])
 
 
@@ -251,11 +267,14 @@ def q_stream_fan_out(spark, sf_dir):
     for _ in range(2):
         raw = R.messages_from_events(R.events_stream(spark, sf_dir, 1)).select("value")
         await_all(spark, start_speed_layer(raw, cfg))
-    counts = [("alerts", read_alerts(spark, cfg.alerts_path)),
-              ("raw_messages", read_message_files(spark, cfg.raw_path)),
-              ("windowed_readings", read_current(spark, cfg.stats_path).select("record_count"))]
-    parts = [df.agg((F.sum("record_count") if name == "windowed_readings" else F.count("*")).alias("count"))
-             .select(F.lit(name).alias("sink"), "count") for name, df in counts]
+    raw = D.decode_messages(read_message_files(spark, cfg.raw_path))
+    windows = read_current(spark, cfg.stats_path)
+    parts = [df.agg(F.count("*").alias("count"), *_digests()).withColumn("sink", F.lit(name))
+             for name, df in (("alerts", read_alerts(spark, cfg.alerts_path)), ("raw_messages", raw))]
+    parts.append(windows.agg(
+        F.sum("record_count").alias("count"), _text_digest(S.LOCATION_ID),
+        _millionths("max_rainfall").alias("rain_digest"), _millionths("max_river_level").alias("river_digest"))
+        .withColumn("sink", F.lit("windowed_readings")))
     return parts[0].unionByName(parts[1]).unionByName(parts[2])
 
 
@@ -279,6 +298,66 @@ def q_stream_triage(spark, sf_dir):
     return spark.read.parquet(f"{root}/out")
 
 
+FEED_BATCHES, LATE_BATCHES, LATE_EVERY, LATE_BY = 20, 7, 7, 2
+
+
+def _fed_in_batches(spark, sf_dir, batches: int, late: bool) -> DataFrame:
+    """The messages as a stream of ``batches`` files or a few more, one a micro-batch.
+
+    Files are dealt by time; with ``late``, every ``LATE_EVERY``-th event comes ``LATE_BY`` files later."""
+    path = work_path(spark, "feed")
+    events = R.load_table(spark, sf_dir, "events")
+    us = F.unix_micros(F.col("ts").cast("timestamp"))
+    low, high = events.agg(F.min(us), F.max(us)).first()
+    at = F.expr(f"((unix_micros(CAST(ts AS TIMESTAMP)) - {low}) * {batches}) div {high - low + 1}")
+    if late:
+        at = at + F.when(F.col("event_id") % LATE_EVERY == 0, LATE_BY).otherwise(0)
+    for k in range(batches + (LATE_BY if late else 0)):  # in order of time, as files arrive
+        R.messages_from_events(events.filter(at == k)).select("value").coalesce(1).write.mode(
+            "append").parquet(path)
+    return spark.readStream.schema("value binary").option("maxFilesPerTrigger", 1).parquet(path)
+
+
+def q_stream_compacted_stats(spark, sf_dir):
+    """Update mode over 20 micro-batches with a watermark, the batch folders merged each five."""
+    root = work_path(spark, "stream")
+    cfg = SpeedConfig(checkpoint_root=f"{root}/checkpoints", available_now=True, stats_path=f"{root}/stats",
+                      time_col="event", stats_mode="update", compact_every=5)
+    await_all(spark, start_speed_layer(_fed_in_batches(spark, sf_dir, FEED_BATCHES, late=False), cfg))
+    return _round(A.flatten_window(read_window_updates(spark, cfg.stats_path)), ["avg_rainfall", "avg_river_level"])
+
+
+def q_stream_late_rows(spark, sf_dir):
+    """Append mode with a watermark that acts: windows closed and open, and what came too late."""
+    layer = WindowsWithLateRows(spark, work_path(spark, "late"))
+    layer.start(D.decode_stream(_fed_in_batches(spark, sf_dir, LATE_BATCHES, late=True)), available_now=True).awaitTermination()
+    late = A.windowed_stats(layer.late(), "event_time", layer.window)
+    parts = [A.flatten_window(df).withColumn("part", F.lit(name))
+             for name, df in (("closed", layer.closed()), ("open", layer.open()), ("late", late))]
+    return _round(parts[0].unionByName(parts[1]).unionByName(parts[2]).drop("window_end"),
+                  ["avg_rainfall", "avg_river_level"])
+
+
+def q_incremental_batch(spark, sf_dir):
+    """SRC-1, B-1..B-3 over two runs: the second takes only what the first had not."""
+    root = work_path(spark, "incremental")
+    messages = R.messages_from_events(R.load_table(spark, sf_dir, "events"))
+    layer = IncrementalBatch(spark, f"{root}/views")
+    for half in range(2):
+        messages.filter(F.col("offset") % 2 == half).write.mode("append").parquet(f"{root}/topic")
+        layer.run(spark.readStream.schema(messages.schema).parquet(f"{root}/topic"))
+    return _round(layer.summary(), ["avg_rainfall", "avg_temperature", "avg_river_level", "correlation"])
+
+
+def q_triage_sides(spark, sf_dir):
+    """T-1: both sides of one triage write, each read from its own folders."""
+    path = work_path(spark, "triage")
+    D.write_triage(D.triage(_feed(spark, sf_dir)), path)
+    sides = [df.withColumn("side", F.lit(name)) for name, df in
+             zip(("processed", "set_aside"), D.read_triage(spark, path))]
+    return sides[0].unionByName(sides[1])
+
+
 QUERIES: dict[str, Query] = {
     "risk_classify": q_risk_classify,
     "risk_distribution": q_risk_distribution,
@@ -312,6 +391,10 @@ QUERIES: dict[str, Query] = {
     "stream_realtime_stats": q_stream_realtime_stats,
     "stream_triage": q_stream_triage,
     "stream_recent_alerts": q_stream_recent_alerts,
+    "incremental_batch": q_incremental_batch,
+    "triage_sides": q_triage_sides,
+    "stream_compacted_stats": q_stream_compacted_stats,
+    "stream_late_rows": q_stream_late_rows,
 }
 
 # --------------------------------------------------------------------------
@@ -454,16 +537,22 @@ ORACLE_SQL["undecodable_messages"] = (
 ORACLE_SQL["csv_location_stats"] = ORACLE_SQL["location_stats"]
 ORACLE_SQL["json_distribution"] = ORACLE_SQL["risk_distribution"]
 ORACLE_SQL["alerts_with_time"] = f"SELECT *, TRUE AS stamped FROM ({ORACLE_SQL['flood_alerts']})"
-ORACLE_SQL["decode_with_raw"] = _with(
-    f"""SELECT side, CASE WHEN event_type = '{DAMAGED_EVENT_TYPE}' THEN NULL ELSE location_id END AS location_id,
-              event_type = '{DAMAGED_EVENT_TYPE}' AS damaged, count(*) AS count
-       FROM readings, (VALUES ('decoded'), ('raw')) AS s(side) GROUP BY 1, 2, 3""")
+_TEXT_DIGEST = "CAST(sum(CAST('0x' || substr(md5({}), 1, 8) AS BIGINT)) AS BIGINT) AS text_digest"
+_MILLIONTHS = "CAST(sum(CAST(round({} * 1e6) AS BIGINT)) AS BIGINT) AS {}"
+_DIGESTS = ", ".join([_TEXT_DIGEST.format('"timestamp"'), _MILLIONTHS.format("rainfall_mm_per_hr", "rain_digest"),
+                      _MILLIONTHS.format("river_level_m", "river_digest")])
+ORACLE_SQL["decode_with_raw"] = f"""
+SELECT side, location_id, damaged, count(*) AS count, {_DIGESTS}
+FROM (SELECT *, "timestamp" IS NULL AS damaged FROM ({ORACLE_SQL["decode_readings"]})),
+     (VALUES ('decoded'), ('raw')) AS s(side) GROUP BY 1, 2, 3"""
 ORACLE_SQL["stream_windowed_stats"] = ORACLE_SQL["windowed_stats"]
 ORACLE_SQL["stream_update_stats"] = ORACLE_SQL["windowed_stats"]
 ORACLE_SQL["stream_fan_out"] = f"""
-SELECT 'alerts' AS sink, count(*) AS count FROM ({ORACLE_SQL["flood_alerts"]})
-UNION ALL SELECT 'raw_messages', count(*) FROM events
-UNION ALL SELECT 'windowed_readings', count(*) FROM events"""
+SELECT 'alerts' AS sink, count(*) AS count, {_DIGESTS} FROM ({ORACLE_SQL["flood_alerts"]})
+UNION ALL SELECT 'raw_messages', count(*), {_DIGESTS} FROM ({ORACLE_SQL["json_roundtrip"]})
+UNION ALL SELECT 'windowed_readings', CAST(sum(record_count) AS BIGINT), {_TEXT_DIGEST.format("location_id")},
+       {_MILLIONTHS.format("max_rainfall", "rain_digest")}, {_MILLIONTHS.format("max_river_level", "river_digest")}
+FROM ({ORACLE_SQL["windowed_stats"]})"""
 ORACLE_SQL["stream_alerts"] = ORACLE_SQL["flood_alerts"]
 ORACLE_SQL["stream_raw_archive"] = ORACLE_SQL["json_roundtrip"]
 ORACLE_SQL["stream_realtime_stats"] = _with(
@@ -474,5 +563,25 @@ ORACLE_SQL["stream_realtime_stats"] = _with(
        FROM readings GROUP BY location_id""")
 ORACLE_SQL["stream_triage"] = ORACLE_SQL["message_triage"]
 ORACLE_SQL["stream_recent_alerts"] = ORACLE_SQL["recent_alerts"]
+ORACLE_SQL["incremental_batch"] = ORACLE_SQL["batch_summary"]
+ORACLE_SQL["triage_sides"] = f"""SELECT *, CASE WHEN problem = 'undecodable' THEN 'set_aside' ELSE 'processed' END AS side
+FROM ({ORACLE_SQL['message_triage']})"""
+ORACLE_SQL["stream_compacted_stats"] = ORACLE_SQL["windowed_stats"]
+ORACLE_SQL["stream_late_rows"] = _with(
+    f"""SELECT part, ws AS window_start, location_id, round(avg(rainfall_mm_per_hr), {DIGITS}) AS avg_rainfall,
+              max(rainfall_mm_per_hr) AS max_rainfall, round(avg(river_level_m), {DIGITS}) AS avg_river_level,
+              max(river_level_m) AS max_river_level, count(*) AS record_count
+       FROM (SELECT *, CASE WHEN ws + INTERVAL 5 MINUTES <= wm THEN 'late'
+                            WHEN ws + INTERVAL 5 MINUTES <= (SELECT max(t) FROM dealt) - INTERVAL 10 MINUTES
+                            THEN 'closed' ELSE 'open' END AS part
+             FROM (SELECT *, time_bucket(INTERVAL '5 minutes', t) AS ws FROM dealt) JOIN marks USING (b))
+       GROUP BY ALL""").replace("\nSELECT part", f""",
+bounds AS (SELECT min(epoch_us(ts)) AS low, max(epoch_us(ts)) AS high FROM events),
+dealt AS (SELECT *, CAST("timestamp" AS TIMESTAMP) AS t,
+                 ((epoch_us(ts) - low) * {LATE_BATCHES}) // (high - low + 1)
+                 + CASE WHEN event_id % {LATE_EVERY} = 0 THEN {LATE_BY} ELSE 0 END AS b FROM readings, bounds),
+marks AS (SELECT b, max(max(t)) OVER (ORDER BY b ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)
+                    - INTERVAL 10 MINUTES AS wm FROM dealt GROUP BY b)
+SELECT part""", 1)
 
 assert set(ORACLE_SQL) <= set(QUERIES), set(ORACLE_SQL) - set(QUERIES)

@@ -7,8 +7,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from riverwatch import schema as S
+from riverwatch.sinks import commits
 
-BATCH_ID = "batch_id"  # the folder of a micro-batch
+BATCH_ID = commits.BATCH_ID
 
 
 def read_message_files(spark: SparkSession, path: str) -> DataFrame:
@@ -44,7 +45,8 @@ def read_readings_csv(
 
 
 def read_alerts(
-    spark: SparkSession, path: str, schema: T.StructType = S.ALERT, with_batch: bool = False
+    spark: SparkSession, path: str, schema: T.StructType = S.ALERT, with_batch: bool = False,
+    upto: int | None = None
 ) -> DataFrame:
     """Alert JSON files. The schema is explicit: the JSON writer leaves out
     NULL fields and writes NaN as a string, so inference would mistype or
@@ -52,7 +54,20 @@ def read_alerts(
     read through its ``_spark_metadata`` log, so half-written files of a
     failed micro-batch are not seen. Folders written per micro-batch
     (``batch_id=N``) are read as one; the partition column is dropped, or
-    kept (NULL in other layouts) if ``with_batch`` is set."""
-    if with_batch:
-        schema = T.StructType([*schema.fields, T.StructField(BATCH_ID, T.LongType())])
-    return spark.read.schema(schema).json(path).select(*schema.fieldNames())
+    kept (NULL in other layouts) if ``with_batch`` is set. Of such folders with markers
+    (``sinks.commits``) only batches that are marked count, or those up to ``upto``."""
+    batched = T.StructType([*schema.fields, T.StructField(BATCH_ID, T.LongType())])
+    rows = spark.read.schema(batched).json(path)
+    last = commits.last_commit(spark, path) if upto is None else upto
+    if last is not None:
+        rows = rows.filter(F.col(BATCH_ID) <= last)
+    return rows.select(*(batched if with_batch else schema).fieldNames())
+
+
+def read_archive(spark: SparkSession, path: str, commits_root: str | None = None) -> DataFrame:
+    """The raw archive as ``value``. ``commits_root``: the folder with the markers of its
+    micro-batches (the alerts', if both come from one query); without markers all is read."""
+    rows = spark.read.text(path)
+    if BATCH_ID in rows.columns:
+        rows = commits.committed(rows, commits_root or path)
+    return rows.select("value")

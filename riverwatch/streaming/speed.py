@@ -28,8 +28,9 @@ from riverwatch.functions.rules import AlertRule
 from riverwatch.operators import analytics as A
 from riverwatch.operators.classify import flood_alerts
 from riverwatch.operators.decode import decode_stream, stamp_processing_time
-from riverwatch.sinks import versions
+from riverwatch.sinks import commits, versions
 from riverwatch.sources.files import BATCH_ID, read_alerts
+from riverwatch.streaming.updates import compact, latest_window_stats, write_update
 
 EVENT_TIME = "event_time"
 
@@ -39,8 +40,12 @@ class SpeedConfig:
     checkpoint_root: str
     alerts_path: str | None = None
     raw_path: str | None = None
-    stats_path: str | None = None  # parquet table (scales); None -> memory sink
-    stats_query_name: str = "realtime_stats"
+    stats_path: str | None = None  # parquet table of the windowed statistics
+    # The reference's in-memory table instead: the whole result on the driver, for small state only.
+    stats_memory: bool = False
+    stats_query_name: str = "realtime_stats"  # name of that table
+    # Update mode: merge the batch folders into the base each so many batches (streaming.updates).
+    compact_every: int | None = None
     time_col: str = S.PROCESSING_TIME  # or "event"
     window: str = "5 minutes"
     watermark: str = "10 minutes"
@@ -138,48 +143,37 @@ def _replace_table(path: str) -> Callable[[DataFrame, int], None]:
     return write
 
 
-def _versioned_updates(path: str) -> Callable[[DataFrame, int], None]:
+def _versioned_updates(cfg: SpeedConfig) -> Callable[[DataFrame, int], None]:
     def write(batch: DataFrame, batch_id: int) -> None:
-        # Update mode hands over only the groups that changed: keep each
-        # batch's rows in its own folder (overwritten if the batch is
-        # replayed); ``latest_window_stats`` reads the newest per group.
-        batch.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+        # Update mode hands over only the groups that changed.
+        write_update(batch, batch_id, cfg.stats_path)
+        if cfg.compact_every and (batch_id + 1) % cfg.compact_every == 0:
+            compact(batch.sparkSession, cfg.stats_path, cfg.watermark)
 
     return write
 
 
-def latest_window_stats(updates: DataFrame) -> DataFrame:
-    """Read side of update mode: the newest row per (window, location) from
-    the per-batch folders (``max_by`` over ``batch_id``: a two-phase
-    aggregate, no sort, no window function)."""
-    keys = ["window", S.LOCATION_ID]
-    values = [c for c in updates.columns if c not in keys + [BATCH_ID]]
-    # one max_by for each column keeps the aggregate a hash aggregate
-    return updates.groupBy(*keys).agg(
-        *[F.max_by(c, BATCH_ID).alias(c) for c in values])
-
-
 def start_stats_sink(stats: DataFrame, cfg: SpeedConfig) -> StreamingQuery:
     """SNK-7: windowed statistics.
 
-    No ``stats_path``: the reference's in-memory table (complete mode,
+    ``stats_memory``: the reference's in-memory table (complete mode,
     queryable as ``cfg.stats_query_name`` in this session only; results
-    live on the driver, so only for small state). With ``stats_path``:
+    live on the driver, so only for small state). Else a table at ``stats_path``:
     complete mode writes a new version of a parquet table per micro-batch
     through ``foreachBatch`` (a distributed write; read it with
     ``sinks.versions.read_current``, which never sees half of one); update mode keeps each batch's
-    changed groups in a ``batch_id=N`` folder (read with
-    ``latest_window_stats``); append mode uses the parquet file sink,
+    changed groups in a ``batch_id=N`` folder, merged each ``compact_every``
+    batches (read with ``streaming.updates.read_window_updates``); append mode uses the parquet file sink,
     emitting each window once the watermark closes it.
     """
     ck = _ckpt(cfg, "windowed_stats")
     w = stats.writeStream.outputMode(cfg.stats_mode).option("checkpointLocation", ck)
-    if cfg.stats_path is None:
+    if cfg.stats_memory:
         w = w.format("memory").queryName(cfg.stats_query_name)
     elif cfg.stats_mode == "append":
         w = w.format("parquet").option("path", cfg.stats_path)
     elif cfg.stats_mode == "update":
-        w = w.foreachBatch(_versioned_updates(cfg.stats_path))
+        w = w.foreachBatch(_versioned_updates(cfg))
     else:
         w = w.foreachBatch(_replace_table(cfg.stats_path))
     w = _trigger(w, cfg, None)
@@ -210,14 +204,21 @@ def _write_top(spark: SparkSession, cfg: SpeedConfig, batch_id: int) -> None:
         own = read_alerts(spark, f"{cfg.alerts_path}/{BATCH_ID}={batch_id}")
         alerts = own.withColumn(BATCH_ID, F.lit(batch_id).cast("long")).unionByName(index.drop("k"))
     else:
-        alerts = read_alerts(spark, cfg.alerts_path, with_batch=True)
+        alerts = read_alerts(spark, cfg.alerts_path, with_batch=True, upto=batch_id)
     top = A.recent_alerts(alerts, cfg.alerts_top_k).withColumn(
         "k", F.lit(cfg.alerts_top_k))  # what a reader may ask of the index
     versions.write_version(spark, cfg.alerts_top_path, lambda to: top.write.parquet(to))
 
 
+def commits_root(cfg: SpeedConfig) -> str:
+    """Where the markers of the shared stateless writer are: with the alerts, or with the
+    archive if there are no alerts."""
+    return cfg.alerts_path or cfg.raw_path
+
+
 def _stateless_writer(cfg: SpeedConfig) -> Callable[[DataFrame, int], None]:
     def write(batch: DataFrame, batch_id: int) -> None:
+        commits.begin(batch.sparkSession, commits_root(cfg))
         batch = batch.persist()
         try:
             if cfg.raw_path:
@@ -231,6 +232,8 @@ def _stateless_writer(cfg: SpeedConfig) -> Callable[[DataFrame, int], None]:
                 alerts.write.mode("overwrite").json(f"{cfg.alerts_path}/batch_id={batch_id}")
                 if cfg.alerts_top_path:
                     _write_top(batch.sparkSession, cfg, batch_id)
+            # archive and alerts count together, once both are whole
+            commits.commit(batch.sparkSession, commits_root(cfg), batch_id)
         finally:
             batch.unpersist()
 
@@ -239,8 +242,9 @@ def _stateless_writer(cfg: SpeedConfig) -> Callable[[DataFrame, int], None]:
 
 def start_shared_stateless(raw: DataFrame, cfg: SpeedConfig) -> StreamingQuery:
     """Alerts and raw archive from one read of the source (see
-    ``SpeedConfig.shared_stateless``). Readers of the folders see a
-    ``batch_id`` partition column; ``sources.files.read_alerts`` drops it."""
+    ``SpeedConfig.shared_stateless``). A micro-batch counts once its marker is
+    made, after both are written (``sinks.commits``); ``sources.files.read_alerts`` and
+    ``read_archive`` take such batches only."""
     w = (raw.writeStream.foreachBatch(_stateless_writer(cfg))
          .option("checkpointLocation", _ckpt(cfg, "stateless")))
     return _trigger(w, cfg, cfg.trigger).start()
@@ -264,6 +268,8 @@ def start_speed_layer(raw: DataFrame, cfg: SpeedConfig) -> list[StreamingQuery]:
     """
     if cfg.alerts_top_path and not cfg.alerts_path:
         raise ValueError("alerts_top_path indexes the alerts of alerts_path, which is not set")
+    if cfg.stats and not (cfg.stats_path or cfg.stats_memory):
+        raise ValueError("stats needs a stats_path (or stats_memory, which holds them on the driver)")
     parsed = parse_stream(raw, keep_nan=cfg.keep_nan)
     started: list[StreamingQuery] = []
     # index and alert files come from the same micro-batch, so they cannot differ

@@ -43,6 +43,7 @@ def _golden_msgs():
 
 def _cfg(spark, root, **kw):
     kw.setdefault("available_now", True)
+    kw.setdefault("stats_memory", "stats_path" not in kw)
     return SpeedConfig(checkpoint_root=f"{root}/ckpt", **kw)
 
 
