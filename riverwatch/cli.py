@@ -3,8 +3,9 @@ triage consumer.
 
     python -m riverwatch batch   --kafka HOST:PORT --topic T --out DIR
     python -m riverwatch batch   --messages DIR --out DIR
+    python -m riverwatch incremental (--kafka HOST:PORT --topic T | --messages DIR) --out DIR
     python -m riverwatch speed   --kafka HOST:PORT --topic T --out DIR [--event-time]
-                                 [--raw] [--shared] [--stats-memory] [--once]
+                                 [--raw] [--alert-time] [--shared] [--stats-memory] [--once]
     python -m riverwatch serve   --batch DIR [--alerts DIR] QUERY [--location ID]
     python -m riverwatch produce --csv FILE (--kafka HOST:PORT --topic T | --messages DIR)
                                  [--missing-as-nan]
@@ -14,6 +15,7 @@ Folders may be any Hadoop path (hdfs://, s3a://, abfss://). A stream's
 checkpoints belong to its output: they go below --out unless --checkpoint is
 given. ``triage`` without --out prints and starts anew each time.
 ``--once`` processes what is available and stops (availableNow trigger).
+``incremental`` takes what arrived since its last run and prints the analytics of all so far.
 """
 
 from __future__ import annotations
@@ -31,7 +33,8 @@ def _source(spark, args, stream: bool):
                          min_partitions=args.min_partitions,
                          max_offsets_per_trigger=args.max_offsets if stream else None,
                          max_files_per_trigger=args.max_files if stream else None,
-                         starting_offsets=args.starting_offsets)
+                         starting_offsets=args.starting_offsets,
+                         ending_offsets=None if stream else args.ending_offsets)
 
 
 def _show(df, limit: int | None = None) -> None:
@@ -55,11 +58,27 @@ def cmd_batch(spark, args) -> int:
     # counted from the small risk distribution, not by another pass over the input
     total = results["risk_distribution"].agg(F.sum("count")).first()[0]
     print(f"loaded {total} records")
-    results = for_display(results)
+    _report(for_display(results), args.limit)
+    return 0
+
+
+def _report(results, limit: int | None) -> None:
     for name in ("location_stats", "risk_distribution", "hourly_patterns", "correlation",
                  "extreme_events"):
         print(f"== {name}")
-        _show(results[name], args.limit)
+        _show(results[name], limit)
+
+
+def cmd_incremental(spark, args) -> int:
+    from riverwatch.operators.decode import decode_kafka_batch
+    from riverwatch.plans.batch import for_display
+    from riverwatch.plans.incremental import IncrementalBatch
+
+    layer = IncrementalBatch(spark, args.out, decode=lambda df: decode_kafka_batch(df, keep_nan=args.keep_nan))
+    print(f"took {layer.run(_source(spark, args, True))} new messages")
+    views = layer.views()
+    if views is not None:
+        _report(for_display(views), args.limit)
     return 0
 
 
@@ -75,11 +94,12 @@ def cmd_speed(spark, args) -> int:
         time_col="event" if args.event_time else "processing_time",
         console=args.console,
         keep_nan=args.keep_nan,
-        alerts_with_processing_time=args.raw,
+        alerts_with_processing_time=args.alert_time,
         shared_stateless=args.shared,
         available_now=args.once,
         state_partitions=args.state_partitions,
         stats_mode=args.stats_mode,
+        compact_every=args.compact_every,
         alerts_top_path=f"{out}/alerts_top" if args.alerts_top else None,
     )
     await_all(spark, start_speed_layer(_source(spark, args, True), cfg))
@@ -156,9 +176,17 @@ def parser() -> argparse.ArgumentParser:
     b.add_argument("--run-id", default=None)
     b.add_argument("--limit", type=int, default=None, help="rows printed of each view (all)")
     b.add_argument("--persist", action="store_true", help="cache instead of materializing")
+    b.add_argument("--ending-offsets", default=None,
+                   help="Kafka: JSON offsets, the same for all scans (latest, looked up by each)")
+    i = sub.add_parser("incremental"); src(i, True)
+    i.add_argument("--out", required=True)
+    i.add_argument("--limit", type=int, default=None, help="rows printed of each view (all)")
     s = sub.add_parser("speed"); src(s, True, "latest")
     s.add_argument("--out", required=True)
     s.add_argument("--raw", action="store_true", help="also archive raw messages")
+    s.add_argument("--alert-time", action="store_true", help="alerts with the time they were processed")
+    s.add_argument("--compact-every", type=int, default=None,
+                   help="update mode: merge the batch folders each so many micro-batches")
     s.add_argument("--stats-memory", action="store_true",
                    help="stats to an in-memory table of this process (small state only) "
                         "instead of a parquet table under --out")
@@ -193,7 +221,7 @@ def parser() -> argparse.ArgumentParser:
 
 
 COMMANDS = {"batch": cmd_batch, "speed": cmd_speed, "serve": cmd_serve,
-            "produce": cmd_produce, "triage": cmd_triage}
+            "produce": cmd_produce, "triage": cmd_triage, "incremental": cmd_incremental}
 
 
 def _parse(argv: list[str]) -> argparse.Namespace:
@@ -201,14 +229,14 @@ def _parse(argv: list[str]) -> argparse.Namespace:
     args = p.parse_args(argv)
     if getattr(args, "kafka", None) and not getattr(args, "topic", None):
         p.error("--kafka needs --topic")
-    kafka_only = ("min_partitions", "starting_offsets", "max_offsets")
+    kafka_only = ("min_partitions", "starting_offsets", "ending_offsets", "max_offsets")
     unused = kafka_only if not getattr(args, "kafka", None) else ("max_files",)
     for name in unused:
         if getattr(args, name, None) is not None:
             p.error(f"--{name.replace('_', '-')} has no meaning for this source")
-    if args.cmd == "triage" and args.kafka and not args.starting_offsets:
+    if args.cmd in ("triage", "incremental") and args.kafka and not args.starting_offsets:
         args.starting_offsets = "earliest"  # the consumer's: all there is, at its first start
-    if args.cmd in ("batch", "speed", "triage", "produce") and not (args.kafka or args.messages):
+    if args.cmd in ("batch", "incremental", "speed", "triage", "produce") and not (args.kafka or args.messages):
         p.error("give --kafka HOST:PORT --topic T, or --messages DIR")
     return args
 

@@ -24,6 +24,7 @@ from riverwatch.plans.incremental import IncrementalBatch
 from riverwatch.plans.serving import ServingLayer
 from riverwatch.session import work_path
 from riverwatch.sinks.batch import write_alerts_json, write_json_view
+from riverwatch.sinks.clustered import rows_between, top_rows, write_clustered
 from riverwatch.sinks.versions import read_current
 from riverwatch.sources import readings as R
 from riverwatch.sources.files import read_alerts, read_message_files, read_readings_csv
@@ -298,6 +299,21 @@ def q_stream_triage(spark, sf_dir):
     return spark.read.parquet(f"{root}/out")
 
 
+def q_clustered_extreme_events(spark, sf_dir):
+    """TOP-1 over readings clustered by rain: only files that can hold one of the ten are opened."""
+    path = work_path(spark, "clustered")
+    write_clustered(_readings(spark, sf_dir), path, [f"-{S.RAINFALL}", f"-{S.RIVER_LEVEL}"], files=16)
+    return top_rows(spark, path, 10, A.extreme_events)
+
+
+def q_clustered_location(spark, sf_dir):
+    """V-3 / P-9 look-up: one location's classified readings from the files that hold it."""
+    path = work_path(spark, "clustered")
+    write_clustered(classify_risk(_readings(spark, sf_dir, parse_once=True)), path,
+                    [S.LOCATION_ID, S.TIMESTAMP], files=16)
+    return rows_between(spark, path, S.LOCATION_ID, CHECK_LOCATION)
+
+
 FEED_BATCHES, LATE_BATCHES, LATE_EVERY, LATE_BY = 20, 7, 7, 2
 
 
@@ -393,6 +409,8 @@ QUERIES: dict[str, Query] = {
     "stream_recent_alerts": q_stream_recent_alerts,
     "incremental_batch": q_incremental_batch,
     "triage_sides": q_triage_sides,
+    "clustered_extreme_events": q_clustered_extreme_events,
+    "clustered_location": q_clustered_location,
     "stream_compacted_stats": q_stream_compacted_stats,
     "stream_late_rows": q_stream_late_rows,
 }
@@ -563,6 +581,9 @@ ORACLE_SQL["stream_realtime_stats"] = _with(
        FROM readings GROUP BY location_id""")
 ORACLE_SQL["stream_triage"] = ORACLE_SQL["message_triage"]
 ORACLE_SQL["stream_recent_alerts"] = ORACLE_SQL["recent_alerts"]
+ORACLE_SQL["clustered_extreme_events"] = ORACLE_SQL["extreme_events"]
+ORACLE_SQL["clustered_location"] = f"""SELECT * FROM ({ORACLE_SQL['risk_classify']})
+WHERE location_id = '{CHECK_LOCATION}'"""
 ORACLE_SQL["incremental_batch"] = ORACLE_SQL["batch_summary"]
 ORACLE_SQL["triage_sides"] = f"""SELECT *, CASE WHEN problem = 'undecodable' THEN 'set_aside' ELSE 'processed' END AS side
 FROM ({ORACLE_SQL['message_triage']})"""

@@ -49,10 +49,14 @@ def read_kafka_batch(
     min_partitions: int | None = None,
     extra: dict[str, str] | None = None,
     starting_offsets: str = "earliest",
+    ending_offsets: str = "latest",
 ) -> DataFrame:
-    """The topic from ``starting_offsets`` (the whole of it) to the latest (SRC-1)."""
+    """The topic from ``starting_offsets`` (the whole of it) to ``ending_offsets`` (SRC-1).
+
+    ``latest`` is looked up anew by every scan; offsets per partition as JSON give all
+    scans the same rows. ``plans.incremental`` pins them by itself."""
     opts = kafka_options(
-        bootstrap_servers, topic, starting_offsets, "latest", min_partitions, None, extra
+        bootstrap_servers, topic, starting_offsets, ending_offsets, min_partitions, None, extra
     )
     return spark.read.format("kafka").options(**opts).load()
 

@@ -23,18 +23,22 @@ def read_messages(
     max_offsets_per_trigger: int | None = None,
     max_files_per_trigger: int | None = None,
     starting_offsets: str | None = None,
+    ending_offsets: str | None = None,
 ) -> DataFrame:
     """SRC-1 / SRC-2 (Kafka) or their file twins. Exactly one of
     ``bootstrap_servers`` (+ ``topic``) and ``path`` must be given.
 
     ``starting_offsets`` (Kafka: earliest, latest or JSON) defaults to earliest
     for a batch and latest for a stream; a stream uses it at its first start only.
+    ``ending_offsets`` (Kafka batch) defaults to latest.
     An option that has no meaning for the source raises ValueError."""
     if bool(bootstrap_servers) == bool(path):
         raise ValueError("give either bootstrap_servers and topic, or path")
     given = {"min_partitions": min_partitions, "max_offsets_per_trigger": max_offsets_per_trigger,
-             "max_files_per_trigger": max_files_per_trigger, "starting_offsets": starting_offsets}
+             "max_files_per_trigger": max_files_per_trigger, "starting_offsets": starting_offsets, "ending_offsets": ending_offsets}
     valid = {"starting_offsets", "min_partitions"} if bootstrap_servers else set()
+    if bootstrap_servers and not stream:
+        valid.add("ending_offsets")
     if stream:
         valid.add("max_offsets_per_trigger" if bootstrap_servers else "max_files_per_trigger")
     unused = sorted(k for k, v in given.items() if v is not None and k not in valid)
@@ -48,7 +52,8 @@ def read_messages(
                 spark, bootstrap_servers, topic, starting_offsets or "latest",
                 max_offsets_per_trigger, min_partitions=min_partitions)
         return kafka.read_kafka_batch(spark, bootstrap_servers, topic, min_partitions,
-                                      starting_offsets=starting_offsets or "earliest")
+                                      starting_offsets=starting_offsets or "earliest",
+                                      ending_offsets=ending_offsets or "latest")
     if stream:
         df = files.read_message_stream(spark, path, max_files_per_trigger)
     else:
