@@ -6,8 +6,9 @@ as mergeable states and written once when the watermark passes their end (append
 late readings go to a folder of their own. What is counted and what is set aside add up
 to the input.
 
-The watermark is Spark's: the latest event time of all earlier micro-batches less the delay; a
-reading is late when its window ended no later than that.
+The watermark is the latest event time of all earlier micro-batches less the delay; a reading is
+late when its window ended no later than that. Windows close at the end of the micro-batch that
+passes them; Spark closes them, and turns rows away, one micro-batch later.
 """
 
 from __future__ import annotations
