@@ -57,8 +57,13 @@ def tile_survivors(queries: np.ndarray, rows: np.ndarray, same: np.ndarray, k: i
     of scale_a * scale_b * p. A pair whose upper bound is below the k-th largest
     lower bound of its query is ruled out.
     """
-    qa, sa, na, la = quantised(queries)
-    qb, sb, nb, lb = quantised(rows)
+    return _survivors(quantised(queries), quantised(rows), same, k)
+
+
+def _survivors(queries: tuple, rows: tuple, same: np.ndarray, k: int):
+    """``tile_survivors`` of rows that are quantised already."""
+    qa, sa, na, la = queries
+    qb, sb, nb, lb = rows
     product = np.zeros((len(qa), len(qb)))
     for at in range(0, qa.shape[1], PANEL):
         product += qa[:, at:at + PANEL].astype(np.float32) @ qb[:, at:at + PANEL].astype(np.float32).T
@@ -81,9 +86,10 @@ def _nearest_in_tile(queries: pa.Table, rows: pa.Table, k: int) -> list[tuple]:
     found: list[tuple] = []
     a_all, a_ids = matrix(queries), queries["vec_id"].to_numpy()
     b, b_ids = matrix(rows), rows["vec_id"].to_numpy()
+    small_a, small_b = quantised(a_all), quantised(b)  # once for the tile
     for at in range(0, len(a_all), 256):  # bounds the product matrix
         a, ids = a_all[at:at + 256], a_ids[at:at + 256]
-        i, j = tile_survivors(a, b, ids[:, None] == b_ids[None, :], k)
+        i, j = _survivors(tuple(x[at:at + 256] for x in small_a), small_b, ids[:, None] == b_ids[None, :], k)
         score = np.concatenate([cosines(a[i[s:s + 65536]], b[j[s:s + 65536]])
                                 for s in range(0, len(i), 65536)]) if len(i) else np.zeros(0)
         cuts = np.searchsorted(i, np.arange(len(a) + 1))

@@ -15,7 +15,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riverwatch.llm.common import free_name, stored, table
+from riverwatch.llm.common import bounded_batches, free_name, stored, table
 from riverwatch.llm.components import components
 
 BITS = 64
@@ -52,6 +52,7 @@ def with_fingerprints(docs: DataFrame, shingle: int = SHINGLE, id_col: str = "do
 
     A null text counts as empty; ``text_hash`` tells rows of one id apart.
     """
+    bounded_batches(docs.sparkSession)  # texts may be very long
     kind = docs.schema[id_col].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -76,3 +76,28 @@ def test_empty_clash_and_native(spark, documents):
     assert M.mixed_documents(d).columns == d.columns
     plan = out._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan
+
+
+def test_law_is_linear_and_right_at_very_high_rates(spark):
+    import time
+    for rate in (50_000.0, 1e6, 1e9):
+        t = time.time()
+        r = spark.range(1).select(M.first_count(F.lit(rate)).alias("low"), M.poisson_cdf(
+            F.lit(rate), M.first_count(F.lit(rate))).alias("c")).first()
+        assert time.time() - t < 40
+        assert r.low > 0 and r.c[0] < 1e-20 and abs(r.c[-1] - 1) < 1e-9 and r.c == sorted(r.c)
+        at = int(rate) - r.low  # the normal law with its first correction
+        assert abs(r.c[at] - (0.5 + 2 / (3 * math.sqrt(2 * math.pi * rate)))) < 1e-6
+        sd = int(rate + math.sqrt(rate)) - r.low
+        assert abs(r.c[sd] - 0.8413) < 0.003
+
+
+def test_many_copies_are_dealt_to_many_tasks(spark, documents):
+    d = documents([(1, "t", "en", "a", 1), (2, "t", "en", "b", 1), (None, "t", "en", "b", 1)])
+    out = M.mix_sources(d, {"a": 10.0, "b": 0.2}, total=5000.0)
+    got = Counter((r.doc_id, r["copy"]) for r in out.collect())
+    assert max(got.values()) == 1
+    sizes = Counter(i for i, _ in got)
+    assert {k for i, k in got if i == 1} == set(range(sizes[1])) and abs(sizes[1] - 4902) < 400
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") >= 2 and "Python" not in plan
