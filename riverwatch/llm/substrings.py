@@ -12,11 +12,11 @@ from __future__ import annotations
 
 import functools
 import math
-import re
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -38,11 +38,13 @@ SEED_WORDS = 16      # words of a window that is compared by equality
 SEED_APART = 15      # of so many starts one after the other at least one is taken
 BLOCK = 256          # lines of one bucket in one block; larger buckets go by pairs of blocks
 LINE, SENTENCE, WINDOW, SEED = 0, 1, 2, 3
+APART = 64           # free word numbers after each text of a batch, more than any rule looks away
+SLICE = 1 << 20      # bytes of text that are taken apart at once; a longer text is taken alone
+CHUNK = 1 << 18      # bytes whose words are hashed at once
+LONG_WORD = 4096     # bytes; longer words are hashed one by one
 
 _STEP = 0x9E3779B97F4A7C15  # odd: the base of the hashes of word ranges
 _BACK = pow(_STEP, -1, 1 << 64)
-_LINES = re.compile(r"[^\n]+").finditer
-_SENTENCES = re.compile(r"\S.*?(?:[.!?][\"')\]]*(?=\s)|$)").finditer
 
 
 def bands_for(similarity: float = SIMILARITY, rows: int = ROWS, recall: float = RECALL) -> int:
@@ -55,12 +57,6 @@ def _odd_numbers(n: int) -> np.ndarray:
     return np.array([xxhash.xxh64_intdigest(f"minhash {i}") | 1 for i in range(n)], dtype=np.uint64)
 
 
-def shingles(words: list[bytes], size: int = SHINGLE) -> np.ndarray:
-    """Hashes of the word shingles; of all words together, if they are fewer."""
-    grams = zip(*(words[i:] for i in range(size))) if len(words) >= size else [words]
-    return np.fromiter((xxhash.xxh64_intdigest(b" ".join(g)) for g in grams), dtype=np.uint64)
-
-
 def keys_of(minima: np.ndarray, bands: int, rows: int = ROWS) -> np.ndarray:
     """Band keys (units x bands) of the MinHash minima (bands * rows x units)."""
     keys = np.arange(1, bands + 1, dtype=np.uint64)[:, None] * np.uint64(0x9E3779B97F4A7C15)
@@ -77,39 +73,116 @@ def band_keys(hashes: np.ndarray, bands: int, rows: int = ROWS) -> np.ndarray:
     return keys_of(low[:, None], bands, rows)[0]
 
 
-class _WordHashes(dict):
-    """Hash of each word, made when missing; bounded."""
+@functools.cache
+def _byte_values() -> np.ndarray:
+    return np.array([xxhash.xxh64_intdigest(f"byte {i}") | 1 for i in range(256)], dtype=np.uint64)
 
-    def __missing__(self, word: bytes) -> int:
-        if len(self) >= 200_000:
-            self.clear()
-        self[word] = value = xxhash.xxh64_intdigest(word)
-        return value
 
+def _powers_of(base: int, n: int) -> np.ndarray:
+    out = np.full(n, base, dtype=np.uint64)
+    out[:1] = 1
+    return np.cumprod(out, dtype=np.uint64)
 
-_HASH_OF = _WordHashes()
+
+@functools.cache
+def _few_powers(base: int) -> np.ndarray:
+    return _powers_of(base, CHUNK + LONG_WORD + 1)
 
 
 def _powers(base: int, n: int) -> np.ndarray:
-    out = np.full(n, base, dtype=np.uint64)
-    out[:1] = 1
-    return np.cumprod(out, dtype=np.uint64)
+    few = _few_powers(base)
+    return few[:n] if n <= len(few) else _powers_of(base, n)
+
+
+def _is_one_of(chars: bytes) -> np.ndarray:
+    out = np.zeros(256, dtype=bool)
+    out[list(chars)] = True
+    return out
+
+
+_INNER = ~_is_one_of(b" \t\n\x0b\f\r")
+_STOP, _CLOSING = _is_one_of(b".!?"), _is_one_of(b"\"')]")
+
+
+def _bytes_of(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """The UTF-8 bytes of all texts and where each begins (and the last ends)."""
+    column = column.cast(pa.large_string())
+    _, offsets, data = column.buffers()
+    at = np.frombuffer(offsets, dtype=np.int64)[column.offset:column.offset + len(column) + 1]
+    if data is None or at[-1] == at[0]:
+        return np.zeros(0, dtype=np.uint8), np.zeros(len(column) + 1, dtype=np.int64)
+    return np.frombuffer(data, dtype=np.uint8)[at[0]:at[-1]], at - at[0]
+
+
+def _edges(data: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where the words start and end; a word never goes on in the next text."""
+    inner = _INNER[data]
+    first, last = inner.copy(), inner.copy()
+    first[1:] &= ~inner[:-1]
+    last[:-1] &= ~inner[1:]
+    some = at[1:] > at[:-1]
+    first[at[:-1][some]] = inner[at[:-1][some]]
+    last[at[1:][some] - 1] = inner[at[1:][some] - 1]
+    return np.flatnonzero(first), np.flatnonzero(last) + 1
+
+
+def _word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """A hash of each word's bytes, chunk by chunk, so that a very long text needs no more memory."""
+    out = np.zeros(len(starts), dtype=np.uint64)
+    short = np.minimum(ends, starts + LONG_WORD)
+    cuts = np.searchsorted(starts, np.arange(0, len(data) + CHUNK, CHUNK))
+    for i, j in zip(cuts[:-1], cuts[1:]):
+        if i < j:
+            lo, hi = starts[i], short[j - 1]
+            sums = np.zeros(hi - lo + 1, dtype=np.uint64)
+            np.cumsum(_byte_values()[data[lo:hi]] * _powers(_STEP, hi - lo), out=sums[1:])
+            first = starts[i:j] - lo
+            out[i:j] = (sums[short[i:j] - lo] - sums[first]) * _powers(_BACK, hi - lo + 1)[first]
+    for i in np.flatnonzero(ends - starts > LONG_WORD):
+        out[i] = xxhash.xxh64_intdigest(data[starts[i]:ends[i]].tobytes())
+    out = (out ^ (out >> np.uint64(31))) * np.uint64(0xD6E8FEB86659FD93)
+    return out ^ (out >> np.uint64(29))
 
 
 class Words:
-    """The words of a text (lower-cased, between ASCII white space) with places and hashes."""
-
-    def __init__(self, text: str):
-        points = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), dtype="<u4")
-        inner = (points != 32) & ((points < 9) | (points > 13))
-        edges = np.flatnonzero(np.diff(inner.astype(np.int8), prepend=0, append=0))
-        self.starts, self.ends = edges[::2], edges[1::2]
-        own = text.lower().encode("utf-8", "surrogatepass").split()
-        self.n = len(own)
-        hashes = np.fromiter(map(_HASH_OF.__getitem__, own), dtype=np.uint64, count=self.n)
-        self._sums = np.zeros(self.n + 1, dtype=np.uint64)
-        np.cumsum(hashes * _powers(_STEP, self.n), out=self._sums[1:])
-        self._back = _powers(_BACK, self.n + 1)
+    """The words of a column of texts (lower-cased, between ASCII white space) with places and hashes.
+
+    The words of all texts are numbered through; ``APART`` numbers after each text are left free, so
+    that nothing that looks at neighbours sees the next text. Text ``i`` has the numbers from
+    ``base[i]`` up to ``stop[i]``. ``numbers`` are those of all words, ``text`` their texts.
+    """
+
+    def __init__(self, column: pa.Array):
+        column = pc.fill_null(column, "")
+        self.data, at = _bytes_of(column)
+        self.first, self.last = _edges(self.data, at)
+        plain = not (self.data >= 128).any()
+        lower, lower_at = _bytes_of(pc.ascii_lower(column) if plain else pc.utf8_lower(column))
+        own = _word_hashes(lower, *((self.first, self.last) if plain else _edges(lower, lower_at)))
+        count = np.searchsorted(self.first, at)
+        texts = np.arange(len(column))
+        self.base, self.stop = count[:-1] + APART * texts, count[1:] + APART * texts
+        self.text = np.repeat(texts, np.diff(count))
+        self.numbers = np.arange(len(own)) + APART * self.text
+        self.size = len(own) + APART * len(column)
+        places = np.zeros((2, self.size), dtype=np.int64)
+        for out, edge in zip(places, (self.first, self.last)):
+            if not plain:  # code points, not bytes
+                points = np.zeros(len(self.data) + 1, dtype=np.int64)
+                np.cumsum((self.data & 0xC0) != 0x80, out=points[1:])
+                out[self.numbers] = points[edge] - points[at[self.text]]
+            else:
+                out[self.numbers] = edge - at[self.text]
+        self.starts, self.ends = places
+        spread = np.zeros(self.size, dtype=np.uint64)
+        spread[self.numbers] = own
+        self._sums = np.zeros(self.size + 1, dtype=np.uint64)
+        np.cumsum(spread * _powers(_STEP, self.size), out=self._sums[1:])
+        self._back = _powers(_BACK, self.size + 1)
+
+    def text_at(self, numbers: np.ndarray) -> np.ndarray:
+        """The text that a number belongs to."""
+        return np.searchsorted(self.base, numbers, "right") - 1
 
     def hashes(self, first: np.ndarray, after: np.ndarray, kind: int) -> np.ndarray:
         """Hashes of the word ranges, the same wherever in a text equal words stand."""
@@ -122,6 +195,36 @@ class Words:
     def windows(self, first: np.ndarray, size: int, kind: int) -> np.ndarray:
         return self.hashes(first, first + size, kind)
 
+    def parts(self) -> tuple[tuple[np.ndarray, np.ndarray], tuple[np.ndarray, np.ndarray]]:
+        """First word and word after of the lines, and of the sentences in them.
+
+        A sentence ends with its line, or after a word with one of ``.!?`` at its end (closing
+        quotes and brackets may follow).
+        """
+        if not len(self.numbers):
+            none = np.zeros(0, dtype=np.int64)
+            return (none, none), (none, none)
+        line = np.searchsorted(np.flatnonzero(self.data == 10), self.first)
+        new = np.ones(len(line), dtype=bool)
+        new[1:] = (np.diff(line) != 0) | (np.diff(self.text) != 0)
+        at = self.last - 1
+        closed = np.flatnonzero(_CLOSING[self.data[at]])
+        if len(closed):
+            open_ = np.flatnonzero(~_CLOSING[self.data])
+            before = np.searchsorted(open_, at[closed], "right") - 1
+            at[closed] = np.append(open_, -1)[before]
+        end = (at >= self.first) & _STOP[self.data[at]]
+
+        def ranges(starts: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray]:
+            first = np.flatnonzero(starts)
+            after = np.append(first[1:], len(starts))
+            kept = after - first >= least
+            return self.numbers[first[kept]], self.numbers[after[kept] - 1] + 1
+
+        lines = ranges(new, LINE_WORDS)
+        new[1:] |= end[:-1]
+        return lines, ranges(new, SENTENCE_WORDS)
+
 
 def _range_minima(values: np.ndarray, size: int) -> np.ndarray:
     """Minimum of each ``size`` values that follow one another, by doubling."""
@@ -142,105 +245,102 @@ def window_starts(ranks: np.ndarray, apart: int = WINDOW_APART) -> np.ndarray:
     return np.flatnonzero((ranks < low[:len(ranks)]) & (ranks <= low[apart + 1:][:len(ranks)]))
 
 
-def seed_starts(ranks: np.ndarray, among: int = SEED_APART) -> np.ndarray:
-    """The place of the least of each ``among`` ranks that follow one another; of equals the first."""
-    among = min(among, len(ranks))
-    if not among:
+def seed_starts(ranks: np.ndarray, left: np.ndarray, own: np.ndarray, among: int = SEED_APART) -> np.ndarray:
+    """The places of the least of each ``among`` ranks that follow one another in a text; of equals the first.
+
+    ``left``: how many ranks the text has from a place on; ``own``: how many in all. Of a text
+    with fewer than ``among`` the least of all.
+    """
+    if len(ranks) < among:
         return np.zeros(0, dtype=np.int64)
-    least = np.lib.stride_tricks.sliding_window_view(ranks, among).argmin(axis=1)
-    return np.unique(least + np.arange(len(least)))
+    at = np.flatnonzero(((left >= among) | ((left == own) & (own > 0)))[:len(ranks) - among + 1])
+    least = np.lib.stride_tricks.sliding_window_view(ranks, among)[at].argmin(axis=1)
+    return np.unique(least + at)
 
 
-def units_of(text: str, bands: int) -> Iterator[tuple]:
-    """Arrays (kind, start, end, first word, word after, hash, band keys or None) for each kind.
+def units_of(words: Words, bands: int) -> Iterator[tuple]:
+    """Arrays (kind, first word, word after, hash, band keys or None) for each kind, by word numbers.
 
-    Positions are in code points; word numbers count through the text. Which
-    places start a window or a seed depends on the words around them alone, so
+    Which places start a window or a seed depends on the words around them alone, so
     they are the same in every text that shares the passage: each run of
     ``SEED_WORDS + SEED_APART - 1`` equal words holds an equal seed.
     """
-    words = Words(text)
-    spans = [(m.start(), m.end()) for m in _LINES(text)]
-    cut = [(a + m.start(), a + m.end()) for a, b in spans for m in _SENTENCES(text[a:b])]
-
-    def ranges(places: list, least: int) -> tuple[np.ndarray, np.ndarray]:
-        at = np.array(places, dtype=np.int64).reshape(-1, 2)
-        first, after = np.searchsorted(words.starts, at[:, 0]), np.searchsorted(words.starts, at[:, 1])
-        kept = after - first >= least
-        return first[kept], after[kept]
-
-    def out(kind: int, first: np.ndarray, after: np.ndarray, keys: np.ndarray | None):
-        return (kind, words.starts[first], words.ends[after - 1], first, after,
-                words.hashes(first, after, kind), keys)
-
-    first, after = ranges(cut, SENTENCE_WORDS)
-    if len(first):
-        yield out(SENTENCE, first, after, None)
-    if words.n < SHINGLE:
-        return
-    starts = np.arange(words.n - SHINGLE + 1)
+    (line0, line1), (first, after) = words.parts()
+    yield SENTENCE, first, after, words.hashes(first, after, SENTENCE), None
+    # places of shingles; the free numbers and the last words of a text have none
+    n = max(0, words.size - SHINGLE + 1)
+    starts = np.arange(n)
+    own = np.maximum(words.stop - words.base - SHINGLE + 1, 0)
+    of = words.text_at(starts)
+    left = np.maximum(words.stop[of] - SHINGLE + 1 - starts, 0) if n else starts
     grams = words.windows(starts, SHINGLE, 0)
     ranks = words.windows(starts, SHINGLE, 1)
-    line0, line1 = ranges(spans, LINE_WORDS)
+    ranks[left == 0] = np.iinfo(np.uint64).max
     # the words that decide on the place are inside the window, also where its ends are not alike
     window = window_starts(ranks) - 2 * WINDOW_APART
-    window = window[(window >= 0) & (window + WINDOW_WORDS <= words.n)]
-    if len(line0) or len(window):
-        bounds = np.stack([line0, line1 - SHINGLE + 1], axis=1).ravel()
-        lines = np.zeros((bands * ROWS, len(line0)), dtype=np.uint64)
-        inner = np.zeros((bands * ROWS, len(window)), dtype=np.uint64)
+    text = words.text_at(window + 2 * WINDOW_APART)
+    window = window[(window >= words.base[text]) & (window + WINDOW_WORDS <= words.stop[text])]
+    low, high = np.append(line0, window), np.append(line1, window + WINDOW_WORDS) - SHINGLE + 1
+    if len(low):
+        bounds = np.stack([low, high], axis=1).ravel()
+        minima = np.zeros((bands * ROWS, len(low)), dtype=np.uint64)
         for i, factor in enumerate(_odd_numbers(bands * ROWS)):
             spread = grams * factor
             spread ^= spread >> np.uint64(29)
-            if len(window):
-                inner[i] = _range_minima(spread, WINDOW_WORDS - SHINGLE + 1)[window]
-            if len(line0):
-                lines[i] = np.minimum.reduceat(np.append(spread, spread[-1]), bounds)[::2]
-        if len(line0):
-            yield out(LINE, line0, line1, keys_of(lines, bands))
-        if len(window):
-            # keys of their own: a window never meets a line
-            yield out(WINDOW, window, window + WINDOW_WORDS, ~keys_of(inner, bands))
-    seed = seed_starts(ranks)
-    seed = seed[seed + SEED_WORDS <= words.n]
-    if len(seed):
-        none = np.zeros(len(seed), dtype=np.int64)  # a seed's ends are not needed, so not stored
-        yield SEED, none, none, seed, none, words.windows(seed, SEED_WORDS, SEED), None
+            minima[i] = np.minimum.reduceat(spread, bounds)[::2]
+        keys = keys_of(minima, bands)
+        k = len(line0)
+        yield LINE, line0, line1, words.hashes(line0, line1, LINE), keys[:k]
+        # keys of their own: a window never meets a line
+        yield WINDOW, window, window + WINDOW_WORDS, words.windows(window, WINDOW_WORDS, WINDOW), ~keys[k:]
+    seed = seed_starts(ranks, left, own[of] if n else starts)
+    seed = seed[seed + SEED_WORDS <= words.stop[words.text_at(seed)]]
+    yield SEED, seed, seed + SEED_WORDS, words.windows(seed, SEED_WORDS, SEED), None
+
+
+def _slices(batch: pa.RecordBatch, texts: int, size: int = SLICE) -> Iterator[pa.RecordBatch]:
+    """Parts of a batch with about ``size`` bytes in column ``texts``; a longer text is one alone."""
+    ends = np.cumsum(pc.fill_null(pc.binary_length(batch.column(texts)), 0).to_numpy(zero_copy_only=False))
+    at = 0
+    while at < batch.num_rows:
+        before = ends[at - 1] if at else 0
+        to = max(at + 1, int(np.searchsorted(ends, before + size, "right")))
+        yield batch.slice(at, to - at)
+        at = to
 
 
 def find_units(docs: DataFrame, bands: int, id_col: str = "doc_id",
                text_col: str = "text") -> DataFrame:
-    """The units of all texts: row (a key of id and text), id, and what ``units_of`` gives."""
+    """The units of all texts: row (a key of id and text), id, kind, place, words, hash and band keys.
+
+    Positions are in code points; word numbers count through each text. A seed's ends are not
+    needed, so not stored.
+    """
     bounded_batches(docs.sparkSession)
     kind = docs.schema[id_col].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            for at in range(0, b.num_rows, 64):
-                yield pack(b.slice(at, 64))
-
-    def pack(b: pa.RecordBatch) -> pa.RecordBatch:
-        from_, kinds, cols, keys = [], [], [[] for _ in range(5)], []
-        for i, text in enumerate(b.column(2)):
-            for kind_, *unit, k in units_of(text.as_py() or "", bands):
-                n = len(unit[0])
-                from_.append(np.full(n, i))
-                kinds.append(np.full(n, kind_, dtype=np.int32))
-                for c, x in zip(cols, unit):
-                    c.append(x.view(np.int64))
-                keys.append((n, k))
-
-        def joined(parts: list, dtype=np.int64) -> pa.Array:
-            return pa.array(np.concatenate(parts) if parts else np.zeros(0, dtype=dtype))
-
-        sizes = np.concatenate([np.full(n, 0 if k is None else bands) for n, k in keys] or [[]])
-        ends = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)
-        values = joined([np.ascontiguousarray(k).ravel().view(np.int64) for _, k in keys if k is not None])
-        rows = joined(from_)
-        return pa.record_batch(
-            [b.column(0).take(rows), b.column(1).take(rows), joined(kinds, np.int32),
-             *[joined(c) for c in cols], pa.ListArray.from_arrays(pa.array(ends), values)],
-            names=["row", "id", "kind", "start", "end", "w0", "w1", "hash", "bands"])
+            for part in _slices(b, 2):
+                yield from pack(part, Words(part.column(2)))
+
+    def pack(b: pa.RecordBatch, words: Words) -> Iterator[pa.RecordBatch]:
+        for kind_, first, after, own, keys in units_of(words, bands):
+            n = len(first)
+            if not n:
+                continue
+            text = words.text_at(first)
+            none = np.zeros(n, dtype=np.int64)
+            place = (none, none, first - words.base[text], none) if kind_ == SEED else (
+                words.starts[first], words.ends[after - 1], first - words.base[text], after - words.base[text])
+            ends = np.arange(n + 1) * (0 if keys is None else bands)
+            values = none[:0] if keys is None else np.ascontiguousarray(keys).ravel().view(np.int64)
+            at = pa.array(text)
+            yield pa.record_batch(
+                [b.column(0).take(at), b.column(1).take(at), pa.array(np.full(n, kind_, dtype=np.int32)),
+                 *[pa.array(x) for x in place], pa.array(own.view(np.int64)),
+                 pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(values))],
+                names=["row", "id", "kind", "start", "end", "w0", "w1", "hash", "bands"])
 
     return docs.select(
         F.xxhash64(id_col, text_col).alias("row"), F.col(id_col).alias("id"),
@@ -249,9 +349,8 @@ def find_units(docs: DataFrame, bands: int, id_col: str = "doc_id",
              "hash long, bands array<long>")
 
 
-def _forest(hashes: list[int], texts: list[str], similarity: float) -> Iterator[tuple[int, int]]:
-    """Edges that join the lines whose shingle sets are similar enough, as a spanning forest."""
-    sets = {h: set(shingles(t.lower().encode().split()).tolist()) for h, t in zip(hashes, texts)}
+def _forest(sets: dict[int, set], similarity: float) -> Iterator[tuple[int, int]]:
+    """Edges that join the units whose shingle sets are similar enough, as a spanning forest."""
     left = sorted(sets)
     while left:
         root, left = left[0], left[1:]
@@ -270,6 +369,61 @@ def _forest(hashes: list[int], texts: list[str], similarity: float) -> Iterator[
             left = rest
 
 
+def _similar(groups: pa.ListArray, similarity: float) -> set[tuple[int, int]]:
+    """The edges of each group of (hash, shingles): pairs all at once, larger groups by ``_forest``."""
+    members = groups.flatten()
+    if not len(members):
+        return set()
+    own, grams = members.flatten()
+    own = own.to_numpy(zero_copy_only=False)
+    sizes = pc.list_value_length(grams).to_numpy(zero_copy_only=False).astype(np.int64)
+    values = grams.flatten().to_numpy(zero_copy_only=False)
+    ends = np.cumsum(sizes)
+    after = np.cumsum(pc.list_value_length(groups).to_numpy(zero_copy_only=False).astype(np.int64))
+    first = np.append(0, after[:-1])
+    edges = set()
+    pair = first[after - first == 2]
+    if len(pair):
+        both = np.stack([pair, pair + 1], axis=1).ravel()
+        of = np.repeat(np.arange(len(both)) // 2, sizes[both])
+        starts = np.repeat(ends[both] - sizes[both] - np.append(0, np.cumsum(sizes[both])[:-1]), sizes[both])
+        value = values[starts + np.arange(len(starts))]
+        order = np.lexsort((value, of))
+        value, of = value[order], of[order]
+        equal = (value[1:] == value[:-1]) & (of[1:] == of[:-1])
+        shared = np.bincount(of[1:][equal], minlength=len(pair))
+        alike = (shared > 0) & (shared >= similarity * (sizes[pair] + sizes[pair + 1] - shared))
+        edges.update(zip(own[pair[alike]].tolist(), own[pair[alike] + 1].tolist()))
+    for i, j in zip(first, after):
+        if j - i > 2:
+            edges.update(_forest({int(own[k]): set(values[ends[k] - sizes[k]:ends[k]].tolist())
+                                  for k in range(i, j)}, similarity))
+    return edges
+
+
+def shingles_of(docs: DataFrame, units: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(hash, shingles) of ``units`` (hash, row, w0, w1): the distinct hashes of their word shingles, in order."""
+    wanted = units.groupBy("row").agg(F.collect_list(F.struct("hash", "w0", "w1")).alias("units"))
+    source = docs.select(F.xxhash64(id_col, text_col).alias("row"), F.col(text_col).alias("text"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for part in _slices(b, 0):
+                words = Words(part.column(0))
+                grams = words.windows(np.arange(max(0, words.size - SHINGLE + 1)), SHINGLE, 0).view(np.int64)
+                n = pc.list_value_length(part.column(1)).to_numpy(zero_copy_only=False).astype(np.int64)
+                own, w0, w1 = (x.to_numpy(zero_copy_only=False) for x in part.column(1).flatten().flatten())
+                base = np.repeat(words.base, n)
+                sets = [np.unique(grams[i:j]) for i, j in zip(base + w0, base + w1 - SHINGLE + 1)]
+                ends = np.cumsum([0, *map(len, sets)]).astype(np.int32)
+                yield pa.record_batch(
+                    [pa.array(own), pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(sets)))],
+                    names=["hash", "shingles"])
+
+    return source.join(wanted, "row").select("text", "units").mapInArrow(
+        run, "hash long, shingles array<long>")
+
+
 def similar_lines(docs: DataFrame, units: DataFrame, similarity: float, block: int = BLOCK,
                   id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Edges (u, v) between lines, and between windows, of Jaccard similarity ``similarity`` or more.
@@ -289,14 +443,11 @@ def similar_lines(docs: DataFrame, units: DataFrame, similarity: float, block: i
                   .distinct(), "lines-keys")
     met = stored(both.join(both.groupBy("key").agg(F.count("*").alias("n")), "key"), "lines-met")
     drop_stored(both)
-    # the text of one occurrence of each line that met another
+    # the shingles of one occurrence of each line that met another
     wanted = met.select("hash").distinct()
     one = lines.join(wanted, "hash", "left_semi").groupBy("hash").agg(
-        F.min(F.struct("row", "start", "end")).alias("at")).select("hash", "at.*")
-    source = docs.select(F.xxhash64(id_col, text_col).alias("row"), F.col(text_col).alias("text"))
-    texts = stored(source.join(one, "row").select(
-        "hash", F.col("text").substr(F.col("start") + 1, F.col("end") - F.col("start")).alias("line"))
-        .dropDuplicates(["hash"]), "lines-texts")
+        F.min(F.struct("row", "w0", "w1")).alias("at")).select("hash", "at.*")
+    sets = stored(shingles_of(docs, one, id_col, text_col).dropDuplicates(["hash"]), "lines-shingles")
 
     own = F.pmod(F.xxhash64("hash", F.lit(5)), F.col("blocks")).cast("int")
     pairs = (met.withColumn("blocks", F.ceil(F.col("n") / block).cast("int")).withColumn("own", own)
@@ -305,23 +456,19 @@ def similar_lines(docs: DataFrame, units: DataFrame, similarity: float, block: i
                  lambda o: F.struct(F.least(o, F.col("own")).alias("i"),
                                     F.greatest(o, F.col("own")).alias("j")))).alias("pair")))
     # copies meet in most of their bands: equal sets of members are compared once
-    sets = pairs.groupBy("key", "pair").agg(F.sort_array(F.collect_set("hash")).alias("members")).select(
+    same = pairs.groupBy("key", "pair").agg(F.sort_array(F.collect_set("hash")).alias("members")).select(
         F.md5(F.array_join(F.col("members").cast("array<string>"), ",")).alias("group"), "members")
-    members = sets.dropDuplicates(["group"]).select("group", F.explode("members").alias("hash"))
-    groups = members.join(texts, "hash").groupBy("group").agg(
-        F.collect_list(F.struct("hash", "line")).alias("lines")).select("lines")
+    members = same.dropDuplicates(["group"]).select("group", F.explode("members").alias("hash"))
+    groups = members.join(sets, "hash").groupBy("group").agg(
+        F.collect_list(F.struct("hash", "shingles")).alias("units")).select("units")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            edges = set()
-            for group in b.column(0):
-                items = group.as_py()
-                edges.update(_forest([x["hash"] for x in items], [x["line"] for x in items], similarity))
-            found = np.array(sorted(edges), dtype=np.int64).reshape(-1, 2)
+            found = np.array(sorted(_similar(b.column(0), similarity)), dtype=np.int64).reshape(-1, 2)
             yield pa.record_batch([pa.array(found[:, 0]), pa.array(found[:, 1])], names=["u", "v"])
 
     edges = stored(groups.mapInArrow(run, "u long, v long").distinct(), "lines-edges")
-    for done in (met, texts):
+    for done in (met, sets):
         drop_stored(done)
     return edges
 
@@ -359,29 +506,92 @@ def windows_around(docs: DataFrame, ends: DataFrame, id_col: str = "doc_id",
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            for i in range(b.num_rows):
-                words = Words(b.column(2)[i].as_py())
-                marks = np.zeros(words.n + 1, dtype=np.int64)
-                at, before, after = (np.array(b.column(c)[i].as_py(), dtype=np.int64) for c in (3, 4, 5))
-                marks[at] += 1
-                marks[at + 1] -= 1
-                np.add.at(marks, np.maximum(before - SEED_APART + 1, 0), 1)
-                np.add.at(marks, before, -1)
-                np.add.at(marks, after + 1, 1)
-                np.add.at(marks, np.minimum(after + SEED_APART, words.n), -1)
-                first = np.flatnonzero(np.cumsum(marks)[:max(0, words.n - SEED_WORDS + 1)])
-                after = first + SEED_WORDS
-                here = pa.array(np.full(len(first), i))
-                yield pa.record_batch(
-                    [b.column(0).take(here), b.column(1).take(here),
-                     *[pa.array(x) for x in (words.starts[first], words.ends[after - 1], first, after,
-                                             words.hashes(first, after, SEED).view(np.int64))]],
-                    names=["row", "id", "start", "end", "w0", "w1", "hash"])
+            for part in _slices(b, 2):
+                yield pack(part, Words(part.column(2)))
+
+    def pack(b: pa.RecordBatch, words: Words) -> pa.RecordBatch:
+        marks = np.zeros(words.size + 1, dtype=np.int64)
+
+        def places(column: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+            texts = np.repeat(np.arange(b.num_rows), pc.list_value_length(b.column(column)).to_numpy())
+            base = words.base[texts]
+            return base + b.column(column).flatten().to_numpy(), base, words.stop[texts]
+
+        at, _, _ = places(3)
+        np.add.at(marks, at, 1)
+        np.add.at(marks, at + 1, -1)
+        at, base, _ = places(4)
+        np.add.at(marks, np.maximum(at - SEED_APART + 1, base), 1)
+        np.add.at(marks, at, -1)
+        at, _, stop = places(5)
+        np.add.at(marks, at + 1, 1)
+        np.add.at(marks, np.minimum(at + SEED_APART, stop), -1)
+        first = np.flatnonzero(np.cumsum(marks))
+        text = words.text_at(first)
+        fits = first + SEED_WORDS <= words.stop[text]
+        first, text = first[fits], text[fits]
+        after, base = first + SEED_WORDS, words.base[text]
+        here = pa.array(text)
+        return pa.record_batch(
+            [b.column(0).take(here), b.column(1).take(here),
+             *[pa.array(x) for x in (words.starts[first], words.ends[after - 1], first - base, after - base,
+                                     words.hashes(first, after, SEED).view(np.int64))]],
+            names=["row", "id", "start", "end", "w0", "w1", "hash"])
 
     return source.join(places, "row").select("row", "id", "text", "at", "before", "after").mapInArrow(
         run, f"row long, id {kind}, start long, end long, w0 long, w1 long, hash long")
 
 
+def _run_starts(group: np.ndarray, w0: np.ndarray, w1: np.ndarray) -> np.ndarray:
+    """True where a run starts: in a new group, or more than ``GAP_WORDS`` after all before it."""
+    new = np.ones(len(group), dtype=bool)
+    new[1:] = group[1:] != group[:-1]
+    apart = (np.cumsum(new) - 1) * (w1.max(initial=0) + GAP_WORDS + 1)
+    upto = np.maximum.accumulate(w1 + apart)
+    new[1:] |= (w0 + apart)[1:] > upto[:-1] + GAP_WORDS
+    return new
+
+
+def passages_of(batches: Iterator[pa.RecordBatch], passage_words: int) -> Iterator[pa.RecordBatch]:
+    """The passages of repeated units sorted by (row, w0, w1); a run that may go on waits for the next rows."""
+    def passages(t: pa.Table) -> pa.RecordBatch:
+        c = {name: t.column(name).to_numpy() for name in t.column_names if name != "id"}
+        new = _run_starts(c["row"], c["w0"], c["w1"])
+        at, run = np.flatnonzero(new), np.cumsum(new) - 1
+        told = np.zeros(0, dtype=bool)
+        if len(at):
+            told = (np.maximum.reduceat(c["w1"], at) - c["w0"][at] >= passage_words) | np.logical_or.reduceat(
+                c["line"], at)
+        order = np.lexsort((c["removed"], run))  # stable: by place in each part
+        order = order[told[run[order]]]
+        own = {name: x[order] for name, x in c.items()}
+        at = np.flatnonzero(_run_starts(2 * run[order] + own["removed"], own["w0"], own["w1"]))
+
+        def each(how: np.ufunc, name: str) -> np.ndarray:
+            return how.reduceat(own[name], at) if len(at) else own[name]
+
+        return pa.record_batch(
+            [t.column("id").take(pa.array(order[at])).combine_chunks(), each(np.minimum, "start"),
+             each(np.maximum, "end"), each(np.maximum, "w1") - own["w0"][at], each(np.minimum, "cluster"),
+             each(np.maximum, "n"), own["removed"][at]],
+            names=["id", "start", "end", "n_words", "cluster_id", "n_rows", "removed"])
+
+    held: list[pa.RecordBatch] = []
+    rows = wanted = 0
+    for b in batches:
+        held.append(b)
+        rows += b.num_rows
+        if rows >= max(wanted, 1 << 16):
+            t = pa.Table.from_batches(held)
+            last = int(np.flatnonzero(_run_starts(*(t.column(x).to_numpy() for x in ("row", "w0", "w1"))))[-1])
+            yield passages(t.slice(0, last))
+            held = t.slice(last).to_batches()
+            rows -= last
+            wanted = 2 * rows
+    if held:
+        yield passages(pa.Table.from_batches(held))
+
+
 def repeated_passages(docs: DataFrame, similarity: float = SIMILARITY, recall: float = RECALL,
                       passage_words: int = PASSAGE_WORDS, id_col: str = "doc_id",
                       text_col: str = "text") -> DataFrame:
@@ -426,33 +636,20 @@ def repeated_passages(docs: DataFrame, similarity: float = SIMILARITY, recall: f
         F.min("low").alias("low"), F.max("high").alias("high"), F.sum("n").alias("n")).filter(
         "low < high").select("cluster", "low", "n")
     named = joined.select("hash", "cluster").join(clusters, "cluster")
-    found = stored(all_.join(named.hint("shuffle_hash"), "hash").drop("hash").repartition("row").dropDuplicates(
-        ["row", "start", "end", "cluster"]), "units-found")
+    found = stored(all_.join(named.hint("shuffle_hash"), "hash").drop("hash"), "units-found")
     for done in (units, near, rooted, joined):
         drop_stored(done)
     # a cluster's first unit is in its smallest id, so only units there are compared by place
     least = F.col("id").eqNullSafe(F.col("low"))
-    place = F.row_number().over(Window.partitionBy("cluster").orderBy("row", "start"))
+    place = F.rank().over(Window.partitionBy("cluster").orderBy("row", "start"))
     found = found.filter(~least).withColumn("removed", F.lit(True)).unionByName(
-        found.filter(least).withColumn("removed", place > 1)).drop("low")
-
-    def with_runs(df: DataFrame, by: list[str], out: str) -> DataFrame:
-        in_order = Window.partitionBy(*by).orderBy("w0", "w1")
-        before = in_order.rowsBetween(Window.unboundedPreceding, -1)
-        upto = in_order.rowsBetween(Window.unboundedPreceding, 0)
-        new = (F.col("w0") > F.max("w1").over(before) + GAP_WORDS).cast("int")
-        return df.withColumn("new", F.coalesce(new, F.lit(1))).withColumn(out, F.sum("new").over(upto))
-
-    run = Window.partitionBy("row", "run")
-    long = F.max("w1").over(run) - F.min("w0").over(run) >= passage_words
-    runs = with_runs(found, ["row"], "run").withColumn(
-        "told", long | F.max(F.col("kind") == LINE).over(run)).filter("told")
-    return with_runs(runs, ["row", "run", "removed"], "part").groupBy(
-        "row", "run", "removed", "part").agg(
-        F.first("id").alias("id"), F.min("start").alias("start"), F.max("end").alias("end"),
-        (F.max("w1") - F.min("w0")).alias("n_words"), F.min("cluster").alias("cluster_id"),
-        F.max("n").alias("n_rows")).select(
-        "id", "start", "end", "n_words", "cluster_id", "n_rows", "removed")
+        found.filter(least).withColumn("removed", place > 1))
+    kind = docs.schema[id_col].dataType.simpleString()
+    return found.select("row", "id", "start", "end", "w0", "w1", (F.col("kind") == LINE).alias("line"),
+                        "removed", "cluster", "n").repartition("row").sortWithinPartitions(
+        "row", "w0", "w1").mapInArrow(
+        lambda batches: passages_of(batches, passage_words),
+        f"id {kind}, start long, end long, n_words long, cluster_id long, n_rows long, removed boolean")
 
 
 def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
