@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager, nullcontext
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -12,20 +13,35 @@ from riverwatch.session import work_path
 #: The six ASCII white-space characters of the word rule ``[^\x20\x09-\x0D]+``.
 WHITE = " \t\n\x0b\f\r"
 WHITE_RUN = "[ \\t-\\r]+"
+SHUFFLE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
+@contextmanager
+def setting(spark: SparkSession, name: str, value: str) -> Iterator[None]:
+    """A session setting for the time of a block."""
+    before = spark.conf.get(name, None)
+    spark.conf.set(name, value)
+    try:
+        yield
+    finally:
+        spark.conf.unset(name) if before is None else spark.conf.set(name, before)
+
+
+def stored(df: DataFrame, name: str, free_shuffles: bool = False) -> DataFrame:
     """Write ``df`` below ``spark.checkpoint.dir`` and read it back.
 
     Cuts the lineage at files every executor reaches, so a lost executor costs
     a re-read and not a recomputation. Non-deterministic columns are fixed.
+    ``free_shuffles``: the shuffle files of the write are deleted as soon as it is
+    done, not when the driver happens to collect garbage; nothing reads them again.
     """
     path = work_path(df.sparkSession, name)
-    df.write.parquet(path)
+    with setting(df.sparkSession, SHUFFLE_CLEANUP, "true") if free_shuffles else nullcontext():
+        df.write.parquet(path)
     out = df.sparkSession.read.schema(df.schema).parquet(path)
     out._stored_path = path
     return out

@@ -21,7 +21,8 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from riverwatch.llm.common import bounded_batches, drop_stored, stored, table
+from riverwatch.llm import common
+from riverwatch.llm.common import bounded_batches, drop_stored, table
 from riverwatch.llm.components import components
 
 SHINGLE = 5
@@ -47,6 +48,10 @@ _STEP = 0x9E3779B97F4A7C15  # odd: the base of the hashes of word ranges
 _BACK = pow(_STEP, -1, 1 << 64)
 
 
+#: Tables whose shuffle files go as soon as they are written.
+stored = functools.partial(common.stored, free_shuffles=True)
+
+
 def bands_for(similarity: float = SIMILARITY, rows: int = ROWS, recall: float = RECALL) -> int:
     """The least number of bands that finds a pair at ``similarity`` with chance ``recall``."""
     return math.ceil(math.log(1 - recall) / math.log(1 - similarity ** rows))
