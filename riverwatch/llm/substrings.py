@@ -37,6 +37,7 @@ WINDOW_WORDS = 50    # words of a window that is compared by similarity
 WINDOW_APART = 10    # windows start more words apart than this, so those of one text are not similar
 SEED_WORDS = 16      # words of a window that is compared by equality
 SEED_APART = 15      # of so many starts one after the other at least one is taken
+BAND_PARTS = 2       # bands are dealt to so many parts; only one part's rows are on disk at a time
 BLOCK = 256          # lines of one bucket in one block; larger buckets go by pairs of blocks
 LINE, SENTENCE, WINDOW, SEED = 0, 1, 2, 3
 APART = 64           # free word numbers after each text of a batch, more than any rule looks away
@@ -438,16 +439,21 @@ def similar_lines(docs: DataFrame, units: DataFrame, similarity: float, block: i
     holds more than about two blocks; only a spanning forest is emitted.
     """
     lines = units.filter(F.col("kind").isin(LINE, WINDOW))
-    keyed = lines.select("hash", "id", "kind", F.explode("bands").alias("key"))
-    # windows of one id overlap and are no repeats, so their buckets need two ids
-    shared = keyed.groupBy("key").agg(
-        F.min("hash").alias("a"), F.max("hash").alias("b"), F.min("id").alias("low"),
-        F.max("id").alias("high"), F.max("kind").alias("kind")).filter(
-        (F.col("a") < F.col("b")) & ((F.col("kind") == LINE) | (F.col("low") < F.col("high"))))
-    both = stored(keyed.join(shared.select("key").hint("shuffle_hash"), "key", "left_semi").select("key", "hash")
-                  .distinct(), "lines-keys")
+    parts = []
+    for part in range(BAND_PARTS):
+        keyed = lines.select("hash", "id", "kind", F.explode(
+            F.filter("bands", lambda _, i: i % BAND_PARTS == part)).alias("key"))
+        # windows of one id overlap and are no repeats, so their buckets need two ids
+        shared = keyed.groupBy("key").agg(
+            F.min("hash").alias("a"), F.max("hash").alias("b"), F.min("id").alias("low"),
+            F.max("id").alias("high"), F.max("kind").alias("kind")).filter(
+            (F.col("a") < F.col("b")) & ((F.col("kind") == LINE) | (F.col("low") < F.col("high"))))
+        parts.append(stored(keyed.join(shared.select("key").hint("shuffle_hash"), "key", "left_semi")
+                            .select("key", "hash").distinct(), "lines-keys"))
+    both = functools.reduce(DataFrame.unionByName, parts)
     met = stored(both.join(both.groupBy("key").agg(F.count("*").alias("n")), "key"), "lines-met")
-    drop_stored(both)
+    for done in parts:
+        drop_stored(done)
     # the shingles of one occurrence of each line that met another
     wanted = met.select("hash").distinct()
     one = lines.join(wanted, "hash", "left_semi").groupBy("hash").agg(
@@ -620,18 +626,21 @@ def repeated_passages(docs: DataFrame, similarity: float = SIMILARITY, recall: f
     unit each and are compared whole.
     """
     units = stored(find_units(docs, bands_for(similarity, ROWS, recall), id_col, text_col), "units")
-    rooted = stored(components(similar_lines(docs, units, similarity, id_col=id_col, text_col=text_col)),
-                    "units-roots")
+    edges = similar_lines(docs, units, similarity, id_col=id_col, text_col=text_col)
+    rooted = stored(components(edges), "units-roots")
     names = ["row", "id", "kind", "start", "end", "w0", "w1", "hash"]
+    rest = stored(units.filter(F.col("kind") != SEED).select(*names), "units-rest")
     seeds = units.filter(F.col("kind") == SEED)
     twice = seeds.groupBy("hash").agg(F.min("id").alias("low"), F.max("id").alias("high")).filter(
         "low < high").select("hash")
     seeds = stored(seeds.join(twice.hint("shuffle_hash"), "hash", "left_semi").select("row", "w0", "hash").repartition("row")
                    .dropDuplicates(["row", "w0"]), "units-seeds")
+    for done in (units, edges):
+        drop_stored(done)
     near = stored(windows_around(docs, chain_ends(seeds), id_col, text_col).select(
         "row", "id", F.lit(SEED).alias("kind"), *names[3:]), "units-near")
     drop_stored(seeds)
-    all_ = units.filter(F.col("kind") != SEED).select(*names).unionByName(near)
+    all_ = rest.unionByName(near)
     each = all_.groupBy("hash").agg(
         F.min("id").alias("low"), F.max("id").alias("high"), F.count("*").alias("n"))
     joined = stored(each.join(rooted, each.hash == rooted.node, "left").select(
@@ -642,7 +651,7 @@ def repeated_passages(docs: DataFrame, similarity: float = SIMILARITY, recall: f
         "low < high").select("cluster", "low", "n")
     named = joined.select("hash", "cluster").join(clusters, "cluster")
     found = stored(all_.join(named.hint("shuffle_hash"), "hash").drop("hash"), "units-found")
-    for done in (units, near, rooted, joined):
+    for done in (rest, near, rooted, joined):
         drop_stored(done)
     # a cluster's first unit is in its smallest id, so only units there are compared by place
     least = F.col("id").eqNullSafe(F.col("low"))
