@@ -430,14 +430,8 @@ def shingles_of(docs: DataFrame, units: DataFrame, id_col: str = "doc_id", text_
         run, "hash long, shingles array<long>")
 
 
-def similar_lines(docs: DataFrame, units: DataFrame, similarity: float, block: int = BLOCK,
-                  id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Edges (u, v) between lines, and between windows, of Jaccard similarity ``similarity`` or more.
-
-    Units are named by their hashes. Equal ones collapse to one before banding. Lines of a bucket meet in
-    blocks, and in pairs of hash blocks where they are many, so a task never
-    holds more than about two blocks; only a spanning forest is emitted.
-    """
+def units_met(units: DataFrame) -> DataFrame:
+    """(key, hash, n) of the lines and windows that share a band key with others, ``n`` in all."""
     lines = units.filter(F.col("kind").isin(LINE, WINDOW))
     parts = []
     for part in range(BAND_PARTS):
@@ -454,11 +448,25 @@ def similar_lines(docs: DataFrame, units: DataFrame, similarity: float, block: i
     met = stored(both.join(both.groupBy("key").agg(F.count("*").alias("n")), "key"), "lines-met")
     for done in parts:
         drop_stored(done)
+    return met
+
+
+def similar_lines(docs: DataFrame, units: DataFrame, similarity: float, block: int = BLOCK,
+                  id_col: str = "doc_id", text_col: str = "text", met: DataFrame | None = None) -> DataFrame:
+    """Edges (u, v) between lines, and between windows, of Jaccard similarity ``similarity`` or more.
+
+    Units are named by their hashes. Equal ones collapse to one before they meet. Lines of a bucket meet in
+    blocks, and in pairs of hash blocks where they are many, so a task never
+    holds more than about two blocks; only a spanning forest is emitted. ``met``: what ``units_met``
+    gives, which is dropped; ``units`` need no bands then.
+    """
+    lines = units.filter(F.col("kind").isin(LINE, WINDOW))
+    met = units_met(units) if met is None else met
     # the shingles of one occurrence of each line that met another
     wanted = met.select("hash").distinct()
     one = lines.join(wanted, "hash", "left_semi").groupBy("hash").agg(
         F.min(F.struct("row", "w0", "w1")).alias("at")).select("hash", "at.*")
-    sets = stored(shingles_of(docs, one, id_col, text_col).dropDuplicates(["hash"]), "lines-shingles")
+    sets = stored(shingles_of(docs, one, id_col, text_col), "lines-shingles")
 
     own = F.pmod(F.xxhash64("hash", F.lit(5)), F.col("blocks")).cast("int")
     pairs = (met.withColumn("blocks", F.ceil(F.col("n") / block).cast("int")).withColumn("own", own)
@@ -471,7 +479,7 @@ def similar_lines(docs: DataFrame, units: DataFrame, similarity: float, block: i
         F.md5(F.array_join(F.col("members").cast("array<string>"), ",")).alias("group"), "members")
     members = same.dropDuplicates(["group"]).select("group", F.explode("members").alias("hash"))
     groups = members.join(sets, "hash").groupBy("group").agg(
-        F.collect_list(F.struct("hash", "shingles")).alias("units")).select("units")
+        F.collect_set(F.struct("hash", "shingles")).alias("units")).select("units")  # a set: of rows that repeat
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -626,8 +634,7 @@ def repeated_passages(docs: DataFrame, similarity: float = SIMILARITY, recall: f
     unit each and are compared whole.
     """
     units = stored(find_units(docs, bands_for(similarity, ROWS, recall), id_col, text_col), "units")
-    edges = similar_lines(docs, units, similarity, id_col=id_col, text_col=text_col)
-    rooted = stored(components(edges), "units-roots")
+    met = units_met(units)
     names = ["row", "id", "kind", "start", "end", "w0", "w1", "hash"]
     rest = stored(units.filter(F.col("kind") != SEED).select(*names), "units-rest")
     seeds = units.filter(F.col("kind") == SEED)
@@ -635,8 +642,10 @@ def repeated_passages(docs: DataFrame, similarity: float = SIMILARITY, recall: f
         "low < high").select("hash")
     seeds = stored(seeds.join(twice.hint("shuffle_hash"), "hash", "left_semi").select("row", "w0", "hash").repartition("row")
                    .dropDuplicates(["row", "w0"]), "units-seeds")
-    for done in (units, edges):
-        drop_stored(done)
+    drop_stored(units)
+    edges = similar_lines(docs, rest, similarity, id_col=id_col, text_col=text_col, met=met)
+    rooted = stored(components(edges), "units-roots")
+    drop_stored(edges)
     near = stored(windows_around(docs, chain_ends(seeds), id_col, text_col).select(
         "row", "id", F.lit(SEED).alias("kind"), *names[3:]), "units-near")
     drop_stored(seeds)
