@@ -18,7 +18,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from riverwatch.llm import common
@@ -294,11 +294,12 @@ def units_of(words: Words, bands: int) -> Iterator[tuple]:
             spread = grams * factor
             spread ^= spread >> np.uint64(29)
             minima[i] = np.minimum.reduceat(spread, bounds)[::2]
-        keys = keys_of(minima, bands)
         k = len(line0)
+        # keys of lines are even, those of windows odd: a window never meets a line
+        keys = keys_of(minima, bands) & ~np.uint64(1)
+        keys[k:] |= np.uint64(1)
         yield LINE, line0, line1, words.hashes(line0, line1, LINE), keys[:k]
-        # keys of their own: a window never meets a line
-        yield WINDOW, window, window + WINDOW_WORDS, words.windows(window, WINDOW_WORDS, WINDOW), ~keys[k:]
+        yield WINDOW, window, window + WINDOW_WORDS, words.windows(window, WINDOW_WORDS, WINDOW), keys[k:]
     seed = seed_starts(ranks, left, own[of] if n else starts)
     seed = seed[seed + SEED_WORDS <= words.stop[words.text_at(seed)]]
     yield SEED, seed, seed + SEED_WORDS, words.windows(seed, SEED_WORDS, SEED), None
@@ -375,18 +376,12 @@ def _forest(sets: dict[int, set], similarity: float) -> Iterator[tuple[int, int]
             left = rest
 
 
-def _similar(groups: pa.ListArray, similarity: float) -> set[tuple[int, int]]:
-    """The edges of each group of (hash, shingles): pairs all at once, larger groups by ``_forest``."""
-    members = groups.flatten()
-    if not len(members):
-        return set()
-    own, grams = members.flatten()
-    own = own.to_numpy(zero_copy_only=False)
+def _similar(own: np.ndarray, grams: pa.ListArray, first: np.ndarray, similarity: float) -> set[tuple[int, int]]:
+    """The edges of groups of hashes and shingles that start at ``first``: pairs all at once, larger ones by ``_forest``."""
     sizes = pc.list_value_length(grams).to_numpy(zero_copy_only=False).astype(np.int64)
     values = grams.flatten().to_numpy(zero_copy_only=False)
     ends = np.cumsum(sizes)
-    after = np.cumsum(pc.list_value_length(groups).to_numpy(zero_copy_only=False).astype(np.int64))
-    first = np.append(0, after[:-1])
+    after = np.append(first[1:], len(own))
     edges = set()
     pair = first[after - first == 2]
     if len(pair):
@@ -407,6 +402,95 @@ def _similar(groups: pa.ListArray, similarity: float) -> set[tuple[int, int]]:
     return edges
 
 
+def _changes(*columns: pa.ChunkedArray) -> np.ndarray:
+    """True where a row differs from the one before it in any of the columns; true for the first."""
+    new = np.ones(len(columns[0]), dtype=bool)
+    new[1:] = False
+    for c in columns:
+        new[1:] |= pc.not_equal(c.slice(1), c.slice(0, max(0, len(c) - 1))).to_numpy(zero_copy_only=False)
+    return new
+
+
+def edges_of(batches: Iterator[pa.RecordBatch], similarity: float, least: int = 1 << 13) -> Iterator[pa.RecordBatch]:
+    """Edges (u, v) of rows (group, hash, shingles) sorted by group and hash; the last group waits for the next rows."""
+    def edges(t: pa.Table) -> pa.RecordBatch:
+        t = t.filter(pa.array(_changes(t.column("group"), t.column("hash")))).combine_chunks()
+        found = np.zeros((0, 2), dtype=np.int64)
+        if t.num_rows:
+            pairs = _similar(t.column("hash").to_numpy(), t.column("shingles").chunk(0),
+                             np.flatnonzero(_changes(t.column("group"))), similarity)
+            found = np.array(sorted(pairs), dtype=np.int64).reshape(-1, 2)
+        return pa.record_batch([pa.array(found[:, 0]), pa.array(found[:, 1])], names=["u", "v"])
+
+    held: list[pa.RecordBatch] = []
+    for b in batches:
+        held.append(b)
+        if sum(x.num_rows for x in held) >= least:
+            t = pa.Table.from_batches(held)
+            last = int(np.flatnonzero(_changes(t.column("group")))[-1])
+            yield edges(t.slice(0, last))
+            held = t.slice(last).to_batches()
+    if held:
+        yield edges(pa.Table.from_batches(held))
+
+
+def buckets_of(batches: Iterator[pa.RecordBatch], block: int, least: int = 1 << 16) -> Iterator[pa.RecordBatch]:
+    """Buckets of rows (key, hash, id) sorted by key and hash: (key, members, low, high, large).
+
+    Members are the distinct hashes of a key that has two or more; ``low`` and ``high`` the extremes
+    of their ids. A bucket of more than ``block`` members comes in parts of at most ``block``,
+    all marked ``large``, so no more than that many of its members are held however many rows it has.
+    """
+    begun = None  # the key whose first parts are told already
+
+    def buckets(t: pa.Table) -> pa.RecordBatch:
+        key = t.column("key").to_numpy()
+        first = np.flatnonzero(_changes(t.column("key")))
+        size = np.diff(np.append(first, len(key)))
+        told = (size > 1) | (key[first] == begun if begun is not None else False)
+        t = t.filter(pa.array(np.repeat(told, size)))
+        first, size, key = np.append(0, np.cumsum(size[told])[:-1]), size[told], key[first[told]]
+        large = (size > block) | (key == begun if begun is not None else False)
+        parts = -(-size // block)
+        of = np.repeat(np.arange(len(size)), parts)
+        nth = np.arange(len(of)) - np.repeat(np.cumsum(parts) - parts, parts)
+        at = np.append(first[of] + block * nth, t.num_rows).astype(np.int32)
+        low, high = ids_of(t, np.repeat(np.arange(len(of)), np.diff(at)))
+        return pa.record_batch(
+            [pa.array(key[of]), pa.ListArray.from_arrays(pa.array(at), t.column("hash").combine_chunks()),
+             low, high, pa.array(large[of])], names=["key", "members", "low", "high", "large"])
+
+    def ids_of(t: pa.Table, group: np.ndarray) -> tuple[pa.Array, pa.Array]:
+        """The least and greatest id of each group; Arrow gives groups in no certain order."""
+        ids = pa.table([t.column("low"), t.column("high"), pa.array(group)], names=["low", "high", "group"]).group_by(
+            "group").aggregate([("low", "min"), ("high", "max")]).sort_by("group")
+        return ids.column("low_min").combine_chunks(), ids.column("high_max").combine_chunks()
+
+    def units(t: pa.Table) -> pa.Table:
+        new = _changes(t.column("key"), t.column("hash"))
+        low, high = ids_of(t, np.cumsum(new))
+        return pa.table([*t.select(["key", "hash"]).filter(pa.array(new)).columns, low, high], names=t.column_names)
+
+    held, rows = [], 0
+    for b in batches:
+        held.append(pa.table([b.column(0), b.column(1), b.column(2), b.column(2)], names=["key", "hash", "low", "high"]))
+        rows += b.num_rows
+        if rows >= least:
+            t = units(pa.concat_tables(held))
+            last = int(np.flatnonzero(_changes(t.column("key")))[-1])
+            if last:
+                yield buckets(t.slice(0, last))
+                t, begun = t.slice(last), None
+            ready = (t.num_rows - 1) // block * block  # the last unit may go on
+            if ready:
+                begun = t.column("key")[0].as_py()
+                yield buckets(t.slice(0, ready))
+                t = t.slice(ready)
+            held, rows = [t], 0
+    if held:
+        yield buckets(units(pa.concat_tables(held)))
+
+
 def shingles_of(docs: DataFrame, units: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(hash, shingles) of ``units`` (hash, row, w0, w1): the distinct hashes of their word shingles, in order."""
     wanted = units.groupBy("row").agg(F.collect_list(F.struct("hash", "w0", "w1")).alias("units"))
@@ -430,29 +514,28 @@ def shingles_of(docs: DataFrame, units: DataFrame, id_col: str = "doc_id", text_
         run, "hash long, shingles array<long>")
 
 
-def units_met(units: DataFrame) -> DataFrame:
-    """(key, hash, n) of the lines and windows that share a band key with others, ``n`` in all."""
+def units_met(units: DataFrame, block: int = BLOCK) -> tuple[DataFrame, list[DataFrame]]:
+    """The buckets (see ``buckets_of``) of the lines and windows that share a band key with others, and the tables they are in."""
     lines = units.filter(F.col("kind").isin(LINE, WINDOW))
+    kind = units.schema["id"].dataType.simpleString()
     parts = []
     for part in range(BAND_PARTS):
-        keyed = lines.select("hash", "id", "kind", F.explode(
-            F.filter("bands", lambda _, i: i % BAND_PARTS == part)).alias("key"))
+        keyed = lines.select(F.explode(F.filter("bands", lambda _, i: i % BAND_PARTS == part)).alias("key"),
+                             "hash", "id")
+        met = keyed.repartition("key").sortWithinPartitions("key", "hash").mapInArrow(
+            lambda batches: buckets_of(batches, block),
+            f"key long, members array<long>, low {kind}, high {kind}, large boolean")
         # windows of one id overlap and are no repeats, so their buckets need two ids
-        shared = keyed.groupBy("key").agg(
-            F.min("hash").alias("a"), F.max("hash").alias("b"), F.min("id").alias("low"),
-            F.max("id").alias("high"), F.max("kind").alias("kind")).filter(
-            (F.col("a") < F.col("b")) & ((F.col("kind") == LINE) | (F.col("low") < F.col("high"))))
-        parts.append(stored(keyed.join(shared.select("key").hint("shuffle_hash"), "key", "left_semi")
-                            .select("key", "hash").distinct(), "lines-keys"))
-    both = functools.reduce(DataFrame.unionByName, parts)
-    met = stored(both.join(both.groupBy("key").agg(F.count("*").alias("n")), "key"), "lines-met")
-    for done in parts:
-        drop_stored(done)
-    return met
+        parts.append(stored(met.filter(F.col("large") | two_ids()), "lines-met"))
+    return functools.reduce(DataFrame.unionByName, parts), parts
+
+
+def two_ids() -> Column:
+    return (F.col("key").bitwiseAND(1) == 0) | (F.col("low") < F.col("high"))
 
 
 def similar_lines(docs: DataFrame, units: DataFrame, similarity: float, block: int = BLOCK,
-                  id_col: str = "doc_id", text_col: str = "text", met: DataFrame | None = None) -> DataFrame:
+                  id_col: str = "doc_id", text_col: str = "text", met: tuple | None = None) -> DataFrame:
     """Edges (u, v) between lines, and between windows, of Jaccard similarity ``similarity`` or more.
 
     Units are named by their hashes. Equal ones collapse to one before they meet. Lines of a bucket meet in
@@ -461,33 +544,33 @@ def similar_lines(docs: DataFrame, units: DataFrame, similarity: float, block: i
     gives, which is dropped; ``units`` need no bands then.
     """
     lines = units.filter(F.col("kind").isin(LINE, WINDOW))
-    met = units_met(units) if met is None else met
+    met, parts = units_met(units, block) if met is None else met
     # the shingles of one occurrence of each line that met another
-    wanted = met.select("hash").distinct()
+    wanted = met.select(F.explode("members").alias("hash")).distinct()
     one = lines.join(wanted, "hash", "left_semi").groupBy("hash").agg(
         F.min(F.struct("row", "w0", "w1")).alias("at")).select("hash", "at.*")
     sets = stored(shingles_of(docs, one, id_col, text_col), "lines-shingles")
 
+    large = met.filter("large")
+    sizes = large.groupBy("key").agg(F.sum(F.size("members")).alias("n"), F.min("low").alias("low"),
+                                     F.max("high").alias("high")).filter(two_ids())
     own = F.pmod(F.xxhash64("hash", F.lit(5)), F.col("blocks")).cast("int")
-    pairs = (met.withColumn("blocks", F.ceil(F.col("n") / block).cast("int")).withColumn("own", own)
+    pairs = (large.select("key", F.explode("members").alias("hash")).join(sizes.select("key", "n"), "key")
+             .withColumn("blocks", F.ceil(F.col("n") / block).cast("int")).withColumn("own", own)
              .select("key", "hash", F.explode(F.transform(
                  F.sequence(F.lit(0), F.col("blocks") - 1),
                  lambda o: F.struct(F.least(o, F.col("own")).alias("i"),
                                     F.greatest(o, F.col("own")).alias("j")))).alias("pair")))
     # copies meet in most of their bands: equal sets of members are compared once
-    same = pairs.groupBy("key", "pair").agg(F.sort_array(F.collect_set("hash")).alias("members")).select(
-        F.md5(F.array_join(F.col("members").cast("array<string>"), ",")).alias("group"), "members")
-    members = same.dropDuplicates(["group"]).select("group", F.explode("members").alias("hash"))
-    groups = members.join(sets, "hash").groupBy("group").agg(
-        F.collect_set(F.struct("hash", "shingles")).alias("units")).select("units")  # a set: of rows that repeat
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            found = np.array(sorted(_similar(b.column(0), similarity)), dtype=np.int64).reshape(-1, 2)
-            yield pa.record_batch([pa.array(found[:, 0]), pa.array(found[:, 1])], names=["u", "v"])
-
-    edges = stored(groups.mapInArrow(run, "u long, v long").distinct(), "lines-edges")
-    for done in (met, sets):
+    same = met.filter("not large").select("members").unionByName(
+        pairs.groupBy("key", "pair").agg(F.sort_array(F.collect_set("hash")).alias("members")).select("members"))
+    members = same.distinct().select(
+        F.md5(F.array_join(F.col("members").cast("array<string>"), ",")).alias("group"),
+        F.explode("members").alias("hash"))
+    edges = stored(members.join(sets, "hash").select("group", "hash", "shingles").repartition("group")
+                   .sortWithinPartitions("group", "hash").mapInArrow(
+                       lambda batches: edges_of(batches, similarity), "u long, v long").distinct(), "lines-edges")
+    for done in (*parts, sets):
         drop_stored(done)
     return edges
 

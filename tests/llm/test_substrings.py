@@ -2,6 +2,7 @@ import itertools
 import random
 
 import numpy as np
+import pyarrow as pa
 
 from riverwatch.llm import substrings as S
 from riverwatch.llm.common import stored
@@ -193,3 +194,30 @@ def test_short_lines_and_sentences(documents):
     assert {i: {r.removed for r in rows} for i, rows in got.items()} == {i: {i % 2 == 1} for i in range(8)}
     for i, n in enumerate((10, 11, 60, 60, 48, 48, 96, 96)):
         assert n <= len(covered_words(texts[i], got[i])) <= n + 10
+
+
+def test_buckets_match_brute_force():
+    gen = np.random.default_rng(3)
+    key = np.append(gen.integers(0, 40000, 90000), np.full(5000, 40001))
+    unit = np.append(gen.integers(0, 9, 90000), gen.integers(0, 700, 5000))
+    ids = [None if x % 50 == 0 else f"doc{x}" for x in gen.integers(0, 400, 95000).tolist()]
+    order = np.lexsort((unit, key))
+    rows = [(int(key[i]), int(unit[i]), ids[i]) for i in order]
+    want = {}
+    for k, u, i in rows:
+        want.setdefault(k, {}).setdefault(u, []).append(i)
+    t = pa.table([list(c) for c in zip(*rows)], schema=pa.schema(
+        [("key", pa.int64()), ("hash", pa.int64()), ("id", pa.string())]))
+    for least, block in ((1 << 16, 256), (300, 4), (7000, 256)):
+        got = {}
+        for b in S.buckets_of(iter(t.to_batches(max_chunksize=1000)), block, least):
+            for r in b.to_pylist():
+                got.setdefault(r["key"], []).append(r)
+        assert set(got) == {k for k, u in want.items() if len(u) > 1}
+        for k, parts in got.items():
+            assert [m for r in parts for m in r["members"]] == sorted(want[k])
+            assert all(len(r["members"]) <= block and r["large"] == (len(want[k]) > block) for r in parts)
+            known = [i for u in want[k].values() for i in u if i is not None]
+            ends = [[r[c] for r in parts if r[c] is not None] for c in ("low", "high")]
+            assert (min(ends[0], default=None), max(ends[1], default=None)) == (
+                min(known, default=None), max(known, default=None))
