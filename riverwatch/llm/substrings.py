@@ -520,8 +520,8 @@ def units_met(units: DataFrame, block: int = BLOCK) -> tuple[DataFrame, list[Dat
     kind = units.schema["id"].dataType.simpleString()
     parts = []
     for part in range(BAND_PARTS):
-        keyed = lines.select(F.explode(F.filter("bands", lambda _, i: i % BAND_PARTS == part)).alias("key"),
-                             "hash", "id")
+        keyed = lines.select(F.posexplode("bands").alias("band", "key"), "hash", "id").filter(
+            F.col("band") % BAND_PARTS == part).drop("band")
         met = keyed.repartition("key").sortWithinPartitions("key", "hash").mapInArrow(
             lambda batches: buckets_of(batches, block),
             f"key long, members array<long>, low {kind}, high {kind}, large boolean")
