@@ -38,6 +38,7 @@ WINDOW_APART = 10    # windows start more words apart than this, so those of one
 SEED_WORDS = 16      # words of a window that is compared by equality
 SEED_APART = 15      # of so many starts one after the other at least one is taken
 BAND_PARTS = 2       # bands are dealt to so many parts; only one part's rows are on disk at a time
+GROUP_PARTS = 2      # groups of colliding units are compared in so many parts, for the same reason
 BLOCK = 256          # lines of one bucket in one block; larger buckets go by pairs of blocks
 LINE, SENTENCE, WINDOW, SEED = 0, 1, 2, 3
 APART = 64           # free word numbers after each text of a batch, more than any rule looks away
@@ -535,8 +536,9 @@ def two_ids() -> Column:
 
 
 def similar_lines(docs: DataFrame, units: DataFrame, similarity: float, block: int = BLOCK,
-                  id_col: str = "doc_id", text_col: str = "text", met: tuple | None = None) -> DataFrame:
-    """Edges (u, v) between lines, and between windows, of Jaccard similarity ``similarity`` or more.
+                  id_col: str = "doc_id", text_col: str = "text",
+                  met: tuple | None = None) -> tuple[DataFrame, list[DataFrame]]:
+    """Edges (u, v) between lines, and between windows, of Jaccard similarity ``similarity`` or more, and their tables.
 
     Units are named by their hashes. Equal ones collapse to one before they meet. Lines of a bucket meet in
     blocks, and in pairs of hash blocks where they are many, so a task never
@@ -567,12 +569,15 @@ def similar_lines(docs: DataFrame, units: DataFrame, similarity: float, block: i
     members = same.distinct().select(
         F.md5(F.array_join(F.col("members").cast("array<string>"), ",")).alias("group"),
         F.explode("members").alias("hash"))
-    edges = stored(members.join(sets, "hash").select("group", "hash", "shingles").repartition("group")
-                   .sortWithinPartitions("group", "hash").mapInArrow(
-                       lambda batches: edges_of(batches, similarity), "u long, v long").distinct(), "lines-edges")
+    found = []
+    for part in range(GROUP_PARTS):
+        some = members.filter(F.pmod(F.xxhash64("group"), F.lit(GROUP_PARTS)) == part)
+        found.append(stored(some.join(sets, "hash").select("group", "hash", "shingles").repartition("group")
+                            .sortWithinPartitions("group", "hash").mapInArrow(
+                                lambda batches: edges_of(batches, similarity), "u long, v long"), "lines-edges"))
     for done in (*parts, sets):
         drop_stored(done)
-    return edges
+    return functools.reduce(DataFrame.unionByName, found), found
 
 
 def chain_ends(seeds: DataFrame) -> DataFrame:
@@ -726,9 +731,10 @@ def repeated_passages(docs: DataFrame, similarity: float = SIMILARITY, recall: f
     seeds = stored(seeds.join(twice.hint("shuffle_hash"), "hash", "left_semi").select("row", "w0", "hash").repartition("row")
                    .dropDuplicates(["row", "w0"]), "units-seeds")
     drop_stored(units)
-    edges = similar_lines(docs, rest, similarity, id_col=id_col, text_col=text_col, met=met)
+    edges, tables = similar_lines(docs, rest, similarity, id_col=id_col, text_col=text_col, met=met)
     rooted = stored(components(edges), "units-roots")
-    drop_stored(edges)
+    for done in tables:
+        drop_stored(done)
     near = stored(windows_around(docs, chain_ends(seeds), id_col, text_col).select(
         "row", "id", F.lit(SEED).alias("kind"), *names[3:]), "units-near")
     drop_stored(seeds)
@@ -742,8 +748,12 @@ def repeated_passages(docs: DataFrame, similarity: float = SIMILARITY, recall: f
         F.min("low").alias("low"), F.max("high").alias("high"), F.sum("n").alias("n")).filter(
         "low < high").select("cluster", "low", "n")
     named = joined.select("hash", "cluster").join(clusters, "cluster")
-    found = stored(all_.join(named.hint("shuffle_hash"), "hash").drop("hash"), "units-found")
-    for done in (rest, near, rooted, joined):
+    parts = []
+    for some in (rest, near):  # one after the other: only one part's shuffle is on disk at a time
+        parts.append(stored(some.join(named.hint("shuffle_hash"), "hash").drop("hash"), "units-found"))
+        drop_stored(some)
+    found = parts[0].unionByName(parts[1])
+    for done in (rooted, joined):
         drop_stored(done)
     # a cluster's first unit is in its smallest id, so only units there are compared by place
     least = F.col("id").eqNullSafe(F.col("low"))

@@ -54,7 +54,7 @@ def test_line_components_match_brute_force(spark, documents):
     units = stored(S.find_units(d, S.bands_for(recall=1 - 1e-9)), "t")
     ids = {r.id: r.hash for r in units.filter("kind = 0").collect()}
     for block in (256, 2):
-        root = {r.node: r.root for r in components(S.similar_lines(d, units, 0.8, block)).collect()}
+        root = {r.node: r.root for r in components(S.similar_lines(d, units, 0.8, block)[0]).collect()}
         label = list(range(len(lines)))
         for i, j in itertools.combinations(range(len(lines)), 2):
             if jaccard(lines[i], lines[j]) >= 0.8 and label[i] != label[j]:
