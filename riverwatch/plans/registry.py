@@ -317,20 +317,32 @@ FEED_BATCHES, LATE_BATCHES, LATE_EVERY, LATE_BY = 20, 7, 7, 2
 
 
 def _fed_in_batches(spark, sf_dir, batches: int, late: bool) -> DataFrame:
-    """The messages as a stream of ``batches`` files or a few more, one a micro-batch.
+    """The messages as a stream of ``batches`` micro-batches or a few more.
 
-    Files are dealt by time; with ``late``, every ``LATE_EVERY``-th event comes ``LATE_BY`` files later."""
-    path = work_path(spark, "feed")
+    Events are dealt by time; with ``late``, every ``LATE_EVERY``-th comes ``LATE_BY`` batches later. They are
+    read once, into a folder for each batch; the batches then arrive one after the other. Each comes as one
+    file for every core, which is the source's limit for a micro-batch. A part without rows would leave
+    no file, so each part has a row without a message, which the stream leaves out."""
+    path, dealt = work_path(spark, "feed"), work_path(spark, "dealt")
     events = R.load_table(spark, sf_dir, "events")
     us = F.unix_micros(F.col("ts").cast("timestamp"))
     low, high = events.agg(F.min(us), F.max(us)).first()
     at = F.expr(f"((unix_micros(CAST(ts AS TIMESTAMP)) - {low}) * {batches}) div {high - low + 1}")
     if late:
         at = at + F.when(F.col("event_id") % LATE_EVERY == 0, LATE_BY).otherwise(0)
+    by_batch = events.select("event_id", "ts", "user_id", "value", "props", at.alias("at")).filter("at IS NOT NULL")
+    by_batch.write.partitionBy("at").parquet(dealt)
+    by_batch = spark.read.schema(by_batch.schema).parquet(dealt)
+    files = spark.sparkContext.defaultParallelism
+    blank = spark.range(files).select(F.col("id").alias("file"))
     for k in range(batches + (LATE_BY if late else 0)):  # in order of time, as files arrive
-        R.messages_from_events(events.filter(at == k)).select("value").coalesce(1).write.mode(
-            "append").parquet(path)
-    return spark.readStream.schema("value binary").option("maxFilesPerTrigger", 1).parquet(path)
+        rows = by_batch.filter(F.col("at") == k).withColumn(
+            "file", F.pmod(F.monotonically_increasing_id(), F.lit(files)))
+        rows = rows.unionByName(blank, allowMissingColumns=True).repartitionById(files, F.col("file").cast("int"))
+        value = F.when(F.col("timestamp").isNotNull(), F.col("value")).alias("value")  # every event dealt has a time
+        R.messages_from_events(rows).select(value).write.mode("append").parquet(path)
+    return spark.readStream.schema("value binary").option("maxFilesPerTrigger", files).parquet(path).filter(
+        "value IS NOT NULL")
 
 
 def q_stream_compacted_stats(spark, sf_dir):

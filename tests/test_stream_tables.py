@@ -123,3 +123,33 @@ def test_late_rows_and_kept_rows_add_up(spark, tmp_path, monkeypatch):
     assert len([d for d in os.listdir(f"{tmp_path}/out/windows") if os.path.isdir(
         f"{tmp_path}/out/windows/{d}/done=false")]) == 1
     assert A.flatten_window(layer.closed()).columns[0] == "window_start"
+
+
+def test_each_batch_of_the_feed_is_a_file_for_every_core(spark, tmp_path):
+    """Also a batch with few events or none; events without a time are in no batch."""
+    from riverwatch.plans import registry
+
+    minutes = [0, 0, 1, 700, *range(900, 1000), None]  # of seven batches the third, fourth and sixth are empty
+    rows = [(i, m) for i, m in enumerate(minutes)]
+    spark.createDataFrame(rows, "event_id long, m int").select(
+        "event_id", F.expr("TIMESTAMP_NTZ '2031-05-01 00:00:00' + make_interval(0, 0, 0, 0, 0, m)").alias("ts"),
+        F.col("event_id").alias("user_id"), F.lit(None).cast("string").alias("event_type"),
+        F.lit(1.5).alias("value"), F.lit('{"k": 9}').alias("props")).write.parquet(f"{tmp_path}/events.parquet")
+    for late in (False, True):
+        got = {}
+
+        def take(df, n):
+            got[n] = sorted(r.s for r in df.select(F.get_json_object(F.col("value").cast("string"), "$.timestamp").alias("s")).collect())
+
+        query = registry._fed_in_batches(spark, str(tmp_path), 7, late).writeStream.foreachBatch(take).option(
+            "checkpointLocation", f"{tmp_path}/ck{late}").trigger(availableNow=True).start()
+        query.awaitTermination()
+        want = {n: [] for n in range(9 if late else 7)}
+        for i, m in rows:
+            if m is not None:
+                want[m * 60_000_000 * 7 // (999 * 60_000_000 + 1) + (2 if late and i % 7 == 0 else 0)].append(
+                    f"2031-05-01T{m // 60:02d}:{m % 60:02d}:00")
+        assert got == {n: sorted(v) for n, v in want.items()}
+        for n in want:  # the source's log of each micro-batch: a line for the format, then the files
+            with open(f"{tmp_path}/ck{late}/sources/0/{n}") as f:
+                assert len(f.readlines()) == 1 + spark.sparkContext.defaultParallelism
