@@ -142,8 +142,11 @@ class Encoder:
 
     def _plain_ids(self, text: str) -> bytes:
         parts = parts_of(text)
-        first = self._encode_ids(parts.pop(0))
-        return first + b"".join(map(self._ids.__getitem__, parts))
+        first = parts.pop(0)
+        if plain := _PLAIN(first):  # no space before it, so its pieces stand for themselves
+            return b"".join(map(self._ids.bare.__getitem__, filter(None, plain.groups()))) + b"".join(
+                map(self._ids.__getitem__, parts))
+        return self._encode_ids(first) + b"".join(map(self._ids.__getitem__, parts))
 
     def spans(self, text: str) -> tuple[np.ndarray, np.ndarray]:
         """Start and end of each token in code points of the text."""

@@ -37,6 +37,15 @@ def test_a_full_cache_changes_nothing():
     assert small.ids(t) == T.encoder(T.default_path()).ids(t)
 
 
+def test_a_plain_first_part_is_put_together_from_pieces(monkeypatch):
+    enc = T.Encoder(T.default_path())
+    whole = {t: enc.tokenizer.encode(t, add_special_tokens=False).ids
+             for t in ("The end", "Word.\nNext, and", "x", "Straße!", "a'\nb' c")}
+    monkeypatch.setattr(enc, "_encode_ids", None)  # the whole pre-tokenizer is not called
+    for t, ids in whole.items():
+        assert np.frombuffer(enc.ids(t), "<u4").tolist() == ids
+
+
 def brute_section(span, sections):
     best, most = -1, 0
     for k, (s, e) in enumerate(sections):
