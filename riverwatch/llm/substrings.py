@@ -39,7 +39,9 @@ SEED_WORDS = 16      # words of a window that is compared by equality
 SEED_APART = 15      # of so many starts one after the other at least one is taken
 BAND_PARTS = 2       # bands are dealt to so many parts; only one part's rows are on disk at a time
 GROUP_PARTS = 2      # groups of colliding units are compared in so many parts, for the same reason
-BLOCK = 256          # lines of one bucket in one block; larger buckets go by pairs of blocks
+BLOCK = 256          # lines of one bucket that are compared at once; larger buckets are split around centres
+ROUNDS = 4           # splits of a bucket; what is still larger than a block goes by pairs of blocks
+CENTRE_SAMPLE = 32   # about so many lines of a bucket decide where its centre is looked for
 LINE, SENTENCE, WINDOW, SEED = 0, 1, 2, 3
 APART = 64           # free word numbers after each text of a batch, more than any rule looks away
 SLICE = 1 << 20      # bytes of text that are taken apart at once; a longer text is taken alone
@@ -535,13 +537,101 @@ def two_ids() -> Column:
     return (F.col("key").bitwiseAND(1) == 0) | (F.col("low") < F.col("high"))
 
 
+def centres_of(large: DataFrame, sets: DataFrame) -> DataFrame:
+    """(key, centre) of groups ``large`` (key, hash, n): the member nearest to the shingles that most members hold.
+
+    A sample of the members tells which shingles these are; any member would do as a centre,
+    but around this one fewer are left to compare.
+    """
+    some = large.filter(F.pmod(F.xxhash64("hash", F.lit(7)), F.greatest(
+        F.lit(1), F.floor(F.col("n") / CENTRE_SAMPLE))) == 0).join(sets, "hash")
+    taken = some.groupBy("key").agg(F.count("*").alias("taken"))
+    middle = some.select("key", F.explode("shingles").alias("shingle")).groupBy("key", "shingle").agg(
+        F.count("*").alias("held")).join(taken, "key").filter(2 * F.col("held") > F.col("taken")).groupBy(
+        "key").agg(F.collect_list("shingle").alias("middle"))
+    here = F.coalesce("middle", F.array().cast("array<long>"))
+    apart = F.size("shingles") + F.size(here) - 2 * F.size(F.array_intersect("shingles", here))
+    return large.join(sets, "hash").join(middle, "key", "left").select(
+        "key", F.struct(apart.alias("apart"), "hash").alias("at")).groupBy("key").agg(
+        F.min("at").alias("at")).select("key", F.col("at.hash").alias("centre"))
+
+
+def split_large(large: DataFrame, sets: DataFrame, similarity: float,
+                block: int = BLOCK) -> tuple[list[DataFrame], list[DataFrame], DataFrame]:
+    """Groups ``large`` (key, hash, n), a stored table which is dropped, split without comparing all pairs.
+
+    Gives edges (u, v) to the centres, tables of groups (members) of at most ``block`` that hold every other
+    similar pair, and the groups (key, hash, n) still larger after ``ROUNDS`` splits.
+
+    Each member is compared with its group's centre alone: it differs from the centre by ``a`` shingles, those it has
+    more first, then those it lacks, each in order. Members similar to the centre (alike) get an edge to it. Let x and y be
+    similar, not both of them alike. Then some shingle is among those by which x differs and those by which y
+    does: without one, y would differ from the centre by at most (1 - s) * |x or y| - a(x), and as |x or y| is at most
+    |y or centre| + a(x), y would be alike, and x too. So they meet in the group of the first such shingle. x and y
+    differ by at most ``most`` shingles, which follows from their sizes, so x has at most
+    (most + a(x) - a(y)) / 2 shingles before that one, which bounds what x has to be told under, and which a(y) it can meet there.
+    """
+    edges, groups = [], []
+    for _ in range(ROUNDS):
+        if large.isEmpty():
+            break
+        met = large.join(centres_of(large, sets), "key").select("centre", "hash").distinct()
+        size, held = F.size("shingles"), F.size(F.array_intersect("shingles", "own"))
+        alike = (held > 0) & (held >= similarity * (size + F.size("own") - held))
+        most = F.floor((1 - similarity) / similarity * size + 1e-6).cast("int")
+        differ = F.concat(F.array_except("shingles", "own"), F.array_except("own", "shingles"))
+        told = stored(met.join(sets, "hash").join(
+            sets.select(F.col("hash").alias("centre"), F.col("shingles").alias("own")), "centre").select(
+            "centre", "hash", alike.alias("alike"), size.alias("size"), most.alias("most"),
+            (size + F.size("own") - 2 * held).alias("a"), F.slice(differ, F.lit(1), most + 1).alias("differ")), "lines-told")
+        edges.append(stored(told.filter(F.col("alike") & (F.col("hash") != F.col("centre"))).select(
+            F.col("hash").alias("u"), F.col("centre").alias("v")), "lines-edges"))
+        far = told.groupBy("centre").agg(F.max("size").alias("largest"), F.min(
+            F.when(~F.col("alike"), F.col("a"))).alias("far")).filter(F.col("far").isNotNull())
+        most = F.least("most", F.floor(
+            (1 - similarity) / (1 + similarity) * (F.col("size") + F.col("largest")) + 1e-6).cast("int"))
+        before = F.when(F.col("alike"), F.floor((F.col("most") + F.col("a") - F.col("far")) / 2).cast("int")).otherwise(
+            F.col("most"))
+        parts = told.join(far, "centre").withColumn("most", most).withColumn("before", before).filter(
+            "before >= 0").select(
+            "centre", "hash", "alike", "a", "most",
+            F.posexplode(F.slice("differ", F.lit(1), F.col("before") + 1)).alias("at", "shingle")).select(
+            F.xxhash64("centre", "shingle").alias("key"), "hash", "alike", "a",
+            (F.col("most") + F.col("a") - 2 * F.col("at")).alias("upto"))
+        bounds = parts.groupBy("key").agg(F.count("*").alias("n"), F.min("a").alias("low"), F.max("upto").alias("high"),
+                                          F.min("alike").alias("near")).filter((F.col("n") > 1) & ~F.col("near"))
+        parts = stored(parts.join(bounds.drop("n", "near"), "key").filter(
+            (F.col("low") <= F.col("upto")) & (F.col("a") <= F.col("high"))).select("key", "hash", "alike"), "lines-parts")
+        sizes = parts.groupBy("key").agg(F.count("*").alias("n"), F.min("alike").alias("near")).filter(
+            (F.col("n") > 1) & ~F.col("near")).select("key", "n")
+        kept = parts.select("key", "hash").join(sizes, "key")
+        groups.append(stored(kept.filter(F.col("n") <= block).groupBy("key").agg(
+            F.sort_array(F.collect_set("hash")).alias("members")).select("members"), "lines-groups"))
+        drop_stored(large)
+        large = stored(kept.filter(F.col("n") > block), "lines-large")
+        for done in (told, parts):
+            drop_stored(done)
+    return edges, groups, large
+
+
+def block_pairs(large: DataFrame, block: int) -> DataFrame:
+    """(members) of all pairs of hash blocks of the groups ``large`` (key, hash, n)."""
+    own = F.pmod(F.xxhash64("hash", F.lit(5)), F.col("blocks")).cast("int")
+    pairs = (large.withColumn("blocks", F.ceil(F.col("n") / block).cast("int")).withColumn("own", own)
+             .select("key", "hash", F.explode(F.transform(
+                 F.sequence(F.lit(0), F.col("blocks") - 1),
+                 lambda o: F.struct(F.least(o, F.col("own")).alias("i"),
+                                    F.greatest(o, F.col("own")).alias("j")))).alias("pair")))
+    return pairs.groupBy("key", "pair").agg(F.sort_array(F.collect_set("hash")).alias("members")).select("members")
+
+
 def similar_lines(docs: DataFrame, units: DataFrame, similarity: float, block: int = BLOCK,
                   id_col: str = "doc_id", text_col: str = "text",
                   met: tuple | None = None) -> tuple[DataFrame, list[DataFrame]]:
     """Edges (u, v) between lines, and between windows, of Jaccard similarity ``similarity`` or more, and their tables.
 
     Units are named by their hashes. Equal ones collapse to one before they meet. Lines of a bucket meet in
-    blocks, and in pairs of hash blocks where they are many, so a task never
+    one block; buckets of more lines are split around centres (``split_large``), so a task never
     holds more than about two blocks; only a spanning forest is emitted. ``met``: what ``units_met``
     gives, which is dropped; ``units`` need no bands then.
     """
@@ -556,26 +646,22 @@ def similar_lines(docs: DataFrame, units: DataFrame, similarity: float, block: i
     large = met.filter("large")
     sizes = large.groupBy("key").agg(F.sum(F.size("members")).alias("n"), F.min("low").alias("low"),
                                      F.max("high").alias("high")).filter(two_ids())
-    own = F.pmod(F.xxhash64("hash", F.lit(5)), F.col("blocks")).cast("int")
-    pairs = (large.select("key", F.explode("members").alias("hash")).join(sizes.select("key", "n"), "key")
-             .withColumn("blocks", F.ceil(F.col("n") / block).cast("int")).withColumn("own", own)
-             .select("key", "hash", F.explode(F.transform(
-                 F.sequence(F.lit(0), F.col("blocks") - 1),
-                 lambda o: F.struct(F.least(o, F.col("own")).alias("i"),
-                                    F.greatest(o, F.col("own")).alias("j")))).alias("pair")))
+    large = stored(large.select("key", F.explode("members").alias("hash")).join(sizes.select("key", "n"), "key"),
+                   "lines-large")
+    near, groups, left = split_large(large, sets, similarity, block)
     # copies meet in most of their bands: equal sets of members are compared once
-    same = met.filter("not large").select("members").unionByName(
-        pairs.groupBy("key", "pair").agg(F.sort_array(F.collect_set("hash")).alias("members")).select("members"))
+    same = functools.reduce(DataFrame.unionByName, [
+        met.filter("not large").select("members"), *groups, block_pairs(left, block)])
     members = same.distinct().select(
         F.md5(F.array_join(F.col("members").cast("array<string>"), ",")).alias("group"),
         F.explode("members").alias("hash"))
-    found = []
+    found = near
     for part in range(GROUP_PARTS):
         some = members.filter(F.pmod(F.xxhash64("group"), F.lit(GROUP_PARTS)) == part)
         found.append(stored(some.join(sets, "hash").select("group", "hash", "shingles").repartition("group")
                             .sortWithinPartitions("group", "hash").mapInArrow(
                                 lambda batches: edges_of(batches, similarity), "u long, v long"), "lines-edges"))
-    for done in (*parts, sets):
+    for done in (*parts, sets, *groups, left):
         drop_stored(done)
     return functools.reduce(DataFrame.unionByName, found), found
 

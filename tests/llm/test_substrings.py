@@ -221,3 +221,53 @@ def test_buckets_match_brute_force():
             ends = [[r[c] for r in parts if r[c] is not None] for c in ("low", "high")]
             assert (min(ends[0], default=None), max(ends[1], default=None)) == (
                 min(known, default=None), max(known, default=None))
+
+
+def test_a_large_bucket_is_split_without_all_pairs(spark):
+    """Edited copies of one set: links as by brute force, and rows in proportion to the members."""
+    gen = np.random.default_rng(7)
+
+    def members(n, edits):
+        base = gen.integers(1, 2**62, 46).tolist()
+        out = {frozenset(base)}
+        for _ in range(n):
+            x = list(base)
+            for _ in range(gen.integers(1, edits + 1)):
+                at = gen.integers(0, 42)
+                x[at:at + 5] = gen.integers(1, 2**62, 5).tolist()
+            out.add(frozenset(x))
+            if gen.random() < 0.3:  # alike to that copy, not to the base
+                out.add(frozenset(x[:-2] + gen.integers(1, 2**62, 2).tolist()))
+        return list(out)
+
+    rows = []
+    for n, edits in ((120, 1), (240, 1), (150, 4)):
+        sets = [sorted(x) for x in members(n, edits)]
+        hashes = gen.permutation(np.arange(10_000 * n, 10_000 * n + len(sets))).tolist()
+        large = stored(spark.createDataFrame([(1, h, len(sets)) for h in hashes], "key long, hash long, n long"), "t")
+        shingles = stored(spark.createDataFrame(list(zip(hashes, sets)), "hash long, shingles array<long>"), "t")
+        edges, groups, left = S.split_large(large, shingles, 0.8, 8)
+        edges, groups = ([tuple(r) for t in x for r in t.collect()] for x in (edges, groups))
+        assert left.isEmpty() and all(len(m) <= 8 for m, in groups)
+        rows.append((len(sets), sum(len(m) for m, in groups)))
+        known = {h: set(x) for h, x in zip(hashes, sets)}
+        for m, in groups:
+            edges += list(S._forest({h: known[h] for h in m}, 0.8))
+        got, want = ({h: h for h in hashes} for _ in range(2))
+
+        def join(label, pairs):
+            for a, b in pairs:
+                if label[a] != label[b]:
+                    old, new = label[a], label[b]
+                    for h in label:
+                        label[h] = new if label[h] == old else label[h]
+
+        def alike(a, b):
+            return len(known[a] & known[b]) >= 0.8 * len(known[a] | known[b])
+
+        assert all(alike(a, b) for a, b in edges)
+        join(got, edges)
+        join(want, (x for x in itertools.combinations(hashes, 2) if alike(*x)))
+        assert all((got[a] == got[b]) == (want[a] == want[b]) for a, b in itertools.combinations(hashes, 2))
+    assert rows[1][1] <= 4 * rows[0][1] * rows[1][0] / rows[0][0] + 100  # pairs of blocks: 4 x more for 2 x the members
+    assert rows[1][1] <= 12 * rows[1][0]
