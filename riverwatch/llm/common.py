@@ -14,6 +14,7 @@ from riverwatch.session import work_path
 WHITE = " \t\n\x0b\f\r"
 WHITE_RUN = "[ \\t-\\r]+"
 SHUFFLE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+FILES_AT_ONCE = "spark.sql.maxConcurrentOutputFileWriters"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -31,27 +32,42 @@ def setting(spark: SparkSession, name: str, value: str) -> Iterator[None]:
         spark.conf.unset(name) if before is None else spark.conf.set(name, before)
 
 
-def stored(df: DataFrame, name: str, free_shuffles: bool = False) -> DataFrame:
+def stored(df: DataFrame, name: str, free_shuffles: bool = False, by: str | None = None,
+           distinct: Sequence[str] = ()) -> DataFrame:
     """Write ``df`` below ``spark.checkpoint.dir`` and read it back.
 
     Cuts the lineage at files every executor reaches, so a lost executor costs
     a re-read and not a recomputation. Non-deterministic columns are fixed.
     ``free_shuffles``: the shuffle files of the write are deleted as soon as it is
     done, not when the driver happens to collect garbage; nothing reads them again.
+    ``by``: a column with few values that the files are dealt by (see ``drop_part``).
+    ``distinct``: columns (list elements as ``name.list.element``) that hold hardly a value twice, so
+    that no dictionary of them is tried.
     """
     path = work_path(df.sparkSession, name)
+    write = df.write.options(**{f"parquet.enable.dictionary#{c}": "false" for c in distinct})
     with setting(df.sparkSession, SHUFFLE_CLEANUP, "true") if free_shuffles else nullcontext():
-        df.write.parquet(path)
+        # files of all values are written side by side, so the rows are not sorted for it
+        with setting(df.sparkSession, FILES_AT_ONCE, "16") if by else nullcontext():
+            (write.partitionBy(by) if by else write).parquet(path)
     out = df.sparkSession.read.schema(df.schema).parquet(path)
     out._stored_path = path
     return out
 
 
+def drop_part(df: DataFrame, by: str, value: int) -> None:
+    """Delete the files with one value of the column that ``stored`` dealt a table by; filter it out from then on."""
+    _delete(df, f"{df._stored_path}/{by}={value}")
+
+
 def drop_stored(df: DataFrame | None) -> None:
     """Delete the files behind a table made by ``stored`` (a finished round's)."""
     path = getattr(df, "_stored_path", None)
-    if path is None:
-        return
+    if path is not None:
+        _delete(df, path)
+
+
+def _delete(df: DataFrame, path: str) -> None:
     sc = df.sparkSession.sparkContext
     target = sc._jvm.org.apache.hadoop.fs.Path(path)
     target.getFileSystem(sc._jsc.hadoopConfiguration()).delete(target, True)

@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from riverwatch.llm import common
-from riverwatch.llm.common import bounded_batches, drop_stored, table
+from riverwatch.llm.common import bounded_batches, drop_part, drop_stored, table
 from riverwatch.llm.components import components
 
 SHINGLE = 5
@@ -42,7 +42,7 @@ GROUP_PARTS = 2      # groups of colliding units are compared in so many parts,
 BLOCK = 256          # lines of one bucket that are compared at once; larger buckets are split around centres
 ROUNDS = 4           # splits of a bucket; what is still larger than a block goes by pairs of blocks
 CENTRE_SAMPLE = 32   # about so many lines of a bucket decide where its centre is looked for
-LINE, SENTENCE, WINDOW, SEED = 0, 1, 2, 3
+LINE, SENTENCE, WINDOW, SEED, KEYS = 0, 1, 2, 3, 4  # keys: the band keys of a line or window, told apart from it
 APART = 64           # free word numbers after each text of a batch, more than any rule looks away
 SLICE = 1 << 20      # bytes of text that are taken apart at once; a longer text is taken alone
 CHUNK = 1 << 18      # bytes whose words are hashed at once
@@ -174,21 +174,27 @@ class Words:
         self.text = np.repeat(texts, np.diff(count))
         self.numbers = np.arange(len(own)) + APART * self.text
         self.size = len(own) + APART * len(column)
-        places = np.zeros((2, self.size), dtype=np.int64)
-        for out, edge in zip(places, (self.first, self.last)):
-            if not plain:  # code points, not bytes
-                points = np.zeros(len(self.data) + 1, dtype=np.int64)
-                np.cumsum((self.data & 0xC0) != 0x80, out=points[1:])
-                out[self.numbers] = points[edge] - points[at[self.text]]
-            else:
-                out[self.numbers] = edge - at[self.text]
-        self.starts, self.ends = places
+        self._plain, self._at = plain, at
         spread = np.zeros(self.size, dtype=np.uint64)
         spread[self.numbers] = own
         self._sums = np.zeros(self.size + 1, dtype=np.uint64)
         np.cumsum(spread * _powers(_STEP, self.size), out=self._sums[1:])
         self._back = _powers(_BACK, self.size + 1)
 
+    @functools.cached_property
+    def places(self) -> tuple[np.ndarray, np.ndarray]:
+        """Where in its text each word starts and ends, in code points."""
+        starts, ends = np.zeros((2, self.size), dtype=np.int64)
+        first, last, zero = self.first, self.last, self._at
+        if not self._plain:  # from bytes to code points
+            points = np.zeros(len(self.data) + 1, dtype=np.int64)
+            np.cumsum((self.data & 0xC0) != 0x80, out=points[1:])
+            first, last, zero = points[first], points[last], points[zero]
+        zero = zero[self.text]
+        starts[self.numbers] = first - zero
+        ends[self.numbers] = last - zero
+        return starts, ends
+
     def text_at(self, numbers: np.ndarray) -> np.ndarray:
         """The text that a number belongs to."""
         return np.searchsorted(self.base, numbers, "right") - 1
@@ -263,8 +269,15 @@ def seed_starts(ranks: np.ndarray, left: np.ndarray, own: np.ndarray, among: int
     if len(ranks) < among:
         return np.zeros(0, dtype=np.int64)
     at = np.flatnonzero(((left >= among) | ((left == own) & (own > 0)))[:len(ranks) - among + 1])
-    least = np.lib.stride_tricks.sliding_window_view(ranks, among)[at].argmin(axis=1)
-    return np.unique(least + at)
+    done, low, place = 1, ranks, np.arange(len(ranks))
+    while done < among:  # by doubling, as in _range_minima
+        step = min(done, among - done)
+        later = low[step:] < low[:-step]
+        low = np.where(later, low[step:], low[:-step])
+        place = np.where(later, place[step:], place[:-step])
+        done += step
+    place = place[at]  # never goes back
+    return place[np.append(True, place[1:] != place[:-1])] if len(place) else place
 
 
 def units_of(words: Words, bands: int) -> Iterator[tuple]:
@@ -320,11 +333,12 @@ def _slices(batch: pa.RecordBatch, texts: int, size: int = SLICE) -> Iterator[pa
 
 
 def find_units(docs: DataFrame, bands: int, id_col: str = "doc_id",
-               text_col: str = "text") -> DataFrame:
+               text_col: str = "text", keys_apart: bool = False) -> DataFrame:
     """The units of all texts: row (a key of id and text), id, kind, place, words, hash and band keys.
 
     Positions are in code points; word numbers count through each text. A seed's ends are not
-    needed, so not stored.
+    needed, so not stored. ``keys_apart``: band keys come in rows (id, hash, bands) of kind ``KEYS``
+    of their own, the other rows have none.
     """
     bounded_batches(docs.sparkSession)
     kind = docs.schema[id_col].dataType.simpleString()
@@ -341,16 +355,27 @@ def find_units(docs: DataFrame, bands: int, id_col: str = "doc_id",
                 continue
             text = words.text_at(first)
             none = np.zeros(n, dtype=np.int64)
+            starts, stops = words.places
             place = (none, none, first - words.base[text], none) if kind_ == SEED else (
-                words.starts[first], words.ends[after - 1], first - words.base[text], after - words.base[text])
-            ends = np.arange(n + 1) * (0 if keys is None else bands)
-            values = none[:0] if keys is None else np.ascontiguousarray(keys).ravel().view(np.int64)
+                starts[first], stops[after - 1], first - words.base[text], after - words.base[text])
             at = pa.array(text)
-            yield pa.record_batch(
-                [b.column(0).take(at), b.column(1).take(at), pa.array(np.full(n, kind_, dtype=np.int32)),
-                 *[pa.array(x) for x in place], pa.array(own.view(np.int64)),
-                 pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(values))],
-                names=["row", "id", "kind", "start", "end", "w0", "w1", "hash", "bands"])
+            row, id_ = b.column(0).take(at), b.column(1).take(at)
+            if keys is None or not keys_apart:
+                yield rows(row, id_, kind_, place, own, keys)
+            else:
+                yield rows(row, id_, kind_, place, own, None)
+                yield rows(pa.array(none), id_, KEYS, (none,) * 4, own, keys)
+
+    def rows(row: pa.Array, id_: pa.Array, kind_: int, place: tuple, own: np.ndarray,
+             keys: np.ndarray | None) -> pa.RecordBatch:
+        n = len(own)
+        ends = np.arange(n + 1) * (0 if keys is None else bands)
+        values = np.zeros(0, dtype=np.int64) if keys is None else np.ascontiguousarray(keys).ravel().view(np.int64)
+        return pa.record_batch(
+            [row, id_, pa.array(np.full(n, kind_, dtype=np.int32)),
+             *[pa.array(x) for x in place], pa.array(own.view(np.int64)),
+             pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(values))],
+            names=["row", "id", "kind", "start", "end", "w0", "w1", "hash", "bands"])
 
     return docs.select(
         F.xxhash64(id_col, text_col).alias("row"), F.col(id_col).alias("id"),
@@ -517,14 +542,13 @@ def shingles_of(docs: DataFrame, units: DataFrame, id_col: str = "doc_id", text_
         run, "hash long, shingles array<long>")
 
 
-def units_met(units: DataFrame, block: int = BLOCK) -> tuple[DataFrame, list[DataFrame]]:
-    """The buckets (see ``buckets_of``) of the lines and windows that share a band key with others, and the tables they are in."""
-    lines = units.filter(F.col("kind").isin(LINE, WINDOW))
-    kind = units.schema["id"].dataType.simpleString()
+def units_met(keys: DataFrame, block: int = BLOCK) -> tuple[DataFrame, list[DataFrame]]:
+    """The buckets (see ``buckets_of``) of lines and windows (id, hash, bands) that share a band key with others, and the tables they are in."""
+    kind = keys.schema["id"].dataType.simpleString()
     parts = []
     for part in range(BAND_PARTS):
-        keyed = lines.select(F.posexplode("bands").alias("band", "key"), "hash", "id").filter(
-            F.col("band") % BAND_PARTS == part).drop("band")
+        each = F.ceil(F.size("bands") / BAND_PARTS).cast("int")
+        keyed = keys.select(F.explode(F.slice("bands", part * each + 1, each)).alias("key"), "hash", "id")
         met = keyed.repartition("key").sortWithinPartitions("key", "hash").mapInArrow(
             lambda batches: buckets_of(batches, block),
             f"key long, members array<long>, low {kind}, high {kind}, large boolean")
@@ -571,10 +595,12 @@ def split_large(large: DataFrame, sets: DataFrame, similarity: float,
     differ by at most ``most`` shingles, which follows from their sizes, so x has at most
     (most + a(x) - a(y)) / 2 shingles before that one, which bounds what x has to be told under, and which a(y) it can meet there.
     """
-    edges, groups = [], []
+    edges, groups, own = [], [], None
     for _ in range(ROUNDS):
         if large.isEmpty():
             break
+        if own is None:
+            sets = own = stored(sets.join(large.select("hash").distinct(), "hash", "left_semi"), "lines-own")
         met = large.join(centres_of(large, sets), "key").select("centre", "hash").distinct()
         size, held = F.size("shingles"), F.size(F.array_intersect("shingles", "own"))
         alike = (held > 0) & (held >= similarity * (size + F.size("own") - held))
@@ -611,6 +637,7 @@ def split_large(large: DataFrame, sets: DataFrame, similarity: float,
         large = stored(kept.filter(F.col("n") > block), "lines-large")
         for done in (told, parts):
             drop_stored(done)
+    drop_stored(own)
     return edges, groups, large
 
 
@@ -636,7 +663,7 @@ def similar_lines(docs: DataFrame, units: DataFrame, similarity: float, block: i
     gives, which is dropped; ``units`` need no bands then.
     """
     lines = units.filter(F.col("kind").isin(LINE, WINDOW))
-    met, parts = units_met(units, block) if met is None else met
+    met, parts = units_met(lines, block) if met is None else met
     # the shingles of one occurrence of each line that met another
     wanted = met.select(F.explode("members").alias("hash")).distinct()
     one = lines.join(wanted, "hash", "left_semi").groupBy("hash").agg(
@@ -690,10 +717,7 @@ def windows_around(docs: DataFrame, ends: DataFrame, id_col: str = "doc_id",
     both ends, which the windows before the first and after the last seed cover.
     """
     kind = docs.schema[id_col].dataType.simpleString()
-    places = ends.groupBy("row").agg(  # of one text
-        F.collect_set("w0").alias("at"),
-        F.collect_set(F.when(F.col("before"), F.col("w0"))).alias("before"),
-        F.collect_set(F.when(F.col("after"), F.col("w0"))).alias("after"))
+    places = ends.groupBy("row").agg(F.collect_list(F.struct("w0", "before", "after")).alias("seeds"))  # of one text
     source = docs.select(F.xxhash64(id_col, text_col).alias("row"), F.col(id_col).alias("id"),
                          F.col(text_col).alias("text"))
 
@@ -705,20 +729,18 @@ def windows_around(docs: DataFrame, ends: DataFrame, id_col: str = "doc_id",
     def pack(b: pa.RecordBatch, words: Words) -> pa.RecordBatch:
         marks = np.zeros(words.size + 1, dtype=np.int64)
 
-        def places(column: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-            texts = np.repeat(np.arange(b.num_rows), pc.list_value_length(b.column(column)).to_numpy())
-            base = words.base[texts]
-            return base + b.column(column).flatten().to_numpy(), base, words.stop[texts]
-
-        at, _, _ = places(3)
-        np.add.at(marks, at, 1)
-        np.add.at(marks, at + 1, -1)
-        at, base, _ = places(4)
-        np.add.at(marks, np.maximum(at - SEED_APART + 1, base), 1)
-        np.add.at(marks, at, -1)
-        at, _, stop = places(5)
-        np.add.at(marks, at + 1, 1)
-        np.add.at(marks, np.minimum(at + SEED_APART, stop), -1)
+        at, before, after = (x.to_numpy(zero_copy_only=False) for x in b.column(3).flatten().flatten())
+        texts = np.repeat(np.arange(b.num_rows), pc.list_value_length(b.column(3)).to_numpy())
+        base, stop = words.base[texts], words.stop[texts]
+        at = base + at
+
+        def mark(first: np.ndarray, end: np.ndarray) -> None:
+            marks[:] += np.bincount(first, minlength=len(marks))
+            marks[:] -= np.bincount(end, minlength=len(marks))
+
+        mark(at, at + 1)
+        mark(np.maximum(at - SEED_APART + 1, base)[before], at[before])
+        mark(at[after] + 1, np.minimum(at + SEED_APART, stop)[after])
         first = np.flatnonzero(np.cumsum(marks))
         text = words.text_at(first)
         fits = first + SEED_WORDS <= words.stop[text]
@@ -727,11 +749,11 @@ def windows_around(docs: DataFrame, ends: DataFrame, id_col: str = "doc_id",
         here = pa.array(text)
         return pa.record_batch(
             [b.column(0).take(here), b.column(1).take(here),
-             *[pa.array(x) for x in (words.starts[first], words.ends[after - 1], first - base, after - base,
+             *[pa.array(x) for x in (words.places[0][first], words.places[1][after - 1], first - base, after - base,
                                      words.hashes(first, after, SEED).view(np.int64))]],
             names=["row", "id", "start", "end", "w0", "w1", "hash"])
 
-    return source.join(places, "row").select("row", "id", "text", "at", "before", "after").mapInArrow(
+    return source.join(places, "row").select("row", "id", "text", "seeds").mapInArrow(
         run, f"row long, id {kind}, start long, end long, w0 long, w1 long, hash long")
 
 
@@ -807,16 +829,18 @@ def repeated_passages(docs: DataFrame, similarity: float = SIMILARITY, recall: f
     tables give no rows; other columns are not read. Very long lines are one
     unit each and are compared whole.
     """
-    units = stored(find_units(docs, bands_for(similarity, ROWS, recall), id_col, text_col), "units")
-    met = units_met(units)
+    units = stored(find_units(docs, bands_for(similarity, ROWS, recall), id_col, text_col, keys_apart=True), "units",
+                   by="kind", distinct=["hash", "bands.list.element"])
+    met = units_met(units.filter(F.col("kind") == KEYS))
+    drop_part(units, "kind", KEYS)
     names = ["row", "id", "kind", "start", "end", "w0", "w1", "hash"]
-    rest = stored(units.filter(F.col("kind") != SEED).select(*names), "units-rest")
     seeds = units.filter(F.col("kind") == SEED)
     twice = seeds.groupBy("hash").agg(F.min("id").alias("low"), F.max("id").alias("high")).filter(
         "low < high").select("hash")
     seeds = stored(seeds.join(twice.hint("shuffle_hash"), "hash", "left_semi").select("row", "w0", "hash").repartition("row")
                    .dropDuplicates(["row", "w0"]), "units-seeds")
-    drop_stored(units)
+    drop_part(units, "kind", SEED)
+    rest = units.filter(F.col("kind").isin(LINE, SENTENCE, WINDOW)).select(*names)
     edges, tables = similar_lines(docs, rest, similarity, id_col=id_col, text_col=text_col, met=met)
     rooted = stored(components(edges), "units-roots")
     for done in tables:
@@ -828,16 +852,19 @@ def repeated_passages(docs: DataFrame, similarity: float = SIMILARITY, recall: f
     each = all_.groupBy("hash").agg(
         F.min("id").alias("low"), F.max("id").alias("high"), F.count("*").alias("n"))
     joined = stored(each.join(rooted, each.hash == rooted.node, "left").select(
-        "hash", "low", "high", "n", F.coalesce("root", "hash").alias("cluster"))
+        "hash", "low", "high", "n", F.col("root").alias("cluster"))
         .filter(F.col("root").isNotNull() | (F.col("low") < F.col("high"))), "units-clusters")
-    clusters = joined.groupBy("cluster").agg(
+    several = joined.filter(F.col("cluster").isNotNull())
+    clusters = several.groupBy("cluster").agg(
         F.min("low").alias("low"), F.max("high").alias("high"), F.sum("n").alias("n")).filter(
         "low < high").select("cluster", "low", "n")
-    named = joined.select("hash", "cluster").join(clusters, "cluster")
+    # a unit without links is a cluster of its own
+    named = several.select("hash", "cluster").join(clusters, "cluster").select("hash", "cluster", "low", "n").unionByName(
+        joined.filter(F.col("cluster").isNull()).select("hash", F.col("hash").alias("cluster"), "low", "n"))
     parts = []
-    for some in (rest, near):  # one after the other: only one part's shuffle is on disk at a time
+    for some, files in ((rest, units), (near, near)):  # one after the other: only one part's shuffle is on disk at a time
         parts.append(stored(some.join(named.hint("shuffle_hash"), "hash").drop("hash"), "units-found"))
-        drop_stored(some)
+        drop_stored(files)
     found = parts[0].unionByName(parts[1])
     for done in (rooted, joined):
         drop_stored(done)
